@@ -34,8 +34,15 @@ def norm(v):
     return v
 
 
+EXACT = {"int": "int", "integer": "int", "bigint": "bigint", "long": "bigint", "double": "double",
+         "string": "str", "varchar": "str", "boolean": "bool", "float": "float", "smallint": "smallint",
+         "tinyint": "tinyint", "hugeint": "hugeint", "timestamp": "timestamp", "date": "date"}
+
+
 def kind(t: str) -> str:
     t = t.lower()
+    if t in EXACT:
+        return EXACT[t]
     if any(x in t for x in ("int", "long", "short", "byte")):
         return "int"
     if any(x in t for x in ("double", "float", "decimal")):

@@ -217,3 +217,128 @@ def _state_summary(spark, sf_dir):
 @register("state_summary_page", _with(q.STATE_PAGE, **O_STATE), ("QRY-5", "TOP-5"))
 def _state_page(spark, sf_dir):
     return reports.state_summary_page(state_summary_df(spark, sf_dir))
+
+
+# --- large tables: customers, nations, documents, contracts ------------------------------
+
+from trustgrid.operators import fix, geo, predict  # noqa: E402
+from trustgrid.operators import provenance as pv  # noqa: E402
+from trustgrid.operators.corroborate import corroboration_bands  # noqa: E402
+from trustgrid.operators.score import round_half_up, score_rejects, trust_verdict_long  # noqa: E402
+from trustgrid.plans import entities as ent  # noqa: E402
+from trustgrid.plans import sqlkit_large as ql  # noqa: E402
+from trustgrid.sources.io import row_count_summary  # noqa: E402
+from trustgrid.sources.tables import TABLES, read_table  # noqa: E402
+
+O_CUST = {"cust_dims": ql.CUST_DIMS, "cust_long": ql.cust_long(), "cust_long_raw": ql.cust_long(False, False)}
+
+
+@register("customer_trust_verdict", _with(ql.CUST_VERDICTS, **O_CUST),
+          ("SCR-1", "SCR-2", "SC-23", "SC-24", "SP-13", "T4", "T11"))
+def _cust_verdict(spark, sf_dir):
+    return ent.customer_verdicts(spark, sf_dir)
+
+
+@register("customer_dimensions", _with("SELECT * FROM cust_long", **O_CUST), ("SP-9 input", "RSH-1"))
+def _cust_dims(spark, sf_dir):
+    return ent.customer_dimensions_long(spark, sf_dir)
+
+
+@register("trust_verdict_long", _with(ql.CUST_LONG_VERDICT, **O_CUST), ("SCR-1", "SCR-2", "SP-4"))
+def _cust_long_verdict(spark, sf_dir):
+    return trust_verdict_long(ent.customer_dimensions_long(spark, sf_dir), ["c_custkey"])
+
+
+@register("score_input_rejects", _with(ql.CUST_REJECTS, **O_CUST), ("SCR-3",))
+def _rejects(spark, sf_dir):
+    return score_rejects(ent.customer_dimensions_long(spark, sf_dir, clamp=False, fill_missing=False), ["c_custkey"])
+
+
+@register("fix_ranking", _with(ql.FIX_RANKING, **O_CUST), ("SP-7", "SP-13"))
+def _fix_ranking(spark, sf_dir):
+    return fix.rank_fixes(ent.customer_dimensions_long(spark, sf_dir), ["c_custkey"], F.col("population"))
+
+
+@register("before_after", _with(ql.BEFORE_AFTER, **O_CUST), ("SP-8",))
+def _before_after(spark, sf_dir):
+    return fix.before_after(ent.customer_dimensions_long(spark, sf_dir), ["c_custkey"], F.col("population"))
+
+
+@register("corroboration_bands", _with(ql.CORROBORATION, nation_est=ql.NATION_EST), ("SP-3",))
+def _corroboration(spark, sf_dir):
+    pairs = ent.corroboration_pairs(ent.nation_estimates(spark, sf_dir))
+    out = corroboration_bands(pairs, spark)
+    return out.select("n_nationkey", "n_name", "indicator",
+                      round_half_up(F.col("source_a"), 6).alias("source_a_percent"),
+                      round_half_up(F.col("source_b"), 6).alias("source_b_percent"),
+                      round_half_up(F.col("gap_points"), 6).alias("gap_points"),
+                      "green_gap_points", "red_gap_points", "band")
+
+
+@register("completeness_by_source", _with(ql.DOC_COMPLETENESS), ("AGG-4", "JN-2", "SCR-1"))
+def _completeness(spark, sf_dir):
+    return ent.completeness_by_source(spark, sf_dir)
+
+
+@register("contract_results", _with(ql.CONTRACTS), ("QLT-1", "SP-12", "AGG-6", "T10"))
+def _contracts(spark, sf_dir):
+    return ent.contract_results(spark, sf_dir)
+
+
+@register("row_counts", _with(ql.ROW_COUNTS), ("QLT-2", "SNK-2", "AGG-7", "SRC-4"))
+def _row_counts(spark, sf_dir):
+    return row_count_summary({t: read_table(spark, sf_dir, t) for t in TABLES})
+
+
+@register("coverage_prediction", ql.COVERAGE, ("SP-11",))
+def _coverage(spark, sf_dir):
+    return predict.trend_anomalies(ent.nation_monthly_orders(spark, sf_dir), ["nation_key"], "month_index",
+                                   "order_count")
+
+
+def pip_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = facility_geo_df(spark, sf_dir).where(F.col("has_valid_coordinates"))
+    edges = geo.polygon_edges(geo.polygons_frame(spark))
+    # The edge table comes from a fixed boundary set: its size is bounded.
+    hits = geo.points_in_polygons(pts, edges, "unique_id", "longitude", "latitude", broadcast_edges=True)
+    return geo.first_district(hits, "unique_id")
+
+
+O_PIP = {**O_VERDICTS, "pip_hits": ql.PIP_HITS, "pip": ql.PIP}
+
+
+@register("point_in_polygon", _with("SELECT * FROM pip", **O_PIP), ("SP-1",))
+def _pip(spark, sf_dir):
+    return pip_df(spark, sf_dir)
+
+
+@register("geo_resolution", _with(ql.GEO_RESOLUTION, **O_PIP, **O_LOOKUP), ("SP-2",))
+def _geo_resolution(spark, sf_dir):
+    from trustgrid.functions.text import place_key
+    f = facility_geo_df(spark, sf_dir).select("unique_id", "pincode")
+    p = pip_df(spark, sf_dir).select("unique_id", place_key(F.col("district_name")).alias("polygon_district"))
+    lkp = lookup_df(spark, sf_dir).select(F.col("pincode").alias("_code"),
+                                          F.col("representative_district_key").alias("code_district"))
+    j = f.join(p, "unique_id", "left").join(lkp, f["pincode"] == lkp["_code"], "left")
+    out = geo.resolve_geography(j, "polygon_district", None, "code_district", "has_valid_coordinates")
+    return out.select("unique_id", "polygon_district", "code_district", "resolved_district", "resolution_method",
+                      "has_geography_conflict", "resolution_band")
+
+
+@register("capability_extraction", _with(ql.CAPABILITIES), ("SP-5", "SP-6"))
+def _capabilities(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = pv.as_text(F.col("text"))
+    facts = docs.select(
+        "doc_id",
+        pv.extract_count(t, pv.COUNT_PATTERNS["beds"]).alias("beds"),
+        pv.extract_count(t, pv.COUNT_PATTERNS["doctors"]).alias("doctors"),
+        *[pv.extract_flag(t, p).alias(n) for n, p in pv.FLAG_PATTERNS.items()],
+    )
+    n = (F.when(F.col("beds").isNotNull(), 1).otherwise(0) + F.when(F.col("doctors").isNotNull(), 1).otherwise(0)
+         + F.when(F.col("emergency_24_7"), 1).otherwise(0) + F.when(F.col("nicu"), 1).otherwise(0)
+         + F.when(F.col("accreditation"), 1).otherwise(0))
+    return facts.withColumn("extracted_fact_count", n).withColumns({
+        "provenance_confidence": pv.provenance_confidence(F.lit(False), F.col("extracted_fact_count") > 0),
+        "provenance": pv.provenance_tag(F.lit(False), F.col("extracted_fact_count") > 0),
+    })

@@ -68,7 +68,7 @@ SELECT c_custkey AS office_id,
        WHEN p % 19 = 0 THEN CAST(9000 + p AS STRING)
        ELSE CAST(100000 + p AS STRING) END AS pincode,
   CASE WHEN c_custkey < 6 THEN NULL
-       WHEN c_custkey % 13 = 0 THEN 'Outer Zone ' || CAST(d AS STRING)
+       WHEN p % 17 = 0 THEN 'Outer Zone ' || CAST(d AS STRING)
        WHEN c_custkey % 3 = 0 THEN 'ZONE ' || CAST(d AS STRING)
        WHEN c_custkey % 3 = 1 THEN '  zone  ' || CAST(d AS STRING) || ' '
        ELSE 'Zoné ' || CAST(d AS STRING) END AS district,
@@ -187,7 +187,16 @@ def with_views(sql: str, names=tuple(VIEWS)) -> str:
     return f"WITH {ctes}\n{sql}"
 
 
+VIEW_TABLES = {
+    "v_offices": ("customer", "region"),
+    "v_facilities": ("customer", "nation"),
+    "v_survey_cells": ("part", "region"),
+    "v_survey_wide": ("part", "region"),
+    "v_admin_cells": ("orders", "customer", "nation"),
+}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame for one fixture view over ``sf_dir``."""
-    register_tables(spark, sf_dir)
+    register_tables(spark, sf_dir, VIEW_TABLES[name])
     return spark.sql(VIEWS[name] if name in VIEWS else {"v_survey_wide": V_SURVEY_WIDE}[name])
