@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustgrid.operators.score import band, cap_band, reason_text, round_half_up, score_is_valid
+from trustgrid.operators.score import capped_rank, rank_band, reason_text, round_half_up, score_is_valid, score_rank
 
 # Fixed values.
 MISSING_BOOST = 1.5
@@ -50,13 +50,6 @@ def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scal
     )
 
 
-def _verdict(sw: Column, w: Column, weakest: Column, any_low: Column) -> tuple[Column, Column]:
-    mean = sw / w
-    capped = cap_band(band(mean), band(weakest["score"]))
-    capped = F.when(any_low, cap_band(capped, F.lit("amber"))).otherwise(capped)
-    return mean, capped
-
-
 def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scale: int = 4) -> DataFrame:
     """Verdict before and after applying each entity's rank-1 fix."""
     w_entity = Window.partitionBy(*entity_cols)
@@ -81,13 +74,16 @@ def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, sc
         F.bool_or(low).alias("_l0"), F.bool_or(fixed_low).alias("_l1"),
         F.max(F.when(F.col("_is_fix"), F.col("dimension"))).alias("fixed_dimension"),
     )
-    m0, b0 = _verdict(F.col("_sw0"), F.col("_w"), F.col("_k0"), F.col("_l0"))
-    m1, b1 = _verdict(F.col("_sw1"), F.col("_w"), F.col("_k1"), F.col("_l1"))
-    return agg.select(
+    staged = agg.withColumns({"_m0": F.col("_sw0") / F.col("_w"), "_m1": F.col("_sw1") / F.col("_w")})
+    staged = staged.withColumns({
+        "_b0": rank_band(capped_rank(score_rank(F.col("_m0")), score_rank(F.col("_k0.score")), F.col("_l0"))),
+        "_b1": rank_band(capped_rank(score_rank(F.col("_m1")), score_rank(F.col("_k1.score")), F.col("_l1"))),
+    })
+    return staged.select(
         *entity_cols, "fixed_dimension",
-        round_half_up(m0, scale).alias("score_before"), b0.alias("band_before"),
+        round_half_up(F.col("_m0"), scale).alias("score_before"), F.col("_b0").alias("band_before"),
         F.col("_k0.name").alias("binding_before"),
-        round_half_up(m1, scale).alias("score_after"), b1.alias("band_after"),
-        reason_text(b1, F.col("_k1.name")).alias("reason_after"),
-        round_half_up(m1 - m0, scale).alias("score_delta"),
+        round_half_up(F.col("_m1"), scale).alias("score_after"), F.col("_b1").alias("band_after"),
+        reason_text(F.col("_b1"), F.col("_k1.name")).alias("reason_after"),
+        round_half_up(F.col("_m1") - F.col("_m0"), scale).alias("score_delta"),
     )

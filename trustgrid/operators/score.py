@@ -33,11 +33,17 @@ def round_half_up(col: Column, scale: int) -> Column:
 
 
 def band(score: Column, green_min: float = GREEN_MIN, amber_min: float = AMBER_MIN) -> Column:
+    """Cut-off band of a score column (pass a column reference, not a big expression)."""
     return (F.when(score >= green_min, F.lit("green"))
             .when(score >= amber_min, F.lit("amber"))
             .when(score.isNotNull(), F.lit("red")))
 
 
+def score_rank(score: Column, green_min: float = GREEN_MIN, amber_min: float = AMBER_MIN) -> Column:
+    """Band as a rank (red 0 < amber 1 < green 2), null for a null score."""
+    return F.when(score >= green_min, 2).when(score >= amber_min, 1).when(score.isNotNull(), 0)
+
+
 def band_rank(b: Column) -> Column:
     return F.when(b == "green", 2).when(b == "amber", 1).when(b == "red", 0)
 
@@ -53,10 +59,36 @@ def cap_band(current: Column, cap: Column) -> Column:
     return F.when(cr.isNotNull() & kr.isNotNull(), rank_band(F.least(cr, kr)))
 
 
+def capped_rank(mean_rank: Column, weakest_rank: Column, amber_cap: Column) -> Column:
+    """Weakest-link band rank: least of the mean's and the weakest dimension's
+    ranks, and at most amber when ``amber_cap`` holds. Null stays null."""
+    cap = F.when(amber_cap, F.lit(1)).otherwise(F.lit(2))
+    return F.when(mean_rank.isNotNull() & weakest_rank.isNotNull(), F.least(mean_rank, weakest_rank, cap))
+
+
 def reason_text(b: Column, dimension: Column) -> Column:
     return F.concat(F.initcap(b), F.lit(" - "), dimension, F.lit(f": {REASON_SUFFIX}"))
 
 
+def finish_verdict(df: DataFrame, mean: str, weakest_score: str, weakest_name: str, amber_cap: str,
+                   score_scale: int = 4) -> DataFrame:
+    """Add numeric_score, band_by_mean, weakest_score, binding_dimension, band
+    and reason from staged columns (each computed once, then referenced)."""
+    staged = df.withColumns({
+        "_r_mean": score_rank(F.col(mean)),
+        "_r_weak": score_rank(F.col(weakest_score)),
+    }).withColumn("_r_band", capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col(amber_cap)))
+    out = staged.withColumns({
+        "numeric_score": round_half_up(F.col(mean), score_scale),
+        "band_by_mean": rank_band(F.col("_r_mean")),
+        "weakest_score": round_half_up(F.col(weakest_score), score_scale),
+        "binding_dimension": F.col(weakest_name),
+        "band": rank_band(F.col("_r_band")),
+    })
+    return out.withColumn("reason", reason_text(F.col("band"), F.col("binding_dimension"))).drop(
+        "_r_mean", "_r_weak", "_r_band")
+
+
 @dataclass(frozen=True)
 class Dimension:
     """A trust dimension read from columns of a wide frame."""
@@ -68,41 +100,40 @@ class Dimension:
     weak_signal: bool = False
 
 
-def verdict_columns(dims: Sequence[Dimension], score_scale: int = 4) -> list[Column]:
+VERDICT_COLUMNS = ("numeric_score", "band_by_mean", "weakest_score", "binding_dimension", "any_low_confidence",
+                   "band", "reason")
+
+
+def with_verdict(df: DataFrame, dims: Sequence[Dimension], score_scale: int = 4) -> DataFrame:
     """Per-row trust verdict over dimension columns: no shuffle, no aggregation.
 
-    Returns columns numeric_score, band_by_mean, weakest_score,
-    binding_dimension, any_low_confidence, band, reason.
-    A null dimension score counts as missing: score 0 and low confidence.
+    Adds numeric_score, band_by_mean, weakest_score, binding_dimension,
+    any_low_confidence, band, reason. A null dimension score counts as
+    missing: score 0 and low confidence.
     """
     if not dims:
         raise ValueError("at least one dimension is required for a trust verdict")
-    scores = [F.coalesce(d.score.cast("double"), F.lit(0.0)) for d in dims]
+    staged = df.withColumns({f"_d{i}": F.coalesce(d.score.cast("double"), F.lit(0.0)) for i, d in enumerate(dims)})
     lows = [F.coalesce(d.low_confidence, F.lit(False)) | d.score.isNull() for d in dims]
     wsum = sum(d.weight for d in dims)
-    mean = scores[0] * F.lit(dims[0].weight)
-    for s, d in zip(scores[1:], dims[1:]):
-        mean = mean + s * F.lit(d.weight)
+    mean = F.col("_d0") * F.lit(dims[0].weight)
+    for i, d in enumerate(dims[1:], start=1):
+        mean = mean + F.col(f"_d{i}") * F.lit(d.weight)
     mean = mean / F.lit(wsum)
-    weakest = F.least(*[F.struct(s.alias("score"), F.lit(i).alias("ord"), F.lit(d.name).alias("name"))
-                        for i, (s, d) in enumerate(zip(scores, dims))]) if len(dims) > 1 else \
-        F.struct(scores[0].alias("score"), F.lit(0).alias("ord"), F.lit(dims[0].name).alias("name"))
+    structs = [F.struct(F.col(f"_d{i}").alias("score"), F.lit(i).alias("ord"), F.lit(d.name).alias("name"))
+               for i, d in enumerate(dims)]
     any_low = lows[0]
     for lo in lows[1:]:
         any_low = any_low | lo
     only_weak = all(d.weak_signal for d in dims)
-    by_mean = band(mean)
-    capped = cap_band(by_mean, band(weakest["score"]))
-    capped = F.when(any_low | F.lit(only_weak), cap_band(capped, F.lit("amber"))).otherwise(capped)
-    return [
-        round_half_up(mean, score_scale).alias("numeric_score"),
-        by_mean.alias("band_by_mean"),
-        round_half_up(weakest["score"], score_scale).alias("weakest_score"),
-        weakest["name"].alias("binding_dimension"),
-        any_low.alias("any_low_confidence"),
-        capped.alias("band"),
-        reason_text(capped, weakest["name"]).alias("reason"),
-    ]
+    staged = staged.withColumns({
+        "_mean": mean,
+        "_weakest": F.least(*structs) if len(structs) > 1 else structs[0],
+        "any_low_confidence": any_low,
+    }).withColumn("_cap", F.col("any_low_confidence") | F.lit(only_weak))
+    out = finish_verdict(staged.withColumns({"_ws": F.col("_weakest.score"), "_wn": F.col("_weakest.name")}),
+                         "_mean", "_ws", "_wn", "_cap", score_scale)
+    return out.drop("_mean", "_weakest", "_cap", "_ws", "_wn", *[f"_d{i}" for i in range(len(dims))])
 
 
 def score_is_valid(score: Column) -> Column:
@@ -132,22 +163,15 @@ def trust_verdict_long(dims: DataFrame, entity_cols: Sequence[str], score_scale:
         F.count("*").alias("dimension_count"),
         F.count_if(~valid).alias("_invalid"),
     ).where(F.col("_invalid") == 0)
-    mean = F.col("_sw") / F.col("_w")
-    by_mean = band(mean)
-    capped = cap_band(by_mean, band(F.col("_weakest.score")))
-    capped = F.when(F.col("any_low_confidence") | F.col("_only_weak"),
-                    cap_band(capped, F.lit("amber"))).otherwise(capped)
-    return agg.select(
-        *entity_cols,
-        round_half_up(mean, score_scale).alias("numeric_score"),
-        by_mean.alias("band_by_mean"),
-        round_half_up(F.col("_weakest.score"), score_scale).alias("weakest_score"),
-        F.col("_weakest.name").alias("binding_dimension"),
-        F.col("any_low_confidence"),
-        F.col("dimension_count"),
-        capped.alias("band"),
-        reason_text(capped, F.col("_weakest.name")).alias("reason"),
-    )
+    staged = agg.withColumns({
+        "_mean": F.col("_sw") / F.col("_w"),
+        "_ws": F.col("_weakest.score"),
+        "_wn": F.col("_weakest.name"),
+        "_cap": F.col("any_low_confidence") | F.col("_only_weak"),
+    })
+    out = finish_verdict(staged, "_mean", "_ws", "_wn", "_cap", score_scale)
+    return out.select(*entity_cols, "numeric_score", "band_by_mean", "weakest_score", "binding_dimension",
+                      "any_low_confidence", "dimension_count", "band", "reason")
 
 
 def score_rejects(dims: DataFrame, entity_cols: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgrid.operators.quality import Rule, count_where, duplicate_keys, evaluate_contracts, share_where
-from trustgrid.operators.score import Dimension, round_half_up, verdict_columns
+from trustgrid.operators.score import VERDICT_COLUMNS, Dimension, round_half_up, with_verdict
 from trustgrid.sources.tables import read_table
 
 RECENT_SINCE = dt.datetime(2000, 1, 1)
@@ -69,10 +69,10 @@ def _dims(df: DataFrame) -> list[Dimension]:
 def customer_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row verdict over the wide dimension columns: no extra shuffle."""
     df = customer_dimension_frame(spark, sf_dir)
-    return df.select("c_custkey", "c_nationkey",
-                     *[round_half_up(F.col(f"s{i}"), 4).alias(f"{n}_score")
-                       for i, (n, _) in enumerate(CUSTOMER_DIMENSIONS)],
-                     *verdict_columns(_dims(df)))
+    return with_verdict(df, _dims(df)).select(
+        "c_custkey", "c_nationkey",
+        *[round_half_up(F.col(f"s{i}"), 4).alias(f"{n}_score") for i, (n, _) in enumerate(CUSTOMER_DIMENSIONS)],
+        *VERDICT_COLUMNS)
 
 
 def customer_dimensions_long(spark: SparkSession, sf_dir: str, clamp: bool = True,
@@ -163,16 +163,18 @@ def completeness_by_source(spark: SparkSession, sf_dir: str, scale: int = 6) ->
         F.count_if(F.col("toxic") == 1).alias("toxic_docs"),
         F.sum("n_chars").alias("_chars"),
     )
-    coverage = F.col("labelled_docs") / F.col("total_docs")
-    clean = F.when(F.col("labelled_docs") > 0, 1.0 - F.col("toxic_docs") / F.col("labelled_docs"))
-    dims = [Dimension("label_coverage", coverage, 1.0, F.lit(False)),
-            Dimension("cleanliness", clean, 1.0, F.col("labelled_docs") < THIN_HISTORY_ORDERS)]
-    return agg.select(
+    agg = agg.withColumns({
+        "_coverage": F.col("labelled_docs") / F.col("total_docs"),
+        "_clean": F.when(F.col("labelled_docs") > 0, 1.0 - F.col("toxic_docs") / F.col("labelled_docs")),
+    })
+    dims = [Dimension("label_coverage", F.col("_coverage"), 1.0, F.lit(False)),
+            Dimension("cleanliness", F.col("_clean"), 1.0, F.col("labelled_docs") < THIN_HISTORY_ORDERS)]
+    return with_verdict(agg, dims, score_scale=scale).select(
         "lang", "source", "total_docs", "labelled_docs", "quality_docs", "toxic_docs",
         round_half_up(F.col("_chars") / F.col("total_docs"), scale).alias("avg_chars"),
-        round_half_up(coverage, scale).alias("label_coverage_score"),
-        round_half_up(clean, scale).alias("cleanliness_score"),
-        *verdict_columns(dims, score_scale=scale),
+        round_half_up(F.col("_coverage"), scale).alias("label_coverage_score"),
+        round_half_up(F.col("_clean"), scale).alias("cleanliness_score"),
+        *VERDICT_COLUMNS,
     )
 
 

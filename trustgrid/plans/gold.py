@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustgrid.operators import lookup as lk
-from trustgrid.operators.score import band, cap_band, need_score, round_half_up
+from trustgrid.operators.score import capped_rank, need_score, rank_band, round_half_up, score_rank
 from trustgrid.plans.silver import ADMIN_INDICATORS, NEED_METRICS, SURVEY_METRICS
 
 # Caution labels and binding reasons.
@@ -38,26 +38,28 @@ def facility_verdicts(geo: DataFrame, scale: int = 6) -> DataFrame:
         F.sum("care_substance_missing_count").alias("_missing_sum"),
     )
     total = F.col("total_facilities")
-    avg_missing = F.col("_missing_sum") / total
-    location = F.col("valid_coordinate_facilities") / total
-    completeness = (F.col("pincode_present_facilities") / total + F.col("capability_text_facilities") / total
-                    + (4.0 - avg_missing) / 4.0) / 3.0
-    mean = (location + completeness) / 2.0
-    weakest = F.least(location, completeness)
-    by_mean = band(mean)
-    capped = cap_band(by_mean, band(weakest))
-    capped = F.when(avg_missing > 0, cap_band(capped, F.lit("amber"))).otherwise(capped)
-    return agg.select(
+    staged = agg.withColumn("_avg_missing", F.col("_missing_sum") / total).withColumns({
+        "_location": F.col("valid_coordinate_facilities") / total,
+        "_completeness": (F.col("pincode_present_facilities") / total + F.col("capability_text_facilities") / total
+                          + (4.0 - F.col("_avg_missing")) / 4.0) / 3.0,
+    })
+    staged = staged.withColumn("_mean", (F.col("_location") + F.col("_completeness")) / 2.0)
+    staged = staged.withColumns({
+        "_r_mean": score_rank(F.col("_mean")),
+        "_r_weak": score_rank(F.least("_location", "_completeness")),
+    })
+    staged = staged.withColumn("_r_band", capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col("_avg_missing") > 0))
+    return staged.select(
         "source_state_key", "source_state_name", "source_state_spellings", "total_facilities",
         "valid_coordinate_facilities", "pincode_present_facilities", "capability_text_facilities",
-        round_half_up(avg_missing, scale).alias("avg_care_substance_missing_count"),
-        round_half_up(location, scale).alias("location_trust_score"),
-        round_half_up(completeness, scale).alias("data_completeness_score"),
-        round_half_up(mean, scale).alias("numeric_score"),
-        by_mean.alias("band_by_mean"),
-        capped.alias("band"),
-        F.when(location <= completeness, F.lit(REASON_LOCATION)).otherwise(F.lit(REASON_COMPLETENESS))
-        .alias("binding_reason"),
+        round_half_up(F.col("_avg_missing"), scale).alias("avg_care_substance_missing_count"),
+        round_half_up(F.col("_location"), scale).alias("location_trust_score"),
+        round_half_up(F.col("_completeness"), scale).alias("data_completeness_score"),
+        round_half_up(F.col("_mean"), scale).alias("numeric_score"),
+        rank_band(F.col("_r_mean")).alias("band_by_mean"),
+        rank_band(F.col("_r_band")).alias("band"),
+        F.when(F.col("_location") <= F.col("_completeness"), F.lit(REASON_LOCATION))
+        .otherwise(F.lit(REASON_COMPLETENESS)).alias("binding_reason"),
         F.lit("state").alias("geo_grain"),
         F.lit(FACILITY_ROLLUP_CAUTION).alias("data_caution"),
     )

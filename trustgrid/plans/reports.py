@@ -40,13 +40,13 @@ def facility_scorecard(geo: DataFrame, verdicts: DataFrame, pinned: str | None =
     raw = facility_point_score(F.col("has_valid_coordinates"), F.col("has_pincode"),
                                F.col("has_capability_text"), F.col("_v_score"))
     pin = (F.when(F.lower("name").contains(pinned.lower()), 0).otherwise(1) if pinned else F.lit(1))
-    return (j.withColumn("_pin", pin)
+    return (j.withColumns({"_pin": pin, "_raw": raw})
             .orderBy("_pin", "name", "unique_id")
             .limit(n)
             .select("unique_id", "name", "source_state_name", "source_state_key", "pincode", "latitude", "longitude",
                     "has_valid_coordinates", "has_pincode", "has_capability_text", "care_substance_missing_count",
-                    round_half_up(F.least(F.lit(1.0), raw), 2).alias("numeric_score"),
-                    band(raw).alias("band"),
+                    round_half_up(F.least(F.lit(1.0), F.col("_raw")), 2).alias("numeric_score"),
+                    band(F.col("_raw")).alias("band"),
                     facility_point_reason(F.col("has_valid_coordinates"), F.col("has_pincode"),
                                           F.col("has_capability_text")).alias("binding_reason"),
                     F.coalesce("_v_caution", F.lit(FACILITY_ROLLUP_CAUTION)).alias("data_caution")))
