@@ -211,15 +211,3 @@ def need_score(anaemia: Column, stunting: Column, insurance: Column, institution
     return (F.coalesce(anaemia, F.lit(0.0)) + F.coalesce(stunting, F.lit(0.0))
             + (100.0 - F.coalesce(insurance, F.lit(100.0)))
             + (100.0 - F.coalesce(institutional, F.lit(100.0))))
-
-
-def simulated_lift(score: Column, lift_points: int) -> list[Column]:
-    """Score in points before / after a fix, clamped 0-100 and re-banded at 85 / 60."""
-    before = F.round(score * 100).cast("int")
-    after = F.least(F.lit(100), F.greatest(F.lit(0), before + F.lit(lift_points)))
-    return [
-        before.alias("score_points_before"),
-        band(before / 100.0).alias("band_before"),
-        after.alias("score_points_after"),
-        band(after / 100.0).alias("band_after"),
-    ]

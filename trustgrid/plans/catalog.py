@@ -264,7 +264,10 @@ def _before_after(spark, sf_dir):
     return fix.before_after(ent.customer_dimensions_long(spark, sf_dir), ["c_custkey"], F.col("population"))
 
 
-@register("corroboration_bands", _with(ql.CORROBORATION, nation_est=ql.NATION_EST), ("SP-3",))
+O_CORR = {"nation_est": ql.NATION_EST, "corr_raw": ql.CORR_RAW}
+
+
+@register("corroboration_bands", _with(ql.CORROBORATION, **O_CORR), ("SP-3",))
 def _corroboration(spark, sf_dir):
     pairs = ent.corroboration_pairs(ent.nation_estimates(spark, sf_dir))
     out = corroboration_bands(pairs, spark)
@@ -342,3 +345,70 @@ def _capabilities(spark, sf_dir):
         "provenance_confidence": pv.provenance_confidence(F.lit(False), F.col("extracted_fact_count") > 0),
         "provenance": pv.provenance_tag(F.lit(False), F.col("extracted_fact_count") > 0),
     })
+
+
+@register("nation_verdicts", _with(ql.long_verdict("nation_dims", "n_nationkey"), **O_CORR, nation_dims=ql.NATION_DIMS),
+          ("SP-4", "SCR-1"))
+def _nation_verdicts(spark, sf_dir):
+    est = ent.nation_estimates(spark, sf_dir)
+    banded = corroboration_bands(ent.corroboration_pairs(est), spark)
+    return trust_verdict_long(ent.nation_dimensions(banded, est), ["n_nationkey"])
+
+
+DISTRICT_DIMS_SQL = """
+SELECT state_key, district_key, 'completeness' AS dimension, 0 AS ordinal,
+  coalesce(1.0 - CAST(missing_value_count AS DOUBLE) / indicator_cell_count, CAST(0.0 AS DOUBLE)) AS score,
+  CAST(1.0 AS DOUBLE) AS weight, coalesce(missing_value_count > 0, false) AS low_confidence, false AS is_missing,
+  false AS weak_signal FROM survey_districts
+UNION ALL
+SELECT state_key, district_key, 'suppression', 1,
+  coalesce(1.0 - CAST(suppressed_indicator_count + low_sample_estimate_count AS DOUBLE) / indicator_cell_count, CAST(0.0 AS DOUBLE)),
+  CAST(1.0 AS DOUBLE), coalesce(suppressed_indicator_count + low_sample_estimate_count > 0, false), false, false
+FROM survey_districts
+UNION ALL
+SELECT d.state_key, d.district_key, 'postal_geocoding', 2, coalesce(p.geocoded_post_office_ratio, CAST(0.0 AS DOUBLE)),
+  CAST(0.5 AS DOUBLE), coalesce(p.geocoded_post_office_ratio IS NULL, false), p.geocoded_post_office_ratio IS NULL, false
+FROM survey_districts d LEFT JOIN postal p ON d.state_key = p.state_key AND d.district_key = p.district_key
+"""
+
+
+@register("district_verdicts", _with(ql.long_verdict("district_dims", "state_key, district_key"), **O_NEED,
+                                     district_dims=DISTRICT_DIMS_SQL), ("SP-9", "SP-13", "SCR-1"))
+def _district_verdicts(spark, sf_dir):
+    dims = gold.district_dimensions(survey_districts_df(spark, sf_dir), silver.postal_summary(offices_df(spark, sf_dir)))
+    return trust_verdict_long(dims, ["state_key", "district_key"])
+
+
+@register("facility_provenance", _with(ql.FACILITY_PROVENANCE), ("SP-5", "SP-6"))
+def _facility_provenance(spark, sf_dir):
+    return ent.facility_provenance(fx.view(spark, sf_dir, "v_facilities"))
+
+
+O_SCORECARD = {**O_VERDICTS, "scorecard": q.SCORECARD}
+
+
+@register("facility_simulated_fixes", _with(ql.SIMULATED_FIXES, **O_SCORECARD), ("SC-28",))
+def _simulated(spark, sf_dir):
+    return reports.simulated_fixes(_facility_scorecard(spark, sf_dir))
+
+
+SEARCH_TERM = "nation_1"
+
+
+@register("facility_search", _with(ql.search_sql(SEARCH_TERM), **O_SCORECARD), ("FLT-5",))
+def _search(spark, sf_dir):
+    return reports.facility_search(_facility_scorecard(spark, sf_dir), SEARCH_TERM)
+
+
+@register("keep_list_offices", _with(ql.KEEP_LIST), ("SRC-9",))
+def _keep_list(spark, sf_dir):
+    from trustgrid.sources.io import keep_list_filter
+    return keep_list_filter(fx.view(spark, sf_dir, "v_offices"), ["statename", "district"], ["AFRICA", " asia", "Europe "])
+
+
+@register("preflight", _with(ql.PREFLIGHT), ("SRC-6", "SRC-4"))
+def _preflight(spark, sf_dir):
+    from trustgrid.sources.io import SourceSpec, preflight
+    from trustgrid.sources.tables import table_path
+    specs = [SourceSpec(t, table_path(sf_dir, t), required=True) for t in TABLES]
+    return preflight(spark, specs).drop("source_location")

@@ -222,3 +222,58 @@ def nation_monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (orders.join(cust, orders["o_custkey"] == cust["c_custkey"])
             .groupBy(F.col("c_nationkey").alias("nation_key"), t.alias("month_index"))
             .agg(F.count("*").alias("order_count")))
+
+
+# --- nation verdicts: corroboration dimensions + a weak state anchor -----------------
+
+STATE_ANCHOR_WEIGHT = 0.5
+
+
+def nation_dimensions(banded: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Corroboration per indicator (score 1 - gap / (2 x red gap), floored at 0;
+    low confidence unless green) plus the nation-level fulfilment share as a
+    weak-signal anchor of weight 0.5 that can never make green on its own."""
+    order = {"institutional_delivery": 0, "full_immunization": 1, "anc_4_plus": 2}
+    ordinal = F.create_map(*[x for k, v in order.items() for x in (F.lit(k), F.lit(v))])
+    corr = banded.select(
+        "n_nationkey", F.col("indicator").alias("dimension"),
+        F.try_element_at(ordinal, F.col("indicator")).alias("ordinal"),
+        F.greatest(F.lit(0.0), 1.0 - F.col("gap_points") / (2.0 * F.col("red_gap_points"))).alias("score"),
+        F.lit(1.0).alias("weight"),
+        F.coalesce(F.col("band") != "green", F.lit(True)).alias("low_confidence"),
+        F.col("gap_points").isNull().alias("is_missing"),
+        F.lit(False).alias("weak_signal"),
+    ).withColumn("score", F.coalesce("score", F.lit(0.0)))
+    anchor = estimates.select(
+        "n_nationkey", F.lit("state_anchor").alias("dimension"), F.lit(3).alias("ordinal"),
+        F.coalesce(F.col("n_of") / F.col("n_orders"), F.lit(0.0)).alias("score"),
+        F.lit(STATE_ANCHOR_WEIGHT).alias("weight"), F.lit(False).alias("low_confidence"),
+        F.lit(False).alias("is_missing"), F.lit(True).alias("weak_signal"),
+    )
+    return corr.unionByName(anchor)
+
+
+# --- facility provenance -------------------------------------------------------------
+
+def facility_provenance(facilities: DataFrame) -> DataFrame:
+    """Per facility: structured field (1.0), fact found in capability text (0.6), absent (0)."""
+    from trustgrid.functions.cells import is_blank_field
+    from trustgrid.operators import provenance as pv
+
+    text = pv.as_text(F.col("capability"))
+    facts = facilities.select(
+        "unique_id",
+        (~is_blank_field(F.col("doctors"))).alias("_s_doc"),
+        F.coalesce(pv.extract_count(text, pv.COUNT_PATTERNS["doctors"]).isNotNull(), F.lit(False)).alias("_e_doc"),
+        (~is_blank_field(F.col("capacity"))).alias("_s_cap"),
+        F.coalesce(pv.extract_count(text, pv.COUNT_PATTERNS["beds"]).isNotNull(), F.lit(False)).alias("_e_cap"),
+    )
+    out = facts.select(
+        "unique_id",
+        pv.provenance_tag(F.col("_s_doc"), F.col("_e_doc")).alias("doctors_provenance"),
+        pv.provenance_confidence(F.col("_s_doc"), F.col("_e_doc")).alias("doctors_confidence"),
+        pv.provenance_tag(F.col("_s_cap"), F.col("_e_cap")).alias("capacity_provenance"),
+        pv.provenance_confidence(F.col("_s_cap"), F.col("_e_cap")).alias("capacity_confidence"),
+    )
+    return out.withColumn("provenance_confidence",
+                          round_half_up((F.col("doctors_confidence") + F.col("capacity_confidence")) / 2.0, 6))

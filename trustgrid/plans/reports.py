@@ -93,3 +93,25 @@ def state_summary_page(summary: DataFrame, n: int = 8) -> DataFrame:
             .select("state_name", "anc_four_plus_rate_percent",
                     "institutional_delivery_to_live_birth_ratio_percent",
                     "fully_immunized_to_live_birth_ratio_percent", "data_caution"))
+
+
+# Fix recommendations and their score lifts in points.
+FIX_CATALOG = (
+    ("Reconcile facility geography with source coordinates", 10),
+    ("Assign district with boundary polygons", 7),
+    ("Complete missing facility profile fields", 5),
+)
+
+
+def simulated_fixes(scorecard: DataFrame) -> DataFrame:
+    """Before / after points and bands for every facility x recommended fix."""
+    fixes = F.array(*[F.struct(F.lit(t).alias("fix_title"), F.lit(lift).alias("lift_points"))
+                      for t, lift in FIX_CATALOG])
+    rows = scorecard.select("unique_id", "numeric_score", F.inline(fixes))
+    before = F.round(F.col("numeric_score") * 100).cast("int")
+    staged = rows.withColumn("score_points_before", before).withColumn(
+        "score_points_after",
+        F.least(F.lit(100), F.greatest(F.lit(0), F.col("score_points_before") + F.col("lift_points"))))
+    return staged.select("unique_id", "fix_title", "lift_points", "score_points_before",
+                         band(F.col("score_points_before") / 100.0).alias("band_before"),
+                         "score_points_after", band(F.col("score_points_after") / 100.0).alias("band_after"))

@@ -157,9 +157,9 @@ _PAIRS = "\nUNION ALL\n".join(
 
 _TH = ", ".join(f"('{i}', {D(g)}, {D(r)})" for i, g, r in THRESHOLDS)
 
-CORROBORATION = f"""
-SELECT n_nationkey, n_name, indicator, {rd('source_a')} AS source_a_percent, {rd('source_b')} AS source_b_percent,
-  {rd('abs(source_a - source_b)')} AS gap_points, green_gap_points, red_gap_points,
+CORR_RAW = f"""
+SELECT n_nationkey, n_name, indicator, source_a, source_b, abs(source_a - source_b) AS gap,
+  green_gap_points, red_gap_points,
   CASE WHEN abs(source_a - source_b) < green_gap_points THEN 'green'
        WHEN abs(source_a - source_b) > red_gap_points THEN 'red'
        WHEN abs(source_a - source_b) IS NOT NULL THEN 'amber' END AS band
@@ -167,6 +167,45 @@ FROM ({_PAIRS}) p JOIN (VALUES {_TH}) AS th(indicator, green_gap_points, red_gap
 WHERE indicator NOT IN ('anaemia', 'c_section')
 """
 
+CORROBORATION = f"""
+SELECT n_nationkey, n_name, indicator, {rd('source_a')} AS source_a_percent, {rd('source_b')} AS source_b_percent,
+  {rd('gap')} AS gap_points, green_gap_points, red_gap_points, band
+FROM corr_raw
+"""
+
+
+def long_verdict(table: str, keys: str) -> str:
+    """Generic SCR-1 over a long dimension table, keyed by ``keys``."""
+    return f"""
+SELECT {keys}, {rd('sw / w', 4)} AS numeric_score, {band('sw / w')} AS band_by_mean, {rd('ws', 4)} AS weakest_score,
+  bd AS binding_dimension, any_low AS any_low_confidence, n AS dimension_count, b AS band,
+  {initcap('b')} || ' - ' || bd || ': binding trust constraint' AS reason
+FROM (
+  SELECT *, CASE WHEN any_low OR only_weak THEN {cap(cap(band('sw / w'), band('ws')), "'amber'")}
+                 ELSE {cap(band('sw / w'), band('ws'))} END AS b
+  FROM (SELECT {keys}, sum(score * weight) AS sw, sum(weight) AS w, bool_or(low_confidence) AS any_low,
+          bool_and(weak_signal) AS only_weak, count(*) AS n, min(score) AS ws,
+          max(CASE WHEN rn = 1 THEN dimension END) AS bd,
+          count_if(NOT coalesce(score BETWEEN 0.0 AND 1.0, false)) AS bad
+        FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY score, ordinal) AS rn FROM {table}) x
+        GROUP BY {keys}) y
+  WHERE bad = 0) z
+"""
+
+
+NATION_DIMS = f"""
+SELECT n_nationkey, indicator AS dimension,
+  CASE indicator WHEN 'institutional_delivery' THEN 0 WHEN 'full_immunization' THEN 1 WHEN 'anc_4_plus' THEN 2 END AS ordinal,
+  coalesce(greatest({D('0.0')}, 1.0 - gap / (2.0 * red_gap_points)), {D('0.0')}) AS score, {D('1.0')} AS weight,
+  coalesce(band <> 'green', true) AS low_confidence, gap IS NULL AS is_missing, false AS weak_signal
+FROM corr_raw
+UNION ALL
+SELECT n_nationkey, 'state_anchor' AS dimension, 3 AS ordinal,
+  coalesce({D('n_of')} / n_orders, {D('0.0')}) AS score, {D('0.5')} AS weight, false AS low_confidence,
+  false AS is_missing, true AS weak_signal
+FROM nation_est
+"""
+
 DOC_COMPLETENESS = f"""
 SELECT lang, source, total_docs, labelled_docs, quality_docs, toxic_docs, {rd(f"{D('chars')} / total_docs")} AS avg_chars,
   {rd('cov')} AS label_coverage_score, {rd('clean')} AS cleanliness_score,
@@ -313,3 +352,41 @@ FROM (SELECT *, (CASE WHEN beds IS NOT NULL THEN 1 ELSE 0 END) + (CASE WHEN doct
               {_flag('text', FLAG_PATTERNS['accreditation'])} AS accreditation
             FROM documents) a) b
 """
+
+
+FACILITY_PROVENANCE = f"""
+SELECT unique_id,
+  CASE WHEN sd THEN 'structured' WHEN ed THEN 'extracted' ELSE 'absent' END AS doctors_provenance,
+  CASE WHEN sd THEN {D('1.0')} WHEN ed THEN {D('0.6')} ELSE {D('0.0')} END AS doctors_confidence,
+  CASE WHEN sc THEN 'structured' WHEN ec THEN 'extracted' ELSE 'absent' END AS capacity_provenance,
+  CASE WHEN sc THEN {D('1.0')} WHEN ec THEN {D('0.6')} ELSE {D('0.0')} END AS capacity_confidence,
+  {rd(f"((CASE WHEN sd THEN {D('1.0')} WHEN ed THEN {D('0.6')} ELSE {D('0.0')} END) + (CASE WHEN sc THEN {D('1.0')} WHEN ec THEN {D('0.6')} ELSE {D('0.0')} END)) / {D('2.0')}")} AS provenance_confidence
+FROM (SELECT unique_id,
+        NOT coalesce(doctors IS NULL OR lower(trim(doctors)) IN ('', 'null'), false) AS sd,
+        coalesce({_count('capability', COUNT_PATTERNS['doctors'])} IS NOT NULL, false) AS ed,
+        NOT coalesce(capacity IS NULL OR lower(trim(capacity)) IN ('', 'null'), false) AS sc,
+        coalesce({_count('capability', COUNT_PATTERNS['beds'])} IS NOT NULL, false) AS ec
+      FROM v_facilities) a
+"""
+
+FIX_VALUES = ", ".join(f"('{t}', {lift})" for t, lift in (
+    ("Reconcile facility geography with source coordinates", 10),
+    ("Assign district with boundary polygons", 7),
+    ("Complete missing facility profile fields", 5)))
+
+SIMULATED_FIXES = f"""
+SELECT unique_id, fix_title, lift_points, score_points_before, {band(f"score_points_before / {D('100.0')}")} AS band_before,
+  score_points_after, {band(f"score_points_after / {D('100.0')}")} AS band_after
+FROM (SELECT s.unique_id, f.fix_title, f.lift_points, CAST(round(s.numeric_score * 100) AS INTEGER) AS score_points_before,
+        least(100, greatest(0, CAST(round(s.numeric_score * 100) AS INTEGER) + f.lift_points)) AS score_points_after
+      FROM scorecard s CROSS JOIN (VALUES {FIX_VALUES}) AS f(fix_title, lift_points)) x
+"""
+
+
+def search_sql(q: str) -> str:
+    q = q.strip().lower()
+    return (f"SELECT * FROM scorecard WHERE coalesce(contains(lower(name), '{q}'), false) "
+            f"OR coalesce(contains(lower(source_state_name), '{q}'), false) OR coalesce(contains(lower(pincode), '{q}'), false)")
+
+
+KEEP_LIST = "SELECT * FROM v_offices WHERE upper(trim(coalesce(statename, district))) IN ('AFRICA', 'ASIA', 'EUROPE')"
