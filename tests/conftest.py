@@ -22,3 +22,10 @@ def spark():
     from trustgrid.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
+
+
+@pytest.fixture()
+def scratch():
+    """A fresh scratch folder per test (never reused, never cleared)."""
+    import tempfile
+    return tempfile.mkdtemp(prefix="trustgrid-test-", dir="/tmp")

@@ -114,7 +114,8 @@ def with_verdict(df: DataFrame, dims: Sequence[Dimension], score_scale: int = 4)
     if not dims:
         raise ValueError("at least one dimension is required for a trust verdict")
     staged = df.withColumns({f"_d{i}": F.coalesce(d.score.cast("double"), F.lit(0.0)) for i, d in enumerate(dims)})
-    lows = [F.coalesce(d.low_confidence, F.lit(False)) | d.score.isNull() for d in dims]
+    lows = [(F.coalesce(d.low_confidence, F.lit(False)) if d.low_confidence is not None else F.lit(False))
+            | d.score.isNull() for d in dims]
     wsum = sum(d.weight for d in dims)
     mean = F.col("_d0") * F.lit(dims[0].weight)
     for i, d in enumerate(dims[1:], start=1):

@@ -17,13 +17,22 @@ from pyspark.sql import types as T
 from trustgrid.functions.schema import STAMP_COLUMNS
 
 
+STANDARD_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
+
 def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multiline: bool = False,
              schema: T.StructType | None = None) -> DataFrame:
     """Header CSV with every column as string; quoted ``"`` escapes.
 
     ``multiline`` lets quoted cells span lines but makes each file one split,
     so it is opt-in for the sources that need it.
+
+    Spark 4 accepts only the UTF / ASCII / ISO-8859-1 charsets by default;
+    other Java charsets (e.g. ``windows-1252``) need the session flag
+    ``spark.sql.legacy.javaCharsets``, which is switched on for them.
     """
+    if encoding.lower().replace("_", "-") not in STANDARD_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("encoding", encoding).option("quote", '"').option("escape", '"')
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
