@@ -15,6 +15,7 @@ CONFIDENCE_STRUCTURED = 1.0
 CONFIDENCE_EXTRACTED = 0.6
 CONFIDENCE_ABSENT = 0.0
 
+# Oracle-side (case-insensitive regex) forms of the rules below.
 COUNT_PATTERNS = {
     "beds": r"(?i)([0-9]+)\s*(?:-\s*)?(?:beds?|bedded)",
     "doctors": r"(?i)([0-9]+)\s*(?:doctors?|physicians?)",
@@ -28,8 +29,9 @@ FLAG_PATTERNS = {
 
 def as_text(col: Column) -> Column:
     """A JSON list of strings becomes its items joined by newlines; other text stays."""
+    looks_like_list = col.rlike(r"^\s*\[")   # anchored: stops at the first non-space character
     items = F.from_json(col, "array<string>", {"mode": "PERMISSIVE"})
-    return F.when(F.trim(col).startswith("[") & items.isNotNull(), F.array_join(items, "\n")).otherwise(col)
+    return F.when(looks_like_list, F.coalesce(F.array_join(items, "\n"), col)).otherwise(col)
 
 
 def extract_count(text: Column, pattern: str) -> Column:
@@ -50,3 +52,38 @@ def provenance_tag(structured_present: Column, extracted_present: Column) -> Col
     return (F.when(F.coalesce(structured_present, F.lit(False)), F.lit("structured"))
             .when(F.coalesce(extracted_present, F.lit(False)), F.lit("extracted"))
             .otherwise(F.lit("absent")))
+
+
+# The same rules on lower-cased text. Keywords are plain
+# substring tests (no regex); the numeric facts run their regex only on
+# texts that contain the keyword at all.
+COUNT_RULES = {
+    "beds": (("bed",), r"([0-9]+)\s*(?:-\s*)?(?:beds?|bedded)"),
+    "doctors": (("doctor", "physician"), r"([0-9]+)\s*(?:doctors?|physicians?)"),
+}
+FLAG_RULES = {
+    "emergency_24_7": (("24", "round"), r"24\s*[/x]\s*7|round[- ]the[- ]clock"),
+    "nicu": (("nicu", "neonatal intensive"), None),
+    "accreditation": (("accredit", "licence", "license"), None),
+}
+
+
+def _any_contains(lowered: Column, words) -> Column:
+    out = None
+    for w in words:
+        c = lowered.contains(w)
+        out = c if out is None else out | c
+    return out
+
+
+def fact_columns(lowered: Column) -> list[Column]:
+    """beds, doctors, emergency_24_7, nicu, accreditation from a lower-cased text column."""
+    cols = []
+    for name, (words, pattern) in COUNT_RULES.items():
+        cols.append(F.when(_any_contains(lowered, words), extract_count(lowered, pattern)).alias(name))
+    for name, (words, pattern) in FLAG_RULES.items():
+        hit = _any_contains(lowered, words)
+        if pattern is not None:
+            hit = hit & lowered.rlike(pattern)
+        cols.append(F.coalesce(hit, F.lit(False)).alias(name))
+    return cols

@@ -331,13 +331,8 @@ def _geo_resolution(spark, sf_dir):
 @register("capability_extraction", _with(ql.CAPABILITIES), ("SP-5", "SP-6"))
 def _capabilities(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    t = pv.as_text(F.col("text"))
-    facts = docs.select(
-        "doc_id",
-        pv.extract_count(t, pv.COUNT_PATTERNS["beds"]).alias("beds"),
-        pv.extract_count(t, pv.COUNT_PATTERNS["doctors"]).alias("doctors"),
-        *[pv.extract_flag(t, p).alias(n) for n, p in pv.FLAG_PATTERNS.items()],
-    )
+    lowered = docs.select("doc_id", F.lower(pv.as_text(F.col("text"))).alias("_lt"))
+    facts = lowered.select("doc_id", *pv.fact_columns(F.col("_lt")))
     n = (F.when(F.col("beds").isNotNull(), 1).otherwise(0) + F.when(F.col("doctors").isNotNull(), 1).otherwise(0)
          + F.when(F.col("emergency_24_7"), 1).otherwise(0) + F.when(F.col("nicu"), 1).otherwise(0)
          + F.when(F.col("accreditation"), 1).otherwise(0))

@@ -131,8 +131,8 @@ _ADMIN_SERIAL_VALUES = ", ".join(f"({_sql_str(s)}, {_sql_str(p)}, {h})" for s, p
 _ADMIN_MONTH_VALUES = ", ".join(f"({_sql_str(m)}, {n})" for m, n in ADMIN_MONTHS)
 _ADMIN_VT_VALUES = ", ".join(f"({_sql_str(v)}, {k})" for v, k, _ in ADMIN_VALUE_TYPES)
 
-V_ADMIN_CELLS = f"""
-WITH o AS (
+_ADMIN_AGG = """
+o AS (
   SELECT c_nationkey AS nk, CAST(o_orderkey % 8 AS INT) + 1 AS h, CAST(month(o_orderdate) AS INT) AS m,
          CAST(floor(o_totalprice) AS BIGINT) AS amt,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS urgent
@@ -143,14 +143,36 @@ agg AS (
   SELECT nk, h, m, amt, urgent FROM bym
   UNION ALL
   SELECT nk, h, 0 AS m, sum(amt) AS amt, sum(urgent) AS urgent FROM bym GROUP BY nk, h
-),
+)"""
+
+# The constant grid (nation x serial x month x value type). DuckDB spells it
+# as joins with VALUES lists; Spark generates the same rows with ``inline``
+# (a generator per nation row, no join).
+_ADMIN_GRID_DUCKDB = f"""
 grid AS (
   SELECT n_nationkey, n_name, s.serial, s.parameter, s.h, mm.mon, mm.m, v.vt, v.vk
   FROM nation
   CROSS JOIN (VALUES {_ADMIN_SERIAL_VALUES}) AS s(serial, parameter, h)
   CROSS JOIN (VALUES {_ADMIN_MONTH_VALUES}) AS mm(mon, m)
   CROSS JOIN (VALUES {_ADMIN_VT_VALUES}) AS v(vt, vk)
-),
+)"""
+
+
+def _structs(rows, names) -> str:
+    return "array(" + ", ".join(
+        "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(names, r)) + ")" for r in rows) + ")"
+
+
+_ADMIN_GRID_SPARK = f"""
+grid AS (
+  SELECT n_nationkey, n_name, serial, parameter, h, mon, m, vt, vk
+  FROM nation
+  LATERAL VIEW inline({_structs([(_sql_str(a), _sql_str(b), c) for a, b, c in ADMIN_SERIALS], ('serial', 'parameter', 'h'))}) s
+  LATERAL VIEW inline({_structs([(_sql_str(a), b) for a, b in ADMIN_MONTHS], ('mon', 'm'))}) mm
+  LATERAL VIEW inline({_structs([(_sql_str(a), b) for a, b, _ in ADMIN_VALUE_TYPES], ('vt', 'vk'))}) v
+)"""
+
+_ADMIN_TAIL = """,
 val AS (
   SELECT g.n_nationkey, g.n_name, g.serial, g.parameter, g.h, g.mon, g.m, g.vt, g.vk,
     CAST(CASE WHEN g.vk = 1 THEN floor(coalesce(a.amt, 0) / 1000) ELSE coalesce(a.urgent, 0) END AS BIGINT) AS v
@@ -166,6 +188,9 @@ SELECT n_name AS state, serial, parameter, 'TOTAL' AS type, mon, vt,
 FROM val
 """
 
+V_ADMIN_CELLS = "WITH " + _ADMIN_AGG + "," + _ADMIN_GRID_DUCKDB + _ADMIN_TAIL
+V_ADMIN_CELLS_SPARK = "WITH " + _ADMIN_AGG + "," + _ADMIN_GRID_SPARK + _ADMIN_TAIL
+
 VIEWS = {
     "v_offices": V_OFFICES,
     "v_facilities": V_FACILITIES,
@@ -199,4 +224,5 @@ VIEW_TABLES = {
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame for one fixture view over ``sf_dir``."""
     register_tables(spark, sf_dir, VIEW_TABLES[name])
-    return spark.sql(VIEWS[name] if name in VIEWS else {"v_survey_wide": V_SURVEY_WIDE}[name])
+    spark_text = {"v_survey_wide": V_SURVEY_WIDE, "v_admin_cells": V_ADMIN_CELLS_SPARK}
+    return spark.sql(spark_text.get(name) or VIEWS[name])
