@@ -407,3 +407,69 @@ def _preflight(spark, sf_dir):
     from trustgrid.sources.tables import table_path
     specs = [SourceSpec(t, table_path(sf_dir, t), required=True) for t in TABLES]
     return preflight(spark, specs).drop("source_location")
+
+
+# --- pipeline self-checks over the silver outputs (QLT-1 with computed statuses) ----------
+
+def pipeline_checks_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustgrid.operators.quality import Rule, duplicate_keys, evaluate_contracts
+    from trustgrid.plans.silver import FACILITY_COLUMNS
+
+    facilities_raw = fx.view(spark, sf_dir, "v_facilities")
+    offices_raw = fx.view(spark, sf_dir, "v_offices")
+    wide = admin_wide_df(spark, sf_dir)
+    # Column presence is schema metadata: counted on the driver, compared as a literal.
+    fac_present = float(len(set(FACILITY_COLUMNS) & set(facilities_raw.columns)))
+    off_present = float(len({"district", "latitude", "longitude", "pincode", "statename"} & set(offices_raw.columns)))
+    c = F.col
+    rules = [
+        Rule("facilities", "facilities_required_columns_present", "fail", F.lit(fac_present), "eq",
+             len(FACILITY_COLUMNS)),
+        Rule("facilities", "facilities_valid_coordinate_count", "fail", F.count_if(c("has_valid_coordinates")), "ge", 1),
+        Rule("offices", "offices_required_columns_present", "fail", F.lit(off_present), "eq", 5),
+        Rule("offices", "offices_invalid_code_count", "warn", F.count_if(~c("is_valid_code")), "eq", 0),
+        Rule("lookup", "code_lookup_is_unique", "fail", duplicate_keys("pincode")),
+        Rule("survey", "survey_indicator_columns_detected", "fail", F.countDistinct("indicator"), "ge", 1),
+        Rule("admin", "admin_state_grain_detected", "fail", F.countDistinct("state_key"), "ge", 1),
+        Rule("admin", "admin_invalid_numeric_count", "warn", F.count_if(c("is_invalid_numeric")), "eq", 0),
+        Rule("admin_totals", "admin_curated_indicator_count", "warn", F.countDistinct("indicator_name"), "eq", 7),
+    ]
+    return evaluate_contracts({
+        "facilities": silver.facility_geo(facilities_raw),
+        "offices": silver.offices_silver(offices_raw),
+        "lookup": lookup_df(spark, sf_dir),
+        "survey": survey_cells_df(spark, sf_dir),
+        "admin": silver.admin_long(wide),
+        "admin_totals": silver.admin_totals(wide),
+    }, rules)
+
+
+_PIPELINE_CHECKS_SQL = """
+SELECT *, CASE WHEN coalesce(CASE comparator WHEN 'eq' THEN observed_value = threshold
+  WHEN 'le' THEN observed_value <= threshold ELSE observed_value >= threshold END, false) THEN 'pass'
+  ELSE severity END AS status FROM (
+SELECT 'facilities' AS dataset, 'facilities_required_columns_present' AS check_name, 'fail' AS severity,
+  CAST(11 AS DOUBLE) AS observed_value, 'eq' AS comparator, CAST(11 AS DOUBLE) AS threshold
+UNION ALL SELECT 'facilities', 'facilities_valid_coordinate_count', 'fail',
+  CAST(count_if(has_valid_coordinates) AS DOUBLE), 'ge', CAST(1 AS DOUBLE) FROM facility_geo
+UNION ALL SELECT 'offices', 'offices_required_columns_present', 'fail', CAST(5 AS DOUBLE), 'eq', CAST(5 AS DOUBLE)
+UNION ALL SELECT 'offices', 'offices_invalid_code_count', 'warn', CAST(count_if(NOT is_valid_code) AS DOUBLE), 'eq',
+  CAST(0 AS DOUBLE) FROM offices
+UNION ALL SELECT 'lookup', 'code_lookup_is_unique', 'fail', CAST(count(*) - count(DISTINCT pincode) AS DOUBLE), 'eq',
+  CAST(0 AS DOUBLE) FROM lookup
+UNION ALL SELECT 'survey', 'survey_indicator_columns_detected', 'fail', CAST(count(DISTINCT indicator) AS DOUBLE), 'ge',
+  CAST(1 AS DOUBLE) FROM survey_cells
+UNION ALL SELECT 'admin', 'admin_state_grain_detected', 'fail', CAST(count(DISTINCT state_key) AS DOUBLE), 'ge',
+  CAST(1 AS DOUBLE) FROM admin_long
+UNION ALL SELECT 'admin', 'admin_invalid_numeric_count', 'warn', CAST(count_if(is_invalid_numeric) AS DOUBLE), 'eq',
+  CAST(0 AS DOUBLE) FROM admin_long
+UNION ALL SELECT 'admin_totals', 'admin_curated_indicator_count', 'warn', CAST(count(DISTINCT indicator_name) AS DOUBLE),
+  'eq', CAST(7 AS DOUBLE) FROM admin_totals
+) r
+"""
+
+
+@register("pipeline_checks", _with(_PIPELINE_CHECKS_SQL, **O_FAC, **O_LOOKUP, **O_SURVEY, **O_STATE),
+          ("QLT-1", "FLT-2", "PRJ-4", "AGG-6", "AGG-7", "T10"))
+def _pipeline_checks(spark, sf_dir):
+    return pipeline_checks_df(spark, sf_dir)
