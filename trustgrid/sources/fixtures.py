@@ -132,13 +132,16 @@ _ADMIN_MONTH_VALUES = ", ".join(f"({_sql_str(m)}, {n})" for m, n in ADMIN_MONTHS
 _ADMIN_VT_VALUES = ", ".join(f"({_sql_str(v)}, {k})" for v, k, _ in ADMIN_VALUE_TYPES)
 
 _ADMIN_AGG = """
-o AS (
-  SELECT c_nationkey AS nk, CAST(o_orderkey % 8 AS INT) + 1 AS h, CAST(month(o_orderdate) AS INT) AS m,
-         CAST(floor(o_totalprice) AS BIGINT) AS amt,
-         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS urgent
-  FROM orders JOIN customer ON o_custkey = c_custkey
+oc AS (
+  SELECT o_custkey, CAST(o_orderkey % 8 AS INT) + 1 AS h, CAST(month(o_orderdate) AS INT) AS m,
+         sum(CAST(floor(o_totalprice) AS BIGINT)) AS amt,
+         sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END) AS urgent
+  FROM orders GROUP BY o_custkey, CAST(o_orderkey % 8 AS INT) + 1, CAST(month(o_orderdate) AS INT)
+),
+bym AS (
+  SELECT c_nationkey AS nk, h, m, sum(amt) AS amt, sum(urgent) AS urgent
+  FROM oc JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, h, m
 ),
-bym AS (SELECT nk, h, m, sum(amt) AS amt, sum(urgent) AS urgent FROM o GROUP BY nk, h, m),
 agg AS (
   SELECT nk, h, m, amt, urgent FROM bym
   UNION ALL

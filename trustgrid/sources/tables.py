@@ -11,14 +11,32 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Relation handles per (application, path, modification time). Building a
+# scan lists the file and reads its footer on the driver; the handle is
+# only a plan, so reusing it skips that work without holding any data.
+_SCANS: dict[tuple[str, str, float], DataFrame] = {}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def _stamp(path: str) -> float:
+    try:
+        return os.path.getmtime(path)
+    except OSError:  # remote stores: no local stat, the path is the key
+        return 0.0
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one input table (column pruning and filters push down)."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, path, _stamp(path))
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
