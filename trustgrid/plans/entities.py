@@ -11,8 +11,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ from trustgrid.operators.quality import Rule, count_where, duplicate_keys, evalu
 from trustgrid.operators.score import VERDICT_COLUMNS, Dimension, round_half_up, with_verdict
 from trustgrid.sources.tables import read_table
 
-RECENT_SINCE = dt.datetime(2000, 1, 1)
+RECENT_SINCE = "2000-01-01 00:00:00"  # compared as TIMESTAMP_NTZ: no session time-zone shift
 THIN_HISTORY_ORDERS = 5
 
 # Customer trust dimensions (name, weight) in ordinal order.
@@ -36,7 +34,7 @@ def order_activity(orders: DataFrame) -> DataFrame:
     """Per-customer order counts (one partial aggregation)."""
     return orders.groupBy("o_custkey").agg(
         F.count("*").alias("n_orders"),
-        F.count_if(F.col("o_orderdate") >= F.lit(RECENT_SINCE)).alias("n_recent"),
+        F.count_if(F.col("o_orderdate") >= F.lit(RECENT_SINCE).cast("timestamp_ntz")).alias("n_recent"),
         F.count_if(F.col("o_orderpriority") != "4-NOT SPECIFIED").alias("n_specified"),
     )
 

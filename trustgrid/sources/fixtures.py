@@ -138,14 +138,10 @@ oc AS (
          sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END) AS urgent
   FROM orders GROUP BY o_custkey, CAST(o_orderkey % 8 AS INT) + 1, CAST(month(o_orderdate) AS INT)
 ),
-bym AS (
-  SELECT c_nationkey AS nk, h, m, sum(amt) AS amt, sum(urgent) AS urgent
-  FROM oc JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, h, m
-),
 agg AS (
-  SELECT nk, h, m, amt, urgent FROM bym
-  UNION ALL
-  SELECT nk, h, 0 AS m, sum(amt) AS amt, sum(urgent) AS urgent FROM bym GROUP BY nk, h
+  SELECT c_nationkey AS nk, h, coalesce(m, 0) AS m, sum(amt) AS amt, sum(urgent) AS urgent
+  FROM oc JOIN customer ON o_custkey = c_custkey
+  GROUP BY GROUPING SETS ((c_nationkey, h, m), (c_nationkey, h))
 )"""
 
 # The constant grid (nation x serial x month x value type). DuckDB spells it
