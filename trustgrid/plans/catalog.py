@@ -299,9 +299,9 @@ def _coverage(spark, sf_dir):
                                    "order_count")
 
 
-def pip_df(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
-    geo = geo if geo is not None else facility_geo_df(spark, sf_dir)
-    pts = geo.where(F.col("has_valid_coordinates"))
+def pip_df(spark: SparkSession, sf_dir: str, facilities: DataFrame | None = None) -> DataFrame:
+    facilities = facilities if facilities is not None else facility_geo_df(spark, sf_dir)
+    pts = facilities.where(F.col("has_valid_coordinates"))
     edges = geo.polygon_edges(geo.polygons_frame(spark))
     # The edge table comes from a fixed boundary set: its size is bounded.
     hits = geo.points_in_polygons(pts, edges, "unique_id", "longitude", "latitude", broadcast_edges=True)
@@ -319,9 +319,9 @@ def _pip(spark, sf_dir):
 @register("geo_resolution", _with(ql.GEO_RESOLUTION, **O_PIP, **O_LOOKUP), ("SP-2",))
 def _geo_resolution(spark, sf_dir):
     from trustgrid.functions.text import place_key
-    geo = facility_geo_df(spark, sf_dir)
-    f = geo.select("unique_id", "pincode", "has_valid_coordinates")
-    p = pip_df(spark, sf_dir, geo).select("unique_id", place_key(F.col("district_name")).alias("polygon_district"))
+    facilities = facility_geo_df(spark, sf_dir)
+    f = facilities.select("unique_id", "pincode", "has_valid_coordinates")
+    p = pip_df(spark, sf_dir, facilities).select("unique_id", place_key(F.col("district_name")).alias("polygon_district"))
     lkp = lookup_df(spark, sf_dir).select(F.col("pincode").alias("_code"),
                                           F.col("representative_district_key").alias("code_district"))
     j = f.join(p, "unique_id", "left").join(lkp, f["pincode"] == lkp["_code"], "left")
