@@ -122,7 +122,7 @@ def test_unique_names_case_insensitive():
 
 def test_measure_headings():
     assert parse_measure_heading("April - Total [(A+B) or (C+D)]") == ("April", "Total")
-    assert parse_measure_heading("Total - Public  Sector [A]") == ("Total", "Public Sector")
+    assert parse_measure_heading("Total\u00a0-\u00a0Public  Sector [A]") == ("Total", "Public Sector")
     assert parse_measure_heading("Remarks") is None
 
 

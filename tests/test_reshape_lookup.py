@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_admin_one_row_three_measures(spark):
     cols = ["State", "S.No.", "Parameters", "Type", "April - Total [(A+B) or (C+D)]",
             "May - Total [(A+B) or (C+D)]", "Total - Total [(A+B) or (C+D)]", "Remarks"]
-    df = spark.createDataFrame([("Goa", "'1.1'", "ANC registered", "TOTAL", "1,200", "35", "NA", "x")], cols)
+    df = spark.createDataFrame([("Goa", "'1.1'", "ANC\u00a0registered", "TOTAL", "1,200", "35", "NA", "x")], cols)
     rows = silver.admin_long(df).orderBy("month").collect()
     assert len(rows) == 3
     assert {r["serial_number"] for r in rows} == {"1.1"}
