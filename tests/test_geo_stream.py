@@ -56,3 +56,24 @@ def test_survey_cell_stream(spark, scratch):
     assert out["south goa"]["is_suppressed"] and out["south goa"]["value"] is None
     batch = parse_survey_cells(spark.read.parquet(src))
     assert sorted(batch.columns) == sorted(spark.read.parquet(sink).columns)
+
+
+def test_salted_band_join_same_as_broadcast(spark):
+    rnd = random.Random(11)
+    pts = [(i, rnd.uniform(68, 98), 25.5) for i in range(500)]       # one hot band
+    pts += [(1000 + i, rnd.uniform(66, 100), rnd.uniform(4, 36)) for i in range(300)]
+    df = spark.createDataFrame(pts, "pid long, x double, y double")
+    edges = geo.polygon_edges(geo.polygons_frame(spark))
+    a = set(geo.points_in_polygons(df, edges, "pid", "x", "y", broadcast_edges=True).collect())
+    b = set(geo.points_in_polygons(df, edges, "pid", "x", "y", broadcast_edges=False, salt_buckets=7).collect())
+    assert a == b and len(a) > 0
+
+
+def test_many_to_one_join_salted_equals_plain(spark):
+    from trustgrid.operators.joins import many_to_one_join
+    left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)], "id int, k string")
+    right = spark.createDataFrame([("hot", 1), ("k3", 2), ("k6", 3)], "rk string, v int")
+    plain = sorted(many_to_one_join(left, right, ["k"], ["rk"]).collect())
+    salted = sorted(many_to_one_join(left, right, ["k"], ["rk"], buckets=5, force_salt=True).collect())
+    assert plain == salted and len(plain) == 300
+    assert "rk" not in many_to_one_join(left, right, ["k"], ["rk"]).columns

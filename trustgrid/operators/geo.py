@@ -62,18 +62,26 @@ def polygon_edges(polygons: DataFrame, band_height: float = BAND_HEIGHT) -> Data
 
 
 def points_in_polygons(points: DataFrame, edges: DataFrame, id_col: str, x_col: str, y_col: str,
-                       band_height: float = BAND_HEIGHT, broadcast_edges: bool = False) -> DataFrame:
+                       band_height: float = BAND_HEIGHT, broadcast_edges: bool = False,
+                       salt_buckets: int = 16) -> DataFrame:
     """(point id, district_id, district_name) for every point inside a district.
 
     ``broadcast_edges`` is for edge tables of a known, bounded size (a fixed
-    boundary set); otherwise the band join is a shuffle join and AQE
-    decides at run time.
+    boundary set): points then never move. Otherwise the band join shuffles,
+    and a band holding a third of all points would land on one task, so the
+    points are salted by a hash of their id and the (much smaller) edge table
+    is replicated once per salt: every band is spread over ``salt_buckets``
+    tasks.
     """
     pts = points.where(F.col(x_col).isNotNull() & F.col(y_col).isNotNull()).select(
         F.col(id_col).alias("_pid"), F.col(x_col).alias("_px"), F.col(y_col).alias("_py"),
         F.floor(F.col(y_col) / band_height).alias("band_id"))
-    e = F.broadcast(edges) if broadcast_edges else edges
-    j = pts.join(e, "band_id")
+    if broadcast_edges:
+        j = pts.join(F.broadcast(edges), "band_id")
+    else:
+        pts = pts.withColumn("_salt", F.pmod(F.xxhash64("_pid"), F.lit(salt_buckets)).cast("int"))
+        salted = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        j = pts.join(salted, ["band_id", "_salt"])
     crosses = ((F.col("y1") > F.col("_py")) != (F.col("y2") > F.col("_py"))) & (
         F.col("_px") < (F.col("x2") - F.col("x1")) * (F.col("_py") - F.col("y1")) / (F.col("y2") - F.col("y1"))
         + F.col("x1"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustgrid.functions.cells import coords_in_range  # noqa: F401  (re-export for callers)
+from trustgrid.operators.joins import many_to_one_join
 
 
 def _sorted_set(c: str) -> Column:
@@ -70,18 +70,16 @@ def enrich_codes(lookup: DataFrame, districts: DataFrame, prefix: str = "survey_
     The right side is prefixed, joined on the representative keys, and its key
     columns are dropped. The right side is already one row per key, so the
     join keeps the lookup's row count. AQE broadcasts it when it is small at
-    run time and keeps a shuffle join when it is not.
+    run time and keeps a shuffle join when it is not; a hot representative
+    district is split by AQE or salted (see ``operators.joins``).
     """
     right = districts.select(
         F.col("state_key").alias("_r_state_key"), F.col("district_key").alias("_r_district_key"),
         *[F.col(c).alias(prefix + c) for c in districts.columns if c not in ("state_key", "district_key")],
     )
-    joined = lookup.join(
-        right,
-        (lookup["representative_state_key"] == right["_r_state_key"])
-        & (lookup["representative_district_key"] == right["_r_district_key"]),
-        "left",
-    ).drop("_r_state_key", "_r_district_key")
+    # One district can be the representative of a third of all codes.
+    joined = many_to_one_join(lookup, right, ["representative_state_key", "representative_district_key"],
+                              ["_r_state_key", "_r_district_key"], "left")
     return joined.withColumn("match_status", match_status(
         F.col("is_geography_ambiguous"), F.col("representative_district_key"),
         F.col(prefix + "district_name")))

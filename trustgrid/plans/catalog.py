@@ -324,7 +324,9 @@ def _geo_resolution(spark, sf_dir):
     p = pip_df(spark, sf_dir, facilities).select("unique_id", place_key(F.col("district_name")).alias("polygon_district"))
     lkp = lookup_df(spark, sf_dir).select(F.col("pincode").alias("_code"),
                                           F.col("representative_district_key").alias("code_district"))
-    j = f.join(p, "unique_id", "left").join(lkp, f["pincode"] == lkp["_code"], "left")
+    from trustgrid.operators.joins import many_to_one_join
+    # A code can hold a third of all facilities: the lookup join is skew-safe.
+    j = many_to_one_join(f.join(p, "unique_id", "left"), lkp, ["pincode"], ["_code"], "left")
     out = geo.resolve_geography(j, "polygon_district", None, "code_district", "has_valid_coordinates")
     return out.select("unique_id", "polygon_district", "code_district", "resolved_district", "resolution_method",
                       "has_geography_conflict", "resolution_band")
