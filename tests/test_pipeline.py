@@ -22,3 +22,12 @@ def test_build_all_defaults_to_checkpoint_dir(spark):
     out = build_all(spark, SF, run_id="run-test-default")
     path = out.first()["path"]
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_partitioned_silver_prunes(spark, scratch):
+    out = {r["table_name"]: r["path"] for r in build_all(spark, SF, out_dir=os.path.join(scratch, "o")).collect()}
+    cells = spark.read.parquet(out["silver_survey_cells"])
+    one = cells.where("indicator = 'women_age_15_49_years_who_are_anaemic_percent'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(indicator" in plan
+    assert one.count() * 5 == cells.count()

@@ -25,10 +25,18 @@ from trustgrid.sources import fixtures as fx
 from trustgrid.sources.io import stamp_ingest, write_table
 
 
+# Long silver tables are partitioned by a low-cardinality column that later
+# reads filter on, so those reads prune whole directories.
+PARTITIONS = {
+    "silver_survey_cells": ("indicator",),
+    "silver_admin_long": ("value_type",),
+}
+
+
 def _write(spark: SparkSession, df: DataFrame, base: str, name: str, summary: list) -> DataFrame:
     path = os.path.join(base, name)
     obs = Observation(name)
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("row_count")), path)
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("row_count")), path, PARTITIONS.get(name, ()))
     summary.append((name, int(obs.get["row_count"]), path))
     return spark.read.parquet(path)
 
