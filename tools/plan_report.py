@@ -48,7 +48,9 @@ def main() -> None:
         "# Physical plans", "",
         f"Static plans (AQE off) of every registered query over `{sf_dir}`, produced by `tools/plan_report.py`.",
         "`shuffles` counts hash / range / single-partition exchanges; broadcast exchanges are listed as joins.",
-        "Scans show the table, the number of columns read (ReadSchema) and the filters pushed into Parquet.", "",
+        "Scans show the table, the number of columns read (ReadSchema) and the filters pushed into Parquet.",
+        "With AQE off, many-to-one lookup joins take their explicitly salted form (a generator replicates",
+        "the unique side per salt); with AQE on they are plain joins whose hot partitions AQE splits.", "",
         "| query | shuffles | single-partition | BHJ | SMJ | nested loop | generate | window | scans (table:cols [pushed]) |",
         "|---|---|---|---|---|---|---|---|---|",
     ]
