@@ -104,3 +104,15 @@ def test_fix_ranking_and_before_after(spark):
     ba = catalog.REGISTRY["before_after"].build(spark, SF).collect()
     assert all(r["score_after"] >= r["score_before"] for r in ba)
     assert any(r["score_delta"] > 0 for r in ba)
+
+
+def test_state_burden_proxy(spark):
+    from trustgrid.plans.gold import district_impact
+    need = spark.createDataFrame([
+        ("s", "a", 100.0, 0, 3), ("s", "b", 200.0, 1, 0), ("s", "c", 0.0, 4, 9), ("t", "d", 0.0, 4, 1),
+    ], "state_key string, district_key string, demand_side_need_score double, missing_metric_count int, "
+       "post_office_count long")
+    rows = {r["district_key"]: r for r in district_impact(need).collect()}
+    assert rows["c"]["burden_is_state_proxy"] and rows["c"]["impact"] == 150.0 * 10
+    assert not rows["a"]["burden_is_state_proxy"] and rows["a"]["impact"] == 400.0
+    assert rows["d"]["impact"] == 0.0          # no state burden either: kept, ranked last

@@ -24,11 +24,13 @@ MISSING_BOOST = 1.5
 HIGH_WEIGHT_MIN = 1.0
 
 
-def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scale: int = 6) -> DataFrame:
+def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scale: int = 6,
+               extra_cols: Sequence[str] = ()) -> DataFrame:
     """Candidate fixes = dimensions scoring below 1, ranked per entity.
 
     ``dims`` columns: entity, dimension, ordinal, score, weight,
-    low_confidence, is_missing. ``impact`` is an expression over ``dims``.
+    low_confidence, is_missing. ``impact`` is an expression over ``dims``;
+    ``extra_cols`` are carried through unchanged.
     """
     w_entity = Window.partitionBy(*entity_cols)
     weight = F.coalesce(F.col("weight"), F.lit(1.0))
@@ -41,7 +43,7 @@ def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scal
               .where(F.col("score") < 1.0))
     order = Window.partitionBy(*entity_cols).orderBy(F.desc("priority"), F.asc("ordinal"))
     return ranked.select(
-        *entity_cols, "dimension", "ordinal",
+        *entity_cols, *extra_cols, "dimension", "ordinal",
         round_half_up(F.col("score"), scale).alias("score"), weight.alias("weight"), "is_missing",
         round_half_up(F.col("score_lift"), scale).alias("score_lift"),
         round_half_up(F.col("impact"), scale).alias("impact"),

@@ -477,3 +477,38 @@ UNION ALL SELECT 'admin_totals', 'admin_curated_indicator_count', 'warn', CAST(c
           ("QLT-1", "FLT-2", "PRJ-4", "AGG-6", "AGG-7", "T10"))
 def _pipeline_checks(spark, sf_dir):
     return pipeline_checks_df(spark, sf_dir)
+
+
+
+_DISTRICT_IMPACT_SQL = """
+SELECT n.state_key, n.district_key, NOT (n.missing_metric_count < 4) AS burden_is_state_proxy,
+  coalesce(CASE WHEN n.missing_metric_count < 4 THEN n.demand_side_need_score ELSE s.sb END, CAST(0.0 AS DOUBLE))
+    * (n.post_office_count + 1) AS impact
+FROM need n LEFT JOIN (SELECT state_key, avg(demand_side_need_score) AS sb FROM need
+                       WHERE missing_metric_count < 4 GROUP BY state_key) s ON n.state_key = s.state_key
+"""
+
+_DISTRICT_FIX_SQL = """
+SELECT state_key, district_key, burden_is_state_proxy, dimension, ordinal, {rs} AS score, weight, is_missing,
+  {rl} AS score_lift, {ri} AS impact, {rp} AS priority,
+  CAST(row_number() OVER (PARTITION BY state_key, district_key ORDER BY prio DESC, ordinal) AS INTEGER) AS fix_rank
+FROM (SELECT d.*, i.burden_is_state_proxy, i.impact,
+        (1.0 - d.score) * d.weight / sum(d.weight) OVER (PARTITION BY d.state_key, d.district_key) AS lift,
+        ((1.0 - d.score) * d.weight / sum(d.weight) OVER (PARTITION BY d.state_key, d.district_key)) * i.impact
+          * (CASE WHEN d.is_missing AND d.weight >= 1.0 THEN CAST(1.5 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END) AS prio
+      FROM district_dims d JOIN district_impact i ON d.state_key = i.state_key AND d.district_key = i.district_key
+      WHERE coalesce(d.score BETWEEN 0.0 AND 1.0, false)) r
+WHERE score < 1.0
+""".format(rs=q.rd("score"), rl=q.rd("lift"), ri=q.rd("impact"), rp=q.rd("prio"))
+
+
+@register("district_fix_ranking", _with(_DISTRICT_FIX_SQL, **O_NEED, district_dims=DISTRICT_DIMS_SQL,
+                                        district_impact=_DISTRICT_IMPACT_SQL), ("SP-7", "SP-13"))
+def _district_fix_ranking(spark, sf_dir):
+    districts = survey_districts_df(spark, sf_dir)
+    postal = silver.postal_summary(offices_df(spark, sf_dir))
+    need = gold.need_ranking(gold.district_context(districts, postal))
+    dims = gold.district_dimensions(districts, postal)
+    impact = gold.district_impact(need)
+    keys = ["state_key", "district_key"]
+    return fix.rank_fixes(dims.join(impact, keys), keys, F.col("impact"), extra_cols=["burden_is_state_proxy"])

@@ -154,3 +154,23 @@ def district_dimensions(districts: DataFrame, postal: DataFrame) -> DataFrame:
     ratio = F.col("geocoded_post_office_ratio")
     postal_dim = dim(geo, "postal_geocoding", 2, ratio, 0.5, ratio.isNull(), ratio.isNull())
     return completeness.unionByName(suppression).unionByName(postal_dim)
+
+
+def district_impact(need: DataFrame) -> DataFrame:
+    """Impact = burden x population per district.
+
+    Burden is the district's need score; when none of its need metrics is
+    available, the mean need of the state's districts that have metrics
+    stands in, flagged as a weak proxy (the district is never dropped).
+    Population is the post-office count (+1 so an unserved district counts).
+    """
+    have = F.col("missing_metric_count") < len(NEED_METRICS)
+    state = need.where(have).groupBy("state_key").agg(F.avg("demand_side_need_score").alias("_state_burden"))
+    j = need.select("state_key", "district_key", "demand_side_need_score", "missing_metric_count",
+                    "post_office_count").join(state, "state_key", "left")
+    burden = F.when(have, F.col("demand_side_need_score")).otherwise(F.col("_state_burden"))
+    return j.select(
+        "state_key", "district_key",
+        (~have).alias("burden_is_state_proxy"),
+        (F.coalesce(burden, F.lit(0.0)) * (F.col("post_office_count") + 1)).alias("impact"),
+    )
