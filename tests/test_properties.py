@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trustgrid.functions import cells, text
 
-ALPHABET = "abcXYZ019 -.,&'()*/\t\u00a0éÈüñøÅçß" + "0123456789"
+ALPHABET = "abcXYZ019 -.,&'()*/\t\u00a0éÈüñøÅçß\uff34\uff4f" + "0123456789"
 texts = st.lists(st.one_of(st.none(), st.text(alphabet=ALPHABET, max_size=14)), min_size=20, max_size=60)
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -54,8 +54,8 @@ def py_count(s):
 @given(texts)
 def test_place_key_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
-    got = [r["k"] for r in df.select(text.place_key(F.col("s")).alias("k")).collect()]
-    assert got == [py_place_key(v) for v in values]
+    got = [(r["k"], r["n"]) for r in df.select(text.place_key(F.col("s")).alias("k"), text.place_key("s").alias("n")).collect()]
+    assert got == [(py_place_key(v), py_place_key(v)) for v in values]
 
 
 @SETTINGS

@@ -321,7 +321,7 @@ def _geo_resolution(spark, sf_dir):
     from trustgrid.functions.text import place_key
     facilities = facility_geo_df(spark, sf_dir)
     f = facilities.select("unique_id", "pincode", "has_valid_coordinates")
-    p = pip_df(spark, sf_dir, facilities).select("unique_id", place_key(F.col("district_name")).alias("polygon_district"))
+    p = pip_df(spark, sf_dir, facilities).select("unique_id", place_key("district_name").alias("polygon_district"))
     lkp = lookup_df(spark, sf_dir).select(F.col("pincode").alias("_code"),
                                           F.col("representative_district_key").alias("code_district"))
     from trustgrid.operators.joins import many_to_one_join

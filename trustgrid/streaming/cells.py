@@ -31,7 +31,7 @@ def parse_survey_cells(df: DataFrame) -> DataFrame:
     raw = F.col("raw_value")
     return df.select(
         F.col("state").alias("state_name"), F.col("district").alias("district_name"),
-        text.place_key(F.col("state")).alias("state_key"), text.place_key(F.col("district")).alias("district_key"),
+        text.place_key("state").alias("state_key"), text.place_key("district").alias("district_key"),
         "indicator", "raw_value",
         cells.survey_value(raw).alias("value"),
         cells.is_suppressed(raw).alias("is_suppressed"),
