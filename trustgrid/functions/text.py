@@ -25,12 +25,13 @@ _FOLD_RANGES = ((0x00A0, 0x0250), (0x1E00, 0x1F00), (0x2000, 0x2070), (0xFF00, 0
 def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     """Build (matching, replacement, multi-char pairs) for accent folding.
 
-    Characters whose NFKD form is one ASCII letter go through one
-    ``translate``; characters with no ASCII form are deleted by the same
-    ``translate`` (they sit past the end of the replacement string); the few
-    that decompose to several ASCII letters use ``replace``.
+    Characters whose NFKD form is one ASCII character go through one
+    ``translate`` (ASCII whitespace is mapped to a space in the same pass);
+    characters with no ASCII form are deleted by the same ``translate``
+    (they sit past the end of the replacement string); the few that
+    decompose to several ASCII letters (ligatures, fractions) use ``replace``.
     """
-    singles_from, singles_to, deletes, multis = [], [], [], []
+    singles_from, singles_to, deletes, multis = list("\t\n\x0b\f\r"), list("     "), [], []
     for lo, hi in _FOLD_RANGES:
         for cp in range(lo, hi):
             ch = chr(cp)
@@ -48,12 +49,21 @@ def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 def fold_accents(col: Column) -> Column:
-    """NFKD-to-ASCII folding without a UDF (``Bengalūru`` -> ``Bengaluru``)."""
+    """NFKD-to-ASCII folding without a UDF (``Bengalūru`` -> ``Bengaluru``);
+    ASCII whitespace becomes a space.
+
+    One ``translate`` handles single-letter folds and deletions; the chain
+    of ``replace`` calls for multi-letter folds only runs on the rare rows
+    that hold such a character (found by a second, deleting ``translate``).
+    """
     matching, replacement, multis = _fold_tables()
-    out = col
+    out = F.translate(col, matching, replacement)
+    chain = out
     for src, dst in multis:
-        out = F.replace(out, F.lit(src), F.lit(dst))
-    return F.translate(out, matching, replacement)
+        chain = F.replace(chain, F.lit(src), F.lit(dst))
+    multi_chars = "".join(src for src, _ in multis)
+    has_multi = F.length(F.translate(out, multi_chars, "")) != F.length(out)
+    return F.when(has_multi, chain).otherwise(out)
 
 
 def collapse_spaces(col: Column) -> Column:
@@ -68,21 +78,23 @@ def _sql_lit(s: str) -> str:
 @lru_cache(maxsize=1)
 def _place_key_template() -> str:
     matching, replacement, multis = _fold_tables()
-    x = "{x}"
+    t = f"translate({{x}}, {_sql_lit(matching)}, {_sql_lit(replacement)})"
+    chain = "{t}"
     for src, dst in multis:
-        x = f"replace({x}, {_sql_lit(src)}, {_sql_lit(dst)})"
-    x = f"lower(translate({x}, {_sql_lit(matching)}, {_sql_lit(replacement)}))"
-    x = f"replace({x}, '&', ' and ')"
-    x = f"regexp_replace({x}, '\\\\s', ' ')"
-    x = f"regexp_replace({x}, '[^0-9a-z ]', '')"
-    x = f"trim(regexp_replace({x}, ' +', ' '))"
+        chain = f"replace({chain}, {_sql_lit(src)}, {_sql_lit(dst)})"
+    multi_chars = _sql_lit("".join(src for src, _ in multis))
+    folded = (f"CASE WHEN length(translate({{t}}, {multi_chars}, '')) != length({{t}}) "
+              f"THEN {chain} ELSE {{t}} END").replace("{t}", t)
+    x = f"replace(lower({folded}), '&', ' and ')"
+    x = f"regexp_replace({x}, '[^0-9a-z ]+', '')"
+    x = f"trim(regexp_replace({x}, ' {{2,}}', ' '))"
     return f"nullif({x}, '')"
 
 
 def place_key(col: Column | str) -> Column:
     """Canonical join key for district / state names (one rule everywhere).
 
-    fold accents -> lower -> ``&`` to `` and `` -> whitespace to space ->
+    fold accents (whitespace to space) -> lower -> ``&`` to `` and `` ->
     drop everything but ``[0-9a-z ]`` -> collapse spaces (last) -> trim ->
     empty becomes null. ``  South-West & Delhi `` -> ``southwest and delhi``.
     Given a column *name*, the rule is parsed from one SQL expression (one
@@ -92,9 +104,8 @@ def place_key(col: Column | str) -> Column:
         return F.expr(_place_key_template().replace("{x}", "`" + col.replace("`", "``") + "`"))
     s = F.lower(fold_accents(col))
     s = F.replace(s, F.lit("&"), F.lit(" and "))
-    s = F.regexp_replace(s, r"\s", " ")
-    s = F.regexp_replace(s, r"[^0-9a-z ]", "")
-    s = F.trim(F.regexp_replace(s, r" +", " "))
+    s = F.regexp_replace(s, r"[^0-9a-z ]+", "")
+    s = F.trim(F.regexp_replace(s, r" {2,}", " "))
     return F.nullif(s, F.lit(""))
 
 
