@@ -120,11 +120,30 @@ FROM part JOIN region ON r_regionkey = p_partkey % 5
 CROSS JOIN (VALUES {', '.join(f'({k}, {_sql_str(name)})' for k, _, name in SURVEY_INDICATORS)}) AS t(k, indicator)
 """
 
-# The survey as it is published: one row per district, one column per heading.
+def _survey_cell_from(k: int) -> str:
+    """Cell ``k`` from precomputed number text ``n{k}`` (Spark-side wide view)."""
+    dk = f"(p_partkey + {k})"
+    n = f"n{k}"
+    return (f"CASE WHEN {dk} % 9 = 0 THEN '*' WHEN {dk} % 7 = 0 THEN '(' || {n} || ')' "
+            f"WHEN {dk} % 11 = 0 THEN NULL WHEN {dk} % 13 = 0 THEN 'n/a' "
+            f"WHEN {dk} % 17 = 0 THEN '1,' || {n} WHEN {dk} % 19 = 0 THEN '29-30' "
+            f"WHEN {dk} % 23 = 0 THEN '.5' ELSE {n} END")
+
+
+def _survey_number(k: int) -> str:
+    return (f"CAST(CAST(floor(((p_partkey * 131 + {k} * 277) % 1000) / 10) AS BIGINT) AS STRING) || '.' || "
+            f"CAST((p_partkey * 131 + {k} * 277) % 10 AS STRING)")
+
+
+# The survey as it is published: one row per district, one column per heading
+# (same cells as ``v_survey_cells``; each printed number is computed once).
 V_SURVEY_WIDE = f"""
-SELECT r_name AS `{SURVEY_STATE_HEADING}`, {SURVEY_DISTRICT_SQL} AS `{SURVEY_DISTRICT_HEADING}`,
-  {', '.join(f'{survey_cell_sql(k)} AS `{heading}`' for k, heading, _ in SURVEY_INDICATORS)}
-FROM part JOIN region ON r_regionkey = p_partkey % 5
+SELECT r_name AS `{SURVEY_STATE_HEADING}`, district AS `{SURVEY_DISTRICT_HEADING}`,
+  {', '.join(f'{_survey_cell_from(k)} AS `{heading}`' for k, heading, _ in SURVEY_INDICATORS)}
+FROM (SELECT p_partkey, {SURVEY_DISTRICT_SQL} AS district,
+        {', '.join(f'{_survey_number(k)} AS n{k}' for k, _, _ in SURVEY_INDICATORS)}
+      FROM part) p
+JOIN region ON r_regionkey = p_partkey % 5
 """
 
 _ADMIN_SERIAL_VALUES = ", ".join(f"({_sql_str(s)}, {_sql_str(p)}, {h})" for s, p, h in ADMIN_SERIALS)
