@@ -31,3 +31,18 @@ def test_partitioned_silver_prunes(spark, scratch):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(indicator" in plan
     assert one.count() * 5 == cells.count()
+
+
+def test_bucketed_district_join_is_shuffle_free(spark, scratch):
+    from trustgrid.plans import gold
+    out = build_all(spark, SF, out_dir=os.path.join(scratch, "b"), run_id="run-bucket-test", buckets=4)
+    assert {r["table_name"] for r in out.collect()} >= {"gold_district_context", "silver_postal_summary"}
+    d = spark.table("trustgrid_run_bucket_test.silver_survey_districts")
+    p = spark.table("trustgrid_run_bucket_test.silver_postal_summary")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = gold.district_context(d, p)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -41,8 +41,34 @@ def _write(spark: SparkSession, df: DataFrame, base: str, name: str, summary: li
     return spark.read.parquet(path)
 
 
-def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, run_id: str | None = None) -> DataFrame:
-    """Run every layer; return the run summary (table_name, row_count, path, run_id)."""
+# Silver tables joined again in gold on the district key: written bucketed
+# (same keys, same bucket count) so the gold join reads co-located buckets
+# instead of shuffling both sides.
+BUCKETED = {
+    "silver_survey_districts": ("state_key", "district_key"),
+    "silver_postal_summary": ("state_key", "district_key"),
+}
+
+
+def _write_bucketed(spark: SparkSession, df: DataFrame, base: str, name: str, summary: list, database: str,
+                    buckets: int) -> DataFrame:
+    path = os.path.join(base, name)
+    obs = Observation(name)
+    keys = BUCKETED[name]
+    (df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite").format("parquet")
+     .option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"`{database}`.`{name}`"))
+    summary.append((name, int(obs.get["row_count"]), path))
+    return spark.table(f"`{database}`.`{name}`")
+
+
+def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, run_id: str | None = None,
+              buckets: int | None = None) -> DataFrame:
+    """Run every layer; return the run summary (table_name, row_count, path, run_id).
+
+    ``buckets``: write the district-keyed silver tables as bucketed catalog
+    tables (external, under ``out_dir``) so the gold district join is
+    shuffle-free.
+    """
     run_id = run_id or "run-" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     if out_dir is None:
         root = spark.conf.get(CHECKPOINT_CONF, None)
@@ -51,7 +77,13 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, run_
         out_dir = os.path.join(root, "trustgrid", run_id)
     summary: list = []
 
+    database = "trustgrid_" + "".join(ch if ch.isalnum() else "_" for ch in run_id).lower()
+    if buckets:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+
     def w(df, name):
+        if buckets and name in BUCKETED:
+            return _write_bucketed(spark, df, out_dir, name, summary, database, buckets)
         return _write(spark, df, out_dir, name, summary)
 
     # bronze: sources as landed (strings), stamped
