@@ -116,3 +116,13 @@ def test_state_burden_proxy(spark):
     assert rows["c"]["burden_is_state_proxy"] and rows["c"]["impact"] == 150.0 * 10
     assert not rows["a"]["burden_is_state_proxy"] and rows["a"]["impact"] == 400.0
     assert rows["d"]["impact"] == 0.0          # no state burden either: kept, ranked last
+
+
+def test_expected_values_fill_and_divergence(spark):
+    from trustgrid.operators.predict import expected_values
+    rows = [(str(i), float(i), 2.0 * i + 1.0) for i in range(20)] + [("gap", 7.0, None), ("odd", 5.0, 90.0)]
+    out = {r["k"]: r for r in expected_values(spark.createDataFrame(rows, "k string, x double, y double"),
+                                              ["k"], "x", "y").collect()}
+    assert out["gap"]["is_predicted_fill"] and out["gap"]["value_or_expected"] is not None
+    assert out["odd"]["is_divergent"] and not out["3"]["is_divergent"]
+    assert out["3"]["fit_rows"] == 21

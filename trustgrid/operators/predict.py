@@ -33,3 +33,30 @@ def trend_anomalies(series: DataFrame, group_cols: Sequence[str], t_col: str, y_
         round_half_up(F.col("_resid"), scale).alias("residual"),
         F.coalesce(F.abs(F.col("_resid")) > F.lit(k) * F.col("_sd"), F.lit(False)).alias("is_anomaly"),
     )
+
+
+def expected_values(df: DataFrame, key_cols: Sequence[str], x_col: str, y_col: str, k: float = 2.0,
+                    scale: int = 6) -> DataFrame:
+    """Expected y from x, fitted on the rows where both are present.
+
+    The fit is one global aggregate (slope and intercept from algebraic
+    sums, so partial aggregation does the work) used as a scalar subquery:
+    it runs once and its value is inlined, with no join. Rows missing y get
+    the prediction as a flagged fill; rows with y whose residual exceeds k
+    sample standard deviations are divergent.
+    """
+    x, y = F.col(x_col).cast("double"), F.col(y_col).cast("double")
+    fit = df.select(F.struct(F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a"),
+                             F.regr_count(y, x).alias("n"))).scalar()
+    staged = df.withColumns({"_pred": fit["a"] + fit["b"] * x, "fit_rows": fit["n"]})
+    staged = staged.withColumn("_resid", y - F.col("_pred"))
+    sd = staged.select(F.stddev_samp("_resid")).scalar()
+    return staged.select(
+        *key_cols, x_col, y_col,
+        round_half_up(F.col("_pred"), scale).alias("expected_value"),
+        round_half_up(F.coalesce(y, F.col("_pred")), scale).alias("value_or_expected"),
+        (y.isNull() & F.col("_pred").isNotNull()).alias("is_predicted_fill"),
+        round_half_up(F.col("_resid"), scale).alias("residual"),
+        F.coalesce(F.abs(F.col("_resid")) > F.lit(k) * sd, F.lit(False)).alias("is_divergent"),
+        "fit_rows",
+    )

@@ -512,3 +512,34 @@ def _district_fix_ranking(spark, sf_dir):
     impact = gold.district_impact(need)
     keys = ["state_key", "district_key"]
     return fix.rank_fixes(dims.join(impact, keys), keys, F.col("impact"), extra_cols=["burden_is_state_proxy"])
+
+
+
+_EXPECTED_FIT = """
+SELECT regr_slope(institutional_delivery_percent, health_insurance_percent) AS b,
+  regr_intercept(institutional_delivery_percent, health_insurance_percent) AS a,
+  regr_count(institutional_delivery_percent, health_insurance_percent) AS n
+FROM survey_districts
+"""
+
+_EXPECTED_PRED = """
+SELECT d.state_key, d.district_key, d.health_insurance_percent, d.institutional_delivery_percent, CAST(f.n AS BIGINT) AS fit_rows,
+  f.a + f.b * d.health_insurance_percent AS pred,
+  d.institutional_delivery_percent - (f.a + f.b * d.health_insurance_percent) AS resid
+FROM survey_districts d, expected_fit f
+"""
+
+_EXPECTED_BODY = """
+SELECT state_key, district_key, health_insurance_percent, institutional_delivery_percent,
+  {rp} AS expected_value, {rv} AS value_or_expected,
+  institutional_delivery_percent IS NULL AND pred IS NOT NULL AS is_predicted_fill,
+  {rr} AS residual, coalesce(abs(resid) > CAST(2.0 AS DOUBLE) * s.sd, false) AS is_divergent, fit_rows
+FROM expected_pred, (SELECT stddev_samp(resid) AS sd FROM expected_pred) s
+""".format(rp=q.rd("pred"), rv=q.rd("coalesce(institutional_delivery_percent, pred)"), rr=q.rd("resid"))
+
+
+@register("expected_coverage", _with(_EXPECTED_BODY, **O_SURVEY, expected_fit=_EXPECTED_FIT,
+                                     expected_pred=_EXPECTED_PRED), ("SP-11",))
+def _expected_coverage(spark, sf_dir):
+    return predict.expected_values(survey_districts_df(spark, sf_dir), ["state_key", "district_key"],
+                                   "health_insurance_percent", "institutional_delivery_percent")
