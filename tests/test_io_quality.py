@@ -113,3 +113,40 @@ def test_rule_validation():
         Rule("t", "x", "error", F.count("*"))
     with pytest.raises(ValueError):
         Rule("t", "x", "warn", F.count("*"), "lt")
+
+
+def test_geojson_polygons_drive_point_in_polygon(spark, scratch):
+    from trustgrid.operators import geo
+    feats = []
+    for did, name, rings in geo.DISTRICT_POLYGONS:
+        if len(rings) == 2 and name == "Twin Isles":
+            geometry = {"type": "MultiPolygon", "coordinates": [[rings[0]], [rings[1]]]}
+        else:
+            geometry = {"type": "Polygon", "coordinates": rings}
+        feats.append({"type": "Feature", "properties": {"NAME_1": "Demo", "NAME_2": name}, "geometry": geometry})
+    path = os.path.join(scratch, "districts.geojson")
+    with open(path, "w") as fh:
+        json.dump({"type": "FeatureCollection", "features": feats}, fh, indent=1)
+    from_file = geo.polygons_from_features(io.read_feature_collection(spark, path))
+    pts = spark.createDataFrame([(1, 75.0, 25.0), (2, 71.0, 25.0), (3, 94.5, 31.5), (4, 88.0, 12.0), (5, 60.0, 5.0)],
+                                "pid int, x double, y double")
+
+    def hits(polys):
+        edges = geo.polygon_edges(polys)
+        return {(r["pid"], r["district_name"]) for r in geo.points_in_polygons(pts, edges, "pid", "x", "y").collect()}
+
+    assert hits(from_file) == hits(geo.polygons_frame(spark)) == {(2, "North Range"), (3, "Twin Isles"),
+                                                                  (4, "East Delta")}
+
+
+def test_admin_csv_landing_matches_memory_path(spark, scratch):
+    from trustgrid.plans import silver
+    wide = silver.admin_landed(spark, "/root/testdata/sf0.001")
+    path = os.path.join(scratch, "admin_csv")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")   # to write the cp1252 fixture file
+    wide.coalesce(1).write.option("header", True).option("encoding", "windows-1252").csv(path)
+    landed = io.read_csv(spark, path, encoding="windows-1252")
+    assert "S.No." in landed.columns and any("\u00a0" in c for c in landed.columns)
+    a = sorted(silver.admin_long(landed).collect())
+    b = sorted(silver.admin_long(wide).collect())
+    assert a == b and len(a) == 25 * 8 * 26

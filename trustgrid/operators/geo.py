@@ -128,3 +128,22 @@ def resolve_geography(df: DataFrame, polygon_district: str, verified_district: s
         .when(resolved.isNotNull(), F.lit("amber"))
         .otherwise(F.lit("red")),
     })
+
+
+def polygons_from_features(features: DataFrame, name_key: str = "NAME_2") -> DataFrame:
+    """GeoJSON features (see ``sources.io.read_feature_collection``) ->
+    (district_id, district_name, rings_json) for :func:`polygon_edges`.
+
+    A Polygon's rings are used as they are; a MultiPolygon's parts are
+    flattened into one ring list (the even-odd rule treats parts and holes
+    alike). Ids follow the feature order of the file.
+    """
+    poly = F.from_json("coordinates_json", "array<array<array<double>>>")
+    multi = F.from_json("coordinates_json", "array<array<array<array<double>>>>")
+    rings = (F.when(F.col("geometry_type") == "Polygon", poly)
+             .when(F.col("geometry_type") == "MultiPolygon", F.flatten(multi)))
+    return features.where(F.col("geometry_type").isin("Polygon", "MultiPolygon")).select(
+        (F.col("feature_index") + 1).cast("int").alias("district_id"),
+        F.try_element_at("properties", F.lit(name_key)).alias("district_name"),
+        F.to_json(rings).alias("rings_json"),
+    )
