@@ -10,9 +10,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pyspark.sql import SparkSession
 
+    warehouse = tempfile.mkdtemp(prefix="trustgrid-warehouse-", dir="/tmp")
     s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.warehouse.dir", warehouse)
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.adaptive.enabled", "true")
