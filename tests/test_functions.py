@@ -138,3 +138,16 @@ def test_find_metric_reports_candidates():
     assert m.column == "institutional_births_percent" and m.candidates == ("institutional_births_percent",)
     m = find_metric(cols, ["births"])
     assert len(m.candidates) == 2   # T13: ambiguity is visible
+
+
+def test_metric_or_null_and_registry(spark):
+    from trustgrid.functions.schema import metric_or_null, prefix_columns, resolve_metrics
+    df = spark.createDataFrame([("1.5", "x")], "`women_anaemic (%)` string, other string")
+    r = df.select(metric_or_null(df, "women_anaemic (%)", "a"), metric_or_null(df, "absent", "b"),
+                  metric_or_null(df, "other", "c")).first()
+    assert (r["a"], r["b"], r["c"]) == (1.5, None, None)          # T5: junk text -> null, no failure
+    cols = ["households_health_insurance_percent", "institutional_births_percent"]
+    got = resolve_metrics(cols, {"insurance": ("health_insurance_percent",), "births": ("births_percent",)},
+                          {"births": (["births"], ["caesarean"])})
+    assert got == {"insurance": None, "births": "institutional_births_percent"}
+    assert prefix_columns(df, "s_", ["other"]).columns == ["s_women_anaemic (%)", "other"]
