@@ -77,3 +77,19 @@ def test_many_to_one_join_salted_equals_plain(spark):
     salted = sorted(many_to_one_join(left, right, ["k"], ["rk"], buckets=5, force_salt=True).collect())
     assert plain == salted and len(plain) == 300
     assert "rk" not in many_to_one_join(left, right, ["k"], ["rk"]).columns
+
+
+def test_facility_verdict_stream_matches_batch(spark, scratch):
+    from trustgrid.plans import catalog
+    from trustgrid.streaming.verdicts import FACILITY_SCHEMA, start_facility_verdict_stream
+    from trustgrid.sources import fixtures as fx
+    src, sink = os.path.join(scratch, "fsrc"), os.path.join(scratch, "fsink")
+    facilities = fx.view(spark, "/root/testdata/sf0.001", "v_facilities").select(*FACILITY_SCHEMA.fieldNames())
+    facilities.where("unique_id % 2 = 0").write.parquet(os.path.join(src, "part=a"))
+    facilities.where("unique_id % 2 = 1").write.parquet(os.path.join(src, "part=b"))
+    name = "fv_" + os.path.basename(scratch).replace("-", "_")
+    q = start_facility_verdict_stream(spark, os.path.join(src, "*"), sink, query_name=name)
+    q.awaitTermination(180)
+    got = sorted((tuple(r) for r in spark.read.parquet(sink).collect()), key=repr)
+    want = sorted((tuple(r) for r in catalog.facility_verdicts_df(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    assert got == want

@@ -65,6 +65,7 @@ _API = {
     "write_table": "trustgrid.sources.io",
     "build_all": "trustgrid.plans.pipeline",
     "start_survey_cell_stream": "trustgrid.streaming.cells",
+    "start_facility_verdict_stream": "trustgrid.streaming.verdicts",
 }
 
 __all__ = sorted(_API)
