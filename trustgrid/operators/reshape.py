@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,14 @@ def melt(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str] | None
         value_cols = [c for c in df.columns if c not in ids and c not in STAMP_COLUMNS]
     if not value_cols:
         raise ValueError("no value columns left to melt after id and stamp columns")
-    cells = F.array(*[F.struct(F.lit(c).alias(var_name), quoted_col(c).cast("string").alias(value_name))
-                      for c in value_cols])
-    return df.select(*[quoted_col(c) for c in ids], F.inline(cells))
+    return df.select(*[quoted_col(c) for c in ids], _melt_cells(tuple(value_cols), var_name, value_name))
+
+
+@lru_cache(maxsize=256)
+def _melt_cells(value_cols: tuple, var_name: str, value_name: str):
+    """The generator for a column list (built once; it names columns only)."""
+    return F.inline(F.array(*[F.struct(F.lit(c).alias(var_name), quoted_col(c).cast("string").alias(value_name))
+                              for c in value_cols]))
 
 
 def melt_measures(df: DataFrame, id_cols: Sequence[str],
@@ -50,12 +56,16 @@ def melt_measures(df: DataFrame, id_cols: Sequence[str],
     measures = {c: mv for c, mv in parsed.items() if mv is not None and (keep is None or keep(*mv))}
     if not measures:
         raise ValueError("no parseable month / value-type measure columns")
-    cells = F.array(*[
+    return df.select(*[quoted_col(c) for c in id_cols], _measure_cells(tuple(measures.items()), raw_name))
+
+
+@lru_cache(maxsize=256)
+def _measure_cells(measures: tuple, raw_name: str):
+    return F.inline(F.array(*[
         F.struct(F.lit(c).alias("source_column"), F.lit(m).alias("month"), F.lit(v).alias("value_type"),
                  quoted_col(c).cast("string").alias(raw_name))
-        for c, (m, v) in measures.items()
-    ])
-    return df.select(*[quoted_col(c) for c in id_cols], F.inline(cells))
+        for c, (m, v) in measures
+    ]))
 
 
 def pivot_fixed(df: DataFrame, keys: Sequence[str | Column], pivot_col: str | Column,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,15 @@ def facility_verdicts(geo: DataFrame, scale: int = 6) -> DataFrame:
     the weaker of the two dimensions and at amber while care-substance fields
     are sparse (missing data can never give green).
     """
-    agg = geo.groupBy("source_state_key").agg(
+    staged = geo.groupBy("source_state_key").agg(*_verdict_aggs())
+    for stage in _verdict_stages():
+        staged = staged.withColumns(stage)
+    return staged.select(*_verdict_output(scale))
+
+
+@lru_cache(maxsize=None)
+def _verdict_aggs() -> tuple:
+    return (
         F.min("source_state_name").alias("source_state_name"),
         F.array_join(F.array_sort(F.collect_set("source_state_name")), "|").alias("source_state_spellings"),
         F.count("*").alias("total_facilities"),
@@ -37,19 +47,27 @@ def facility_verdicts(geo: DataFrame, scale: int = 6) -> DataFrame:
         F.count_if("has_capability_text").alias("capability_text_facilities"),
         F.sum("care_substance_missing_count").alias("_missing_sum"),
     )
+
+
+@lru_cache(maxsize=None)
+def _verdict_stages() -> tuple:
+    """Intermediates, each computed once and referenced by name in the next
+    stage (expression lists are built once per process)."""
     total = F.col("total_facilities")
-    staged = agg.withColumn("_avg_missing", F.col("_missing_sum") / total).withColumns({
-        "_location": F.col("valid_coordinate_facilities") / total,
-        "_completeness": (F.col("pincode_present_facilities") / total + F.col("capability_text_facilities") / total
-                          + (4.0 - F.col("_avg_missing")) / 4.0) / 3.0,
-    })
-    staged = staged.withColumn("_mean", (F.col("_location") + F.col("_completeness")) / 2.0)
-    staged = staged.withColumns({
-        "_r_mean": score_rank(F.col("_mean")),
-        "_r_weak": score_rank(F.least("_location", "_completeness")),
-    })
-    staged = staged.withColumn("_r_band", capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col("_avg_missing") > 0))
-    return staged.select(
+    return (
+        {"_avg_missing": F.col("_missing_sum") / total},
+        {"_location": F.col("valid_coordinate_facilities") / total,
+         "_completeness": (F.col("pincode_present_facilities") / total + F.col("capability_text_facilities") / total
+                           + (4.0 - F.col("_avg_missing")) / 4.0) / 3.0},
+        {"_mean": (F.col("_location") + F.col("_completeness")) / 2.0},
+        {"_r_mean": score_rank(F.col("_mean")), "_r_weak": score_rank(F.least("_location", "_completeness"))},
+        {"_r_band": capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col("_avg_missing") > 0)},
+    )
+
+
+@lru_cache(maxsize=None)
+def _verdict_output(scale: int) -> tuple:
+    return (
         "source_state_key", "source_state_name", "source_state_spellings", "total_facilities",
         "valid_coordinate_facilities", "pincode_present_facilities", "capability_text_facilities",
         round_half_up(F.col("_avg_missing"), scale).alias("avg_care_substance_missing_count"),
