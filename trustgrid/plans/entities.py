@@ -207,12 +207,21 @@ def contract_rules() -> list[Rule]:
         Rule("labels", "labels_are_binary", "fail",
              count_where(~c("quality").isin(0, 1) | ~c("toxic").isin(0, 1))),
         Rule("labels", "labels_one_row_per_doc", "fail", duplicate_keys("doc_id")),
+        Rule("lineitem_without_order", "lineitem_order_exists", "fail", F.count("*")),
+        Rule("orders_without_customer", "orders_customer_exists", "fail", F.count("*")),
     ]
 
 
 def contract_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("orders", "lineitem", "customer", "events", "documents", "labels")
-    return evaluate_contracts({n: read_table(spark, sf_dir, n) for n in names}, contract_rules())
+    tables = {n: read_table(spark, sf_dir, n) for n in names}
+    # Referential rules count the unmatched rows of an anti-join (the keys are
+    # shuffled once each; the right sides are de-duplicated to their keys).
+    tables["lineitem_without_order"] = tables["lineitem"].select("l_orderkey").join(
+        tables["orders"].select("o_orderkey").distinct(), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
+    tables["orders_without_customer"] = tables["orders"].select("o_custkey").join(
+        tables["customer"].select("c_custkey").distinct(), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    return evaluate_contracts(tables, contract_rules())
 
 
 # --- monthly series ----------------------------------------------------------------------------

@@ -264,6 +264,12 @@ CONTRACTS = "SELECT *, CASE WHEN coalesce(CASE comparator WHEN 'eq' THEN observe
         _rule("documents", "documents_lang_in_domain", "warn", _cw("lang NOT IN ('de', 'en', 'es', 'fr')")),
         _rule("labels", "labels_are_binary", "fail", _cw("quality NOT IN (0, 1) OR toxic NOT IN (0, 1)")),
         _rule("labels", "labels_one_row_per_doc", "fail", "count(*) - count(DISTINCT doc_id)"),
+        "SELECT 'lineitem_without_order' AS dataset, 'lineitem_order_exists' AS check_name, 'fail' AS severity, "
+        "CAST(count(*) AS DOUBLE) AS observed_value, 'eq' AS comparator, CAST(0.0 AS DOUBLE) AS threshold "
+        "FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)",
+        "SELECT 'orders_without_customer' AS dataset, 'orders_customer_exists' AS check_name, 'fail' AS severity, "
+        "CAST(count(*) AS DOUBLE) AS observed_value, 'eq' AS comparator, CAST(0.0 AS DOUBLE) AS threshold "
+        "FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)",
     ]) + "\n) r"
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
