@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Band cut-offs.
 GREEN_MIN = 0.85
 AMBER_MIN = 0.60
 BANDS = ("red", "amber", "green")  # ascending rank 0, 1, 2
@@ -200,11 +201,19 @@ def facility_point_score(has_coords: Column, has_code: Column, has_capability: C
             + F.coalesce(state_score, F.lit(0.0)) * w["state"])
 
 
+# Per-facility binding reasons, first failing flag wins.
+FACILITY_REASONS = (
+    "Location: missing or invalid facility coordinates constrain trust",
+    "Location: missing PIN code constrains geography reconciliation",
+    "Completeness: missing capability text constrains facility profiling",
+    "Facility profile is usable, but district polygon assignment is still pending",
+)
+
+
 def facility_point_reason(has_coords: Column, has_code: Column, has_capability: Column) -> Column:
-    return (F.when(~has_coords, F.lit("Location: missing or invalid facility coordinates constrain trust"))
-            .when(~has_code, F.lit("Location: missing PIN code constrains geography reconciliation"))
-            .when(~has_capability, F.lit("Completeness: missing capability text constrains facility profiling"))
-            .otherwise(F.lit("Facility profile is usable, but district polygon assignment is still pending")))
+    r = FACILITY_REASONS
+    return (F.when(~has_coords, F.lit(r[0])).when(~has_code, F.lit(r[1]))
+            .when(~has_capability, F.lit(r[2])).otherwise(F.lit(r[3])))
 
 
 def need_score(anaemia: Column, stunting: Column, insurance: Column, institutional: Column) -> Column:
