@@ -12,6 +12,8 @@ districts per code, never by the number of rows), counts are sums.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,13 @@ def _sorted_set(c: str) -> Column:
 def join_safe_lookup(rows: DataFrame, key: str, district_key: str, state_key: str,
                      district_name: str, state_name: str, has_coords: str) -> DataFrame:
     """One row per ``key`` (null keys are not keys and are left out)."""
-    agg = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+    aggs, out = _lookup_columns(key, district_key, state_key, district_name, state_name, has_coords)
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs).select(*out)
+
+
+@lru_cache(maxsize=64)
+def _lookup_columns(key, district_key, state_key, district_name, state_name, has_coords):
+    aggs = (
         F.count("*").alias("post_office_count"),
         _sorted_set(district_key).alias("_districts"),
         _sorted_set(state_key).alias("_states"),
@@ -34,7 +42,7 @@ def join_safe_lookup(rows: DataFrame, key: str, district_key: str, state_key: st
         F.count_if(F.col(has_coords)).alias("geocoded_office_count"),
     )
     ambiguous = (F.size("_districts") > 1) | (F.size("_states") > 1)
-    return agg.select(
+    return aggs, (
         key,
         "post_office_count",
         F.size("_districts").cast("bigint").alias("district_count"),

@@ -35,33 +35,59 @@ class Rule:
             raise ValueError(f"comparator must be one of {COMPARATORS}")
 
 
-def evaluate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All rules of one dataset in one aggregation, one output row per rule."""
+@dataclass(frozen=True, eq=False)
+class CompiledRules:
+    """The aggregation, the row generator and the status rule for a rule list."""
+
+    aggs: tuple
+    rows: Column
+    status: Column
+
+
+def compile_rules(rules: Sequence[Rule]) -> CompiledRules:
     if not rules:
         raise ValueError("no rules")
-    aggs = [r.observed.cast("double").alias(f"_r{i}") for i, r in enumerate(rules)]
+    aggs = tuple(r.observed.cast("double").alias(f"_r{i}") for i, r in enumerate(rules))
     cells = F.array(*[
         F.struct(F.lit(r.dataset).alias("dataset"), F.lit(r.name).alias("check_name"),
                  F.lit(r.severity).alias("severity"), F.col(f"_r{i}").alias("observed_value"),
                  F.lit(r.comparator).alias("comparator"), F.lit(float(r.threshold)).alias("threshold"))
         for i, r in enumerate(rules)
     ])
-    rows = df.agg(*aggs).select(F.inline(cells))
     holds = (F.when(F.col("comparator") == "eq", F.col("observed_value") == F.col("threshold"))
              .when(F.col("comparator") == "le", F.col("observed_value") <= F.col("threshold"))
              .otherwise(F.col("observed_value") >= F.col("threshold")))
-    return rows.withColumn("status", F.when(F.coalesce(holds, F.lit(False)), F.lit("pass"))
-                           .otherwise(F.col("severity")))
+    status = F.when(F.coalesce(holds, F.lit(False)), F.lit("pass")).otherwise(F.col("severity"))
+    return CompiledRules(aggs, F.inline(cells), status)
+
+
+def evaluate_compiled(df: DataFrame, compiled: CompiledRules) -> DataFrame:
+    return df.agg(*compiled.aggs).select(compiled.rows).withColumn("status", compiled.status)
+
+
+def evaluate_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """All rules of one dataset in one aggregation, one output row per rule."""
+    return evaluate_compiled(df, compile_rules(rules))
+
+
+def compile_contracts(rules: Sequence[Rule]) -> dict[str, CompiledRules]:
+    by_dataset: dict[str, list[Rule]] = {}
+    for r in rules:
+        by_dataset.setdefault(r.dataset, []).append(r)
+    return {name: compile_rules(rs) for name, rs in by_dataset.items()}
+
 
+def evaluate_contracts(tables: dict[str, DataFrame], rules: Sequence[Rule] | dict[str, CompiledRules]) -> DataFrame:
+    """Union of per-dataset evaluations (each one scan of its table).
 
-def evaluate_contracts(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Union of per-dataset evaluations (each one scan of its table)."""
+    ``rules`` may be pre-compiled (``compile_contracts``) so a fixed rule set
+    builds its expressions once."""
+    compiled = rules if isinstance(rules, dict) else compile_contracts(rules)
     out = None
     for name, df in tables.items():
-        mine = [r for r in rules if r.dataset == name]
-        if not mine:
+        if name not in compiled:
             continue
-        part = evaluate_rules(df, mine)
+        part = evaluate_compiled(df, compiled[name])
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no rule matches any table")

@@ -71,23 +71,28 @@ def reason_text(b: Column, dimension: Column) -> Column:
     return F.concat(F.initcap(b), F.lit(" - "), dimension, F.lit(f": {REASON_SUFFIX}"))
 
 
+def _finish_stages(mean: str, weakest_score: str, weakest_name: str, amber_cap: str, score_scale: int) -> list:
+    return [
+        ("with", {"_r_mean": score_rank(F.col(mean)), "_r_weak": score_rank(F.col(weakest_score))}),
+        ("with", {"_r_band": capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col(amber_cap))}),
+        ("with", {"numeric_score": round_half_up(F.col(mean), score_scale),
+                  "band_by_mean": rank_band(F.col("_r_mean")),
+                  "weakest_score": round_half_up(F.col(weakest_score), score_scale),
+                  "binding_dimension": F.col(weakest_name),
+                  "band": rank_band(F.col("_r_band"))}),
+        ("with", {"reason": reason_text(F.col("band"), F.col("binding_dimension"))}),
+        ("drop", ("_r_mean", "_r_weak", "_r_band")),
+    ]
+
+
 def finish_verdict(df: DataFrame, mean: str, weakest_score: str, weakest_name: str, amber_cap: str,
                    score_scale: int = 4) -> DataFrame:
     """Add numeric_score, band_by_mean, weakest_score, binding_dimension, band
     and reason from staged columns (each computed once, then referenced)."""
-    staged = df.withColumns({
-        "_r_mean": score_rank(F.col(mean)),
-        "_r_weak": score_rank(F.col(weakest_score)),
-    }).withColumn("_r_band", capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col(amber_cap)))
-    out = staged.withColumns({
-        "numeric_score": round_half_up(F.col(mean), score_scale),
-        "band_by_mean": rank_band(F.col("_r_mean")),
-        "weakest_score": round_half_up(F.col(weakest_score), score_scale),
-        "binding_dimension": F.col(weakest_name),
-        "band": rank_band(F.col("_r_band")),
-    })
-    return out.withColumn("reason", reason_text(F.col("band"), F.col("binding_dimension"))).drop(
-        "_r_mean", "_r_weak", "_r_band")
+    out = df
+    for kind, stage in _finish_stages(mean, weakest_score, weakest_name, amber_cap, score_scale):
+        out = out.withColumns(stage) if kind == "with" else out.drop(*stage)
+    return out
 
 
 @dataclass(frozen=True)
@@ -105,16 +110,34 @@ VERDICT_COLUMNS = ("numeric_score", "band_by_mean", "weakest_score", "binding_di
                    "band", "reason")
 
 
-def with_verdict(df: DataFrame, dims: Sequence[Dimension], score_scale: int = 4) -> DataFrame:
+_VERDICT_STAGES: dict = {}
+
+
+def with_verdict(df: DataFrame, dims: Sequence[Dimension], score_scale: int = 4,
+                 cache_key: str | None = None) -> DataFrame:
     """Per-row trust verdict over dimension columns: no shuffle, no aggregation.
 
     Adds numeric_score, band_by_mean, weakest_score, binding_dimension,
     any_low_confidence, band, reason. A null dimension score counts as
-    missing: score 0 and low confidence.
+    missing: score 0 and low confidence. With ``cache_key`` (a name for a
+    fixed dimension set) the expression stages are built once per process.
     """
     if not dims:
         raise ValueError("at least one dimension is required for a trust verdict")
-    staged = df.withColumns({f"_d{i}": F.coalesce(d.score.cast("double"), F.lit(0.0)) for i, d in enumerate(dims)})
+    key = (cache_key, score_scale) if cache_key else None
+    stages = _VERDICT_STAGES.get(key) if key else None
+    if stages is None:
+        stages = _verdict_stages(dims, score_scale)
+        if key:
+            _VERDICT_STAGES[key] = stages
+    out = df
+    for kind, stage in stages:
+        out = out.withColumns(stage) if kind == "with" else out.drop(*stage)
+    return out
+
+
+def _verdict_stages(dims: Sequence[Dimension], score_scale: int) -> list:
+    stages = [("with", {f"_d{i}": F.coalesce(d.score.cast("double"), F.lit(0.0)) for i, d in enumerate(dims)})]
     lows = [(F.coalesce(d.low_confidence, F.lit(False)) if d.low_confidence is not None else F.lit(False))
             | d.score.isNull() for d in dims]
     wsum = sum(d.weight for d in dims)
@@ -128,14 +151,13 @@ def with_verdict(df: DataFrame, dims: Sequence[Dimension], score_scale: int = 4)
     for lo in lows[1:]:
         any_low = any_low | lo
     only_weak = all(d.weak_signal for d in dims)
-    staged = staged.withColumns({
-        "_mean": mean,
-        "_weakest": F.least(*structs) if len(structs) > 1 else structs[0],
-        "any_low_confidence": any_low,
-    }).withColumn("_cap", F.col("any_low_confidence") | F.lit(only_weak))
-    out = finish_verdict(staged.withColumns({"_ws": F.col("_weakest.score"), "_wn": F.col("_weakest.name")}),
-                         "_mean", "_ws", "_wn", "_cap", score_scale)
-    return out.drop("_mean", "_weakest", "_cap", "_ws", "_wn", *[f"_d{i}" for i in range(len(dims))])
+    stages.append(("with", {"_mean": mean, "_weakest": F.least(*structs) if len(structs) > 1 else structs[0],
+                            "any_low_confidence": any_low}))
+    stages.append(("with", {"_cap": F.col("any_low_confidence") | F.lit(only_weak)}))
+    stages.append(("with", {"_ws": F.col("_weakest.score"), "_wn": F.col("_weakest.name")}))
+    stages.extend(_finish_stages("_mean", "_ws", "_wn", "_cap", score_scale))
+    stages.append(("drop", ("_mean", "_weakest", "_cap", "_ws", "_wn", *[f"_d{i}" for i in range(len(dims))])))
+    return stages
 
 
 def score_is_valid(score: Column) -> Column:

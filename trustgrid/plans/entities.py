@@ -11,10 +11,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustgrid.operators.quality import Rule, count_where, duplicate_keys, evaluate_contracts, share_where
+from trustgrid.operators.quality import (
+    Rule, compile_contracts, count_where, duplicate_keys, evaluate_contracts, share_where,
+)
 from trustgrid.operators.score import VERDICT_COLUMNS, Dimension, round_half_up, with_verdict
 from trustgrid.sources.tables import read_table
 
@@ -67,7 +71,7 @@ def _dims(df: DataFrame) -> list[Dimension]:
 def customer_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row verdict over the wide dimension columns: no extra shuffle."""
     df = customer_dimension_frame(spark, sf_dir)
-    return with_verdict(df, _dims(df)).select(
+    return with_verdict(df, _dims(df), cache_key="customer").select(
         "c_custkey", "c_nationkey",
         *[round_half_up(F.col(f"s{i}"), 4).alias(f"{n}_score") for i, (n, _) in enumerate(CUSTOMER_DIMENSIONS)],
         *VERDICT_COLUMNS)
@@ -171,7 +175,7 @@ def completeness_by_source(spark: SparkSession, sf_dir: str, scale: int = 6) ->
     })
     dims = [Dimension("label_coverage", F.col("_coverage"), 1.0, F.lit(False)),
             Dimension("cleanliness", F.col("_clean"), 1.0, F.col("labelled_docs") < THIN_HISTORY_ORDERS)]
-    return with_verdict(agg, dims, score_scale=scale).select(
+    return with_verdict(agg, dims, score_scale=scale, cache_key="documents_by_source").select(
         "lang", "source", "total_docs", "labelled_docs", "quality_docs", "toxic_docs",
         round_half_up(F.col("_chars") / F.col("total_docs"), scale).alias("avg_chars"),
         round_half_up(F.col("_coverage"), scale).alias("label_coverage_score"),
@@ -221,7 +225,12 @@ def contract_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables["orders"].select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
     tables["orders_without_customer"] = tables["orders"].select("o_custkey").join(
         tables["customer"].select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
-    return evaluate_contracts(tables, contract_rules())
+    return evaluate_contracts(tables, _compiled_contracts())
+
+
+@lru_cache(maxsize=1)
+def _compiled_contracts():
+    return compile_contracts(contract_rules())
 
 
 # --- monthly series ----------------------------------------------------------------------------

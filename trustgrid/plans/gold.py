@@ -86,19 +86,25 @@ def _verdict_output(scale: int) -> tuple:
 def district_context(districts: DataFrame, postal: DataFrame) -> DataFrame:
     """Survey districts LEFT JOIN postal summary (both unique on the keys)."""
     joined = districts.join(postal, ["state_key", "district_key"], "left")
-    return joined.withColumns({
-        "pincode_count": F.coalesce("pincode_count", F.lit(0)),
-        "post_office_count": F.coalesce("post_office_count", F.lit(0)),
-        "geocoded_post_office_count": F.coalesce("geocoded_post_office_count", F.lit(0)),
-    })
+    return joined.withColumns(_context_defaults())
+
+
+@lru_cache(maxsize=None)
+def _context_defaults() -> dict:
+    return {c: F.coalesce(c, F.lit(0)) for c in ("pincode_count", "post_office_count", "geocoded_post_office_count")}
 
 
 def need_ranking(context: DataFrame, scale: int = 6) -> DataFrame:
     """Demand-side need per district, with missing metrics counted and flagged."""
+    return context.select(*_need_columns(scale))
+
+
+@lru_cache(maxsize=None)
+def _need_columns(scale: int) -> tuple:
     m = {k: F.col(k) for k in SURVEY_METRICS}
     missing = sum((F.when(m[k].isNull(), 1).otherwise(0) for k in NEED_METRICS), F.lit(0))
     flagged = (F.col("suppressed_indicator_count") > 0) | (F.col("low_sample_estimate_count") > 0)
-    return context.select(
+    return (
         "state_key", "district_key", "state_name", "district_name",
         "pincode_count", "post_office_count",
         round_half_up(F.col("geocoded_post_office_ratio"), scale).alias("geocoded_post_office_ratio"),

@@ -7,6 +7,8 @@ TakeOrderedAndProject: a per-partition top-k, then one small merge.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,23 +35,31 @@ def facility_scorecard(geo: DataFrame, verdicts: DataFrame, pinned: str | None =
     The verdict side is one row per state key, so the left join keeps the
     facility count.
     """
-    v = verdicts.select(F.col("source_state_key").alias("_v_key"), F.col("numeric_score").alias("_v_score"),
-                        F.col("data_caution").alias("_v_caution"))
-    f = geo.where(F.col("name").isNotNull() & place_text_is_sane(F.col("source_state_name")))
+    c = _scorecard_columns(pinned)
+    v = verdicts.select(*c["verdict"])
+    f = geo.where(c["filter"])
     j = f.join(v, f["source_state_key"] == v["_v_key"], "left")
+    return j.withColumns(c["stage"]).orderBy("_pin", "name", "unique_id").limit(n).select(*c["output"])
+
+
+@lru_cache(maxsize=16)
+def _scorecard_columns(pinned: str | None) -> dict:
     raw = facility_point_score(F.col("has_valid_coordinates"), F.col("has_pincode"),
                                F.col("has_capability_text"), F.col("_v_score"))
     pin = (F.when(F.lower("name").contains(pinned.lower()), 0).otherwise(1) if pinned else F.lit(1))
-    return (j.withColumns({"_pin": pin, "_raw": raw})
-            .orderBy("_pin", "name", "unique_id")
-            .limit(n)
-            .select("unique_id", "name", "source_state_name", "source_state_key", "pincode", "latitude", "longitude",
-                    "has_valid_coordinates", "has_pincode", "has_capability_text", "care_substance_missing_count",
-                    round_half_up(F.least(F.lit(1.0), F.col("_raw")), 2).alias("numeric_score"),
-                    band(F.col("_raw")).alias("band"),
-                    facility_point_reason(F.col("has_valid_coordinates"), F.col("has_pincode"),
-                                          F.col("has_capability_text")).alias("binding_reason"),
-                    F.coalesce("_v_caution", F.lit(FACILITY_ROLLUP_CAUTION)).alias("data_caution")))
+    return {
+        "verdict": (F.col("source_state_key").alias("_v_key"), F.col("numeric_score").alias("_v_score"),
+                    F.col("data_caution").alias("_v_caution")),
+        "filter": F.col("name").isNotNull() & place_text_is_sane(F.col("source_state_name")),
+        "stage": {"_pin": pin, "_raw": raw},
+        "output": ("unique_id", "name", "source_state_name", "source_state_key", "pincode", "latitude", "longitude",
+                   "has_valid_coordinates", "has_pincode", "has_capability_text", "care_substance_missing_count",
+                   round_half_up(F.least(F.lit(1.0), F.col("_raw")), 2).alias("numeric_score"),
+                   band(F.col("_raw")).alias("band"),
+                   facility_point_reason(F.col("has_valid_coordinates"), F.col("has_pincode"),
+                                         F.col("has_capability_text")).alias("binding_reason"),
+                   F.coalesce("_v_caution", F.lit(FACILITY_ROLLUP_CAUTION)).alias("data_caution")),
+    }
 
 
 def facility_search(scorecard: DataFrame, query: str) -> DataFrame:
