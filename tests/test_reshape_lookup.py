@@ -26,7 +26,7 @@ def test_admin_one_row_three_measures(spark):
 
 def test_admin_missing_columns(spark):
     df = spark.createDataFrame([("Goa", "x", "1")], ["State", "Parameters", "April - Total [A]"])
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="required columns absent"):
         silver.admin_long(df)
 
 
