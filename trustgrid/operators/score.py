@@ -33,16 +33,29 @@ def round_half_up(col: Column, scale: int) -> Column:
     return F.round(col.cast("decimal(38,10)"), scale).cast("double")
 
 
+def _cut(score: Column) -> Column:
+    """The value a cut-off is compared with: the score at 10 decimals.
+
+    A mean of aggregated sums can differ in its last binary digit with the
+    order of summation (0.85 vs 0.8499999999999999); comparing at 10
+    decimals makes the band independent of that order, on every engine.
+    """
+    return score.cast("decimal(38,10)")
+
+
 def band(score: Column, green_min: float = GREEN_MIN, amber_min: float = AMBER_MIN) -> Column:
     """Cut-off band of a score column (pass a column reference, not a big expression)."""
-    return (F.when(score >= green_min, F.lit("green"))
-            .when(score >= amber_min, F.lit("amber"))
-            .when(score.isNotNull(), F.lit("red")))
+    s = _cut(score)
+    return (F.when(s >= F.lit(green_min).cast("decimal(38,10)"), F.lit("green"))
+            .when(s >= F.lit(amber_min).cast("decimal(38,10)"), F.lit("amber"))
+            .when(s.isNotNull(), F.lit("red")))
 
 
 def score_rank(score: Column, green_min: float = GREEN_MIN, amber_min: float = AMBER_MIN) -> Column:
     """Band as a rank (red 0 < amber 1 < green 2), null for a null score."""
-    return F.when(score >= green_min, 2).when(score >= amber_min, 1).when(score.isNotNull(), 0)
+    s = _cut(score)
+    return (F.when(s >= F.lit(green_min).cast("decimal(38,10)"), 2)
+            .when(s >= F.lit(amber_min).cast("decimal(38,10)"), 1).when(s.isNotNull(), 0))
 
 
 def band_rank(b: Column) -> Column:

@@ -20,8 +20,9 @@ def rd(x: str, n: int = 6) -> str:
 
 
 def band(x: str) -> str:
-    return (f"(CASE WHEN ({x}) >= 0.85 THEN 'green' WHEN ({x}) >= 0.60 THEN 'amber' "
-            f"WHEN ({x}) IS NOT NULL THEN 'red' END)")
+    d = f"CAST(({x}) AS DECIMAL(38,10))"
+    return (f"(CASE WHEN {d} >= 0.85 THEN 'green' WHEN {d} >= 0.60 THEN 'amber' "
+            f"WHEN {d} IS NOT NULL THEN 'red' END)")
 
 
 def brank(b: str) -> str:
