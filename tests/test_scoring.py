@@ -126,3 +126,13 @@ def test_expected_values_fill_and_divergence(spark):
     assert out["gap"]["is_predicted_fill"] and out["gap"]["value_or_expected"] is not None
     assert out["odd"]["is_divergent"] and not out["3"]["is_divergent"]
     assert out["3"]["fit_rows"] == 21
+
+
+def test_band_independent_of_summation_order(spark):
+    import itertools
+    dims = [("c", 0, 1.0, 1.0), ("s", 1, 0.8, 1.0), ("p", 2, 0.65, 0.5)]   # mean exactly 0.85
+    for perm in itertools.permutations(dims):
+        rows = [("x", d, o, sc, w, False) for d, o, sc, w in perm]
+        df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        v = trust_verdict_long(df, ["e"]).first()
+        assert v["numeric_score"] == 0.85 and v["band_by_mean"] == "green"
