@@ -93,3 +93,28 @@ def test_facility_verdict_stream_matches_batch(spark, scratch):
     got = sorted((tuple(r) for r in spark.read.parquet(sink).collect()), key=repr)
     want = sorted((tuple(r) for r in catalog.facility_verdicts_df(spark, "/root/testdata/sf0.001").collect()), key=repr)
     assert got == want
+
+
+def test_verified_field_precedes_code_lookup(spark):
+    df = spark.createDataFrame([(1, None, "north goa", "zone 1"), (2, "x", "north goa", "zone 1")],
+                               "id int, poly string, verified string, code string")
+    rows = {r["id"]: r for r in geo.resolve_geography(df, "poly", "verified", "code", "poly").collect()}
+    assert rows[1]["resolution_method"] == "verified_field" and rows[1]["resolved_district"] == "north goa"
+    assert rows[2]["resolution_method"] == "polygon"
+
+
+def test_fact_extraction_from_json_list_and_text(spark):
+    from pyspark.sql import functions as F
+    from trustgrid.operators import provenance as pv
+    rows = [('["120 beds", "NICU available", "open 24/7", "NABH accredited"]',),
+            ("Staffed by 12 doctors round-the-clock; licence renewed",),
+            ('[not a list',), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    out = df.select(*pv.fact_columns(F.lower(pv.as_text(F.col("t"))))).collect()
+    assert (out[0]["beds"], out[0]["nicu"], out[0]["emergency_24_7"], out[0]["accreditation"]) == (120, True, True, True)
+    assert (out[1]["doctors"], out[1]["emergency_24_7"], out[1]["accreditation"], out[1]["beds"]) == (12, True, True, None)
+    assert not any(out[2][k] for k in ("nicu", "emergency_24_7", "accreditation"))
+    assert out[3]["beds"] is None and out[3]["nicu"] is False
+    conf = spark.createDataFrame([(True, False), (False, True), (False, False)], "s boolean, e boolean").select(
+        pv.provenance_confidence(F.col("s"), F.col("e")).alias("c")).collect()
+    assert [r["c"] for r in conf] == [1.0, 0.6, 0.0]
