@@ -154,30 +154,39 @@ def state_summary(totals: DataFrame, scale: int = 6) -> DataFrame:
 # --- district verdicts over unioned dimension tables --------------------------------
 
 def district_dimensions(districts: DataFrame, postal: DataFrame) -> DataFrame:
-    """Long (district, dimension) rows: one small table per dimension, unioned.
+    """Long (district, dimension) rows, one generator pass over the districts.
 
     completeness   share of indicator cells with a value; blanks cap at amber
     suppression    share of cells neither suppressed nor low-sample; any flag caps at amber
     postal_geocoding  geocoded share of the district's post offices (weight 0.5);
                    no offices = missing evidence
+    The three dimension tables of the specification are emitted together by
+    ``inline`` after one lookup join (both sides unique on the district key),
+    so the district aggregate is computed once.
     """
     keys = ["state_key", "district_key"]
-    cells = F.col("indicator_cell_count")
+    j = districts.join(postal.select(*keys, "geocoded_post_office_ratio"), keys, "left")
+    return j.select(*keys, _district_dimension_cells())
 
-    def dim(df, name, ordinal, score, weight, low, missing):
-        return df.select(*keys, F.lit(name).alias("dimension"), F.lit(ordinal).alias("ordinal"),
-                         F.coalesce(score, F.lit(0.0)).alias("score"), F.lit(weight).alias("weight"),
-                         F.coalesce(low, F.lit(False)).alias("low_confidence"), missing.alias("is_missing"),
-                         F.lit(False).alias("weak_signal"))
 
-    completeness = dim(districts, "completeness", 0, 1.0 - F.col("missing_value_count") / cells, 1.0,
-                       F.col("missing_value_count") > 0, F.lit(False))
+@lru_cache(maxsize=None)
+def _district_dimension_cells():
+    cells = F.col("indicator_cell_count")
     flagged = F.col("suppressed_indicator_count") + F.col("low_sample_estimate_count")
-    suppression = dim(districts, "suppression", 1, 1.0 - flagged / cells, 1.0, flagged > 0, F.lit(False))
-    geo = districts.select(*keys).join(postal.select(*keys, "geocoded_post_office_ratio"), keys, "left")
     ratio = F.col("geocoded_post_office_ratio")
-    postal_dim = dim(geo, "postal_geocoding", 2, ratio, 0.5, ratio.isNull(), ratio.isNull())
-    return completeness.unionByName(suppression).unionByName(postal_dim)
+
+    def dim(name, ordinal, score, weight, low, missing):
+        return F.struct(F.lit(name).alias("dimension"), F.lit(ordinal).alias("ordinal"),
+                        F.coalesce(score, F.lit(0.0)).alias("score"), F.lit(weight).alias("weight"),
+                        F.coalesce(low, F.lit(False)).alias("low_confidence"), missing.alias("is_missing"),
+                        F.lit(False).alias("weak_signal"))
+
+    return F.inline(F.array(
+        dim("completeness", 0, 1.0 - F.col("missing_value_count") / cells, 1.0, F.col("missing_value_count") > 0,
+            F.lit(False)),
+        dim("suppression", 1, 1.0 - flagged / cells, 1.0, flagged > 0, F.lit(False)),
+        dim("postal_geocoding", 2, ratio, 0.5, ratio.isNull(), ratio.isNull()),
+    ))
 
 
 def district_impact(need: DataFrame) -> DataFrame:
