@@ -29,6 +29,19 @@ def thresholds_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(THRESHOLDS), "indicator string, green_gap_points double, red_gap_points double")
 
 
+def gap_band(gap, green, red):
+    """green if gap < green cut-off, red if gap > red cut-off, amber between (cut-offs are amber)."""
+    return (F.when(gap < green, F.lit("green")).when(gap > red, F.lit("red"))
+            .when(gap.isNotNull(), F.lit("amber")))
+
+
+def threshold_maps() -> tuple:
+    """Literal maps indicator -> green / red cut-off (the fixed threshold table)."""
+    green = F.create_map(*[x for i, g, _ in THRESHOLDS for x in (F.lit(i), F.lit(g))])
+    red = F.create_map(*[x for i, _, r in THRESHOLDS for x in (F.lit(i), F.lit(r))])
+    return green, red
+
+
 def corroboration_bands(pairs: DataFrame, spark: SparkSession) -> DataFrame:
     """``pairs``: entity columns, ``indicator``, ``source_a``, ``source_b`` (percent points)."""
     th = F.broadcast(thresholds_frame(spark))
@@ -36,6 +49,4 @@ def corroboration_bands(pairs: DataFrame, spark: SparkSession) -> DataFrame:
     return (pairs.where(~F.col("indicator").isin(*EXCLUDED))
             .join(th, "indicator", "inner")
             .withColumn("gap_points", gap)
-            .withColumn("band", F.when(gap < F.col("green_gap_points"), F.lit("green"))
-                        .when(gap > F.col("red_gap_points"), F.lit("red"))
-                        .when(gap.isNotNull(), F.lit("amber"))))
+            .withColumn("band", gap_band(F.col("gap_points"), F.col("green_gap_points"), F.col("red_gap_points"))))

@@ -349,9 +349,7 @@ def _capabilities(spark, sf_dir):
 @register("nation_verdicts", _with(ql.long_verdict("nation_dims", "n_nationkey"), **O_CORR, nation_dims=ql.NATION_DIMS),
           ("SP-4", "SCR-1"))
 def _nation_verdicts(spark, sf_dir):
-    est = ent.nation_estimates(spark, sf_dir)
-    banded = corroboration_bands(ent.corroboration_pairs(est), spark)
-    return trust_verdict_long(ent.nation_dimensions(banded, est), ["n_nationkey"])
+    return trust_verdict_long(ent.nation_dimensions(ent.nation_estimates(spark, sf_dir)), ["n_nationkey"])
 
 
 DISTRICT_DIMS_SQL = """

@@ -252,28 +252,40 @@ def nation_monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATE_ANCHOR_WEIGHT = 0.5
 
 
-def nation_dimensions(banded: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Corroboration per indicator (score 1 - gap / (2 x red gap), floored at 0;
-    low confidence unless green) plus the nation-level fulfilment share as a
-    weak-signal anchor of weight 0.5 that can never make green on its own."""
-    order = {"institutional_delivery": 0, "full_immunization": 1, "anc_4_plus": 2}
-    ordinal = F.create_map(*[x for k, v in order.items() for x in (F.lit(k), F.lit(v))])
-    corr = banded.select(
-        "n_nationkey", F.col("indicator").alias("dimension"),
-        F.try_element_at(ordinal, F.col("indicator")).alias("ordinal"),
-        F.greatest(F.lit(0.0), 1.0 - F.col("gap_points") / (2.0 * F.col("red_gap_points"))).alias("score"),
-        F.lit(1.0).alias("weight"),
-        F.coalesce(F.col("band") != "green", F.lit(True)).alias("low_confidence"),
-        F.col("gap_points").isNull().alias("is_missing"),
-        F.lit(False).alias("weak_signal"),
-    ).withColumn("score", F.coalesce("score", F.lit(0.0)))
-    anchor = estimates.select(
-        "n_nationkey", F.lit("state_anchor").alias("dimension"), F.lit(3).alias("ordinal"),
+def nation_dimensions(estimates: DataFrame) -> DataFrame:
+    """Per nation, in one generator pass over the estimates:
+
+    * corroboration per indicator: score 1 - gap / (2 x red cut-off), floored
+      at 0, low confidence unless the gap band is green;
+    * the nation-level fulfilment share as a weak-signal anchor of weight 0.5
+      that can never make green on its own.
+    """
+    return estimates.select("n_nationkey", _nation_dimension_cells())
+
+
+@lru_cache(maxsize=None)
+def _nation_dimension_cells():
+    from trustgrid.operators.corroborate import THRESHOLDS, gap_band
+
+    pairs = {"institutional_delivery": ("n_of", "n_orders", "n_lf", "n_lines"),
+             "full_immunization": ("n_ou", "n_orders", "n_lr", "n_lines"),
+             "anc_4_plus": ("n_os", "n_orders", "n_ld", "n_lines")}
+    cells = []
+    for ordinal, (indicator, green, red) in enumerate(THRESHOLDS):
+        a1, a2, b1, b2 = pairs[indicator]
+        gap = F.abs(_pct(a1, a2) - _pct(b1, b2))
+        score = F.greatest(F.lit(0.0), 1.0 - gap / (2.0 * red))
+        cells.append(F.struct(
+            F.lit(indicator).alias("dimension"), F.lit(ordinal).alias("ordinal"),
+            F.coalesce(score, F.lit(0.0)).alias("score"), F.lit(1.0).alias("weight"),
+            F.coalesce(gap_band(gap, F.lit(green), F.lit(red)) != "green", F.lit(True)).alias("low_confidence"),
+            gap.isNull().alias("is_missing"), F.lit(False).alias("weak_signal")))
+    cells.append(F.struct(
+        F.lit("state_anchor").alias("dimension"), F.lit(len(THRESHOLDS)).alias("ordinal"),
         F.coalesce(F.col("n_of") / F.col("n_orders"), F.lit(0.0)).alias("score"),
         F.lit(STATE_ANCHOR_WEIGHT).alias("weight"), F.lit(False).alias("low_confidence"),
-        F.lit(False).alias("is_missing"), F.lit(True).alias("weak_signal"),
-    )
-    return corr.unionByName(anchor)
+        F.lit(False).alias("is_missing"), F.lit(True).alias("weak_signal")))
+    return F.inline(F.array(*cells))
 
 
 # --- facility provenance -------------------------------------------------------------
