@@ -136,3 +136,27 @@ def test_band_independent_of_summation_order(spark):
         df = spark.createDataFrame(rows, SCHEMA).repartition(3)
         v = trust_verdict_long(df, ["e"]).first()
         assert v["numeric_score"] == 0.85 and v["band_by_mean"] == "green"
+
+
+def test_hot_key_rollup_is_pre_aggregated(spark):
+    from trustgrid.operators.joins import many_to_one_join
+    from trustgrid.plans.gold import facility_verdicts
+    n = 3000
+    rows = [(i, "Hot State" if i % 3 == 0 else f"State {i % 40}", "560001" if i % 3 == 0 else f"{100000 + i}",
+             i % 2 == 0, i % 5 != 0, i % 7 != 0, i % 4) for i in range(n)]
+    geo = spark.createDataFrame(rows, "unique_id long, source_state_name string, pincode string, "
+                                      "has_valid_coordinates boolean, has_pincode boolean, has_capability_text boolean, "
+                                      "care_substance_missing_count int").withColumn(
+        "source_state_key", F.lower(F.col("source_state_name")))
+    v = facility_verdicts(geo)
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_sum" in plan          # map-side combine before the shuffle
+    hot = v.where("source_state_key = 'hot state'").first()
+    assert hot["total_facilities"] == n // 3
+    lookup = spark.createDataFrame([("560001", "zone 1")] + [(f"{100000 + i}", f"zone {i}") for i in range(n)],
+                                   "code string, district string")
+    plain = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"])
+    salted = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"], buckets=8,
+                              force_salt=True)
+    assert sorted(plain.collect()) == sorted(salted.collect())
+    assert plain.count() == n
