@@ -46,3 +46,12 @@ def test_bucketed_district_join_is_shuffle_free(spark, scratch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_build_all_writes_checks_and_summary(spark, scratch):
+    base = os.path.join(scratch, "c")
+    out = {r["table_name"]: r for r in build_all(spark, SF, out_dir=base).collect()}
+    checks = {r["check_name"]: r["status"] for r in spark.read.parquet(out["pipeline_quality_checks"]["path"]).collect()}
+    assert len(checks) == 9 and checks["code_lookup_is_unique"] == "pass"
+    summary = spark.read.parquet(os.path.join(base, "pipeline_run_summary"))
+    assert summary.count() == len(out)

@@ -414,36 +414,19 @@ def _preflight(spark, sf_dir):
 # --- pipeline self-checks over the silver outputs (QLT-1 with computed statuses) ----------
 
 def pipeline_checks_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from trustgrid.operators.quality import Rule, duplicate_keys, evaluate_contracts
-    from trustgrid.plans.silver import FACILITY_COLUMNS
+    from trustgrid.plans.checks import pipeline_checks
 
     facilities_raw = fx.view(spark, sf_dir, "v_facilities")
     offices_raw = fx.view(spark, sf_dir, "v_offices")
     wide = admin_wide_df(spark, sf_dir)
-    # Column presence is schema metadata: counted on the driver, compared as a literal.
-    fac_present = float(len(set(FACILITY_COLUMNS) & set(facilities_raw.columns)))
-    off_present = float(len({"district", "latitude", "longitude", "pincode", "statename"} & set(offices_raw.columns)))
-    c = F.col
-    rules = [
-        Rule("facilities", "facilities_required_columns_present", "fail", F.lit(fac_present), "eq",
-             len(FACILITY_COLUMNS)),
-        Rule("facilities", "facilities_valid_coordinate_count", "fail", F.count_if(c("has_valid_coordinates")), "ge", 1),
-        Rule("offices", "offices_required_columns_present", "fail", F.lit(off_present), "eq", 5),
-        Rule("offices", "offices_invalid_code_count", "warn", F.count_if(~c("is_valid_code")), "eq", 0),
-        Rule("lookup", "code_lookup_is_unique", "fail", duplicate_keys("pincode")),
-        Rule("survey", "survey_indicator_columns_detected", "fail", F.countDistinct("indicator"), "ge", 1),
-        Rule("admin", "admin_state_grain_detected", "fail", F.countDistinct("state_key"), "ge", 1),
-        Rule("admin", "admin_invalid_numeric_count", "warn", F.count_if(c("is_invalid_numeric")), "eq", 0),
-        Rule("admin_totals", "admin_curated_indicator_count", "warn", F.countDistinct("indicator_name"), "eq", 7),
-    ]
-    return evaluate_contracts({
+    return pipeline_checks(facilities_raw.columns, offices_raw.columns, {
         "facilities": silver.facility_geo(facilities_raw),
         "offices": silver.offices_silver(offices_raw),
         "lookup": lookup_df(spark, sf_dir),
         "survey": survey_cells_df(spark, sf_dir),
         "admin": silver.admin_long(wide),
         "admin_totals": silver.admin_totals(wide),
-    }, rules)
+    })
 
 
 _PIPELINE_CHECKS_SQL = """

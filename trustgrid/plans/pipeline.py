@@ -20,6 +20,7 @@ from trustgrid.operators import lookup as lk
 from trustgrid.operators.score import trust_verdict_long
 from trustgrid.plans import entities as ent
 from trustgrid.plans import gold, silver
+from trustgrid.plans.checks import pipeline_checks
 from trustgrid.session import CHECKPOINT_CONF
 from trustgrid.sources import fixtures as fx
 from trustgrid.sources.io import stamp_ingest, write_table
@@ -99,7 +100,7 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, run_
                                      "has_coordinates"), "silver_code_lookup")
     s_cells = w(silver.survey_cells(b_survey), "silver_survey_cells")
     s_districts = w(silver.survey_districts(s_cells), "silver_survey_districts")
-    w(silver.admin_long(b_admin), "silver_admin_long")
+    s_admin = w(silver.admin_long(b_admin), "silver_admin_long")
     s_totals = w(silver.admin_totals(b_admin), "silver_admin_totals")
     s_postal = w(silver.postal_summary(s_off), "silver_postal_summary")
 
@@ -112,5 +113,14 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, run_
     w(trust_verdict_long(gold.district_dimensions(s_districts, s_postal), ["state_key", "district_key"]),
       "gold_district_verdicts")
     w(ent.customer_verdicts(spark, sf_dir), "gold_customer_verdicts")
-    return spark.createDataFrame(summary, "table_name string, row_count long, path string").withColumn(
+
+    # checks over the written silver tables (one aggregation per table)
+    w(pipeline_checks(b_fac.columns, b_off.columns, {
+        "facilities": s_fac, "offices": s_off, "lookup": s_lookup, "survey": s_cells,
+        "admin": s_admin, "admin_totals": s_totals,
+    }), "pipeline_quality_checks")
+
+    out = spark.createDataFrame(summary, "table_name string, row_count long, path string").withColumn(
         "run_id", F.lit(run_id))
+    write_table(out, os.path.join(out_dir, "pipeline_run_summary"))
+    return out
