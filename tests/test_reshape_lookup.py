@@ -121,3 +121,18 @@ def test_rollups_ignore_input_order(spark, builder, source):
     a = sorted((tuple(r) for r in fn(src).collect()), key=repr)
     b = sorted((tuple(r) for r in fn(shuffled).collect()), key=repr)
     assert a == b
+
+
+def test_union_by_name_fills_missing(spark):
+    from trustgrid.operators.reshape import union_all_by_name
+    a = spark.createDataFrame([(1, "x")], "k int, a string")
+    b = spark.createDataFrame([("y", 2)], "b string, k int")
+    rows = sorted(union_all_by_name([a, b]).collect(), key=lambda r: r["k"])
+    assert [tuple(r) for r in rows] == [(1, "x", None), (2, None, "y")]
+
+
+def test_extract_flag_null_safe(spark):
+    from trustgrid.operators.provenance import FLAG_PATTERNS, extract_flag
+    df = spark.createDataFrame([("NICU ward",), (None,)], "t string")
+    got = [r[0] for r in df.select(extract_flag(F.col("t"), FLAG_PATTERNS["nicu"])).collect()]
+    assert got == [True, False]

@@ -35,13 +35,6 @@ def gap_band(gap, green, red):
             .when(gap.isNotNull(), F.lit("amber")))
 
 
-def threshold_maps() -> tuple:
-    """Literal maps indicator -> green / red cut-off (the fixed threshold table)."""
-    green = F.create_map(*[x for i, g, _ in THRESHOLDS for x in (F.lit(i), F.lit(g))])
-    red = F.create_map(*[x for i, _, r in THRESHOLDS for x in (F.lit(i), F.lit(r))])
-    return green, red
-
-
 def corroboration_bands(pairs: DataFrame, spark: SparkSession) -> DataFrame:
     """``pairs``: entity columns, ``indicator``, ``source_a``, ``source_b`` (percent points)."""
     th = F.broadcast(thresholds_frame(spark))

@@ -224,12 +224,6 @@ def admin_heading(mon: str, vt: str) -> str:
     return f"{mon}{sep}{vt} {bracket}"
 
 
-def with_views(sql: str, names=tuple(VIEWS)) -> str:
-    """Prefix ``sql`` with the fixture views it needs as CTEs (oracle side)."""
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
-    return f"WITH {ctes}\n{sql}"
-
-
 VIEW_TABLES = {
     "v_offices": ("customer", "region"),
     "v_facilities": ("customer", "nation"),
