@@ -34,12 +34,26 @@ def replicate(df: DataFrame, buckets: int, name: str = "_salt") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
 
 
+MAX_SALT_BUCKETS = 64
+
+
+def default_buckets(df: DataFrame) -> int:
+    """Salt width when AQE cannot split: the session's shuffle width, capped,
+    because every right-side row is replicated once per bucket."""
+    try:
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    except ValueError:
+        width = 200
+    return max(2, min(MAX_SALT_BUCKETS, width))
+
+
 def many_to_one_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
-                     how: str = "left", buckets: int = 16, force_salt: bool = False) -> DataFrame:
+                     how: str = "left", buckets: int | None = None, force_salt: bool = False) -> DataFrame:
     """``left`` JOIN ``right`` on key lists (right unique per key); keys of the
     right side are dropped from the output."""
     if len(left_keys) != len(right_keys):
         raise ValueError("key lists differ in length")
+    buckets = buckets or default_buckets(left)
     if force_salt or not aqe_splits_skew(left):
         left = left.withColumn("_salt", salt_column(left, buckets))
         right = replicate(right, buckets, "_r_salt")
