@@ -63,6 +63,16 @@ def main() -> None:
     lines += ["", "Single-partition exchanges appear only under global aggregates of already-aggregated rows",
               "(contract and check totals, row counts) and under top-k pages (TakeOrderedAndProject merges",
               "per-partition top-k lists), never under a row-level operator.", ""]
+    flagship = REGISTRY["facility_verdicts"].build(spark, sf_dir)
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        flagship.explain("formatted")
+    formatted = buf.getvalue()
+    formatted = re.sub(r"file:[^\],]*/", "", formatted)   # keep table file names, drop machine paths
+    lines += ["## Flagship plan (`facility_verdicts`, formatted)", "", "```", formatted.strip(), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("\n".join(lines))
     print("\n".join(lines))
