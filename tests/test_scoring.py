@@ -157,6 +157,6 @@ def test_hot_key_rollup_is_pre_aggregated(spark):
                                    "code string, district string")
     plain = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"])
     salted = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"], buckets=8,
-                              force_salt=True)
+                              force_salt=True, hot_threshold=500)
     assert sorted(plain.collect()) == sorted(salted.collect())
     assert plain.count() == n

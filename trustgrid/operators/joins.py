@@ -4,9 +4,10 @@ The right side is unique per key (a join-safe lookup), so a hot key never
 multiplies output; it only makes one partition of the left side large.
 With AQE skew-join handling on (the default session of this library), Spark
 splits that partition at run time and replicates the matching right rows.
-When it is off, the join is salted explicitly: each left row gets a salt in
-``[0, buckets)`` from a hash of its own columns, and each right row is
-replicated once per salt, so a hot key spreads over ``buckets`` tasks.
+When it is off, the join is salted explicitly: each left row of a hot key
+gets a salt in ``[0, buckets)`` from a hash of its own columns, and the
+right row of that key is replicated once per salt, so a hot key spreads over
+``buckets`` tasks while cold keys join unchanged.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ def replicate(df: DataFrame, buckets: int, name: str = "_salt") -> DataFrame:
 
 
 MAX_SALT_BUCKETS = 64
+# Without AQE, keys holding at least this many left rows are salted; the rest join as they are.
+DEFAULT_HOT_ROWS = 1_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -48,13 +51,41 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def many_to_one_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
-                     how: str = "left", buckets: int | None = None, force_salt: bool = False) -> DataFrame:
+                     how: str = "left", buckets: int | None = None, force_salt: bool = False,
+                     hot_threshold: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """``left`` JOIN ``right`` on key lists (right unique per key); keys of the
-    right side are dropped from the output."""
+    right side are dropped from the output.
+
+    ``hot_threshold``: when salting, salt only keys holding at least this
+    many left rows (found by one key count). Their set has at most
+    ``rows / hot_threshold`` members, which bounds the broadcast; other keys
+    keep salt 0 and their right rows are not copied. ``0`` / ``None`` salts
+    every key.
+    """
     if len(left_keys) != len(right_keys):
         raise ValueError("key lists differ in length")
     buckets = buckets or default_buckets(left)
-    if force_salt or not aqe_splits_skew(left):
+    if (force_salt or not aqe_splits_skew(left)) and hot_threshold:
+        hot = (left.groupBy(*left_keys).count().where(F.col("count") >= hot_threshold)
+               .select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(left_keys)], F.lit(True).alias("_hot")))
+        lcond = None
+        for i, k in enumerate(left_keys):
+            c = left[k] == F.col(f"_hot_{i}")
+            lcond = c if lcond is None else lcond & c
+        tagged = left.join(F.broadcast(hot), lcond, "left")
+        left = tagged.withColumn("_salt", F.when(F.col("_hot"), salt_column(left, buckets)).otherwise(F.lit(0))).drop(
+            "_hot", *[f"_hot_{i}" for i in range(len(left_keys))])
+        rcond = None
+        for i, k in enumerate(right_keys):
+            c = right[k] == F.col(f"_hot_{i}")
+            rcond = c if rcond is None else rcond & c
+        rtag = right.join(F.broadcast(hot), rcond, "left")
+        right = rtag.withColumn("_r_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                                    .otherwise(F.array(F.lit(0))))).drop(
+            "_hot", *[f"_hot_{i}" for i in range(len(left_keys))])
+        cond = F.col("_salt") == F.col("_r_salt")
+        drop = ["_salt", "_r_salt"]
+    elif force_salt or not aqe_splits_skew(left):
         left = left.withColumn("_salt", salt_column(left, buckets))
         right = replicate(right, buckets, "_r_salt")
         cond = F.col("_salt") == F.col("_r_salt")
