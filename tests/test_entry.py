@@ -26,3 +26,21 @@ def test_oracle_sql_runs_on_duckdb():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(SF, t)}')")
     for name, sql in E.oracle_sql().items():
         con.execute(sql).fetchall()
+
+
+REPORT_PAGES = {"lowest_verdicts", "facility_scorecard", "facility_search", "facility_simulated_fixes",
+                "ambiguous_queue", "top_need_districts", "most_flagged_districts", "state_summary_page"}
+
+
+def test_views_read_whole_tables():
+    from trustgrid.sources import fixtures as fx
+    texts = list(fx.VIEWS.values()) + [fx.V_SURVEY_WIDE, fx.V_ADMIN_CELLS_SPARK]
+    for sql in texts:
+        assert " WHERE " not in sql.upper().replace("\n", " ")   # no id subsets or modulo filters
+
+
+def test_limits_only_on_report_pages():
+    import re
+    for name, sql in E.oracle_sql().items():
+        if re.search(r"\bLIMIT\b", sql):
+            assert name in REPORT_PAGES, name
