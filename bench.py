@@ -26,6 +26,7 @@ HEADLINE = (
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
+    spark.sparkContext.setJobDescription(f"bench:{name}")   # names the jobs in event logs
     t0 = time.perf_counter()
     REGISTRY[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
