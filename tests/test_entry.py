@@ -44,3 +44,15 @@ def test_limits_only_on_report_pages():
     for name, sql in E.oracle_sql().items():
         if re.search(r"\bLIMIT\b", sql):
             assert name in REPORT_PAGES, name
+
+
+GROWING = ("customer", "part", "orders", "lineitem", "documents", "labels", "events", "supplier",
+           "conversations", "pages", "embeddings")
+
+
+def test_every_query_reads_a_growing_table(spark):
+    import os
+    for name, build in E.queries().items():
+        files = build(spark, SF).inputFiles()
+        tables = {os.path.basename(f).split(".")[0] for f in files}
+        assert tables & set(GROWING), (name, tables)
