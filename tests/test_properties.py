@@ -76,3 +76,25 @@ def test_counts_match_rule(spark, values):
     s = F.col("s")
     got = [tuple(r) for r in df.select(cells.count_value(s), cells.count_is_invalid(s)).collect()]
     assert got == [py_count(v) for v in values]
+
+
+def py_code_in_text(s):
+    if s is None:
+        return None
+    m = re.search(r"(?<![0-9])[0-9]{6}(?![0-9])", s)
+    return m.group(0) if m else None
+
+
+def py_code_normalise(s):
+    if s is None:
+        return None
+    m = re.search(r"[0-9]+", s)
+    return m.group(0).zfill(6) if m and 1 <= len(m.group(0)) <= 6 else None
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789 PIN-x", max_size=16)), min_size=20, max_size=60))
+def test_codes_match_rule(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [tuple(r) for r in df.select(text.code6_in_text(F.col("s")), text.code6_normalise(F.col("s"))).collect()]
+    assert got == [(py_code_in_text(v), py_code_normalise(v)) for v in values]
