@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -48,10 +47,6 @@ def id_bucket(col, n: int):
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
-def id_type(df: DataFrame, col: str = "doc_id") -> T.DataType:
-    return df.schema[col].dataType
-
-
 # --- Arrow text -------------------------------------------------------------------
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -351,9 +351,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select(id_col, "n_shingles", "component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+             percent: int = PERCENT) -> DataFrame:
     """``docs`` without the members of a component other than its smallest id."""
-    drop = (jaccard_components(docs, id_col, text_col)
+    drop = (jaccard_components(docs, id_col, text_col, size, percent)
             .filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
     return small_filter(docs, drop, id_col, keep=False)
 
