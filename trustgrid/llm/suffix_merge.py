@@ -14,6 +14,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import zstandard
 
 BLOCK_BYTES = 1 << 16
 ENTRY = "<HHqq"      # shared prefix, length of the rest, identifier
@@ -43,14 +44,15 @@ def front_coded_blocks(strings: list[bytes], idents: list[tuple[int, int]], spli
                        ) -> Iterator[tuple[int, int, bytes]]:
     """(range, sequence number, block) of one sorted run. ``strings`` are sorted and distinct.
 
-    The run's strings of one range follow each other; the first of a range is stored whole.
+    The run's strings of one range follow each other; the first of a range is stored whole. Blocks are compressed.
     """
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     part, seq, last, out, size = -1, 0, b"", [], 0
     cut = b""
     for string, ident in zip(strings, idents):
         if part < 0 or (cut is not None and string >= cut):
             if out:
-                yield part, seq, b"".join(out)
+                yield part, seq, squeeze(b"".join(out))
             part = bisect_right(splitters, string)
             cut = splitters[part] if part < len(splitters) else None
             seq, last, out, size = 0, b"", [], 0
@@ -61,16 +63,17 @@ def front_coded_blocks(strings: list[bytes], idents: list[tuple[int, int]], spli
         size += len(piece)
         last = string
         if size >= BLOCK_BYTES:
-            yield part, seq, b"".join(out)
+            yield part, seq, squeeze(b"".join(out))
             seq, out, size = seq + 1, [], 0
     if out:
-        yield part, seq, b"".join(out)
+        yield part, seq, squeeze(b"".join(out))
 
 
 def decoded(blocks: list[bytes]) -> Iterator[tuple[int, bytes, tuple[int, int]]]:
     """(prefix shared with the string before in the run, string, identifier)."""
     last, size = b"", struct.calcsize(ENTRY)
-    for block in blocks:
+    for squeezed in blocks:
+        block = zstandard.ZstdDecompressor().decompress(squeezed)
         at, n = 0, len(block)
         while at < n:
             shared, rest, *ident = struct.unpack_from(ENTRY, block, at)
