@@ -36,7 +36,8 @@ from .suffix_merge import common_prefix, front_coded_blocks, merged, pick_splitt
 LENGTH, GRAM = 200, 100
 SEGMENT = 1 << 20
 FLUSH = 1 << 18
-RUN_STRINGS = 60_000
+RUN_STRINGS = 40_000
+ROWS = 256           # texts taken from a batch at a time
 SAMPLE_PER_RANGE = 24
 
 
@@ -142,6 +143,12 @@ def repeated_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
             .mapInArrow(run, "hash long, doc long, packed long"))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            yield batch.slice(a, ROWS)
+
+
 # --- contexts -------------------------------------------------------------------------
 
 def context(raw: bytes, anchor: int, length: int, gram: int) -> tuple[bytes, bytes]:
@@ -205,7 +212,7 @@ def sorted_runs(held: DataFrame, splitters: list[list[bytes]], parts: int, lengt
                     [pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.string(), pa.int64(), pa.binary()))],
                     names=["part", "run", "seq", "block"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, raw, packs in zip(*(c.to_pylist() for c in batch.columns)):
                 for p in packs:
                     strings.append((*context(raw, p >> 16, length, gram), doc, p))
@@ -247,8 +254,8 @@ def match_rows(runs: DataFrame, parts: int, length: int, gram: int) -> DataFrame
 
             def close() -> list[tuple]:
                 doc, p = last[1]
-                if best[3]:
-                    return [(doc, p, 0, before, None, None, None, None)]
+                if best[3]:         # repeated whole; in the first order its first row stands for the others
+                    return [(doc, p, 0, before, length if order == 0 else None, None, None, None)]
                 rows = [(doc, p, a, b, None, None, None, None) for a, b in best[2] if a <= b]
                 rows.append((doc, p, None, None, best[0] if order == 0 else None, best[1] if order else None, None, None))
                 return rows
@@ -331,33 +338,34 @@ def border_rows(matches: DataFrame, parts: int, length: int, gram: int) -> DataF
 
 # --- windows that no neighbour decides ---------------------------------------------------
 
-def undecided_windows(matches: DataFrame) -> DataFrame:
-    """(doc, packed, ds): window starts before the anchor that may be repeated, but no neighbour shows it."""
+def distinct_contexts(facts: DataFrame) -> DataFrame:
+    """One row per distinct context: (doc, packed, low, high, ds). Its windows d in low..high may be repeated, those in
+    ``ds`` without a neighbour that shows it."""
     near, far = F.shiftright("packed", 8).bitwiseAND(255), F.col("packed").bitwiseAND(255)
-    per = matches.groupBy("doc", "packed").agg(
+    per = facts.groupBy("doc", "packed").agg(
         F.collect_set(F.when(F.col("low") <= F.col("high"), F.struct("low", "high"))).alias("spans"),
         F.max("right").alias("right"), F.max("left").alias("left"))
-    low = F.greatest(near, F.lit(LENGTH) - F.col("right"))
-    high = F.least(far, F.col("left"))
+    low = F.greatest(near, F.lit(LENGTH) - F.col("right")).cast("int")
+    high = F.least(far, F.coalesce("left", F.lit(LENGTH - GRAM))).cast("int")
     proved = F.flatten(F.transform("spans", lambda s: F.sequence(s["low"], s["high"])))
-    return (per.withColumn("low", low.cast("int")).withColumn("high", high.cast("int"))
-            .filter("right is not null and left is not null and low <= high")
-            .select("doc", "packed", F.array_except(F.sequence("low", "high"), proved).alias("ds"))
-            .filter(F.size("ds") > 0))
+    return (per.filter("right is not null").withColumn("low", low).withColumn("high", high).filter("low <= high")
+            .select("doc", "packed", "low", "high", F.array_except(F.sequence("low", "high"), proved).alias("ds")))
 
 
-def decide(docs: DataFrame, anchors: DataFrame, open_: DataFrame, length: int) -> DataFrame:
-    """(doc, packed, low, high) of undecided windows that are repeated: they and all windows that could equal them
-    (same anchor hash, same distance from it) are compared themselves."""
-    wanted = open_.join(anchors, ["doc", "packed"]).select("hash", F.explode("ds").alias("d")).distinct()
-    near, far = F.shiftright("packed", 8).bitwiseAND(255), F.col("packed").bitwiseAND(255)
-    rows = anchors.join(wanted, "hash").filter((F.col("d") >= near) & (F.col("d") <= far))
-    lists = rows.groupBy("doc").agg(F.collect_set(F.struct("packed", "d")).alias("places"))
+def decide(docs: DataFrame, anchors: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
+    """(doc, packed, low, high) of undecided windows that are repeated: they and the windows of distinct contexts that
+    could equal them (same anchor hash, same distance from it, not ruled out) are compared themselves."""
+    hashed = saved(contexts.join(anchors.distinct(), ["doc", "packed"]), "hashed")
+    wanted = hashed.select("hash", F.explode("ds").alias("d")).distinct().groupBy("hash").agg(F.collect_list("d").alias("ds"))
+    rows = hashed.drop("ds").join(wanted, "hash").withColumn(
+        "ds", F.filter("ds", lambda d: (d >= F.col("low")) & (d <= F.col("high")))).filter(F.size("ds") > 0)
+    lists = rows.groupBy("doc").agg(F.collect_set(F.struct("packed", "ds")).alias("places"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, raw, places in zip(*(c.to_pylist() for c in batch.columns)):
-                cut = [(p["packed"], p["d"], raw[(p["packed"] >> 16) - p["d"]:][:length]) for p in places]
+                cut = [(p["packed"], d, raw[(p["packed"] >> 16) - d:(p["packed"] >> 16) - d + length])
+                       for p in places for d in p["ds"]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc] * len(cut), pa.int64()), pa.array([c[0] for c in cut], pa.int64()),
                      pa.array([c[1] for c in cut], pa.int32()), pa.array([c[2] for c in cut], pa.binary())],
@@ -383,10 +391,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     matches = saved(match_rows(runs, parts, length, gram), "matches")
     facts = matches.filter("border is null").select("doc", "packed", "low", "high", "right", "left")
     facts = facts.unionByName(border_rows(matches, parts, length, gram))
-    open_ = saved(undecided_windows(facts), "undecided")
+    contexts = saved(distinct_contexts(facts), "contexts")
     proved = facts.filter("low <= high").select("doc", "packed", "low", "high")
-    if open_.limit(1).count():
-        proved = proved.unionByName(decide(docs, anchors, open_, length))
+    if contexts.filter(F.size("ds") > 0).limit(1).count():
+        proved = proved.unionByName(decide(docs, anchors, contexts, length))
     near, far = F.shiftright("packed", 8).bitwiseAND(255), F.col("packed").bitwiseAND(255)
     low, high = F.greatest(F.col("low"), near), F.least(F.col("high"), far)
     anchor = F.shiftright("packed", 16)
@@ -412,7 +420,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spans = saved(repeated_spans(keyed.select("doc", "text"), length, gram), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept, removed = [], []
             for raw, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 cut = maximal([(s["start"], s["end"]) for s in found or ()])

@@ -23,21 +23,12 @@ ENTRY = "<HHqq"      # shared prefix, length of the rest, identifier
 def common_prefix(a: bytes, b: bytes, start: int = 0) -> int:
     """Length of the common prefix, known to be at least ``start``."""
     n = min(len(a), len(b))
-    if a[start:n] == b[start:n]:
-        return n
-    low, high = start, n              # equal up to low, different somewhere before high
-    step = 16
-    while low + step < n and a[low:low + step] == b[low:low + step]:
-        low += step
-        step *= 2
-    high = min(n, low + step)
-    while low < high:
-        middle = (low + high + 1) // 2
-        if a[low:middle] == b[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
+    for low, high in ((start, min(start + 32, n)), (start + 32, n)):     # most differences come soon
+        if low < high:
+            x = int.from_bytes(a[low:high]) ^ int.from_bytes(b[low:high])
+            if x:
+                return high - (x.bit_length() + 7) // 8
+    return n
 
 
 def front_coded_blocks(strings: list[bytes], idents: list[tuple[int, int]], splitters: list[bytes]
