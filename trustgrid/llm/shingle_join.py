@@ -261,32 +261,45 @@ def node_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
     return docs.select(text_col).mapInArrow(run, schema)
 
 
-def linking(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) whose sets are similar enough."""
+def compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (a: centre, b) with ``linked``, the centre's size, and how b differs: shingles it lacks and has besides."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return (edges.join(two, "b").join(one, "a").withColumn("common", common)
-            .filter(100 * F.col("common") >= percent * (F.size("set_a") + F.size("set_b") - F.col("common")))
-            .select("a", "b").distinct())
+    common = F.col("n_a") - F.size("lacks")
+    return (edges.join(two, "b").join(one, "a")
+            .select("a", "b", F.size("set_a").alias("n_a"), F.array_except("set_a", "set_b").alias("lacks"),
+                    F.array_except("set_b", "set_a").alias("besides"))
+            .withColumn("linked", 100 * common >= percent * (F.col("n_a") + F.size("besides"))))
+
+
+def indicator(lists: list[np.ndarray]) -> np.ndarray:
+    """0/1 matrix of lists over the values that two or more of them hold."""
+    values, place, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    column = np.cumsum(counts > 1) - 1
+    out = np.zeros((len(lists), int((counts > 1).sum())), np.float32)
+    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    use = counts[place] > 1
+    out[rows[use], column[place[use]]] = 1
+    return out
 
 
 def block_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links between members of different components of one block pair, as a spanning forest."""
-    sets = [np.unique(np.array(s, np.int64)) for s in table.column("shingles").to_pylist()]
-    node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
+    """Links between members of different components of one block pair, as a spanning forest.
+
+    With c the centre's set: common(x, y) = |c| - |c - x| - |c - y| + |(c - x) & (c - y)| + |(x - c) & (y - c)|.
+    """
+    node, comp, centre = (table.column(c).to_numpy() for c in ("node", "comp", "n_a"))
     _, keep = np.unique(node, return_index=True)
-    sets, node, comp = [sets[i] for i in keep], node[keep], comp[keep]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    values, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rows = np.repeat(np.arange(len(sets)), sizes)
-    everywhere = counts == len(sets)
-    some = (counts > 1) & ~everywhere                     # columns that tell pairs apart
-    column = np.cumsum(some) - 1
-    matrix = np.zeros((len(sets), int(some.sum())), np.float32)
-    use = some[place]
-    matrix[rows[use], column[place[use]]] = 1
-    common = (matrix @ matrix.T).astype(np.int64) + int(everywhere.sum())
+    node, comp, centre = node[keep], comp[keep], centre[keep].astype(np.int64)
+    own = {}
+    for name in ("lacks", "besides"):
+        lists = table.column(name).combine_chunks()
+        values, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        own[name] = [values[offs[i]:offs[i + 1]] for i in keep]
+    lack, more = (np.array([len(x) for x in own[name]], np.int64) for name in ("lacks", "besides"))
+    both, extra = (indicator(own[name]) for name in ("lacks", "besides"))
+    sizes = centre - lack + more
+    common = centre[:, None] - lack[:, None] - lack[None, :] + (both @ both.T + extra @ extra.T).astype(np.int64)
     union = sizes[:, None] + sizes[None, :] - common
     links = np.argwhere(np.triu((100 * common >= percent * union) & (comp[:, None] != comp[None, :]), 1))
     parent: dict[int, int] = {}
@@ -305,10 +318,10 @@ def block_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
-def rest_links(members: DataFrame, centres: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def rest_links(members: DataFrame, centres: DataFrame, comps: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """Links that the comparison with the centres did not show, from buckets that still hold several components."""
     others = (members.join(centres, "sig").filter(F.col("node") != F.col("centre"))
-              .join(comps, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp")))
+              .join(comps, "node", "left").select("sig", "centre", "node", F.coalesce("comp", "node").alias("comp")))
     buckets = others.groupBy("sig").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("name"))
     # buckets with the same members are compared once
@@ -317,16 +330,19 @@ def rest_links(members: DataFrame, centres: DataFrame, comps: DataFrame, sets: D
     mine = F.pmod(F.xxhash64("node"), blocks)
     pairs = (others.join(once.select("sig", "n"), "sig").withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-             .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp"))
-    return (pairs.join(sets, "node").groupBy("sig", "i", "j")
-            .applyInArrow(lambda t: block_links(t, percent), "a long, b long").distinct())
+             .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                     F.col("centre").alias("a"), F.col("node").alias("b"), "comp"))
+    return (pairs.join(edges.drop("linked"), ["a", "b"])
+            .select("sig", "i", "j", F.col("b").alias("node"), "comp", "n_a", "lacks", "besides")
+            .groupBy("sig", "i", "j").applyInArrow(lambda t: block_links(t, percent), "a long, b long").distinct())
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id): the smallest id reachable by links; one row per document."""
     nodes = saved(document_nodes(docs, id_col, text_col, size), "nodes")
-    members = saved(shared_signatures(docs, id_col, text_col, size, percent), "members").distinct()
+    members = saved(shared_signatures(docs, id_col, text_col, size, percent), "shared")
+    members = saved(members.distinct(), "members")
     share = members.groupBy("node").agg(F.count("*").alias("n"))
     centres = (members.join(share, "node").groupBy("sig").agg(F.max(F.struct("n", "node")).alias("top"))
                .select("sig", F.col("top.node").alias("centre")))
@@ -338,8 +354,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .groupBy("node").agg(F.min(id_col).alias(id_col)).select(id_col).distinct())
     sets = saved(node_sets(small_filter(docs.select(id_col, text_col), wanted, id_col), id_col, text_col, size)
                  .dropDuplicates(["node"]), "sets")
-    links = saved(linking(edges, sets, percent), "links")
-    more = saved(rest_links(members, centres, connected_components(links), sets, percent), "more_links")
+    edges = saved(compared(edges, sets, percent), "compared")
+    links = edges.filter("linked").select("a", "b")
+    more = saved(rest_links(members, centres, connected_components(links), edges, percent), "more_links")
     comps = connected_components(saved(links.unionByName(more), "all_links"))
     named = nodes.filter(f"n_shingles > 0 and {id_col} is not null").groupBy("node").agg(F.min(id_col).alias("low"))
     named = named.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
