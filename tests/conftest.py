@@ -24,7 +24,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from trustgrid.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(s)
+    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="trustgrid-ckpt-", dir="/tmp"))
     yield s
 
 

@@ -1,6 +1,7 @@
 import duckdb
 
 import __spark_entry__ as E
+from trustgrid.plans.catalog import REGISTRY
 from trustgrid.sources.tables import TABLES, table_path
 
 SF = "/root/testdata/sf0.001"
@@ -28,8 +29,7 @@ def test_oracle_sql_runs_on_duckdb():
         con.execute(sql).fetchall()
 
 
-REPORT_PAGES = {"lowest_verdicts", "facility_scorecard", "facility_search", "facility_simulated_fixes",
-                "ambiguous_queue", "top_need_districts", "most_flagged_districts", "state_summary_page"}
+REPORT_PAGES = {"lowest_verdicts", "facility_scorecard", "ambiguous_queue", "top_need_districts", "most_flagged_districts", "state_summary_page"}
 
 
 def test_views_read_whole_tables():
@@ -46,13 +46,20 @@ def test_limits_only_on_report_pages():
             assert name in REPORT_PAGES, name
 
 
+def test_limits_in_spark_plans_only_on_report_pages(spark):
+    for name, q in REGISTRY.items():
+        plan = q.build(spark, SF)._jdf.queryExecution().analyzed().toString()
+        if "GlobalLimit" in plan:
+            assert name in REPORT_PAGES, name
+
+
 GROWING = ("customer", "part", "orders", "lineitem", "documents", "labels", "events", "supplier",
            "conversations", "pages", "embeddings")
 
 
 def test_every_query_reads_a_growing_table(spark):
     import os
-    for name, build in E.queries().items():
+    for name, build in ((n, q.build) for n, q in REGISTRY.items()):
         files = build(spark, SF).inputFiles()
         tables = {os.path.basename(f).split(".")[0] for f in files}
         assert tables & set(GROWING), (name, tables)

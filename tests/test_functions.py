@@ -34,10 +34,11 @@ def test_place_key(spark, raw, expected):
     assert one(spark, raw, text.place_key) == expected
 
 
-def test_legacy_key_differences(spark):
-    assert one(spark, "A & N Islands", text.legacy_place_key) == "a n islands"
-    assert one(spark, "Bengalūru", text.legacy_place_key) == "bengalru"
-    assert one(spark, "  ", text.legacy_place_key) == ""
+def test_canonical_key_on_ampersands_accents_and_blanks(spark):
+    # T1: the older form gave "a n islands", "bengalru" and "" here
+    assert one(spark, "A & N Islands", text.place_key) == "a and n islands"
+    assert one(spark, "Bengalūru", text.place_key) == "bengaluru"
+    assert one(spark, "  ", text.place_key) is None
 
 
 @pytest.mark.parametrize("raw,value,sup,low,unparsed", [

@@ -150,3 +150,25 @@ def test_admin_csv_landing_matches_memory_path(spark, scratch):
     a = sorted(silver.admin_long(landed).collect())
     b = sorted(silver.admin_long(wide).collect())
     assert a == b and len(a) == 25 * 8 * 26
+
+
+def test_files_added_under_a_partition_are_read(spark, scratch):
+    from trustgrid.sources.tables import read_table
+    path = f"{scratch}/region.parquet"
+    spark.range(10).selectExpr("id", "1 as p").write.partitionBy("p").parquet(path)
+    assert read_table(spark, scratch, "region").count() == 10
+    spark.range(3).selectExpr("id").write.mode("append").parquet(f"{path}/p=1")
+    assert read_table(spark, scratch, "region").count() == 13
+
+
+def test_run_id_is_utc_in_any_session_zone(spark):
+    from datetime import datetime, timezone
+    from trustgrid.sources.io import run_id_column
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        got = spark.range(1).select(run_id_column("r").alias("x")).first().x
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    stamp = datetime.strptime(got, "r-%Y%m%dT%H%M%SZ").replace(tzinfo=timezone.utc)
+    assert abs((datetime.now(timezone.utc) - stamp).total_seconds()) < 120

@@ -160,3 +160,25 @@ def test_hot_key_rollup_is_pre_aggregated(spark):
                               force_salt=True, hot_threshold=500)
     assert sorted(plain.collect()) == sorted(salted.collect())
     assert plain.count() == n
+
+
+def test_zero_weights_give_null_scores_instead_of_a_failed_job(spark):
+    from pyspark.sql import functions as F
+    from trustgrid.operators.fix import before_after, rank_fixes
+    from trustgrid.operators.score import trust_verdict_long
+    dims = spark.createDataFrame([("e", "d", 1, 0.5, 0.0, False, False)],
+                                 "e string, dimension string, ordinal int, score double, weight double, "
+                                 "low_confidence boolean, is_missing boolean")
+    assert trust_verdict_long(dims, ["e"]).first().numeric_score is None
+    assert rank_fixes(dims, ["e"], F.lit(1.0)).first().score_lift is None
+    assert before_after(dims, ["e"], F.lit(1.0)).first().score_before is None
+
+
+def test_corroboration_bands_and_rejects_cover_the_input(spark):
+    from trustgrid.operators.corroborate import corroboration_bands, corroboration_rejects, thresholds_frame
+    known = thresholds_frame(spark).first().indicator
+    pairs = spark.createDataFrame([("a", known, 1.0, 2.0), ("b", "no such", 1.0, 2.0), ("c", None, 1.0, 2.0)],
+                                  "e string, indicator string, source_a double, source_b double")
+    rejects = {r.e: r.reject_reason for r in corroboration_rejects(pairs, spark).collect()}
+    assert rejects == {"b": "no_threshold", "c": "missing_indicator"}
+    assert corroboration_bands(pairs, spark).count() + len(rejects) == 3

@@ -109,15 +109,6 @@ def place_key(col: Column | str) -> Column:
     return F.nullif(s, F.lit(""))
 
 
-def legacy_place_key(col: Column) -> Column:
-    """The older key form kept for comparison: trim, lower, drop, collapse.
-
-    It keeps ``""`` and does not fold accents; see tests for the differences.
-    """
-    s = F.regexp_replace(F.lower(F.trim(col)), r"[^0-9a-z ]+", "")
-    return F.when(col.isNotNull(), F.regexp_replace(s, r"\s+", " "))
-
-
 def code6_in_text(col: Column) -> Column:
     """A stand-alone six-digit code inside free text, else null.
 

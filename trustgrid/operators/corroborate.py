@@ -35,6 +35,16 @@ def gap_band(gap, green, red):
             .when(gap.isNotNull(), F.lit("amber")))
 
 
+def corroboration_rejects(pairs: DataFrame, spark: SparkSession) -> DataFrame:
+    """The rows of ``pairs`` that ``corroboration_bands`` cannot band, with the reason."""
+    th = F.broadcast(thresholds_frame(spark).select(F.col("indicator").alias("_known")))
+    why = (F.when(F.col("indicator").isNull(), "missing_indicator")
+           .when(F.col("indicator").isin(*EXCLUDED), "excluded_indicator")
+           .when(F.col("_known").isNull(), "no_threshold"))
+    return (pairs.join(th, F.col("indicator") == F.col("_known"), "left")
+            .withColumn("reject_reason", why).where(F.col("reject_reason").isNotNull()).drop("_known"))
+
+
 def corroboration_bands(pairs: DataFrame, spark: SparkSession) -> DataFrame:
     """``pairs``: entity columns, ``indicator``, ``source_a``, ``source_b`` (percent points)."""
     th = F.broadcast(thresholds_frame(spark))

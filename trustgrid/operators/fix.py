@@ -34,7 +34,7 @@ def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scal
     """
     w_entity = Window.partitionBy(*entity_cols)
     weight = F.coalesce(F.col("weight"), F.lit(1.0))
-    lift = (1.0 - F.col("score")) * weight / F.sum(weight).over(w_entity)
+    lift = F.try_divide((1.0 - F.col("score")) * weight, F.sum(weight).over(w_entity))
     boost = F.when(F.col("is_missing") & (weight >= HIGH_WEIGHT_MIN), F.lit(MISSING_BOOST)).otherwise(F.lit(1.0))
     ranked = (dims.where(score_is_valid(F.col("score")))
               .withColumn("score_lift", lift)
@@ -56,7 +56,7 @@ def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, sc
     """Verdict before and after applying each entity's rank-1 fix."""
     w_entity = Window.partitionBy(*entity_cols)
     weight = F.coalesce(F.col("weight"), F.lit(1.0))
-    lift = (1.0 - F.col("score")) * weight / F.sum(weight).over(w_entity)
+    lift = F.try_divide((1.0 - F.col("score")) * weight, F.sum(weight).over(w_entity))
     boost = F.when(F.col("is_missing") & (weight >= HIGH_WEIGHT_MIN), F.lit(MISSING_BOOST)).otherwise(F.lit(1.0))
     prio = F.when(F.col("score") < 1.0, lift * impact.cast("double") * boost)
     order = Window.partitionBy(*entity_cols).orderBy(F.desc_nulls_last("_prio"), F.asc("ordinal"))
@@ -76,7 +76,7 @@ def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, sc
         F.bool_or(low).alias("_l0"), F.bool_or(fixed_low).alias("_l1"),
         F.max(F.when(F.col("_is_fix"), F.col("dimension"))).alias("fixed_dimension"),
     )
-    staged = agg.withColumns({"_m0": F.col("_sw0") / F.col("_w"), "_m1": F.col("_sw1") / F.col("_w")})
+    staged = agg.withColumns({"_m0": F.try_divide("_sw0", "_w"), "_m1": F.try_divide("_sw1", "_w")})
     staged = staged.withColumns({
         "_b0": rank_band(capped_rank(score_rank(F.col("_m0")), score_rank(F.col("_k0.score")), F.col("_l0"))),
         "_b1": rank_band(capped_rank(score_rank(F.col("_m1")), score_rank(F.col("_k1.score")), F.col("_l1"))),

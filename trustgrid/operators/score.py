@@ -201,7 +201,7 @@ def trust_verdict_long(dims: DataFrame, entity_cols: Sequence[str], score_scale:
         F.count_if(~valid).alias("_invalid"),
     ).where(F.col("_invalid") == 0)
     staged = agg.withColumns({
-        "_mean": F.col("_sw") / F.col("_w"),
+        "_mean": F.try_divide(F.col("_sw"), F.col("_w")),
         "_ws": F.col("_weakest.score"),
         "_wn": F.col("_weakest.name"),
         "_cap": F.col("any_low_confidence") | F.col("_only_weak"),

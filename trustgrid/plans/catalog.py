@@ -381,12 +381,17 @@ def _facility_provenance(spark, sf_dir):
     return ent.facility_provenance(fx.view(spark, sf_dir, "v_facilities"))
 
 
-O_SCORECARD = {**O_VERDICTS, "scorecard": q.SCORECARD}
+O_SCORECARD = {**O_VERDICTS, "scorecard": q.SCORECARD_ALL}
+
+
+def scorecard_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    geo = facility_geo_df(spark, sf_dir)
+    return reports.facility_scorecard(geo, gold.facility_verdicts(geo), pinned=reports.DEFAULT_PIN, n=None)
 
 
 @register("facility_simulated_fixes", _with(ql.SIMULATED_FIXES, **O_SCORECARD), ("SC-28",))
 def _simulated(spark, sf_dir):
-    return reports.simulated_fixes(_facility_scorecard(spark, sf_dir))
+    return reports.simulated_fixes(scorecard_df(spark, sf_dir))
 
 
 SEARCH_TERM = "nation_1"
@@ -394,7 +399,7 @@ SEARCH_TERM = "nation_1"
 
 @register("facility_search", _with(ql.search_sql(SEARCH_TERM), **O_SCORECARD), ("FLT-5",))
 def _search(spark, sf_dir):
-    return reports.facility_search(_facility_scorecard(spark, sf_dir), SEARCH_TERM)
+    return reports.facility_search(scorecard_df(spark, sf_dir), SEARCH_TERM)
 
 
 @register("keep_list_offices", _with(ql.KEEP_LIST), ("SRC-9",))

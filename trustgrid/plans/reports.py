@@ -29,8 +29,9 @@ def lowest_verdicts(verdicts: DataFrame, n: int = 8) -> DataFrame:
 
 
 def facility_scorecard(geo: DataFrame, verdicts: DataFrame, pinned: str | None = None,
-                       n: int = 5000) -> DataFrame:
-    """Per-facility score with its state's verdict; pinned names first, then by name.
+                       n: int | None = 5000) -> DataFrame:
+    """Per-facility score with its state's verdict. ``n`` rows make the page, pinned names first, then by name;
+    without ``n`` all facilities, unordered: the frame that searches, simulations and joins work on.
 
     The verdict side is one row per state key, so the left join keeps the
     facility count.
@@ -39,7 +40,10 @@ def facility_scorecard(geo: DataFrame, verdicts: DataFrame, pinned: str | None =
     v = verdicts.select(*c["verdict"])
     f = geo.where(c["filter"])
     j = f.join(v, f["source_state_key"] == v["_v_key"], "left")
-    return j.withColumns(c["stage"]).orderBy("_pin", "name", "unique_id").limit(n).select(*c["output"])
+    j = j.withColumns(c["stage"])
+    if n is not None:
+        j = j.orderBy("_pin", "name", "unique_id").limit(n)
+    return j.select(*c["output"])
 
 
 @lru_cache(maxsize=16)

@@ -214,6 +214,9 @@ FROM (
   ORDER BY pin, f.name, f.unique_id LIMIT 5000) x
 """
 
+SCORECARD_PAGE = "ORDER BY pin, f.name, f.unique_id LIMIT 5000"
+SCORECARD_ALL = SCORECARD.replace(SCORECARD_PAGE, "")
+
 ENRICH = """
 SELECT l.*, d.state_name AS survey_state_name, d.district_name AS survey_district_name,
   d.women_anaemia_percent AS survey_women_anaemia_percent,

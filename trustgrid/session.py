@@ -7,7 +7,6 @@ benchmarks and local runs; on a cluster the caller's session is used as is.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -39,12 +38,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder comes from the session conf and is never
-    overridden. Only when it is unset (local tests, benchmarks) a fresh
-    scratch folder is created, or ``fallback`` is used.
+    overridden. When it is unset the caller has to name one (``fallback``);
+    a machine-local folder is never made up.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
-        configured = fallback or tempfile.mkdtemp(prefix="trustgrid-ckpt-", dir="/tmp")
+        if not fallback:
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        configured = fallback
         spark.conf.set(CHECKPOINT_CONF, configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured

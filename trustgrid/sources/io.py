@@ -120,7 +120,8 @@ def keep_list_filter(df: DataFrame, candidates: Sequence[str], keep: Sequence[st
 
 def run_id_column(prefix: str) -> F.Column:
     """``prefix-YYYYMMDDThhmmssZ`` computed once per query."""
-    return F.concat(F.lit(prefix + "-"), F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss'Z'"))
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.concat(F.lit(prefix + "-"), F.date_format(utc, "yyyyMMdd'T'HHmmss'Z'"))
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
