@@ -35,6 +35,7 @@ PERCENT = 90
 CHUNK = 1 << 20
 FLUSH = 1 << 20
 BLOCK = 512
+SPARE = 10          # one partition in so many is there to be left out
 
 
 # --- sets ----------------------------------------------------------------------------
@@ -114,7 +115,8 @@ class PartEnum:
     def scheme(self, band: int) -> tuple[int, int, np.ndarray]:
         """(n1, n2, subsets): n1 * (k2 + 1) > k, each subset names n2 - k2 of n2 partitions.
 
-        Small sets get large subsets, so that a signature always stands for several shingles.
+        Small sets get large subsets, so that a signature always stands for several shingles. Larger ones have single
+        partitions, some more than needed, so that each set can leave out its lightest (see ``lightest``).
         """
         if band not in self.schemes:
             k = self.differences(band)
@@ -125,13 +127,24 @@ class PartEnum:
             elif k <= 8:
                 n1, n2, k2 = 1, k + 2, k
             else:
-                n1, n2, k2 = k // 2 + 1, 2, 1
+                n1, n2, k2 = k + 1 + k // SPARE, 1, 0
             subsets = np.zeros((n2, len(list(combinations(range(n2), n2 - k2)))))
             for i, s in enumerate(combinations(range(n2), n2 - k2)):
                 subsets[list(s), i] = 1
             self.schemes[band] = (n1, n2, subsets)
         return self.schemes[band]
 
+    def lightest(self, band: int, size: int, loads: np.ndarray) -> int:
+        """Fewest shingles of a partition that a set of ``size`` has to show in an instance of single partitions.
+
+        A linking partner changes at most k of this set's partitions. If more than k hold ``t`` shingles or more, one
+        of them is unchanged, whatever the light ones do; of two sets the one with the larger ``t`` proves it, and the
+        other shows that partition too. Without enough such partitions all are shown (0), empty ones included.
+        """
+        partner = min(self.highs[band], 100 * size // self.percent)
+        k = (100 - self.percent) * (size + partner) // (100 + self.percent)
+        return int(np.partition(loads, len(loads) - k - 1)[len(loads) - k - 1])
+
     def signatures(self, value: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Signatures of one set: in its own band's instance and, as the smaller partner, in the next one's.
 
@@ -146,6 +159,10 @@ class PartEnum:
             a = (np.bincount(place, low, parts).reshape(n1, n2) @ subsets).ravel()
             b = (np.bincount(place, high, parts).reshape(n1, n2) @ subsets).ravel()
             slot = np.uint64(band << 32) + np.arange(len(a), dtype=np.uint64)
+            if n2 == 1 and n1 > 1:
+                loads = np.bincount(place, minlength=parts)
+                shown = loads >= self.lightest(band, len(value), loads)
+                a, b, slot = a[shown], b[shown], slot[shown]
             out.append(mix(mix(a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64))
                            + mix(slot + np.uint64(1))))
         return np.concatenate(out)
