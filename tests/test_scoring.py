@@ -182,3 +182,30 @@ def test_corroboration_bands_and_rejects_cover_the_input(spark):
     rejects = {r.e: r.reject_reason for r in corroboration_rejects(pairs, spark).collect()}
     assert rejects == {"b": "no_threshold", "c": "missing_indicator"}
     assert corroboration_bands(pairs, spark).count() + len(rejects) == 3
+
+
+def test_fixes_agree_with_the_verdict(spark):
+    from pyspark.sql import functions as F
+    from trustgrid.operators.fix import before_after, rank_fixes
+
+    schema = ("e string, dimension string, ordinal int, score double, weight double, low_confidence boolean, "
+              "is_missing boolean, weak_signal boolean")
+    dims = spark.createDataFrame([
+        ("weak", "a", 0, 0.95, 1.0, False, False, True), ("weak", "b", 1, 0.9, 1.0, False, False, True),
+        ("bad", "a", 0, 0.95, 1.0, False, False, False), ("bad", "b", 1, 1.5, 1.0, False, False, False),
+        ("ok", "a", 0, 0.9, 1.0, False, False, False), ("ok", "b", 1, 0.95, 1.0, False, False, False)], schema)
+    verdicts = {r["e"]: (r["numeric_score"], r["band"]) for r in trust_verdict_long(dims, ["e"]).collect()}
+    before = {r["e"]: (r["score_before"], r["band_before"]) for r in before_after(dims, ["e"], F.lit(1.0)).collect()}
+    assert before == verdicts == {"weak": (0.925, "amber"), "ok": (0.925, "green")}
+    assert {r["e"] for r in rank_fixes(dims, ["e"], F.lit(1.0)).collect()} == {"weak", "ok"}
+
+
+def test_scores_out_of_range_and_huge_values(spark):
+    from pyspark.sql import functions as F
+    from trustgrid.operators.score import round_half_up
+
+    df = spark.createDataFrame([(1.2, 0.9), (0.9, 0.95)], "a double, b double")
+    rows = with_verdict(df, [Dimension("a", F.col("a")), Dimension("b", F.col("b"))]).orderBy("a").collect()
+    assert [(r["numeric_score"], r["band"], r["reason"]) for r in rows][1] == (None, None, None)
+    assert rows[0]["band"] == "green"
+    assert spark.range(1).select(round_half_up(F.lit(1e32), 2).alias("x")).first()["x"] is None

@@ -8,6 +8,11 @@ entity key, so no global sort and no single-task window at any scale.
 ``before_after`` applies each entity's top fix (score -> 1, confidence
 restored) and re-scores both versions inside ONE aggregation on the entity
 key, reusing the window's partitioning.
+
+Both follow the verdict: an entity with any score that cannot be scored (null
+or outside 0-1) has no verdict, so it gets no fixes and no re-scoring either
+(its rows are in ``score_rejects``), and an entity with weak signals only
+stays at amber.
 """
 
 from __future__ import annotations
@@ -36,8 +41,9 @@ def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scal
     weight = F.coalesce(F.col("weight"), F.lit(1.0))
     lift = F.try_divide((1.0 - F.col("score")) * weight, F.sum(weight).over(w_entity))
     boost = F.when(F.col("is_missing") & (weight >= HIGH_WEIGHT_MIN), F.lit(MISSING_BOOST)).otherwise(F.lit(1.0))
-    ranked = (dims.where(score_is_valid(F.col("score")))
-              .withColumn("score_lift", lift)
+    invalid = F.count_if(~score_is_valid(F.col("score"))).over(w_entity)
+    ranked = (dims.withColumns({"_invalid": invalid, "score_lift": lift})
+              .where(F.col("_invalid") == 0)
               .withColumn("impact", impact.cast("double"))
               .withColumn("priority", F.col("score_lift") * F.col("impact") * boost)
               .where(F.col("score") < 1.0))
@@ -60,8 +66,8 @@ def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, sc
     boost = F.when(F.col("is_missing") & (weight >= HIGH_WEIGHT_MIN), F.lit(MISSING_BOOST)).otherwise(F.lit(1.0))
     prio = F.when(F.col("score") < 1.0, lift * impact.cast("double") * boost)
     order = Window.partitionBy(*entity_cols).orderBy(F.desc_nulls_last("_prio"), F.asc("ordinal"))
-    staged = (dims.where(score_is_valid(F.col("score")))
-              .withColumn("_prio", prio)
+    weak = F.coalesce(F.col("weak_signal"), F.lit(False)) if "weak_signal" in dims.columns else F.lit(False)
+    staged = (dims.withColumn("_prio", prio)
               .withColumn("_is_fix", (F.row_number().over(order) == 1) & F.col("_prio").isNotNull()))
     low = F.coalesce(F.col("low_confidence"), F.lit(False))
     fixed_score = F.when(F.col("_is_fix"), F.lit(1.0)).otherwise(F.col("score"))
@@ -73,10 +79,12 @@ def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, sc
                        F.col("dimension").alias("name"))).alias("_k0"),
         F.min(F.struct(fixed_score.alias("score"), F.col("ordinal").alias("ord"),
                        F.col("dimension").alias("name"))).alias("_k1"),
-        F.bool_or(low).alias("_l0"), F.bool_or(fixed_low).alias("_l1"),
+        F.bool_or(low).alias("_low0"), F.bool_or(fixed_low).alias("_low1"), F.bool_and(weak).alias("_only_weak"),
+        F.count_if(~score_is_valid(F.col("score"))).alias("_invalid"),
         F.max(F.when(F.col("_is_fix"), F.col("dimension"))).alias("fixed_dimension"),
-    )
-    staged = agg.withColumns({"_m0": F.try_divide("_sw0", "_w"), "_m1": F.try_divide("_sw1", "_w")})
+    ).where(F.col("_invalid") == 0)
+    staged = agg.withColumns({"_m0": F.try_divide("_sw0", "_w"), "_m1": F.try_divide("_sw1", "_w"),
+                              "_l0": F.col("_low0") | F.col("_only_weak"), "_l1": F.col("_low1") | F.col("_only_weak")})
     staged = staged.withColumns({
         "_b0": rank_band(capped_rank(score_rank(F.col("_m0")), score_rank(F.col("_k0.score")), F.col("_l0"))),
         "_b1": rank_band(capped_rank(score_rank(F.col("_m1")), score_rank(F.col("_k1.score")), F.col("_l1"))),

@@ -108,7 +108,7 @@ def resolve_geography(df: DataFrame, polygon_district: str, verified_district: s
                       code_district: str, has_coords: str) -> DataFrame:
     """Pick polygon, then verified field, then code lookup, then manual review.
 
-    A stated / looked-up district that disagrees with the polygon is logged
+    A verified or looked-up district that disagrees with the polygon is logged
     as a conflict (the polygon wins). No usable coordinates and no other
     source leaves the point unresolved and red.
     """
@@ -118,8 +118,8 @@ def resolve_geography(df: DataFrame, polygon_district: str, verified_district: s
               .when(verified.isNotNull(), F.lit("verified_field"))
               .when(F.col(code_district).isNotNull(), F.lit("code_lookup"))
               .otherwise(F.lit("manual_review")))
-    conflict = F.coalesce(F.col(polygon_district).isNotNull() & F.col(code_district).isNotNull()
-                          & (F.col(polygon_district) != F.col(code_district)), F.lit(False))
+    conflict = (F.coalesce(F.col(polygon_district) != verified, F.lit(False))
+                | F.coalesce(F.col(polygon_district) != F.col(code_district), F.lit(False)))
     return df.withColumns({
         "resolved_district": resolved,
         "resolution_method": method,

@@ -29,8 +29,9 @@ def round_half_up(col: Column, scale: int) -> Column:
 
     Going through DECIMAL(38,10) removes binary noise such as
     ``0.725 == 0.72499999999999997``, so every engine rounds the same way.
+    A value too large for that type gives null instead of failing the job.
     """
-    return F.round(col.cast("decimal(38,10)"), scale).cast("double")
+    return F.round(col.try_cast("decimal(38,10)"), scale).cast("double")
 
 
 def _cut(score: Column) -> Column:
@@ -40,7 +41,7 @@ def _cut(score: Column) -> Column:
     order of summation (0.85 vs 0.8499999999999999); comparing at 10
     decimals makes the band independent of that order, on every engine.
     """
-    return score.cast("decimal(38,10)")
+    return score.try_cast("decimal(38,10)")
 
 
 def band(score: Column, green_min: float = GREEN_MIN, amber_min: float = AMBER_MIN) -> Column:
@@ -132,7 +133,8 @@ def with_verdict(df: DataFrame, dims: Sequence[Dimension], score_scale: int = 4,
 
     Adds numeric_score, band_by_mean, weakest_score, binding_dimension,
     any_low_confidence, band, reason. A null dimension score counts as
-    missing: score 0 and low confidence. With ``cache_key`` (a name for a
+    missing: score 0 and low confidence. A row with a score outside 0-1 gets
+    no verdict (null columns), as in the long form. With ``cache_key`` (a name for a
     fixed dimension set) the expression stages are built once per process.
     """
     if not dims:
@@ -164,7 +166,11 @@ def _verdict_stages(dims: Sequence[Dimension], score_scale: int) -> list:
     for lo in lows[1:]:
         any_low = any_low | lo
     only_weak = all(d.weak_signal for d in dims)
-    stages.append(("with", {"_mean": mean, "_weakest": F.least(*structs) if len(structs) > 1 else structs[0],
+    in_range = score_is_valid(F.col("_d0"))
+    for i in range(1, len(dims)):
+        in_range = in_range & score_is_valid(F.col(f"_d{i}"))
+    weakest = F.least(*structs) if len(structs) > 1 else structs[0]
+    stages.append(("with", {"_mean": F.when(in_range, mean), "_weakest": F.when(in_range, weakest),
                             "any_low_confidence": any_low}))
     stages.append(("with", {"_cap": F.col("any_low_confidence") | F.lit(only_weak)}))
     stages.append(("with", {"_ws": F.col("_weakest.score"), "_wn": F.col("_weakest.name")}))

@@ -101,7 +101,8 @@ def need_ranking(context: DataFrame, scale: int = 6) -> DataFrame:
 
 @lru_cache(maxsize=None)
 def _need_columns(scale: int) -> tuple:
-    m = {k: F.col(k) for k in SURVEY_METRICS}
+    # a cell too large for a decimal is no percentage: it counts as missing
+    m = {k: F.when(F.abs(F.col(k)) < 1e28, F.col(k)) for k in SURVEY_METRICS}
     missing = sum((F.when(m[k].isNull(), 1).otherwise(0) for k in NEED_METRICS), F.lit(0))
     flagged = (F.col("suppressed_indicator_count") > 0) | (F.col("low_sample_estimate_count") > 0)
     return (
