@@ -293,6 +293,23 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [np.log(total("▁" + w)) for w in ws])
 
 
+def test_lattice_lists_every_piece():
+    """The walk over the tree of pieces against a look-up of every substring."""
+    from trustgrid.llm.language_id import Lattice
+    rnd = random.Random(5)
+    pieces = sorted({"".join(rnd.choice("abc\u2581é") for _ in range(rnd.randint(1, 4))) for _ in range(60)})
+    words = ["", "x", "zzz"] + ["".join(rnd.choice("abcé\u2581x😀") for _ in range(rnd.randint(0, 9))) for _ in range(200)]
+    for vocabulary in (pieces, []):
+        index = {p: i for i, p in enumerate(vocabulary)}
+        want = {(j, j - i, w, index.get(word[i:j], -1)) for w, word in enumerate(words) for i in range(len(word))
+                for j in range(i + 1, len(word) + 1) if word[i:j] in index or j == i + 1}
+        rows = [(end, size, int(w), int(p)) for end, size, ws, ps in Lattice(vocabulary).edges(words)
+                for w, p in zip(ws, ps)]
+        assert len(rows) == len(set(rows)) and set(rows) == want
+        assert [r[:2] for r in rows] == sorted(r[:2] for r in rows)
+    assert Lattice(pieces).edges([]) == []
+
+
 def test_language_and_quality_on_held_out_rows(spark):
     from trustgrid.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"

@@ -58,26 +58,58 @@ def parts_of(word: str) -> list[str]:
 
 
 class Lattice:
-    """All segmentations of many words at once: per end place and piece length, the piece id or -1."""
+    """All segmentations of many words at once: per end place and piece length, the piece id or -1.
+
+    The pieces form a tree of characters, kept as one sorted array of (node, character) steps. All starts of all words
+    walk it together, one character at a time; a start drops out where no piece goes on.
+    """
 
     def __init__(self, pieces: list[str]):
-        self.index = {p: i for i, p in enumerate(pieces)}
-        self.longest = max((len(p) for p in pieces), default=1)
+        chars = sorted(set("".join(pieces)))
+        number = {c: i for i, c in enumerate(chars)}
+        self.n_chars = len(chars) + 1                           # the last number is any other character
+        self.chars = np.array([*map(ord, chars), 0xFFFFFFFF], np.uint32)
+        steps: dict[int, int] = {}
+        ends: dict[int, int] = {}
+        for i, piece in enumerate(pieces):
+            node = 0
+            for c in piece:
+                node = steps.setdefault(node * self.n_chars + number[c], len(steps) + 1)
+            ends[node] = i
+        order = sorted(steps)
+        self.steps = np.array([*order, np.iinfo(np.int64).max], np.int64)
+        self.child = np.array([*(steps[k] for k in order), 0], np.int64)
+        self.piece = np.full(len(steps) + 1, -1, np.int64)
+        self.piece[list(ends)] = list(ends.values())
 
     def edges(self, words: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """(end, length, word numbers, piece ids), ends ascending; ids of unknown single characters are -1."""
-        found: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        get, longest = self.index.get, self.longest
-        for w, word in enumerate(words):
-            n = len(word)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    piece = get(word[i:j], -1)
-                    if piece >= 0 or j == i + 1:
-                        rows = found.setdefault((j, j - i), ([], []))
-                        rows[0].append(w)
-                        rows[1].append(piece)
-        return [(end, size, np.array(a), np.array(b)) for (end, size), (a, b) in sorted(found.items())]
+        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = np.searchsorted(self.chars, text)
+        code = np.where(self.chars[code] == text, code, self.n_chars - 1)
+        lengths = np.array([len(w) for w in words], np.int64)
+        word = np.repeat(np.arange(len(words)), lengths)
+        start = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        left = lengths[word] - start
+        at, node, size, found = np.arange(len(text)), np.zeros(len(text), np.int64), 0, []
+        while len(at):
+            size += 1
+            step = node * self.n_chars + code[at + size - 1]
+            place = np.searchsorted(self.steps, step)
+            hit = self.steps[place] == step
+            node = self.child[place]
+            piece = np.where(hit, self.piece[node], -1)
+            use = (piece >= 0) | (size == 1)
+            end = start[at[use]] + size
+            order = np.argsort(end, kind="stable")
+            end, rows, ids = end[order], word[at[use]][order], piece[use][order]
+            cuts = np.flatnonzero(np.diff(end)) + 1
+            for e, w, i in zip(np.split(end, cuts), np.split(rows, cuts), np.split(ids, cuts)):
+                if len(e):
+                    found.append((int(e[0]), size, w, i))
+            on = hit & (left[at] > size)
+            at, node = at[on], node[on]
+        return sorted(found, key=lambda x: x[:2])
 
 
 def forward(edges, probs: np.ndarray, n_words: int, width: int) -> np.ndarray:
