@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from trustgrid.functions.schema import resolve_roles
 from trustgrid.operators import lookup as lk
 from trustgrid.operators.reshape import melt, pivot_fixed
 from trustgrid.plans import catalog, silver
@@ -136,3 +137,20 @@ def test_extract_flag_null_safe(spark):
     df = spark.createDataFrame([("NICU ward",), (None,)], "t string")
     got = [r[0] for r in df.select(extract_flag(F.col("t"), FLAG_PATTERNS["nicu"])).collect()]
     assert got == [True, False]
+
+
+def test_roles_of_columns():
+    roles = {"state": ("state", "state_name"), "district": ("district", "district_name")}
+    found = resolve_roles(["x", "state_name", "state", "district_name"], roles, "survey")
+    assert (found["state"].used, found["state"].spare, found["state"].absent) == ("state", ("state_name",), ())
+    assert (found["district"].used, found["district"].spare, found["district"].absent) == (
+        "district_name", (), ("district",))
+    with pytest.raises(ValueError, match="survey: no column for .*district"):
+        resolve_roles(["state"], roles, "survey")
+
+
+def test_spare_geography_is_no_indicator(spark):
+    landed = spark.createDataFrame([("Goa", "Goa state", "North Goa", "(29.5)")],
+                                   "`State` string, `State name` string, `District` string, `Share (%)` string")
+    rows = silver.survey_cells(landed).collect()
+    assert [(r["indicator"], r["value"], r["state_key"]) for r in rows] == [("share_percent", 29.5, "goa")]

@@ -31,7 +31,7 @@ IMPL = {
     "SNK-5": ("sources/io.py :: table_preview", "test_io_quality :: test_create_database_and_preview"),
     "PRJ-1": ("functions/schema.py :: to_snake_case", "test_functions :: test_snake_case_heading"),
     "PRJ-2": ("functions/schema.py :: unique_snake_names, rename_columns", "test_functions :: test_unique_names_case_insensitive"),
-    "PRJ-3": ("functions/schema.py :: first_existing", "survey_cells_parsed"),
+    "PRJ-3": ("functions/schema.py :: resolve_roles", "survey_cells_parsed"),
     "PRJ-4": ("functions/schema.py :: require_columns", "test_functions :: test_require_columns_lists_missing; test_reshape_lookup :: test_admin_missing_columns"),
     "PRJ-5": ("functions/schema.py :: quoted_col", "admin_long"),
     "PRJ-6": ("functions/schema.py :: find_metric, resolve_metrics", "test_functions :: test_find_metric_reports_candidates, test_metric_or_null_and_registry"),

@@ -147,6 +147,8 @@ def state_summary(totals: DataFrame, scale: int = 6) -> DataFrame:
         F.lit("anc_four_plus / anc_registered * 100").alias("anc_four_plus_rate_formula"),
         F.lit("institutional_deliveries / (live_birth_male + live_birth_female) * 100")
         .alias("institutional_delivery_ratio_formula"),
+        F.lit("(fully_immunized_male + fully_immunized_female) / (live_birth_male + live_birth_female) * 100")
+        .alias("fully_immunized_ratio_formula"),
         F.lit("state").alias("geo_grain"),
         F.lit(ADMIN_CAUTION).alias("data_caution"),
     )

@@ -278,6 +278,8 @@ SELECT state_key, state_name, {', '.join(_IND)},
   {rd('CASE WHEN coalesce(live_birth_male, 0) + coalesce(live_birth_female, 0) > 0 THEN (coalesce(fully_immunized_male, 0) + coalesce(fully_immunized_female, 0)) / (coalesce(live_birth_male, 0) + coalesce(live_birth_female, 0)) * 100.0 END')} AS fully_immunized_to_live_birth_ratio_percent,
   'anc_four_plus / anc_registered * 100' AS anc_four_plus_rate_formula,
   'institutional_deliveries / (live_birth_male + live_birth_female) * 100' AS institutional_delivery_ratio_formula,
+  '(fully_immunized_male + fully_immunized_female) / (live_birth_male + live_birth_female) * 100'
+    AS fully_immunized_ratio_formula,
   'state' AS geo_grain, 'state_grain_admin_fallback_not_district_reconciliation' AS data_caution
 FROM (SELECT state_key, min(state_name) AS state_name,
         {', '.join(f"max(CASE WHEN indicator_name = '{i}' THEN value END) AS {i}" for i in _IND)}
