@@ -99,6 +99,22 @@ def test_suffix_dedup_is_exact(spark):
         assert rows[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_anchors_do_not_depend_on_segments(spark):
+    from trustgrid.llm.suffix_dedup import SEGMENT, op4_suffix_dedup, window_anchors
+    r = random.Random(12)
+    raw = np.frombuffer(r.randbytes(3000) + b"z" * 700 + r.randbytes(900), np.uint8)
+
+    def anchors(segment):
+        return [c.tolist() for c in map(np.concatenate, zip(*window_anchors(raw, 200, 100, segment)))]
+
+    whole = anchors(1 << 20)
+    assert len(set(whole[1])) == len(whole[1]) and all(anchors(n) == whole for n in (7, 100, 256, 1000))
+    text = r.randbytes(SEGMENT + SEGMENT // 4 * 3).hex()            # 3.5 segments, nothing repeated
+    a, b = op4_suffix_dedup(table(spark, [text, text[5000:5300]])).orderBy("doc_id").collect()
+    assert (a.n_bytes, a.n_removed, a.n_spans, b.n_removed) == (len(text), 300, 1, 300)
+    assert a.kept_sha256 == hashlib.sha256((text[:5000] + text[5300:]).encode()).hexdigest()
+
+
 def test_merge_of_front_coded_runs():
     from trustgrid.llm.suffix_merge import common_prefix, front_coded_blocks, merged
     r = random.Random(3)

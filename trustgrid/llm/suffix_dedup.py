@@ -43,12 +43,16 @@ SAMPLE_PER_RANGE = 24
 
 # --- anchors ------------------------------------------------------------------------
 
-def window_anchors(text: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(hash, anchor, nearest, farthest) arrays: the windows from anchor - farthest to anchor - nearest share an anchor."""
+def window_anchors(text: np.ndarray, length: int, gram: int, segment: int = SEGMENT) -> Iterator[tuple[np.ndarray, ...]]:
+    """(hash, anchor, nearest, farthest) arrays: the windows from anchor - farthest to anchor - nearest share an anchor.
+
+    Long texts go in segments of window starts; an anchor whose windows reach over the border is given once.
+    """
     table, reach = code_table(), length - gram + 1
-    inverse = powers(min(len(text), SEGMENT + length), INVERSE)
-    for first in range(0, len(text) - length + 1, SEGMENT):
-        part = text[first:first + SEGMENT + length - 1]
+    inverse = powers(min(len(text), segment + length), INVERSE)
+    held = [np.zeros(0, kind) for kind in (np.uint64, np.int64, np.int64, np.int64)]      # the last, still open anchor
+    for first in range(0, len(text) - length + 1, segment):
+        part = text[first:first + segment + length - 1]
         n = len(part) - gram + 1
         at = np.arange(n)
         h = span_hashes(prefix_sums(table[part]), inverse, at, at + gram)
@@ -65,7 +69,14 @@ def window_anchors(text: np.ndarray, length: int, gram: int) -> Iterator[tuple[n
         begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         end = np.concatenate([begin[1:], [len(place)]]) - 1
         anchor = place[begin]
-        yield h[anchor], anchor + first, anchor - end, anchor - begin
+        found = [h[anchor], anchor + first, anchor - end, anchor - begin]
+        if len(held[1]) and held[1][0] == found[1][0]:
+            found[3][0] = held[3][0]
+        else:
+            found = [np.concatenate(c) for c in zip(held, found)]
+        held = [c[-1:] for c in found]
+        yield tuple(c[:-1] for c in found)
+    yield tuple(held)
 
 
 def pack(anchor, nearest, farthest):
