@@ -115,6 +115,20 @@ def test_anchors_do_not_depend_on_segments(spark):
     assert a.kept_sha256 == hashlib.sha256((text[:5000] + text[5300:]).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("length,gram", [(60, 30), (280, 120), (40, 40)])
+def test_suffix_dedup_of_other_lengths(spark, length, gram):
+    from trustgrid.llm.suffix_dedup import dedup_substrings
+    r = random.Random(length)
+    parts = [words(k, 40) for k in range(6)]
+    texts = EDGE[:8] + [" ".join(p[r.randint(0, 40):r.randint(60, 240)] for p in r.sample(parts, 3)) for _ in range(60)]
+    raws = [(t or "").encode() for t in texts]
+    rows = {x.doc_id: x for x in dedup_substrings(table(spark, texts), length=length, gram=gram).collect()}
+    for i, (raw, gone) in enumerate(zip(raws, removed(raws, length))):
+        assert bytes(rows[i].kept) == bytes(x for x, g in zip(raw, gone) if not g), i
+    with pytest.raises(ValueError):
+        dedup_substrings(table(spark, texts), length=400, gram=100)
+
+
 def test_merge_of_front_coded_runs():
     from trustgrid.llm.suffix_merge import common_prefix, front_coded_blocks, merged
     r = random.Random(3)

@@ -349,15 +349,15 @@ def border_rows(matches: DataFrame, parts: int, length: int, gram: int) -> DataF
 
 # --- windows that no neighbour decides ---------------------------------------------------
 
-def distinct_contexts(facts: DataFrame) -> DataFrame:
+def distinct_contexts(facts: DataFrame, length: int, gram: int) -> DataFrame:
     """One row per distinct context: (doc, packed, low, high, ds). Its windows d in low..high may be repeated, those in
     ``ds`` without a neighbour that shows it."""
     near, far = F.shiftright("packed", 8).bitwiseAND(255), F.col("packed").bitwiseAND(255)
     per = facts.groupBy("doc", "packed").agg(
         F.collect_set(F.when(F.col("low") <= F.col("high"), F.struct("low", "high"))).alias("spans"),
         F.max("right").alias("right"), F.max("left").alias("left"))
-    low = F.greatest(near, F.lit(LENGTH) - F.col("right")).cast("int")
-    high = F.least(far, F.coalesce("left", F.lit(LENGTH - GRAM))).cast("int")
+    low = F.greatest(near, F.lit(length) - F.col("right")).cast("int")
+    high = F.least(far, F.coalesce("left", F.lit(length - gram))).cast("int")
     proved = F.flatten(F.transform("spans", lambda s: F.sequence(s["low"], s["high"])))
     return (per.filter("right is not null").withColumn("low", low).withColumn("high", high).filter("low <= high")
             .select("doc", "packed", "low", "high", F.array_except(F.sequence("low", "high"), proved).alias("ds")))
@@ -395,6 +395,8 @@ def decide(docs: DataFrame, anchors: DataFrame, contexts: DataFrame, length: int
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc, spans): byte ranges [start, end) covered by repeated strings, per text that has any. ``docs`` is
     (doc, text) with a 64-bit key per row; rows with equal keys are equal rows."""
+    if not 0 < gram <= length <= gram + 255:        # distances from the anchor travel in a byte
+        raise ValueError("length has to be between gram and gram + 255")
     parts = width(docs.sparkSession)
     anchors = saved(repeated_anchors(docs, length, gram), "anchors")
     splitters = sampled_splitters(docs, anchors, parts, length, gram)
@@ -402,7 +404,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     matches = saved(match_rows(runs, parts, length, gram), "matches")
     facts = matches.filter("border is null").select("doc", "packed", "low", "high", "right", "left")
     facts = facts.unionByName(border_rows(matches, parts, length, gram))
-    contexts = saved(distinct_contexts(facts), "contexts")
+    contexts = saved(distinct_contexts(facts, length, gram), "contexts")
     proved = facts.filter("low <= high").select("doc", "packed", "low", "high")
     if contexts.filter(F.size("ds") > 0).limit(1).count():
         proved = proved.unionByName(decide(docs, anchors, contexts, length))
