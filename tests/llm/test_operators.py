@@ -214,6 +214,18 @@ def test_decontamination_finds_edits(spark):
     assert least_distance(character_masks("abcd"), 4, "xxabxcdxx")[0] == 1
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    from trustgrid.llm.decontaminate import find_leaks
+    items = ["What is 2 + 2?", "Paris", "ab", "x" * 39, "  ", "", None, "答案", "Café", "(no)", "z" * 40, "e"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [None, "", "q: WHAT  is\n2 + 2? a: 4", "what is 2 + 3?", "in paris.", "parisian, comparis", "x" * 39, "x" * 40,
+             "cab abc (ab)", "这是答案吗", "café", "cafe\u0301", "cafés", "say(no)w", "z" * 39 + "y", "y" * 39, "parisx paris"]
+    got = sorted((x.doc_id, x.item_id, x.distance, x.budget, x.ends_at)
+                 for x in find_leaks(table(spark, texts), bench).collect())
+    assert got == [(2, 0, 0, 0, 17), (4, 1, 0, 0, 8), (6, 3, 0, 0, 39), (8, 2, 0, 0, 11), (9, 7, 0, 0, 4), (10, 8, 0, 0, 4),
+                   (13, 9, 0, 0, 7), (14, 10, 1, 2, 39), (16, 1, 0, 0, 12)]
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 def test_mixing_spends_the_budget(spark):

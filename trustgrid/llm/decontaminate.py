@@ -6,14 +6,17 @@ the item stands with at most k edits, one piece stands there unchanged. All piec
 each whole text (Aho-Corasick), hits of an item on neighbouring diagonals become one window, and Myers' bit-parallel
 algorithm gives the least edit distance of the item in that window.
 
-Items shorter than ``min_chars`` say nothing about where a text comes from and are not searched. Null items and null
-or empty texts have no hits; repeated items and documents give repeated pairs. Items are sent to the tasks in blocks
+Items shorter than ``min_chars`` would stand in many texts with an edit or inside other words: they have to stand
+unchanged (k = 0) and as whole words, with no letter, mark or digit next to a letter, mark or digit of theirs; in
+scripts without blanks between words any place counts. Null or blank items and null or empty texts have no hits; repeated items and documents give repeated pairs. Items are sent to the tasks in blocks
 of at most ``block_chars`` characters, one pass over the documents per block, so that no broadcast grows with the
 benchmark. No shuffle.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,14 +28,26 @@ from pyspark.sql import types as T
 RATE = 0.05
 MIN_CHARS = 40
 BLOCK_CHARS = 4_000_000
+# Thai to Myanmar, Khmer, Tai, kana, Han: no blanks between words
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+                      "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af]")
 
 
 def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def edit_budget(item: str, rate: float = RATE) -> int:
-    return max(1, int(len(item) * rate))
+def edit_budget(item: str, rate: float = RATE, min_chars: int = MIN_CHARS) -> int:
+    return max(1, int(len(item) * rate)) if len(item) >= min_chars else 0
+
+
+def in_word(a: str, b: str) -> bool:
+    """Whether the neighbours a and b belong to one word."""
+    return all(unicodedata.category(c)[0] in "LMN" and not UNSPACED.match(c) for c in (a, b))
+
+
+def stands_alone(text: str, start: int, end: int) -> bool:
+    return not (start and in_word(text[start - 1], text[start]) or end < len(text) and in_word(text[end - 1], text[end]))
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -77,11 +92,11 @@ def least_distance(masks: dict[str, int], m: int, window: str) -> tuple[int, int
 class ItemIndex:
     """Pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, min_chars: int = MIN_CHARS):
         self.items, self.masks = [], []
         where: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
-            k, n = edit_budget(text, rate), len(self.items)
+            k, n = edit_budget(text, rate, min_chars), len(self.items)
             self.items.append((key, len(text), k))
             self.masks.append(character_masks(text))
             for at, piece in pieces(text, k):
@@ -103,6 +118,11 @@ class ItemIndex:
         found = []
         for item, starts in diagonals.items():
             _, m, k = self.items[item]
+            if k == 0:
+                start = next((s for s in starts if stands_alone(text, s, s + m)), None)
+                if start is not None:
+                    found.append((item, 0, start + m))
+                continue
             best = (k + 1, 0)
             for low, high in windows(sorted(set(starts)), m, k, len(text)):
                 distance, at = least_distance(self.masks[item], m, text[low:high])
@@ -140,8 +160,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     for block in range(blocks):
         rows = bench.filter(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == block).collect()
         kept = sorted(((r["key"], normal(r["text"])) for r in rows), key=str)
-        sent = spark.sparkContext.broadcast([x for x in kept if len(x[1]) >= min_chars])
-        pairs = docs.select(id_col, text_col).mapInArrow(searcher(sent, rate, schema), schema)
+        sent = spark.sparkContext.broadcast([x for x in kept if x[1]])
+        pairs = docs.select(id_col, text_col).mapInArrow(searcher(sent, rate, min_chars, schema), schema)
         out = pairs if out is None else out.unionByName(pairs)
     return out
 
@@ -150,12 +170,12 @@ def id_field(df: DataFrame, col: str) -> T.DataType:
     return df.schema[col].dataType
 
 
-def searcher(sent, rate: float, schema: T.StructType):
+def searcher(sent, rate: float, min_chars: int, schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(sent.value, rate)
+        index = ItemIndex(sent.value, rate, min_chars)
         for b in batches:
             ids, cols = [], ([], [], [], [])
             for i, t in enumerate(b.column(1).to_pylist()):
