@@ -381,6 +381,22 @@ def test_models_on_edge_rows(spark):
     assert ((forest.score(x) > 0.5) == (x[:, 0] > 90)).all()
 
 
+def test_long_unknown_runs_leave_the_other_words_their_say(spark):
+    from trustgrid.llm.language_id import UNKNOWN, Lattice, identify, learn, word_scores
+    run = "".join(chr(0x4e00 + 7 * i) for i in range(60))
+    got = word_scores([run], Lattice(["a"]), np.array([[0.5], [UNKNOWN]]))
+    assert np.allclose(got, 61 * np.log(UNKNOWN))
+    letters = ["▁", *"abcdefghijklmnopqrstuvwxyz"]
+    for extra in ("", " " + run, " " + "qxqz" * 30):        # in the sample as well
+        model = learn([("de", "die katze und der hut" + extra), ("en", "the cat and the hat" + extra)], letters)
+        assert np.isfinite(model.probs).all() and (model.probs[:-1].sum(axis=0) > 0.99).all()
+        texts = ["the cat that hath " * 9 + run, "der hund und die kunde " * 9 + run, run, "qxqz" * 30]
+        rows = identify(table(spark, texts).drop("score"), model).orderBy("doc_id").collect()
+        assert [r.lang_pred for r in rows[:2]] == ["en", "de"]
+        assert all(0 <= r.score <= 1 for r in rows)
+        assert rows[0].score > 0.9 and rows[1].score > 0.9
+
+
 # --- empty tables ----------------------------------------------------------------------------------------------------
 
 def test_empty_tables(spark, empty):

@@ -36,6 +36,9 @@ DOCS_PER_LANG = 300
 ROUNDS = 4
 UNKNOWN = 1e-9
 FLOOR = 1e-7
+# Sums are kept times GAIN a character: a part of WORD characters lies between UNKNOWN ** WORD = 1e-432 and 1, scaled
+# between 1e-215 and 1e217. A power of two scales without rounding.
+GAIN = 2.0 ** 15
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -113,11 +116,11 @@ class Lattice:
 
 
 def forward(edges, probs: np.ndarray, n_words: int, width: int) -> np.ndarray:
-    """alpha[word, place, language]; ``probs`` has the unknown piece in its last row."""
+    """alpha[word, place, language] times GAIN ** place; ``probs`` has the unknown piece in its last row."""
     alpha = np.zeros((n_words, width + 1, probs.shape[1]))
     alpha[:, 0] = 1.0
     for end, size, w, piece in edges:
-        alpha[w, end] += alpha[w, end - size] * probs[piece]
+        alpha[w, end] += alpha[w, end - size] * (probs[piece] * GAIN ** size)
     return alpha
 
 
@@ -128,7 +131,7 @@ def word_scores(words: list[str], lattice: Lattice, probs: np.ndarray) -> np.nda
     out = np.zeros((len(words), probs.shape[1]))
     lengths = np.array([len(p) for p in parts])
     alpha = forward(lattice.edges(parts), probs, len(parts), int(lengths.max(initial=0)))
-    np.add.at(out, owner, np.log(alpha[np.arange(len(parts)), lengths]))
+    np.add.at(out, owner, np.log(alpha[np.arange(len(parts)), lengths]) - (lengths * np.log(GAIN))[:, None])
     return out
 
 
@@ -163,11 +166,11 @@ def learn(samples: list[tuple[str, str]], pieces: list[str], rounds: int = ROUND
             beta = np.zeros_like(alpha)
             beta[np.arange(len(size)), size] = 1.0
             for end, k, w, piece in reversed(edges):
-                beta[w, end - k] += beta[w, end] * probs[piece]
+                beta[w, end - k] += beta[w, end] * (probs[piece] * GAIN ** k)
             whole = beta[:, 0]
             ratio = np.divide(m, whole, out=np.zeros_like(m), where=whole > 0)
             for end, k, w, piece in edges:
-                np.add.at(expected, piece, alpha[w, end - k] * probs[piece] * beta[w, end] * ratio[w])
+                np.add.at(expected, piece, alpha[w, end - k] * (probs[piece] * GAIN ** k) * beta[w, end] * ratio[w])
         total = expected[:n].sum(axis=0, keepdims=True)
         probs = np.empty_like(expected)
         probs[:n] = (expected[:n] + FLOOR * np.maximum(total, 1)) / (np.maximum(total, 1) * (1 + FLOOR * n))
