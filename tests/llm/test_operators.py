@@ -397,6 +397,21 @@ def test_long_unknown_runs_leave_the_other_words_their_say(spark):
         assert rows[0].score > 0.9 and rows[1].score > 0.9
 
 
+def test_language_stage_drops_noise_and_keeps_the_rest(spark):
+    from corpus_pipeline import language_stage
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    r = random.Random(8)
+    noise = [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 9))) for _ in range(n)) for n in (5, 40, 900)]
+    noise += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki",
+              "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są obdarzeni rozumem",
+              "Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由在尊严和权利上一律平等" * 4]
+    mixed = docs.unionByName(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(noise)],
+                                                   "doc_id long, text string, lang string"))
+    kept = {x.doc_id for x in language_stage(spark, mixed, "").select("doc_id").collect()}
+    ids = {x.doc_id for x in docs.filter("text rlike '[a-zA-Z]'").select("doc_id").collect()}
+    assert not {i for i in kept if i < 0} and len(ids - kept) <= 0.002 * len(ids)
+
+
 # --- empty tables ----------------------------------------------------------------------------------------------------
 
 def test_empty_tables(spark, empty):

@@ -178,9 +178,9 @@ def learn(samples: list[tuple[str, str]], pieces: list[str], rounds: int = ROUND
     return LanguageModel(langs, pieces, probs)
 
 
-def train(docs: DataFrame, pieces: list[str], docs_per_lang: int = DOCS_PER_LANG, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Learn from at most ``docs_per_lang`` documents per language; ``docs`` are those that may be learned from.
+def labelled_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, id_col: str = "doc_id",
+                    text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
+    """(language, text) of at most ``docs_per_lang`` documents per language.
 
     The sample is chosen on ids and languages only; then just the chosen texts are read.
     """
@@ -196,11 +196,41 @@ def train(docs: DataFrame, pieces: list[str], docs_per_lang: int = DOCS_PER_LANG
         samples.append((lang, ids))
     chosen = sorted({i for _, ids in samples for i in ids})
     texts = rows.filter(F.col("id").isin(chosen)).select("lang", "text").collect() if chosen else []
-    return learn(sorted((r["lang"], r["text"]) for r in texts), pieces)
+    return sorted((r["lang"], r["text"]) for r in texts)
+
+
+def train(docs: DataFrame, pieces: list[str], docs_per_lang: int = DOCS_PER_LANG, id_col: str = "doc_id",
+          text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Learn from at most ``docs_per_lang`` documents per language; ``docs`` are those that may be learned from."""
+    return learn(labelled_sample(docs, docs_per_lang, id_col, text_col, lang_col), pieces)
+
+
+def least_fits(samples: list[tuple[str, str]], pieces: list[str], slack: float = 2.0) -> dict[str, float]:
+    """The fit under which a text is not taken for one in a language: ``slack`` times as far below the median as the
+    lowest of the language's sample.
+
+    Each half of the sample is scored by a model of the other half, so that no text is measured by its own words; texts
+    that it takes for another language do not count. A language with a single text has no bound.
+    """
+    halves: list[list[tuple[str, str]]] = [[], []]
+    seen: Counter = Counter()
+    for lang, text in sorted(set(samples)):
+        halves[seen[lang] % 2].append((lang, text))
+        seen[lang] += 1
+    fits: dict[str, list[float]] = {lang: [] for lang in seen}
+    for own, other in (halves, halves[::-1]):
+        found, _, fit = Identifier(learn(other, pieces))([text for _, text in own])
+        for (lang, _), best, value in zip(own, found, fit):
+            if best == lang:
+                fits[lang].append(value)
+    return {lang: float(np.median(v) - slack * (np.median(v) - min(v))) if v else -np.inf for lang, v in fits.items()}
 
 
 class Identifier:
-    """Scores texts with one model; words already seen are looked up."""
+    """Language, score and fit of texts by one model; words already seen are looked up.
+
+    The fit is the text's mean log-probability a character (word marks counted) under its best language; None for und.
+    """
 
     def __init__(self, model: LanguageModel):
         self.model, self.lattice = model, Lattice(model.pieces)
@@ -217,7 +247,7 @@ class Identifier:
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         self.scores = np.concatenate(parts)
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None]]:
         bags = [Counter(words_of(t)) if t and self.model.langs else Counter() for t in texts]
         words = set().union(*bags)
         new = words - self.known.keys()
@@ -226,27 +256,32 @@ class Identifier:
             new = words
         if new:
             self.add(sorted(new))
-        out, scores = [], []
+        out, scores, fits = [], [], []
         for bag in bags:
             if not bag:
                 out.append("und")
                 scores.append(0.0)
+                fits.append(None)
                 continue
             rows = self.scores[np.fromiter(map(self.known.__getitem__, bag), np.int64, len(bag))]
-            total = np.fromiter(bag.values(), float, len(bag)) @ rows
+            times = np.fromiter(bag.values(), float, len(bag))
+            total = times @ rows
             best = int(total.argmax())
             out.append(self.model.langs[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-        return out, scores
-
-
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; all columns pass through."""
-    taken = {f.name for f in docs.schema.fields}
-    if taken & {"lang_pred", "score"}:
-        raise ValueError("the input has a column lang_pred or score already")
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+            fits.append(float(total[best] / (times @ (np.fromiter(map(len, bag), float, len(bag)) + 1))))
+        return out, scores, fits
+
+
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
+             with_fit: bool = False) -> DataFrame:
+    """``docs`` with lang_pred, score and, if asked for, fit; all columns pass through."""
+    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+           T.StructField("fit", T.DoubleType())][:3 if with_fit else 2]
+    taken = {f.name for f in docs.schema.fields} & {f.name for f in new}
+    if taken:
+        raise ValueError(f"the input has a column {' and '.join(sorted(taken))} already")
+    schema = T.StructType([*docs.schema.fields, *new])
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     names = schema.names
@@ -256,9 +291,9 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
         for whole in batches:
             for a in range(0, whole.num_rows, 512):
                 b = whole.slice(a, 512)
-                lang, score = ident(b.column(at).to_pylist())
+                found = ident(b.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=names)
+                    [*b.columns, *map(pa.array, found, (pa.string(), pa.float64(), pa.float64()))][:len(names)], names=names)
 
     return docs.mapInArrow(run, schema)
 
