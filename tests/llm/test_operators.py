@@ -299,6 +299,24 @@ def test_surrogates(spark):
         assert out[i].clean_text == text
 
 
+def test_phone_numbers_keep_their_identity_in_any_layout(spark):
+    from trustgrid.llm.pii_surrogates import replace_pii
+    texts = ["+49 30 1234567 or +49301234567, +4 930 123 4567, +49-30-12345.67", "+1 (487) 555-7209, +14875557209", "+35312345678"]
+    digits = lambda e: e.surrogate.replace("+", "").translate({ord(c): None for c in " .-()"})
+    out = [r.entities for r in replace_pii(table(spark, texts), "k").orderBy("doc_id").collect()]
+    assert [len(e) for e in out] == [4, 2, 1] and all(len({digits(e) for e in es}) == 1 for es in out)
+    assert all(e.kind == "phone" and digits(e).startswith(code) for es, code in zip(out, ("49", "1", "353")) for e in es)
+    assert all(digits(e) != "".join(c for c in e.mention if c.isdigit()) for es in out for e in es)
+    # so few numbers that many draws collide: equal in both layouts, distinct, no real ones
+    r = random.Random(9)
+    numbers = [f"{n:04d}" for n in r.sample(range(10_000), 900)]
+    texts = [f"a +49 {n[:2]} {n[2:]} b" for n in numbers] + [f"a +49{n} b" for n in numbers]
+    rows = {x.doc_id: x.entities[0] for x in replace_pii(table(spark, texts), "k").select("doc_id", "entities").collect()}
+    drawn = [digits(rows[i]) for i in range(1800)]
+    assert drawn[:900] == drawn[900:] and len(set(drawn)) == 900
+    assert not set(drawn) & {"49" + n for n in numbers}
+
+
 def test_colliding_draws_are_redrawn(spark):
     from pyspark.sql import functions as F
     from trustgrid.llm.pii_surrogates import ATTEMPTS, redrawn_entities, surrogate

@@ -3,7 +3,7 @@
 Found in every whole text: e-mail addresses, IPv4 addresses, card numbers (13 to 19 digits), phone numbers, social
 security numbers, IBANs and names after a form of address. Each distinct entity gets a surrogate drawn with a keyed
 hash: letters stay letters of the same case and script, digits stay digits, separators and the mention's own layout
-stay; octets stay octets; names keep their form of address and get names of the same gender and script. Mentions of
+stay; a phone number keeps its country code, an IBAN its first four places; octets stay octets; names keep their form of address and get names of the same gender and script. Mentions of
 one entity (same normal form, whatever the layout) get the same surrogate everywhere.
 
 Collision check: a draw that equals another entity's draw, or an entity that occurs in the corpus, is drawn again
@@ -52,6 +52,8 @@ PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?
          r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)"
          r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])")
 NAME = (r"(?<!\p{L})(?:" + "|".join(MALE + FEMALE) + r")\.?\x20\p{Lu}\p{L}{1,30}(?:[ -]\p{Lu}\p{L}{1,30}){0,2}")
+# country calling codes by the numbering plan, so that they show without a separator: 1 and 7, those of two digits, else three
+COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 ANY = "|".join((EMAIL, IP, SSN, IBAN, CARD, PHONE, NAME))
 
 
@@ -84,8 +86,9 @@ def _byte(digest: Column, i: Column) -> Column:
     return value + (i / 32).cast("int") * 7
 
 
-def _redrawn(text: Column, digest: Column, from_: Column, to: Column) -> Column:
-    """Letters and digits of places from_..to replaced by others of their class; the n-th by the n-th byte."""
+def _redrawn(text: Column, digest: Column, kept: Column, to: Column) -> Column:
+    """Letters and digits after the first ``kept``, up to place ``to``, replaced by others of their class; the n-th by
+    the n-th byte, wherever separators stand."""
     plain = F.regexp_replace
 
     def one(i: Column) -> Column:
@@ -96,7 +99,7 @@ def _redrawn(text: Column, digest: Column, from_: Column, to: Column) -> Column:
                .when(c.rlike("[a-z]"), F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), F.pmod(b, F.lit(26)) + 1, F.lit(1)))
                .when(c.rlike("[A-Z]"), F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.pmod(b, F.lit(26)) + 1, F.lit(1)))
                .otherwise(c))
-        return F.when((i >= from_) & (i <= to), new).otherwise(c)
+        return F.when((nth > kept) & (i <= to), new).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")
 
@@ -121,12 +124,12 @@ def surrogate(mention: Column, kind: Column, norm: Column, attempt: Column, key:
     digest = _digest(key, kind, norm, attempt)
     size = F.length(mention)
     top_level = F.length(F.regexp_extract(mention, r"\.[A-Za-z]+$", 0))
-    country = F.length(F.regexp_extract(mention, r"^\+\d{1,3}(?=[ .(-])", 0))
+    country = F.greatest(F.length(F.regexp_extract(norm, COUNTRY, 0)) - 1, F.lit(0))      # of the entity, not the layout
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)),
                                       lambda i: (F.pmod(_byte(digest, i), F.lit(254)) + 1).cast("string")), ".")
     drawn = (F.when(kind == "ip", octets).when(kind == "name", _name(mention, norm, digest))
              .otherwise(_redrawn(mention, digest,
-                                 F.when(kind == "phone", country + 1).when(kind == "iban", F.lit(5)).otherwise(F.lit(1)),
+                                 F.when(kind == "phone", country).when(kind == "iban", F.lit(4)).otherwise(F.lit(0)),
                                  F.when(kind == "email", size - top_level).otherwise(size))))
     tag = F.concat(F.lit("["), F.upper(kind), F.lit("-"), F.substr(digest, F.lit(1), F.lit(16)), F.lit("]"))
     return F.when(attempt >= ATTEMPTS, tag).otherwise(drawn)
