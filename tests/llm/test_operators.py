@@ -430,6 +430,12 @@ def test_language_stage_drops_noise_and_keeps_the_rest(spark):
     assert not {i for i in kept if i < 0} and len(ids - kept) <= 0.002 * len(ids)
 
 
+def test_words_are_letters_and_marks():
+    from trustgrid.llm.language_id import words_of
+    assert words_of("x² ½ Ⅳ ① ³") == ["x"] and words_of("\u0301\u0301 ①") == []
+    assert words_of("cafe\u0301s का_б1в Don't") == ["cafe\u0301s", "का", "б", "в", "don", "t"]
+
+
 # --- empty tables ----------------------------------------------------------------------------------------------------
 
 def test_empty_tables(spark, empty):

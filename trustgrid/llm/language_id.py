@@ -5,7 +5,7 @@ over all its segmentations into pieces (forward algorithm), a text's is the prod
 learned by expectation-maximisation (forward-backward over all segmentations) from the words of a bounded sample of
 labelled texts: at most ``docs_per_lang`` per language, in order of a hash of the id, whole texts.
 
-Words are maximal runs of letters and marks, lower-cased, after the vocabulary's word mark. A character that no piece
+Words are maximal runs of letters and marks (Unicode categories) with a letter, lower-cased, after the vocabulary's word mark. A character that no piece
 covers counts as one unknown piece. Words longer than ``WORD`` characters are scored in parts of that length, so long
 runs without blanks cost linear time and none is left out. Scores are the posterior of the best language under equal
 priors. Null texts and texts without a letter give ``und`` and score 0; without any label all texts are ``und``.
@@ -17,6 +17,8 @@ fixed size. Scores of words are kept per task in a table of at most ``CACHE`` wo
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +42,17 @@ FLOOR = 1e-7
 # between 1e-215 and 1e217. A power of two scales without rounding.
 GAIN = 2.0 ** 15
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-WORDS = re.compile(r"[^\W\d_]+")
+
+
+def class_ranges(kinds: str) -> str:
+    """The characters whose Unicode category begins with one of ``kinds``, as ranges of a character class."""
+    held = [unicodedata.category(chr(i))[0] in kinds for i in range(sys.maxunicode + 1)] + [False]
+    edges = [i for i, (a, b) in enumerate(zip([False, *held], held)) if a != b]
+    return "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+WORDS = re.compile(f"[{class_ranges('LM')}]+")
+ASCII_WORDS = re.compile("[a-z]+")
 
 
 def load_pieces(path: str = VOCABULARY) -> list[str]:
@@ -52,7 +64,10 @@ def load_pieces(path: str = VOCABULARY) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    return WORDS.findall(text.lower())
+    text = text.lower()
+    if text.isascii():
+        return ASCII_WORDS.findall(text)
+    return [w for w in WORDS.findall(text) if w[0].isalpha() or any(map(str.isalpha, w))]       # not marks alone
 
 
 def parts_of(word: str) -> list[str]:
