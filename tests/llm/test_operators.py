@@ -436,6 +436,20 @@ def test_words_are_letters_and_marks():
     assert words_of("cafe\u0301s का_б1в Don't") == ["cafe\u0301s", "का", "б", "в", "don", "t"]
 
 
+def test_stages_on_null_and_repeated_ids(spark, scratch):
+    from corpus_pipeline import decontamination_stage, near_duplicate_stage
+    a, b, c, d, e = (words(200 + i, 60) for i in range(5))
+    rows = [(None, a), (None, a + " more"), (1, b), (1, b), (1, c), (2, b), (3, d), (None, d), (None, e), (4, None), (5, ""),
+            (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, near_duplicate_stage(spark, docs, "").collect()), key=str)
+    alone = [(1, b), (1, c), (3, d), (None, e), (4, None), (5, ""), (None, None)]
+    assert kept in [sorted(alone + [x], key=str) for x in rows[:2]]
+    spark.createDataFrame([(0, a), (1, b)], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    kept = sorted(map(tuple, decontamination_stage(spark, docs, scratch).collect()), key=str)
+    assert kept == sorted([x for x in rows if not (x[1] or "").startswith((a, b))], key=str)
+
+
 # --- empty tables ----------------------------------------------------------------------------------------------------
 
 def test_empty_tables(spark, empty):

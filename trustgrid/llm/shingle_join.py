@@ -387,12 +387,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
              percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the members of a component other than its smallest id."""
+    """``docs`` without the members of a component other than its smallest id; null ids come last.
+
+    Where ids are null or repeated, rows go by a hash of id and text, and of rows with equal id and text one stays.
+    """
+    if docs.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).limit(1).count():
+        return keep_one_row(docs, id_col, text_col, size, percent)
     drop = (jaccard_components(docs, id_col, text_col, size, percent)
             .filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
     return small_filter(docs, drop, id_col, keep=False)
 
 
+def keep_one_row(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """``keep_one`` for tables with null or repeated ids."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col))
+    again = saved(keyed.groupBy("_key").count().filter("count > 1").select("_key"), "repeated")
+    keyed = saved(small_filter(keyed, again, "_key", keep=False).unionByName(
+        small_filter(keyed, again, "_key").dropDuplicates(["_key"])), "keyed")
+    comps = jaccard_components(keyed, "_key", text_col, size, percent).filter("n_shingles > 0")
+    found = saved(comps.join(keyed.select("_key", F.col(id_col).alias("_id")), "_key"), "found")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("first"))
+    drop = found.join(first, "component_id").filter(F.col("_key") != F.col("first._key")).select("_key")
+    return small_filter(keyed, drop, "_key", keep=False).select(*docs.columns)
+
+
 def op7_shingle_join(docs: DataFrame) -> DataFrame:
     """Component of every document under 3-word shingles and Jaccard 0.9."""
     return jaccard_components(docs).select("doc_id", "n_shingles", F.col("component_id").cast("long"))
