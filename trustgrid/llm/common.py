@@ -57,6 +57,17 @@ def id_bucket(col, n: int):
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
+# crc32 in DuckDB, which has none: a table of one row with the 256 steps, and the checksum of a text of ASCII characters.
+# The expression needs the table's column ``steps`` in scope.
+CRC_TABLE = """SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS steps"""
+
+
+def crc32_sql(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+            "lambda a, b: xor(a >> 8, steps[CAST((xor(a, b) & 255) + 1 AS BIGINT)])), 4294967295)")
+
+
 # --- Arrow text -------------------------------------------------------------------
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

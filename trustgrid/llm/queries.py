@@ -8,6 +8,7 @@ from .decontaminate import op10_decontaminate
 from .language_id import op2_language_id
 from .lz_fingerprint import op5_lz_fingerprint
 from .pii_surrogates import op3_pii_surrogates
+from .merkle_manifest import op11_merkle_manifest, op11_sql
 from .quality_trees import op1_quality_trees
 from .secret_scan import op6_secret_scan
 from .shingle_join import op7_shingle_join
@@ -30,6 +31,7 @@ QUERIES = {
     "op8_source_mixing": lambda s, d: op8_source_mixing(documents(s, d)),
     "op9_bin_packing": lambda s, d: op9_bin_packing(documents(s, d)),
     "op10_decontaminate": lambda s, d: op10_decontaminate(documents(s, d), _table(s, d, "benchmark")),
+    "op11_merkle_manifest": lambda s, d: op11_merkle_manifest(documents(s, d)),
 }
 
-ORACLES = {"op8_source_mixing": op8_sql()}
+ORACLES = {"op8_source_mixing": op8_sql(), "op11_merkle_manifest": op11_sql()}
