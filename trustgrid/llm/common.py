@@ -52,6 +52,14 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(names: list[str], name: str) -> str:
+    """``name``, or with as many underscores before it as make it differ from all ``names`` (case aside)."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def id_bucket(col, n: int):
     """crc32(id as text) mod n; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")

@@ -289,26 +289,27 @@ class Identifier:
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-             with_fit: bool = False) -> DataFrame:
-    """``docs`` with lang_pred, score and, if asked for, fit; all columns pass through."""
-    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-           T.StructField("fit", T.DoubleType())][:3 if with_fit else 2]
+             with_fit: bool = False, names: tuple[str, str, str] = ("lang_pred", "score", "fit")) -> DataFrame:
+    """``docs`` with lang_pred, score and, if asked for, fit (or other ``names``); all columns pass through once."""
+    new = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()),
+           T.StructField(names[2], T.DoubleType())][:3 if with_fit else 2]
     taken = {f.name for f in docs.schema.fields} & {f.name for f in new}
     if taken:
         raise ValueError(f"the input has a column {' and '.join(sorted(taken))} already")
     schema = T.StructType([*docs.schema.fields, *new])
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # lists and arrays only: executors unpickle a broadcast without this package
+    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.pieces, model.probs))
     at = docs.columns.index(text_col)
-    names = schema.names
+    columns = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ident = Identifier(sent.value)
+        ident = Identifier(LanguageModel(*sent.value))
         for whole in batches:
             for a in range(0, whole.num_rows, 512):
                 b = whole.slice(a, 512)
                 found = ident(b.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns, *map(pa.array, found, (pa.string(), pa.float64(), pa.float64()))][:len(names)], names=names)
+                    [*b.columns, *map(pa.array, found, (pa.string(), pa.float64(), pa.float64()))][:len(columns)], names=columns)
 
     return docs.mapInArrow(run, schema)
 

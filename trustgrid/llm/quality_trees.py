@@ -210,11 +210,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id and ``score`` (0 to 1)."""
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
-    sent = docs.sparkSession.sparkContext.broadcast(forest)
+    # arrays only: executors unpickle a broadcast without this package
+    sent = docs.sparkSession.sparkContext.broadcast((forest.feature, forest.threshold, forest.value, forest.base))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Forest(*sent.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sent.value.score(features(b.column(1))))],
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(held.score(features(b.column(1))))],
                                              names=[id_col, "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)

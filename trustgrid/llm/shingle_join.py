@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import INVERSE, chunks, code_table, mix, powers, prefix_sums, saved, span_hashes, text_buffers, width
+from .common import INVERSE, chunks, code_table, mix, powers, prefix_sums, saved, span_hashes, text_buffers, unused, width
 from .components import connected_components, small_filter
 
 SHINGLE = 3
@@ -400,15 +400,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
 def keep_one_row(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """``keep_one`` for tables with null or repeated ids."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col))
-    again = saved(keyed.groupBy("_key").count().filter("count > 1").select("_key"), "repeated")
-    keyed = saved(small_filter(keyed, again, "_key", keep=False).unionByName(
-        small_filter(keyed, again, "_key").dropDuplicates(["_key"])), "keyed")
-    comps = jaccard_components(keyed, "_key", text_col, size, percent).filter("n_shingles > 0")
-    found = saved(comps.join(keyed.select("_key", F.col(id_col).alias("_id")), "_key"), "found")
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("first"))
-    drop = found.join(first, "component_id").filter(F.col("_key") != F.col("first._key")).select("_key")
-    return small_filter(keyed, drop, "_key", keep=False).select(*docs.columns)
+    key = unused(docs.columns, "key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col))
+    again = saved(keyed.groupBy(key).count().filter("count > 1").select(key), "repeated")
+    keyed = saved(small_filter(keyed, again, key, keep=False).unionByName(
+        small_filter(keyed, again, key).dropDuplicates([key])), "keyed")
+    comps = jaccard_components(keyed, key, text_col, size, percent).filter("n_shingles > 0")
+    found = saved(comps.join(keyed.select(key, F.col(id_col).alias("__id")), key), "found")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", F.col(key).alias("__key"))).alias("first"))
+    drop = found.join(first, "component_id").filter(F.col(key) != F.col("first.__key")).select(key)
+    return small_filter(keyed, drop, key, keep=False).select(*docs.columns)
 
 
 def op7_shingle_join(docs: DataFrame) -> DataFrame:
