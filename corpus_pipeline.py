@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustgrid.llm.bin_packing import pack_shards
-from trustgrid.llm.common import documents, id_bucket, saved
+from trustgrid.llm.common import documents, id_bucket, saved, unused
 from trustgrid.llm.decontaminate import find_leaks
 from trustgrid.llm.components import small_filter
 from trustgrid.llm.language_id import VOCABULARY, identify, labelled_sample, learn, least_fits, load_pieces
@@ -35,13 +35,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     pieces = load_pieces(VOCABULARY)
     sample = labelled_sample(docs.filter(id_bucket(F.col("doc_id"), 4) != 2))
     model = learn(sample, pieces)
+    lang_pred, score, fit = (unused(docs.columns, name) for name in ("lang_pred", "score", "fit"))
     fitting = F.lit(False)
     for lang, least in least_fits(sample, pieces).items():
-        fitting = fitting | ((F.col("lang_pred") == lang) & (F.col("fit") >= least))
-    work = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    found = identify(work, model, with_fit=True)
-    return (found.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE) & fitting)
-            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
+        fitting = fitting | ((F.col(lang_pred) == lang) & (F.col(fit) >= least))
+    found = identify(docs, model, with_fit=True, names=(lang_pred, score, fit))
+    return found.filter((F.col(lang_pred) != "und") & (F.col(score) >= MIN_LANGUAGE_SCORE) & fitting).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +51,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item within its edit budget, whatever their ids: leaks are a matter of the text."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    leaks = find_leaks(keyed, items, id_col="_key").select("_key").distinct()
-    return small_filter(keyed, leaks, "_key", keep=False).select(*docs.columns)
+    key = unused(docs.columns, "key")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    leaks = find_leaks(keyed, items, id_col=key).select(key).distinct()
+    return small_filter(keyed, leaks, key, keep=False).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
