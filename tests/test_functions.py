@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from trustgrid.functions import cells, text
 from trustgrid.functions.schema import (
-    find_metric, parse_measure_heading, require_columns, to_snake_case, unique_snake_names,
+    absent_columns, find_metric, parse_measure_heading, require_columns, require_tables, to_snake_case, unique_snake_names,
 )
 
 
@@ -129,10 +129,32 @@ def test_measure_headings():
 
 def test_require_columns_lists_missing(spark):
     df = spark.createDataFrame([("x",)], "State string")
-    with pytest.raises(ValueError, match=r"\['S.No.', 'Type'\]"):
+    with pytest.raises(ValueError, match=r"admin: no column 'S.No.'; admin: no column 'Type'"):
         require_columns(df, {"State", "S.No.", "Type"}, "admin")
 
 
+def test_required_columns_of_all_tables_in_one_report(spark):
+    a = spark.createDataFrame([("x", 1)], "state string, Type int")
+    b = spark.createDataFrame([(1,)], "lattitude int")
+    assert absent_columns({"a": (a, ["State", "Type"]), "b": (b, ["latitude", "zip"])}) == {
+        "a": {"State": ["state"]}, "b": {"latitude": ["lattitude"], "zip": []}}
+    with pytest.raises(ValueError, match="a: no column 'State', but 'state'; b: no column 'latitude', but 'lattitude'"):
+        require_tables({"a": (a, ["State"]), "b": (b, ["latitude"])})
+    require_tables({"a": (a, ["state"]), "b": (b, ())})
+
+
+def test_headings_keep_their_parts_apart():
+    assert to_snake_case("Births \u2014 total\u2013public") == "births_total_public"      # wide dashes separate
+    assert to_snake_case("Bengal\u016bru") == "bengaluru"
+    assert unique_snake_names(["ज़िला", "State", "  ", "column 1"]) == ["column_1", "state", "column_3", "column_1_2"]
+
+
+def test_measure_headings_with_several_dashes():
+    assert parse_measure_heading("May \u2013 Public - Urban [A]") == ("May", "Public - Urban")
+    assert parse_measure_heading("May-Public") is None and parse_measure_heading("2019 - Total") is None
+    assert parse_measure_heading("April - [A]") is None
+
+
 def test_find_metric_reports_candidates():
     cols = ["institutional_births_percent", "institutional_caesarean_percent", "births_in_institution"]
     m = find_metric(cols, ["institutional"], ["caesarean"])
