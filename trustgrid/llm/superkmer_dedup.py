@@ -9,6 +9,9 @@ minimisers. Consecutive windows with one minimiser travel as one packed string (
 them) to the minimiser's bucket; ``SPLIT`` windows at most go into one string. A bucket's windows are sorted by hash, and
 those whose hash occurs twice are told apart by their bytes, so equality is exact.
 
+Packed strings hold each word some three times, so minimisers are dealt into ``ROUNDS`` classes that are shuffled one
+after the other: the disk holds one class at a time, for one more reading of the texts per class.
+
 Skew. Equal packed strings of a chunk of texts meet before the shuffle: the first travels, the others are known to be
 repeated. A bucket whose minimiser is frequent (a phrase that a third of all documents hold in different surroundings)
 is not kept whole: its windows travel one by one, dealt by the hash of the whole window, so that only equal windows
@@ -23,6 +26,7 @@ columns are ignored. Rows are joined back by two 64-bit hashes of id and text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +38,9 @@ from pyspark.sql import types as T
 from .common import BASE, INVERSE, chunks, code_table, mix, powers, saved, text_buffers, width
 
 WORDS = 20
-GRAM = 5
+GRAM = 4
 SPLIT = 64
+ROUNDS = 2
 SAMPLE = 16
 FREQUENT = 1_000_000
 LEAST_FREQUENT = 1024       # sampled strings: 16,384 in all
@@ -177,8 +182,8 @@ def frequent_minimisers(docs: DataFrame, size: int, gram: int) -> bytes:
     return np.sort(np.array([r[0] for r in rows], np.int64)).tobytes()
 
 
-def packed_strings(docs: DataFrame, frequent: bytes, size: int, gram: int) -> DataFrame:
-    """(h, id, k1, k2, start, n, twice, packed): super-k-mers for their buckets, ``twice`` if the minimiser occurs twice in
+def packed_strings(docs: DataFrame, frequent: bytes, size: int, gram: int, of_class: int) -> DataFrame:
+    """(h, id, k1, k2, start, n, twice, packed): super-k-mers of one class of minimisers for their buckets, ``twice`` if the minimiser occurs twice in
     it; without ``packed``, n windows from ``start`` on that are known to be repeated."""
     kind = docs.schema["id"].dataType
     schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("id", kind), T.StructField("k1", T.LongType()),
@@ -194,6 +199,8 @@ def packed_strings(docs: DataFrame, frequent: bytes, size: int, gram: int) -> Da
             hasher.load(words.raw)
             least, valid, grams = minimisers(words, hasher, size, gram)
             first, n = super_kmers(least, valid)
+            own = least[first] % np.uint64(ROUNDS) == of_class
+            first, n = first[own], n[own]
             if not len(first):
                 continue
             h, twice = least[first].view(np.int64), recurring(first, n, least, grams, size - gram + 1)
@@ -336,7 +343,8 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumns({
         "k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(1))})
     frequent = frequent_minimisers(keyed, size, gram)
-    spans = saved(repeated_spans(packed_strings(keyed, frequent, size, gram), size), "spans")
+    rounds = [saved(repeated_spans(packed_strings(keyed, frequent, size, gram, r), size), "spans") for r in range(ROUNDS)]
+    spans = reduce(DataFrame.unionByName, rounds)
     lists = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
     schema = T.StructType([
