@@ -1,9 +1,12 @@
 """Point-in-polygon against brute force; streaming cell parsing."""
 
+import json
+import math
 import os
 import random
 
 import pandas as pd
+import pytest
 
 from trustgrid.operators import geo
 from trustgrid.streaming.cells import parse_survey_cells, start_survey_cell_stream
@@ -23,8 +26,8 @@ def test_pip_matches_brute_force(spark):
     pts = [(i, rnd.uniform(66, 100), rnd.uniform(4, 36)) for i in range(2000)]
     pts += [(5000, 75.0, 25.0), (5001, 71.0, 25.0), (5002, 94.5, 31.5), (5003, 70.0, 22.0)]
     df = spark.createDataFrame(pts, "pid long, x double, y double")
-    edges = geo.polygon_edges(geo.polygons_frame(spark))
-    got = {(r["pid"], r["district_id"]) for r in geo.points_in_polygons(df, edges, "pid", "x", "y").collect()}
+    index = geo.grid_index(geo.polygons_frame(spark))
+    got = {(r["pid"], r["district_id"]) for r in geo.points_in_polygons(df, index, "pid", "x", "y").collect()}
     want = {(pid, did) for pid, x, y in pts for did, _, rings in geo.DISTRICT_POLYGONS if brute_inside(x, y, rings)}
     assert got == want
     assert (5000, 1) not in got          # inside the hole
@@ -40,6 +43,7 @@ def test_resolution_order(spark):
     assert rows[1]["resolution_method"] == "polygon" and rows[1]["has_geography_conflict"]
     assert rows[1]["resolution_band"] == "amber"
     assert rows[2]["resolution_method"] == "code_lookup" and rows[2]["resolved_district"] == "zone 2"
+    assert rows[2]["resolution_band"] == "red"              # no coordinates: a hint, not a resolution
     assert rows[3]["resolution_method"] == "manual_review" and rows[3]["resolution_band"] == "red"
     assert rows[4]["resolution_band"] == "green"
 
@@ -58,15 +62,56 @@ def test_survey_cell_stream(spark, scratch):
     assert sorted(batch.columns) == sorted(spark.read.parquet(sink).columns)
 
 
-def test_salted_band_join_same_as_broadcast(spark):
+def test_joined_index_same_as_broadcast(spark):
     rnd = random.Random(11)
-    pts = [(i, rnd.uniform(68, 98), 25.5) for i in range(500)]       # one hot band
-    pts += [(1000 + i, rnd.uniform(66, 100), rnd.uniform(4, 36)) for i in range(300)]
+    pts = [(i, rnd.uniform(74, 75), 25.5) for i in range(500)]       # one hot cell
+    pts += [(1000 + i, rnd.uniform(66, 100), rnd.uniform(4, 36)) for i in range(300)] + [(2000, None, 1.0), (2001, 1.0, None)]
     df = spark.createDataFrame(pts, "pid long, x double, y double")
-    edges = geo.polygon_edges(geo.polygons_frame(spark))
-    a = set(geo.points_in_polygons(df, edges, "pid", "x", "y", broadcast_edges=True).collect())
-    b = set(geo.points_in_polygons(df, edges, "pid", "x", "y", broadcast_edges=False, salt_buckets=7).collect())
+    index = geo.grid_index(geo.polygons_frame(spark))
+    a = set(geo.points_in_polygons(df, index, "pid", "x", "y", broadcast_index=True).collect())
+    b = set(geo.points_in_polygons(df, index, "pid", "x", "y").collect())
     assert a == b and len(a) > 0
+    whole = geo.assign_districts(df, index, "x", "y")
+    assert whole.count() == len(pts) and whole.filter("pid >= 2000 and size(districts) > 0").count() == 0
+
+
+def star(cx, cy, n, rnd, grid):
+    """A simple ring around a centre; corners on multiples of 1 / 4 if ``grid``."""
+    out = []
+    for k in range(n):
+        r = rnd.uniform(0.5, 5)
+        x, y = cx + r * math.cos(2 * math.pi * k / n), cy + r * math.sin(2 * math.pi * k / n)
+        out.append([round(x * 4) / 4, round(y * 4) / 4] if grid else [x, y])
+    return [*out, out[0]]
+
+
+def test_pip_on_random_polygons_and_cell_sizes(spark):
+    """Corners, edges and points on cell sides: the index gives the plain ray count for every point."""
+    rnd = random.Random(23)
+    polygons = [(i, f"d{i}", [star(rnd.uniform(-8, 8), rnd.uniform(-8, 8), rnd.randint(3, 14), rnd, i % 2 == 0) for _ in range(1 + i % 3)])
+                for i in range(14)]
+    pts = [(i, rnd.uniform(-14, 14), rnd.uniform(-14, 14)) for i in range(700)]
+    pts += [(1000 + i, rnd.randint(-56, 56) / 4, rnd.randint(-56, 56) / 4) for i in range(900)]
+    pts += [(3000 + i, *rnd.choice(rnd.choice(polygons)[2][0])) for i in range(200)]
+    df = spark.createDataFrame(pts, "pid long, x double, y double")
+    frame = spark.createDataFrame([(i, n, json.dumps(r)) for i, n, r in polygons], "district_id int, district_name string, rings_json string")
+    want = {(pid, did) for pid, x, y in pts for did, _, rings in polygons if brute_inside(x, y, rings)}
+    for cell in (1.0, 0.5, 4.0):
+        got = geo.points_in_polygons(df, geo.grid_index(frame, cell), "pid", "x", "y", cell).collect()
+        assert {(r["pid"], r["district_id"]) for r in got} == want
+    assert geo.grid_index(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        geo.grid_index(frame, 0.3)
+
+
+def test_stated_district_against_polygon(spark):
+    df = spark.createDataFrame([(1, "a", "a", True), (2, "a", "b", True), (3, "a", None, True), (4, None, "b", True),
+                                (5, None, "b", False), (6, None, None, None)], "id int, poly string, stated string, ok boolean")
+    rows = {r["id"]: r for r in geo.stated_conflicts(df, "poly", "stated", "ok").collect()}
+    assert [rows[i]["agreement"] for i in range(1, 7)] == ["agrees", "conflict", "not_stated", "outside_boundaries",
+                                                           "unresolved", "unresolved"]
+    assert [rows[i]["location_band"] for i in range(1, 7)] == ["green", "amber", "amber", "amber", "red", "red"]
+    assert rows[2]["stated_conflict"] and rows[2]["location_fix"] == "correct stated district"
 
 
 def test_many_to_one_join_salted_equals_plain(spark):
@@ -97,9 +142,11 @@ def test_facility_verdict_stream_matches_batch(spark, scratch):
 
 
 def test_verified_field_precedes_code_lookup(spark):
-    df = spark.createDataFrame([(1, None, "north goa", "zone 1"), (2, "x", "north goa", "zone 1")],
-                               "id int, poly string, verified string, code string")
-    rows = {r["id"]: r for r in geo.resolve_geography(df, "poly", "verified", "code", "poly").collect()}
+    df = spark.createDataFrame([(1, None, "north goa", "zone 1", True), (2, "x", "north goa", "zone 1", True),
+                                (3, None, "north goa", "zone 1", False)],
+                               "id int, poly string, verified string, code string, ok boolean")
+    rows = {r["id"]: r for r in geo.resolve_geography(df, "poly", "verified", "code", "ok").collect()}
+    assert [rows[i]["resolution_band"] for i in (1, 2, 3)] == ["amber", "amber", "red"]
     assert rows[1]["resolution_method"] == "verified_field" and rows[1]["resolved_district"] == "north goa"
     assert rows[2]["resolution_method"] == "polygon"
 

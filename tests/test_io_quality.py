@@ -132,8 +132,8 @@ def test_geojson_polygons_drive_point_in_polygon(spark, scratch):
                                 "pid int, x double, y double")
 
     def hits(polys):
-        edges = geo.polygon_edges(polys)
-        return {(r["pid"], r["district_name"]) for r in geo.points_in_polygons(pts, edges, "pid", "x", "y").collect()}
+        index = geo.grid_index(polys)
+        return {(r["pid"], r["district_name"]) for r in geo.points_in_polygons(pts, index, "pid", "x", "y").collect()}
 
     assert hits(from_file) == hits(geo.polygons_frame(spark)) == {(2, "North Range"), (3, "Twin Isles"),
                                                                   (4, "East Delta")}

@@ -15,7 +15,7 @@ def test_build_all(spark, scratch):
         assert spark.read.parquet(r["path"]).count() == r["row_count"]
     assert summary["gold_facility_verdicts"]["row_count"] == catalog.facility_verdicts_df(spark, SF).count()
     assert summary["silver_code_lookup"]["row_count"] == catalog.lookup_df(spark, SF).count()
-    assert summary["silver_survey_cells"]["row_count"] == 5 * summary["bronze_survey_indicators"]["row_count"]
+    assert summary["silver_survey_cells"]["row_count"] == 8 * summary["bronze_survey_indicators"]["row_count"]
 
 
 def test_build_all_defaults_to_checkpoint_dir(spark):
@@ -30,7 +30,7 @@ def test_partitioned_silver_prunes(spark, scratch):
     one = cells.where("indicator = 'women_age_15_49_years_who_are_anaemic_percent'")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(indicator" in plan
-    assert one.count() * 5 == cells.count()
+    assert one.count() * 8 == cells.count()
 
 
 def test_bucketed_district_join_is_shuffle_free(spark, scratch):

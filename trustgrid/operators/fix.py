@@ -2,8 +2,11 @@
 
 rank score = score lift if fixed x impact (burden x population), with a
 boost for *missing* evidence on high-weight dimensions (missing data is the
-first thing to acquire). Ranks are per entity: the window partitions by the
-entity key, so no global sort and no single-task window at any scale.
+first thing to acquire). ``rank_fixes`` ranks per entity: the window
+partitions by the entity key. ``rank_overall`` ranks the fixes of all entities
+in one list, so that the repairs that matter most come first wherever they
+are: places come from range partitions (``operators.ranking``), so no global
+sort in one task and no single-task window at any scale.
 
 ``before_after`` applies each entity's top fix (score -> 1, confidence
 restored) and re-scores both versions inside ONE aggregation on the entity
@@ -22,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trustgrid.operators.ranking import places
 from trustgrid.operators.score import capped_rank, rank_band, reason_text, round_half_up, score_is_valid, score_rank
 
 # Fixed values.
@@ -58,6 +62,17 @@ def rank_fixes(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scal
     )
 
 
+def rank_overall(fixes: DataFrame, entity_cols: Sequence[str], rank: str = "rank_overall") -> DataFrame:
+    """The fixes of ``rank_fixes`` with their place, from 1, in the list of all entities.
+
+    Ordered by priority (a fix without one comes last), then by entity (null keys first) and ordinal, so ties have a
+    defined order; no row is dropped.
+    """
+    order = [F.desc_nulls_last("priority"), *[F.asc_nulls_first(c) for c in entity_cols], F.asc("ordinal")]
+    placed = places(fixes, order, pos=rank, size=None)
+    return placed.withColumn(rank, F.col(rank) + 1)
+
+
 def before_after(dims: DataFrame, entity_cols: Sequence[str], impact: Column, scale: int = 4) -> DataFrame:
     """Verdict before and after applying each entity's rank-1 fix."""
     w_entity = Window.partitionBy(*entity_cols)

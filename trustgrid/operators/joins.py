@@ -35,6 +35,16 @@ def replicate(df: DataFrame, buckets: int, name: str = "_salt") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which null equals null; the right side's keys are dropped."""
+    named = right.select(*[F.col(k).alias(f"__right_{i}") for i, k in enumerate(keys)],
+                         *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__right_{i}"))
+    return left.join(named, cond, how).drop(*[f"__right_{i}" for i in range(len(keys))])
+
+
 MAX_SALT_BUCKETS = 64
 # Without AQE, keys holding at least this many left rows are salted; the rest join as they are.
 DEFAULT_HOT_ROWS = 1_000_000

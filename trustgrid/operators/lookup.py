@@ -5,57 +5,80 @@ one code on many rows multiplies the other side. ``join_safe_lookup``
 reduces it to one row per code first, with the value sets, counts and a
 representative only when the code is unambiguous.
 
-All aggregates are partial-aggregation friendly: the value sets are
-``collect_set`` (deduplicated map-side, bounded by the number of distinct
-districts per code, never by the number of rows), counts are sums.
+No group is gathered whole. Rows are counted per (code, value) first, so a
+code that a third of all rows share spreads over its values; that table, with
+every spelling and its rows, is a result of its own (``key_values``). From it
+counts and representatives are algebraic, and of the values only the ``NAMES``
+smallest are listed per code, taken by a row limit that Spark applies in every
+task before and after the shuffle. The counts beside a list are exact, so a
+list that is not whole shows.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustgrid.operators.joins import many_to_one_join
+from trustgrid.operators.joins import many_to_one_join, null_safe_join
 
+NAMES = 32
 
-def _sorted_set(c: str) -> Column:
-    return F.array_sort(F.collect_set(c))
+
+def key_values(rows: DataFrame, keys: Sequence[str], columns: Mapping[str, str], **sums: Column) -> DataFrame:
+    """(keys, kind, value, rows, sums): how often each value of each column occurs per key, nulls included.
+
+    ``columns`` maps a kind to a column; ``sums`` are further numbers to add up. Two counts, by all columns at once and
+    then by one: a value that many rows share is one row per task before the second.
+    """
+    combined = rows.groupBy(*keys, *dict.fromkeys(columns.values())).agg(
+        F.count("*").alias("rows"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    cells = F.inline(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
+                               for kind, c in columns.items()]))
+    return combined.select(*keys, "rows", *sums, cells).groupBy(*keys, "kind", "value").agg(
+        F.sum("rows").alias("rows"), *[F.sum(n).alias(n) for n in sums])
+
+
+def smallest_values(values: DataFrame, keys: Sequence[str], kinds: Mapping[str, str], n: int = NAMES) -> DataFrame:
+    """Per key the ``n`` smallest values of each kind, ``|``-joined; ``kinds`` maps a kind to its output column."""
+    place = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy("value"))
+    first = (values.where(F.col("value").isNotNull() & F.col("kind").isin(*kinds)).withColumn("__place", place)
+             .where(F.col("__place") <= n))
+    return first.groupBy(*keys).agg(*[
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("value")))), "|").alias(out)
+        for k, out in kinds.items()])
 
 
 def join_safe_lookup(rows: DataFrame, key: str, district_key: str, state_key: str,
-                     district_name: str, state_name: str, has_coords: str) -> DataFrame:
+                     district_name: str, state_name: str, has_coords: str, names: int = NAMES) -> DataFrame:
     """One row per ``key`` (null keys are not keys and are left out)."""
-    aggs, out = _lookup_columns(key, district_key, state_key, district_name, state_name, has_coords)
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs).select(*out)
-
-
-@lru_cache(maxsize=64)
-def _lookup_columns(key, district_key, state_key, district_name, state_name, has_coords):
-    aggs = (
-        F.count("*").alias("post_office_count"),
-        _sorted_set(district_key).alias("_districts"),
-        _sorted_set(state_key).alias("_states"),
-        _sorted_set(district_name).alias("_district_names"),
-        _sorted_set(state_name).alias("_state_names"),
-        F.count_if(F.col(has_coords)).alias("geocoded_office_count"),
-    )
-    ambiguous = (F.size("_districts") > 1) | (F.size("_states") > 1)
-    return aggs, (
-        key,
-        "post_office_count",
-        F.size("_districts").cast("bigint").alias("district_count"),
-        F.size("_states").cast("bigint").alias("state_count"),
-        F.array_join("_districts", "|").alias("district_keys"),
-        F.array_join("_states", "|").alias("state_keys"),
-        F.array_join("_district_names", "|").alias("district_names"),
-        F.array_join("_state_names", "|").alias("state_names"),
-        "geocoded_office_count",
+    kinds = {"districts": district_key, "states": state_key, "district_names": district_name, "state_names": state_name}
+    values = key_values(rows.where(F.col(key).isNotNull()), [key], kinds, geocoded=F.col(has_coords).cast("int"))
+
+    def of(kind: str) -> Column:
+        return F.col("kind") == kind
+
+    def distinct(kind: str) -> Column:
+        return F.count_if(of(kind) & F.col("value").isNotNull())
+
+    totals = values.groupBy(key).agg(
+        F.sum(F.when(of("districts"), F.col("rows"))).alias("post_office_count"),
+        distinct("districts").alias("district_count"), distinct("states").alias("state_count"),
+        distinct("district_names").alias("district_name_count"), distinct("state_names").alias("state_name_count"),
+        F.coalesce(F.sum(F.when(of("districts"), F.col("geocoded"))), F.lit(0)).alias("geocoded_office_count"),
+        F.min(F.when(of("districts"), F.col("value"))).alias("__district"),
+        F.min(F.when(of("states"), F.col("value"))).alias("__state"))
+    listed = {"districts": "district_keys", "states": "state_keys", "district_names": "district_names", "state_names": "state_names"}
+    joined = null_safe_join(totals, smallest_values(values, [key], listed, names), [key])
+    ambiguous = (F.col("district_count") > 1) | (F.col("state_count") > 1)
+    return joined.select(
+        key, "post_office_count", "district_count", "state_count",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in listed.values()],
+        "district_name_count", "state_name_count", "geocoded_office_count",
         ambiguous.alias("is_geography_ambiguous"),
-        F.when(~ambiguous, F.try_element_at("_districts", F.lit(1))).alias("representative_district_key"),
-        F.when(~ambiguous, F.try_element_at("_states", F.lit(1))).alias("representative_state_key"),
-    )
+        F.when(~ambiguous, F.col("__district")).alias("representative_district_key"),
+        F.when(~ambiguous, F.col("__state")).alias("representative_state_key"))
 
 
 # Match status labels, first true wins.

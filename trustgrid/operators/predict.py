@@ -1,30 +1,50 @@
-"""Expected coverage by a per-group linear trend, and divergence anomalies.
+"""Expected coverage by linear trends, and divergence anomalies.
 
-``regr_slope`` / ``regr_intercept`` are built-in aggregates used as window
-functions partitioned by the group, so fitting and scoring share one
-shuffle and no model leaves the cluster.
+A group's fit and the spread around it come from one pass of algebraic sums (count, means, central sums of squares and
+products), so a group of any size is one partial row per task; the fits are joined back to the rows. No group is held
+in a window and no model leaves the cluster.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustgrid.operators.joins import null_safe_join
 from trustgrid.operators.score import round_half_up
 
 
+def fit_trends(series: DataFrame, group_cols: Sequence[str], t_col: str, y_col: str) -> DataFrame:
+    """One row per group: fit_rows, slope, intercept and residual_sd of y ~ a + b * t, from six sums in one aggregation.
+
+    The residuals of a least-squares line add up to 0, so their sample variance is (Syy - Sxy^2 / Sxx) / (n - 1). A
+    group whose t does not vary has no line.
+    """
+    y, t = F.col(y_col).cast("double"), F.col(t_col).cast("double")
+    sums = series.groupBy(*group_cols).agg(
+        F.regr_count(y, t).alias("_n"), F.regr_avgx(y, t).alias("_x"), F.regr_avgy(y, t).alias("_y"),
+        F.regr_sxx(y, t).alias("_xx"), F.regr_syy(y, t).alias("_yy"), F.regr_sxy(y, t).alias("_xy"))
+    slope = F.when(F.col("_xx") > 0, F.col("_xy") / F.col("_xx"))
+    rest = F.greatest(F.lit(0.0), F.col("_yy") - F.col("_slope") * F.col("_xy"))
+    return sums.withColumn("_slope", slope).select(
+        *group_cols, F.col("_n").alias("fit_rows"), F.col("_slope").alias("slope"),
+        (F.col("_y") - F.col("_slope") * F.col("_x")).alias("intercept"),
+        F.sqrt(F.try_divide(rest, F.col("_n") - 1)).alias("residual_sd"))
+
+
 def trend_anomalies(series: DataFrame, group_cols: Sequence[str], t_col: str, y_col: str,
                     k: float = 2.0, scale: int = 6) -> DataFrame:
-    """Fit y ~ a + b*t per group; flag points whose residual exceeds k sample SDs."""
-    w = Window.partitionBy(*group_cols)
+    """Fit y ~ a + b*t per group; flag points whose residual exceeds k sample SDs.
+
+    With an indicator among ``group_cols`` all indicators are fitted in the same pass. Null groups are a group.
+    """
+    fits = fit_trends(series, group_cols, t_col, y_col).select(
+        *group_cols, F.col("slope").alias("_slope"), F.col("intercept").alias("_intercept"), F.col("residual_sd").alias("_sd"))
     y, t = F.col(y_col).cast("double"), F.col(t_col).cast("double")
-    fitted = (series.withColumn("_slope", F.regr_slope(y, t).over(w))
-              .withColumn("_intercept", F.regr_intercept(y, t).over(w)))
-    fitted = fitted.withColumn("_pred", F.col("_intercept") + F.col("_slope") * t)
+    fitted = null_safe_join(series, fits, group_cols).withColumn("_pred", F.col("_intercept") + F.col("_slope") * t)
     fitted = fitted.withColumn("_resid", y - F.col("_pred"))
-    fitted = fitted.withColumn("_sd", F.stddev_samp("_resid").over(w))
     return fitted.select(
         *group_cols, t_col, y_col,
         round_half_up(F.col("_slope"), scale).alias("trend_slope"),

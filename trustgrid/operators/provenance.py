@@ -7,9 +7,13 @@ scanned (no prefixes). All patterns are built-in regex expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trustgrid.operators.score import capped_rank, rank_band, round_half_up, score_rank
+
 # Confidence levels and extraction patterns.
 CONFIDENCE_STRUCTURED = 1.0
 CONFIDENCE_EXTRACTED = 0.6
@@ -68,6 +72,61 @@ FLAG_RULES = {
 }
 
 
+# --- facts from lists of claims -------------------------------------------------------------
+
+def claim_items(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+    """(keep, item_pos, item): one row per item of a JSON list of claims, whatever the items are.
+
+    The text is parsed once, as a variant, so a list may mix texts, numbers, objects and lists; texts come as they are,
+    other items as JSON text (a pattern finds its words in either), null items and an empty list give no row. A single
+    JSON text is one item, and so is everything that is no list: an object, plain text, a list that breaks off.
+    """
+    items = F.try_variant_get("__json", "$", "array<variant>")
+    texts = F.transform(items, lambda x: F.try_variant_get(x, "$", "string"))
+    single = F.coalesce(F.when(F.col(text_col).rlike(r'^\s*"'), F.try_variant_get("__json", "$", "string")), F.col(text_col))
+    parsed = df.select(*keep, text_col, F.try_parse_json(text_col).alias("__json"))
+    return (parsed.select(*keep, F.posexplode(F.coalesce(texts, F.array(single))).alias("item_pos", "item"))
+            .where(F.col("item").isNotNull()))
+
+
+def item_facts(items: DataFrame, keep: Sequence[str], text_col: str = "item") -> DataFrame:
+    """(keep, fact, amount): one row per fact that an item's text states; ``amount`` for counted facts only."""
+    lowered = items.select(*keep, F.lower(text_col).alias("__text"))
+    found = lowered.select(*keep, *fact_columns(F.col("__text")))
+    none = F.lit(None).cast("bigint")
+    cells = [F.when(F.col(f).isNotNull(), F.struct(F.lit(f).alias("fact"), F.col(f).alias("amount"))) for f in COUNT_RULES]
+    cells += [F.when(F.col(f), F.struct(F.lit(f).alias("fact"), none.alias("amount"))) for f in FLAG_RULES]
+    return found.select(*keep, F.inline(F.filter(F.array(*cells), lambda c: c.isNotNull())))
+
+
+def entity_facts(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per (keys, fact): its largest amount and the number of items that state it."""
+    return facts.groupBy(*keys, "fact").agg(F.max("amount").alias("amount"), F.count("*").alias("items"))
+
+
+def fact_profile(entities: DataFrame, facts: DataFrame, key: str, structured: Mapping[str, Column]) -> DataFrame:
+    """One row per entity: provenance and confidence of every fact, and what they say together.
+
+    ``structured`` maps a fact to the condition that the entity has it as a field; other facts can be extracted only.
+    ``fact_confidence`` is the mean over all facts; an entity with any fact that is inferred or absent stays at amber.
+    """
+    names = [*COUNT_RULES, *FLAG_RULES]
+    stated = facts.groupBy(key).agg(*[F.count_if(F.col("fact") == f).alias(f"__{f}") for f in names])
+    joined = entities.select(key, *[structured.get(f, F.lit(False)).alias(f"__s_{f}") for f in names]).join(stated, key, "left")
+    has = {f: F.coalesce(F.col(f"__{f}") > 0, F.lit(False)) for f in names}
+    tags = {f"{f}_provenance": provenance_tag(F.col(f"__s_{f}"), has[f]) for f in names}
+    confidence = sum((provenance_confidence(F.col(f"__s_{f}"), has[f]) for f in names), F.lit(0.0)) / len(names)
+    out = joined.select(key, *[c.alias(n) for n, c in tags.items()], confidence.alias("__mean"))
+    inferred = sum((F.when(F.col(n) == "extracted", 1).otherwise(0) for n in tags), F.lit(0))
+    absent = sum((F.when(F.col(n) == "absent", 1).otherwise(0) for n in tags), F.lit(0))
+    counted = out.withColumns({"inferred_facts": inferred, "absent_facts": absent})
+    return counted.withColumns({
+        "fact_confidence": round_half_up(F.col("__mean"), 6),
+        "fact_band": rank_band(capped_rank(score_rank(F.col("__mean")), F.lit(2),
+                                           (F.col("inferred_facts") > 0) | (F.col("absent_facts") > 0))),
+    }).drop("__mean")
+
+
 def _any_contains(lowered: Column, words) -> Column:
     out = None
     for w in words:

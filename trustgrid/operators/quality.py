@@ -8,8 +8,9 @@ severity ``warn`` / ``fail``) instead of being written down.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +95,81 @@ def evaluate_contracts(tables: dict[str, DataFrame], rules: Sequence[Rule] | dic
     return out
 
 
+# --- keys of several tables in one pass ---------------------------------------------------
+
+@dataclass(frozen=True)
+class KeyUse:
+    """A table's use of a key: as its own (``owner``, to be unique) or as a reference to the owner's."""
+
+    kind: str
+    columns: tuple[str, ...]
+    owner: bool
+
+
+def key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[KeyUse], Mapping[str, Column]]]) -> DataFrame:
+    """(kind, key, owned, used, f_0 ... f_n): one row per key of each kind, from one scan of every table.
+
+    ``tables`` maps a name to its rows, the keys in them and conditions to count (the f columns, in the order of all
+    conditions of all tables; a condition is counted with the first key of its table). Each row is spread into one small
+    row per key it uses; all meet in one aggregation by (kind, key), in which a frequent key is one row per task.
+    Columns of a key are compared as one binary value; a null part makes a null key.
+    """
+    flags = [(t, name) for t, (_, _, conditions) in tables.items() for name in conditions]
+    parts = []
+    for table, (df, uses, conditions) in tables.items():
+        rows = []
+        for i, use in enumerate(uses):
+            text = [F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")) for c in use.columns]
+            key = F.col(use.columns[0]).cast("string") if len(use.columns) == 1 else F.concat(*text)
+            rows.append(F.struct(
+                F.lit(use.kind).alias("kind"), key.alias("key"), F.lit(int(use.owner)).alias("owned"),
+                F.lit(int(not use.owner)).alias("used"),
+                *[(F.when(F.coalesce(conditions[n], F.lit(True)), 1).otherwise(0) if t == table and i == 0 else F.lit(0)).alias(f"f_{k}")
+                  for k, (t, n) in enumerate(flags)]))
+        parts.append(df.select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts).groupBy("kind", "key").agg(
+        *[F.sum(c).alias(c) for c in ("owned", "used", *(f"f_{k}" for k in range(len(flags))))])
+
+
+def owned_again(kind: str) -> Column:
+    """Rows beyond the first of their key, null keys included (0 when the key is unique and present)."""
+    more = F.when(F.col("key").isNull(), F.col("owned")).otherwise(F.greatest(F.col("owned") - 1, F.lit(0)))
+    return F.coalesce(F.sum(F.when(F.col("kind") == kind, more)), F.lit(0))
+
+
+def used_without_owner(kind: str) -> Column:
+    """Rows whose reference finds no owner, null references included."""
+    lost = F.when(F.col("key").isNull() | (F.col("owned") == 0), F.col("used")).otherwise(F.lit(0))
+    return F.coalesce(F.sum(F.when(F.col("kind") == kind, lost)), F.lit(0))
+
+
+def rows_owned(kind: str) -> Column:
+    return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("owned"))), F.lit(0))
+
+
+def distinct_by_grain(rows: DataFrame, code: Column, keys: Sequence[str], grains: Sequence[str], distinct: str,
+                      count: str) -> DataFrame:
+    """Exact distinct codes and rows per grain: ``grains[i]`` counts by the first i of ``keys`` (the last one by all).
+
+    Codes (whole numbers from 0) become bitmaps of 32,768 per (keys, bucket), built in each task; every coarser grain
+    joins the finer one's bitmaps, so the rows are read and shuffled once and a grain's cost is its number of buckets.
+    Null codes are no codes but their rows count.
+    """
+    base = rows.select(*keys, code.alias("__code"))
+    finest = (base.withColumns({"__bucket": F.bitmap_bucket_number("__code"), "__bit": F.bitmap_bit_position("__code")})
+              .groupBy(*keys, "__bucket").agg(F.bitmap_construct_agg("__bit").alias("__map"), F.count("*").alias("__rows")))
+    out, now = [], finest
+    for i in range(len(keys), -1, -1):
+        own = list(keys[:i])
+        if i < len(keys):
+            now = now.groupBy(*own, "__bucket").agg(F.bitmap_or_agg("__map").alias("__map"), F.sum("__rows").alias("__rows"))
+        seen = F.when(F.col("__bucket").isNotNull(), F.bitmap_count("__map"))
+        one = now.groupBy(*own).agg(F.coalesce(F.sum(seen), F.lit(0)).alias(distinct), F.coalesce(F.sum("__rows"), F.lit(0)).alias(count))
+        out.append(one.select(F.lit(grains[i]).alias("grain"), *[
+            (F.col(k) if k in own else F.lit(None).cast(rows.schema[k].dataType)).alias(k) for k in keys], distinct, count))
+    return reduce(DataFrame.unionByName, out)
+
+
 # --- rule builders --------------------------------------------------------------
 
 def duplicate_keys(*keys: str) -> Column:

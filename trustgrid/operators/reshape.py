@@ -82,6 +82,20 @@ def pivot_fixed(df: DataFrame, keys: Sequence[str | Column], pivot_col: str | Co
     return df.groupBy(*keys).agg(*cols, *extra_aggs)
 
 
+MAX_COLUMNS = 2000
+
+
+def discover_values(df: DataFrame, column: str, most: int = MAX_COLUMNS) -> list:
+    """The distinct non-null values of a pivot column, sorted: one pass over that column, pre-aggregated per task.
+
+    At most ``most`` values reach the driver; more cannot become columns and are an error, never cut.
+    """
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values: too many for columns")
+    return sorted(found)
+
+
 def union_all_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

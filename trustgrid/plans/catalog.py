@@ -69,7 +69,8 @@ def survey_cells_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def survey_districts_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.survey_districts(survey_cells_df(spark, sf_dir))
+    landed = silver.survey_landed(spark, sf_dir)
+    return silver.survey_districts(silver.survey_cells(landed), silver.survey_indicators(landed))
 
 
 def need_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,13 +300,13 @@ def _coverage(spark, sf_dir):
                                    "order_count")
 
 
-def pip_df(spark: SparkSession, sf_dir: str, facilities: DataFrame | None = None) -> DataFrame:
-    facilities = facilities if facilities is not None else facility_geo_df(spark, sf_dir)
-    pts = facilities.where(F.col("has_valid_coordinates"))
-    edges = geo.polygon_edges(geo.polygons_frame(spark))
-    # The edge table comes from a fixed boundary set: its size is bounded.
-    hits = geo.points_in_polygons(pts, edges, "unique_id", "longitude", "latitude", broadcast_edges=True)
-    return geo.first_district(hits, "unique_id")
+def located_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities with the districts of the polygons they lie in."""
+    facilities = facility_geo_df(spark, sf_dir).select("unique_id", "pincode", "has_valid_coordinates", "longitude", "latitude")
+    valid = F.col("has_valid_coordinates")
+    points = facilities.withColumns({"x": F.when(valid, F.col("longitude")), "y": F.when(valid, F.col("latitude"))})
+    # the index comes from a fixed boundary set: its size is bounded
+    return geo.assign_districts(points, geo.grid_index(geo.polygons_frame(spark)), "x", "y", broadcast_index=True)
 
 
 O_PIP = {**O_VERDICTS, "pip_hits": ql.PIP_HITS, "pip": ql.PIP}
@@ -313,23 +314,38 @@ O_PIP = {**O_VERDICTS, "pip_hits": ql.PIP_HITS, "pip": ql.PIP}
 
 @register("point_in_polygon", _with("SELECT * FROM pip", **O_PIP), ("SP-1",))
 def _pip(spark, sf_dir):
-    return pip_df(spark, sf_dir)
+    return geo.first_district(located_df(spark, sf_dir), "unique_id")
 
 
-@register("geo_resolution", _with(ql.GEO_RESOLUTION, **O_PIP, **O_LOOKUP), ("SP-2",))
-def _geo_resolution(spark, sf_dir):
+def placed_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities with the polygon's district, the stated one (and as verified field, if it is verified), the code's."""
     from trustgrid.functions.text import place_key
-    facilities = facility_geo_df(spark, sf_dir)
-    f = facilities.select("unique_id", "pincode", "has_valid_coordinates")
-    p = pip_df(spark, sf_dir, facilities).select("unique_id", place_key("district_name").alias("polygon_district"))
+    from trustgrid.operators.joins import many_to_one_join
+    first = F.try_element_at("districts", F.lit(1))["district_name"]
+    f = located_df(spark, sf_dir).select("unique_id", "pincode", "has_valid_coordinates",
+                                         place_key(first).alias("polygon_district"))
+    stated = fx.view(spark, sf_dir, "v_facility_stated").select(
+        F.col("unique_id").alias("_id"), place_key("stated_district").alias("stated_district"), "is_verified")
     lkp = lookup_df(spark, sf_dir).select(F.col("pincode").alias("_code"),
                                           F.col("representative_district_key").alias("code_district"))
-    from trustgrid.operators.joins import many_to_one_join
     # A code can hold a third of all facilities: the lookup join is skew-safe.
-    j = many_to_one_join(f.join(p, "unique_id", "left"), lkp, ["pincode"], ["_code"], "left")
-    out = geo.resolve_geography(j, "polygon_district", None, "code_district", "has_valid_coordinates")
-    return out.select("unique_id", "polygon_district", "code_district", "resolved_district", "resolution_method",
-                      "has_geography_conflict", "resolution_band")
+    j = many_to_one_join(f.join(stated, F.col("unique_id") == F.col("_id"), "left").drop("_id"), lkp, ["pincode"], ["_code"], "left")
+    return j.withColumn("verified_district", F.when(F.col("is_verified"), F.col("stated_district")))
+
+
+@register("geo_resolution", _with(ql.GEO_RESOLUTION, **O_PIP, **O_LOOKUP), ("SP-2",))
+def _geo_resolution(spark, sf_dir):
+    out = geo.resolve_geography(placed_df(spark, sf_dir), "polygon_district", "verified_district", "code_district",
+                                "has_valid_coordinates")
+    return out.select("unique_id", "polygon_district", "verified_district", "code_district", "resolved_district",
+                      "resolution_method", "has_geography_conflict", "resolution_band")
+
+
+@register("geo_conflicts", _with(ql.GEO_CONFLICTS, **O_PIP, **O_LOOKUP), ("SP-1", "SP-2"))
+def _geo_conflicts(spark, sf_dir):
+    out = geo.stated_conflicts(placed_df(spark, sf_dir), "polygon_district", "stated_district", "has_valid_coordinates")
+    return out.select("unique_id", "has_valid_coordinates", "polygon_district", "stated_district", "agreement",
+                      "stated_conflict", "location_band", "location_fix")
 
 
 @register("capability_extraction", _with(ql.CAPABILITIES), ("SP-5", "SP-6"))
@@ -471,7 +487,7 @@ SELECT n.state_key, n.district_key, NOT (n.missing_metric_count < 4) AS burden_i
   coalesce(CASE WHEN n.missing_metric_count < 4 THEN n.demand_side_need_score ELSE s.sb END, CAST(0.0 AS DOUBLE))
     * (n.post_office_count + 1) AS impact
 FROM need n LEFT JOIN (SELECT state_key, avg(demand_side_need_score) AS sb FROM need
-                       WHERE missing_metric_count < 4 GROUP BY state_key) s ON n.state_key = s.state_key
+                       WHERE missing_metric_count < 4 GROUP BY state_key) s ON n.state_key IS NOT DISTINCT FROM s.state_key
 """
 
 _DISTRICT_FIX_SQL = """
@@ -482,22 +498,29 @@ FROM (SELECT d.*, i.burden_is_state_proxy, i.impact,
         (1.0 - d.score) * d.weight / sum(d.weight) OVER (PARTITION BY d.state_key, d.district_key) AS lift,
         ((1.0 - d.score) * d.weight / sum(d.weight) OVER (PARTITION BY d.state_key, d.district_key)) * i.impact
           * (CASE WHEN d.is_missing AND d.weight >= 1.0 THEN CAST(1.5 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END) AS prio
-      FROM district_dims d JOIN district_impact i ON d.state_key = i.state_key AND d.district_key = i.district_key
+      FROM district_dims d LEFT JOIN district_impact i ON d.state_key IS NOT DISTINCT FROM i.state_key
+        AND d.district_key IS NOT DISTINCT FROM i.district_key
       WHERE coalesce(d.score BETWEEN 0.0 AND 1.0, false)) r
 WHERE score < 1.0
 """.format(rs=q.rd("score"), rl=q.rd("lift"), ri=q.rd("impact"), rp=q.rd("prio"))
 
 
-@register("district_fix_ranking", _with(_DISTRICT_FIX_SQL, **O_NEED, district_dims=DISTRICT_DIMS_SQL,
-                                        district_impact=_DISTRICT_IMPACT_SQL), ("SP-7", "SP-13"))
-def _district_fix_ranking(spark, sf_dir):
+def district_fixes_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixes per district; a district without a state or a name keeps its fixes."""
+    from trustgrid.operators.joins import null_safe_join
     districts = survey_districts_df(spark, sf_dir)
     postal = silver.postal_summary(offices_df(spark, sf_dir))
     need = gold.need_ranking(gold.district_context(districts, postal))
     dims = gold.district_dimensions(districts, postal)
-    impact = gold.district_impact(need)
     keys = ["state_key", "district_key"]
-    return fix.rank_fixes(dims.join(impact, keys), keys, F.col("impact"), extra_cols=["burden_is_state_proxy"])
+    return fix.rank_fixes(null_safe_join(dims, gold.district_impact(need), keys), keys, F.col("impact"),
+                          extra_cols=["burden_is_state_proxy"])
+
+
+@register("district_fix_ranking", _with(_DISTRICT_FIX_SQL, **O_NEED, district_dims=DISTRICT_DIMS_SQL,
+                                        district_impact=_DISTRICT_IMPACT_SQL), ("SP-7", "SP-13"))
+def _district_fix_ranking(spark, sf_dir):
+    return district_fixes_df(spark, sf_dir)
 
 
 
@@ -529,3 +552,6 @@ FROM expected_pred, (SELECT stddev_samp(resid) AS sd FROM expected_pred) s
 def _expected_coverage(spark, sf_dir):
     return predict.expected_values(survey_districts_df(spark, sf_dir), ["state_key", "district_key"],
                                    "health_insurance_percent", "institutional_delivery_percent")
+
+
+from trustgrid.plans import decisions  # noqa: E402,F401  (registers its queries)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustgrid.operators import lookup as lk
+from trustgrid.operators.joins import null_safe_join
 from trustgrid.operators.score import capped_rank, need_score, rank_band, round_half_up, score_rank
 from trustgrid.plans.silver import ADMIN_INDICATORS, NEED_METRICS, SURVEY_METRICS
 
@@ -24,27 +25,47 @@ ADMIN_CAUTION = "state_grain_admin_fallback_not_district_reconciliation"
 def facility_verdicts(geo: DataFrame, scale: int = 6) -> DataFrame:
     """Facility trust rolled up per normalised state key (one shuffle).
 
-    Spellings of the same state are one group; they are kept as a sorted,
-    ``|``-joined set plus a representative (the smallest spelling).
+    Spellings of the same state are one group. Facilities are counted per
+    (state, spelling) first, so no set of raw names is gathered: the
+    smallest ``lookup.NAMES`` spellings are listed, ``|``-joined, beside their
+    exact number, and the first stands for all.
     ``band_by_mean`` is the cut-off of the mean score; ``band`` is capped by
     the weaker of the two dimensions and at amber while care-substance fields
     are sparse (missing data can never give green).
     """
-    staged = geo.groupBy("source_state_key").agg(*_verdict_aggs())
+    return verdicts_of_spellings(state_spellings(geo), scale)
+
+
+def verdicts_of_spellings(spelled: DataFrame, scale: int = 6) -> DataFrame:
+    """Verdicts from the counts per (state, spelling); the second half of ``facility_verdicts``."""
+    listed = lk.smallest_values(spelled.select("source_state_key", F.lit("names").alias("kind"), F.col("source_state_name").alias("value")),
+                                ["source_state_key"], {"names": "_spellings"})
+    staged = null_safe_join(spelled.groupBy("source_state_key").agg(*_verdict_aggs()), listed, ["source_state_key"]) \
+        .withColumn("source_state_spellings", F.coalesce("_spellings", F.lit("")))
     for stage in _verdict_stages():
         staged = staged.withColumns(stage)
     return staged.select(*_verdict_output(scale))
 
 
-@lru_cache(maxsize=None)
-def _verdict_aggs() -> tuple:
-    return (
-        F.min("source_state_name").alias("source_state_name"),
-        F.array_join(F.array_sort(F.collect_set("source_state_name")), "|").alias("source_state_spellings"),
+_COUNTED = ("total_facilities", "valid_coordinate_facilities", "pincode_present_facilities", "capability_text_facilities")
+
+
+def state_spellings(geo: DataFrame) -> DataFrame:
+    """Facilities and their flags per state key and raw spelling, every spelling kept."""
+    return geo.groupBy("source_state_key", "source_state_name").agg(
         F.count("*").alias("total_facilities"),
         F.count_if("has_valid_coordinates").alias("valid_coordinate_facilities"),
         F.count_if("has_pincode").alias("pincode_present_facilities"),
         F.count_if("has_capability_text").alias("capability_text_facilities"),
+        F.sum("care_substance_missing_count").alias("care_substance_missing_count"))
+
+
+@lru_cache(maxsize=None)
+def _verdict_aggs() -> tuple:
+    return (
+        F.min("source_state_name").alias("source_state_name"),
+        F.count("source_state_name").alias("source_state_spelling_count"),
+        *[F.sum(c).alias(c) for c in _COUNTED],
         F.sum("care_substance_missing_count").alias("_missing_sum"),
     )
 
@@ -68,7 +89,7 @@ def _verdict_stages() -> tuple:
 @lru_cache(maxsize=None)
 def _verdict_output(scale: int) -> tuple:
     return (
-        "source_state_key", "source_state_name", "source_state_spellings", "total_facilities",
+        "source_state_key", "source_state_name", "source_state_spellings", "source_state_spelling_count", "total_facilities",
         "valid_coordinate_facilities", "pincode_present_facilities", "capability_text_facilities",
         round_half_up(F.col("_avg_missing"), scale).alias("avg_care_substance_missing_count"),
         round_half_up(F.col("_location"), scale).alias("location_trust_score"),
@@ -121,11 +142,8 @@ def _need_columns(scale: int) -> tuple:
 
 
 def code_enrichment(lookup: DataFrame, districts: DataFrame) -> DataFrame:
-    """Join-safe code lookup enriched with survey district context."""
-    right = districts.select("state_key", "district_key", "state_name", "district_name",
-                             "women_anaemia_percent", "institutional_delivery_percent",
-                             "suppressed_indicator_count")
-    return lk.enrich_codes(lookup, right, prefix="survey_")
+    """Join-safe code lookup enriched with all of the survey's district columns: metrics, flag counts, every indicator."""
+    return lk.enrich_codes(lookup, districts, prefix="survey_")
 
 
 def state_summary(totals: DataFrame, scale: int = 6) -> DataFrame:
@@ -202,8 +220,8 @@ def district_impact(need: DataFrame) -> DataFrame:
     """
     have = F.col("missing_metric_count") < len(NEED_METRICS)
     state = need.where(have).groupBy("state_key").agg(F.avg("demand_side_need_score").alias("_state_burden"))
-    j = need.select("state_key", "district_key", "demand_side_need_score", "missing_metric_count",
-                    "post_office_count").join(state, "state_key", "left")
+    j = null_safe_join(need.select("state_key", "district_key", "demand_side_need_score", "missing_metric_count",
+                                   "post_office_count"), state, ["state_key"])
     burden = F.when(have, F.col("demand_side_need_score")).otherwise(F.col("_state_burden"))
     return j.select(
         "state_key", "district_key",

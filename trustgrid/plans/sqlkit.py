@@ -68,7 +68,7 @@ FROM (SELECT *, {dec('latitude')} AS lat, {dec('longitude')} AS lon,
 """
 
 FACILITY_VERDICTS = f"""
-SELECT source_state_key, source_state_name, source_state_spellings, total_facilities,
+SELECT source_state_key, source_state_name, source_state_spellings, source_state_spelling_count, total_facilities,
   valid_coordinate_facilities, pincode_present_facilities, capability_text_facilities,
   {rd('avg_missing')} AS avg_care_substance_missing_count,
   {rd('loc')} AS location_trust_score, {rd('comp')} AS data_completeness_score, {rd('(loc + comp) / 2.0')} AS numeric_score,
@@ -85,6 +85,7 @@ FROM (
   FROM (
     SELECT source_state_key, min(source_state_name) AS source_state_name,
       {sorted_join('source_state_name')} AS source_state_spellings,
+      count(DISTINCT source_state_name) AS source_state_spelling_count,
       count(*) AS total_facilities,
       CAST(count_if(has_valid_coordinates) AS BIGINT) AS valid_coordinate_facilities,
       CAST(count_if(has_pincode) AS BIGINT) AS pincode_present_facilities,
@@ -105,7 +106,7 @@ FROM (SELECT *, {dec('latitude')} AS lat, {dec('longitude')} AS lon,
 
 LOOKUP = f"""
 SELECT pincode, post_office_count, district_count, state_count, district_keys, state_keys, district_names, state_names,
-  geocoded_office_count, is_geography_ambiguous,
+  district_name_count, state_name_count, geocoded_office_count, is_geography_ambiguous,
   CASE WHEN NOT is_geography_ambiguous THEN nullif(split_part(district_keys, '|', 1), '') END AS representative_district_key,
   CASE WHEN NOT is_geography_ambiguous THEN nullif(split_part(state_keys, '|', 1), '') END AS representative_state_key
 FROM (
@@ -113,6 +114,7 @@ FROM (
     count(DISTINCT district_key) AS district_count, count(DISTINCT state_key) AS state_count,
     {sorted_join('district_key')} AS district_keys, {sorted_join('state_key')} AS state_keys,
     {sorted_join('district_name')} AS district_names, {sorted_join('state_name')} AS state_names,
+    count(DISTINCT district_name) AS district_name_count, count(DISTINCT state_name) AS state_name_count,
     CAST(count_if(has_coordinates) AS BIGINT) AS geocoded_office_count,
     count(DISTINCT district_key) > 1 OR count(DISTINCT state_key) > 1 AS is_geography_ambiguous
   FROM offices WHERE pincode IS NOT NULL GROUP BY pincode) l
@@ -131,7 +133,20 @@ FROM (SELECT *, coalesce(trim(raw_value) = '*', false) AS sup,
       FROM v_survey_cells) c
 """
 
-SURVEY_DISTRICTS = """
+# The indicators of the survey as columns.
+INDICATORS = tuple(sorted((
+    "women_age_15_49_years_who_are_anaemic_percent",
+    "children_under_5_years_who_are_stunted_height_for_age_percent",
+    "households_with_any_usual_member_covered_under_a_health_insurance_financing_scheme_percent",
+    "institutional_births_in_the_5_years_before_the_survey_percent",
+    "births_delivered_by_caesarean_section_in_a_public_health_facility_percent",
+    "households_that_use_an_improved_sanitation_facility_percent",
+    "mothers_who_had_at_least_4_antenatal_care_visits_percent",
+    "children_age_12_23_months_fully_vaccinated_card_or_recall_percent",
+)))
+_EVERY_INDICATOR = ",\n  ".join(f"max(CASE WHEN indicator = '{i}' THEN value END) AS {i}" for i in INDICATORS)
+
+SURVEY_DISTRICTS = f"""
 SELECT state_key, district_key, min(state_name) AS state_name, min(district_name) AS district_name,
   max(CASE WHEN indicator = 'women_age_15_49_years_who_are_anaemic_percent' THEN value END) AS women_anaemia_percent,
   max(CASE WHEN indicator = 'children_under_5_years_who_are_stunted_height_for_age_percent' THEN value END) AS child_stunting_percent,
@@ -142,7 +157,8 @@ SELECT state_key, district_key, min(state_name) AS state_name, min(district_name
   CAST(count_if(is_suppressed) AS BIGINT) AS suppressed_indicator_count,
   CAST(count_if(is_low_sample_estimate) AS BIGINT) AS low_sample_estimate_count,
   CAST(count_if(value IS NULL) AS BIGINT) AS missing_value_count,
-  CAST(count_if(is_unparsed) AS BIGINT) AS unparsed_value_count
+  CAST(count_if(is_unparsed) AS BIGINT) AS unparsed_value_count,
+  {_EVERY_INDICATOR}
 FROM survey_cells GROUP BY state_key, district_key
 """
 
@@ -217,11 +233,13 @@ FROM (
 SCORECARD_PAGE = "ORDER BY pin, f.name, f.unique_id LIMIT 5000"
 SCORECARD_ALL = SCORECARD.replace(SCORECARD_PAGE, "")
 
-ENRICH = """
-SELECT l.*, d.state_name AS survey_state_name, d.district_name AS survey_district_name,
-  d.women_anaemia_percent AS survey_women_anaemia_percent,
-  d.institutional_delivery_percent AS survey_institutional_delivery_percent,
-  d.suppressed_indicator_count AS survey_suppressed_indicator_count,
+_DISTRICT_COLUMNS = ("state_name", "district_name", "women_anaemia_percent", "child_stunting_percent", "health_insurance_percent",
+                     "institutional_delivery_percent", "caesarean_public_percent", "indicator_cell_count",
+                     "suppressed_indicator_count", "low_sample_estimate_count", "missing_value_count", "unparsed_value_count",
+                     *INDICATORS)
+
+ENRICH = f"""
+SELECT l.*, {', '.join(f'd.{c} AS survey_{c}' for c in _DISTRICT_COLUMNS)},
   CASE WHEN l.is_geography_ambiguous THEN 'ambiguous_code_geography'
        WHEN l.representative_district_key IS NULL THEN 'no_representative_district'
        WHEN d.district_name IS NULL THEN 'unmatched_survey_district' ELSE 'matched' END AS match_status

@@ -322,19 +322,35 @@ SELECT unique_id, CAST(min(district_id) AS INTEGER) AS district_id, arg_min(dist
 FROM pip_hits GROUP BY unique_id
 """
 
+_PLACED = f"""
+SELECT f.unique_id, f.has_valid_coordinates AS ok, {pk('p.district_name')} AS polygon_district,
+  {pk('s.stated_district')} AS stated_district, CASE WHEN s.is_verified THEN {pk('s.stated_district')} END AS verified_district,
+  l.representative_district_key AS code_district
+FROM facility_geo f LEFT JOIN pip p ON f.unique_id = p.unique_id LEFT JOIN v_facility_stated s ON f.unique_id = s.unique_id
+LEFT JOIN lookup l ON f.pincode = l.pincode
+"""
+
 GEO_RESOLUTION = f"""
-SELECT unique_id, polygon_district, code_district, resolved_district, resolution_method, has_geography_conflict,
-  CASE WHEN polygon_district IS NOT NULL AND NOT has_geography_conflict THEN 'green'
-       WHEN resolved_district IS NOT NULL THEN 'amber' ELSE 'red' END AS resolution_band
+SELECT unique_id, polygon_district, verified_district, code_district, resolved_district, resolution_method, has_geography_conflict,
+  CASE WHEN NOT ok OR resolved_district IS NULL THEN 'red'
+       WHEN polygon_district IS NOT NULL AND NOT has_geography_conflict THEN 'green' ELSE 'amber' END AS resolution_band
 FROM (
-  SELECT *, coalesce(polygon_district, code_district) AS resolved_district,
-    CASE WHEN polygon_district IS NOT NULL THEN 'polygon' WHEN code_district IS NOT NULL THEN 'code_lookup'
-         ELSE 'manual_review' END AS resolution_method,
-    coalesce(polygon_district IS NOT NULL AND code_district IS NOT NULL AND polygon_district <> code_district, false)
+  SELECT *, coalesce(polygon_district, verified_district, code_district) AS resolved_district,
+    CASE WHEN polygon_district IS NOT NULL THEN 'polygon' WHEN verified_district IS NOT NULL THEN 'verified_field'
+         WHEN code_district IS NOT NULL THEN 'code_lookup' ELSE 'manual_review' END AS resolution_method,
+    coalesce(polygon_district <> code_district, false) OR coalesce(polygon_district <> verified_district, false)
       AS has_geography_conflict
-  FROM (SELECT f.unique_id, {pk('p.district_name')} AS polygon_district, l.representative_district_key AS code_district
-        FROM facility_geo f LEFT JOIN pip p ON f.unique_id = p.unique_id
-        LEFT JOIN lookup l ON f.pincode = l.pincode) a) b
+  FROM ({_PLACED}) a) b
+"""
+
+GEO_CONFLICTS = f"""
+SELECT unique_id, ok AS has_valid_coordinates, polygon_district, stated_district, agreement, agreement = 'conflict' AS stated_conflict,
+  CASE agreement WHEN 'unresolved' THEN 'red' WHEN 'agrees' THEN 'green' ELSE 'amber' END AS location_band,
+  CASE agreement WHEN 'conflict' THEN 'correct stated district' WHEN 'unresolved' THEN 'acquire valid coordinates'
+    WHEN 'outside_boundaries' THEN 'review coordinates outside of all district boundaries' END AS location_fix
+FROM (SELECT *, CASE WHEN NOT ok THEN 'unresolved' WHEN polygon_district IS NULL THEN 'outside_boundaries'
+        WHEN stated_district IS NULL THEN 'not_stated' WHEN polygon_district = stated_district THEN 'agrees'
+        ELSE 'conflict' END AS agreement FROM ({_PLACED}) a) b
 """
 
 

@@ -9,7 +9,10 @@ read whole tables (no id subsets); the ones keyed by ``customer``, ``part`` or
                     ``NA`` coordinates, padded / broken codes)
 ``v_facilities``    facility points (``null`` text, JSON in the state field,
                     out-of-range coordinates, missing codes)
-``v_survey_cells``  district x indicator survey cells (``*``, ``(29.5)``,
+``v_facility_stated``  the district each facility states, verified or not
+                    (spellings, other districts, none)
+``v_survey_cells``  district x indicator survey cells, some indicators
+                    outside the metric registry (``*``, ``(29.5)``,
                     blanks, ``1,234``, ``n/a``, ``29-30``, ``.5``)
 ``v_admin_cells``   state x serial x month x value-type counts aggregated from
                     orders (``NA``, invalid text, NBSP, commas, 20 digits)
@@ -17,9 +20,10 @@ read whole tables (no id subsets); the ones keyed by ``customer``, ``part`` or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trustgrid.sources.tables import register_tables
+from trustgrid.sources.tables import read_table, register_tables
 
 # Survey indicator headings as printed in the source file, and
 # the snake_case names they normalise to.
@@ -34,6 +38,12 @@ SURVEY_INDICATORS = (
      "institutional_births_in_the_5_years_before_the_survey_percent"),
     (5, "Births delivered by caesarean section in a public health facility (%)",
      "births_delivered_by_caesarean_section_in_a_public_health_facility_percent"),
+    (6, "Households that use an improved sanitation facility (%)",
+     "households_that_use_an_improved_sanitation_facility_percent"),
+    (7, "Mothers who had at least 4 antenatal care visits (%)",
+     "mothers_who_had_at_least_4_antenatal_care_visits_percent"),
+    (8, "Children age 12-23 months fully vaccinated [card or recall] (%)",
+     "children_age_12_23_months_fully_vaccinated_card_or_recall_percent"),
 )
 SURVEY_STATE_HEADING = "State/UT"
 SURVEY_DISTRICT_HEADING = "District Names"
@@ -101,6 +111,34 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
 
+V_FACILITY_STATED = """
+SELECT c_custkey AS unique_id,
+  CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 7 = 1 THEN ' north  range' WHEN c_custkey % 7 = 2 THEN 'North Range'
+       WHEN c_custkey % 7 = 3 THEN 'Éast Delta' WHEN c_custkey % 7 = 4 THEN 'TWIN ISLES' WHEN c_custkey % 7 = 5 THEN 'South Plateau'
+       ELSE 'Zone ' || CAST(c_custkey % 40 AS STRING) END AS stated_district,
+  c_custkey % 3 = 0 AS is_verified
+FROM customer
+"""
+
+
+# Claims as facilities publish them: JSON lists of mixed items, single texts, objects, broken lists, plain text.
+V_FACILITY_CLAIMS = """
+SELECT c_custkey AS unique_id,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL
+       WHEN c_custkey % 11 = 1 THEN '["' || n || ' beds", "3 doctors", {"service": "24/7 emergency"}]'
+       WHEN c_custkey % 11 = 2 THEN '["NICU available", ["accredited", "licensed"], 12, null, true]'
+       WHEN c_custkey % 11 = 3 THEN 'Open 24x7, a ' || n || ' bedded ward'
+       WHEN c_custkey % 11 = 4 THEN '["' || n || ' doctors", '
+       WHEN c_custkey % 11 = 5 THEN '{"beds": "' || n || ' beds", "staff": ["7 physicians"]}'
+       WHEN c_custkey % 11 = 6 THEN '"neonatal intensive care, round-the-clock"'
+       WHEN c_custkey % 11 = 7 THEN '[]'
+       WHEN c_custkey % 11 = 8 THEN ''
+       WHEN c_custkey % 11 = 9 THEN '["' || n || ' beds", "' || n || ' physicians", "NICU", "24/7", "Accredited", "5 beds"]'
+       ELSE '["nothing to say", "beds: ' || n || '"]' END AS claims
+FROM (SELECT c_custkey, CAST(c_custkey % 90 + 1 AS STRING) AS n FROM customer) c
+"""
+
+
 def survey_cell_sql(k: int | str) -> str:
     """Raw survey cell for district ``p_partkey`` and indicator ``k``."""
     n = (f"CAST(CAST(floor(((p_partkey * 131 + {k} * 277) % 1000) / 10) AS BIGINT) AS STRING) || '.' || "
@@ -212,6 +250,8 @@ V_ADMIN_CELLS_SPARK = "WITH " + _ADMIN_AGG + "," + _ADMIN_GRID_SPARK + _ADMIN_TA
 VIEWS = {
     "v_offices": V_OFFICES,
     "v_facilities": V_FACILITIES,
+    "v_facility_stated": V_FACILITY_STATED,
+    "v_facility_claims": V_FACILITY_CLAIMS,
     "v_survey_cells": V_SURVEY_CELLS,
     "v_admin_cells": V_ADMIN_CELLS,
 }
@@ -227,6 +267,8 @@ def admin_heading(mon: str, vt: str) -> str:
 VIEW_TABLES = {
     "v_offices": ("customer", "region"),
     "v_facilities": ("customer", "nation"),
+    "v_facility_stated": ("customer",),
+    "v_facility_claims": ("customer",),
     "v_survey_cells": ("part", "region"),
     "v_survey_wide": ("part", "region"),
     "v_admin_cells": ("orders", "customer", "nation"),
@@ -238,3 +280,28 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register_tables(spark, sf_dir, VIEW_TABLES[name])
     spark_text = {"v_survey_wide": V_SURVEY_WIDE, "v_admin_cells": V_ADMIN_CELLS_SPARK}
     return spark.sql(spark_text.get(name) or VIEWS[name])
+
+
+def _square(x: Column, y: Column, side: int) -> Column:
+    corners = ((0, 0), (side, 0), (side, side), (0, side), (0, 0))
+    return F.array(*[F.array((x + dx).cast("double"), (y + dy).cast("double")) for dx, dy in corners])
+
+
+def supplier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A GeoJSON feature per supplier, one a line (``value``): a square, every third one with a second part; some have no
+    name, half have an area object and the others tags (``to_json`` leaves out fields that are null)."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    key = F.col("s_suppkey")
+    x, y = key % 50, F.col("s_nationkey") * 3
+    properties = F.struct(
+        key.alias("id"), F.when(key % 4 != 0, F.col("s_name")).alias("NAME_2"),
+        F.when(key % 2 == 0, F.struct(F.lit(4).alias("km2"))).alias("area"),
+        F.when(key % 2 != 0, F.array(F.lit("a"), F.lit("1"))).alias("tags"))
+
+    def feature(kind: str, coordinates: Column) -> Column:
+        geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geometry.alias("geometry")))
+
+    parts = F.array(F.array(_square(x, y, 2)), F.array(_square(x + 4, y, 1)))
+    return s.select(F.when(key % 3 == 0, feature("MultiPolygon", parts))
+                    .otherwise(feature("Polygon", F.array(_square(x, y, 2)))).alias("value"))

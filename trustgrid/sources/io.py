@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustgrid.functions.schema import STAMP_COLUMNS
+from trustgrid.functions.schema import STAMP_COLUMNS, quoted_col
 
 
-STANDARD_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+# windows-1252 is ISO-8859-1 but for the bytes 0x80 to 0x9F
+WINDOWS_1252 = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+WINDOWS_1252 = {c: w for c, w in WINDOWS_1252.items() if w}
 
 
 def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multiline: bool = False,
@@ -27,18 +29,25 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multiline:
     ``multiline`` lets quoted cells span lines but makes each file one split,
     so it is opt-in for the sources that need it.
 
-    Spark 4 accepts only the UTF / ASCII / ISO-8859-1 charsets by default;
-    other Java charsets (e.g. ``windows-1252``) need the session flag
-    ``spark.sql.legacy.javaCharsets``, which is switched on for them.
+    Spark 4 accepts only the UTF / ASCII / ISO-8859-1 charsets. ``windows-1252``
+    is read as ISO-8859-1, which gives every byte its own character, and the
+    27 characters that differ are put right in headings and cells; no session
+    setting is touched.
     """
-    if encoding.lower().replace("_", "-") not in STANDARD_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    windows = encoding.lower().replace("_", "-") in ("windows-1252", "cp1252")
     reader = (spark.read.option("header", True).option("inferSchema", False)
-              .option("encoding", encoding).option("quote", '"').option("escape", '"')
+              .option("encoding", "ISO-8859-1" if windows else encoding).option("quote", '"').option("escape", '"')
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    df = reader.csv(path)
+    if not windows:
+        return df
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    table = str.maketrans(WINDOWS_1252)
+    cells = [F.translate(quoted_col(c), "".join(WINDOWS_1252), "".join(WINDOWS_1252.values())) if c in texts else quoted_col(c)
+             for c in df.columns]
+    return df.select(*[cell.alias(c.translate(table)) for cell, c in zip(cells, df.columns)])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -84,6 +93,34 @@ def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_features(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """GeoJSON features of any shape, one row each, spread over tasks: (source_file, feature_index, collection_type,
+    properties, geometry_type, coordinates_json, is_json).
+
+    Properties may differ from feature to feature: each file (or, with ``lines``, each line of a file with one feature
+    a line, which Spark can split) is parsed as a variant and ``properties`` stay one. A text that is no JSON, or no
+    feature, keeps a row without geometry, so nothing is lost in silence. Features are dealt out by file and place, so
+    the work after this does not stay in the task that has read a large collection.
+    """
+    text = spark.read.option("wholetext", not lines).text(path)
+    parsed = text.select(F.col("_metadata.file_path").alias("source_file"), F.try_parse_json("value").alias("json"))
+    kind = F.try_variant_get("json", "$.type", "string")
+    features = F.when(kind == "Feature", F.array("json")).otherwise(F.try_variant_get("json", "$.features", "array<variant>"))
+    rows = parsed.select("source_file", kind.alias("collection_type"), F.col("json").isNotNull().alias("is_json"),
+                         F.posexplode_outer(features).alias("feature_index", "feature"))
+    spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(
+        "source_file", F.coalesce("feature_index", F.lit(-1)), F.try_variant_get("feature", "$", "string")))
+    return spread.select(
+        "source_file", "feature_index", "collection_type", F.try_variant_get("feature", "$.properties", "variant").alias("properties"),
+        F.try_variant_get("feature", "$.geometry.type", "string").alias("geometry_type"),
+        F.try_variant_get("feature", "$.geometry.coordinates", "string").alias("coordinates_json"), "is_json")
+
+
+def feature_property(name: str) -> F.Column:
+    """A property of ``read_features`` as text; null where a feature has none of that name."""
+    return F.try_variant_get("properties", f"$.{name}", "string")
+
+
 def feature_collection_check(features: DataFrame, name_keys: Sequence[str] = ("NAME_1", "NAME_2")) -> DataFrame:
     """Shape check: collection type, non-empty, name properties present (one aggregate)."""
     named = None
@@ -132,8 +169,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     w.save(path)
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.replace('`', '``')}`")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database if it is absent; its tables go to ``location``, or to the session's warehouse."""
+    place = " LOCATION '" + location.replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name.replace('`', '``')}`{place}")
 
 
 def table_preview(tables: dict[str, DataFrame], n: int, order_by: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
