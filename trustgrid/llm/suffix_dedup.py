@@ -21,8 +21,8 @@ one string per task.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import INVERSE, code_table, powers, prefix_sums, saved, span_hashes, text_buffers, width
+from .common import SpanHasher, saved, text_buffers, width
 from .suffix_merge import common_prefix, front_coded_blocks, merged, pick_splitters
 
 LENGTH, GRAM = 200, 100
@@ -43,19 +43,20 @@ SAMPLE_PER_RANGE = 24
 
 # --- anchors ------------------------------------------------------------------------
 
-def window_anchors(text: np.ndarray, length: int, gram: int, segment: int = SEGMENT) -> Iterator[tuple[np.ndarray, ...]]:
+def window_anchors(text: np.ndarray, length: int, gram: int, segment: int = SEGMENT,
+                   hasher: SpanHasher | None = None) -> Iterator[tuple[np.ndarray, ...]]:
     """(hash, anchor, nearest, farthest) arrays: the windows from anchor - farthest to anchor - nearest share an anchor.
 
     Long texts go in segments of window starts; an anchor whose windows reach over the border is given once.
     """
-    table, reach = code_table(), length - gram + 1
-    inverse = powers(min(len(text), segment + length), INVERSE)
+    hasher, reach = hasher or SpanHasher(), length - gram + 1
     held = [np.zeros(0, kind) for kind in (np.uint64, np.int64, np.int64, np.int64)]      # the last, still open anchor
     for first in range(0, len(text) - length + 1, segment):
         part = text[first:first + segment + length - 1]
         n = len(part) - gram + 1
         at = np.arange(n)
-        h = span_hashes(prefix_sums(table[part]), inverse, at, at + gram)
+        hasher.load(part)
+        h = hasher(at, at + gram)
         # order by hash, then by place: the place stands in the low bits
         key = (h & ~np.uint64((1 << 22) - 1)) | at.astype(np.uint64)
         blocks = -(-n // reach)
@@ -105,11 +106,12 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, keys, packs, held = [], [], [], 0
+        hasher = SpanHasher()
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             docs_ = batch.column(0).to_numpy()
             for i in range(len(docs_)):
-                for h, anchor, near, far in window_anchors(data[offsets[i]:offsets[i + 1]], length, gram):
+                for h, anchor, near, far in window_anchors(data[offsets[i]:offsets[i + 1]], length, gram, hasher=hasher):
                     hashes.append(h)
                     keys.append(np.full(len(h), docs_[i], np.int64))
                     packs.append(pack(anchor, near, far))
@@ -201,18 +203,20 @@ def sorted_runs(held: DataFrame, splitters: list[list[bytes]], parts: int, lengt
 
         def flush() -> Iterator[pa.RecordBatch]:
             name = uuid.uuid4().hex
-            rows, twice = [], []
+            rows, twice, own = [], [], strings
             for order in (0, 1):
-                keyed = sorted((s[order], s[2], s[3]) for s in strings)
-                keys, idents = [], []
-                for i, (key, doc, p) in enumerate(keyed):
-                    if not keys or key != keys[-1]:
-                        keys.append(key)
-                        idents.append((doc, p))
-                    if order == 0 and ((i and keyed[i - 1][0] == key) or (i + 1 < len(keyed) and keyed[i + 1][0] == key)):
-                        twice.append((doc, p))
+                by = [s[order] for s in own]
+                ranked = sorted(range(len(by)), key=by.__getitem__)
+                if order == 0:                  # equal contexts are equal in both orders: one of them goes on
+                    lead = [i for k, i in enumerate(ranked) if not k or by[ranked[k - 1]] != by[i]]
+                    if len(lead) < len(ranked):
+                        times = Counter(by)
+                        twice = [s[2:] for s, key in zip(own, by) if times[key] > 1]
+                    ranked = lead
+                keys, idents = [by[i] for i in ranked], [own[i][2:] for i in ranked]
                 rows += [(order * parts + part, name, seq, block)
                          for part, seq, block in front_coded_blocks(keys, idents, splitters[order])]
+                own = [own[i] for i in ranked]
             for i in range(0, len(twice), 4096):
                 rows.append((-1 - i // 4096 % (2 * parts), name, i // 4096,
                              np.array(twice[i:i + 4096], np.int64).tobytes()))
@@ -265,8 +269,8 @@ def match_rows(runs: DataFrame, parts: int, length: int, gram: int) -> DataFrame
 
             def close() -> list[tuple]:
                 doc, p = last[1]
-                if best[3]:         # repeated whole; in the first order its first row stands for the others
-                    return [(doc, p, 0, before, length if order == 0 else None, None, None, None)]
+                if best[3]:         # repeated whole: the first order says so, its first row stands for the others
+                    return [(doc, p, 0, before, length, None, None, None)] if order == 0 else []
                 rows = [(doc, p, a, b, None, None, None, None) for a, b in best[2] if a <= b]
                 rows.append((doc, p, None, None, best[0] if order == 0 else None, best[1] if order else None, None, None))
                 return rows
@@ -274,7 +278,8 @@ def match_rows(runs: DataFrame, parts: int, length: int, gram: int) -> DataFrame
             for shared, string, ident in merged(list(runs_.values())):
                 if last is not None and shared == len(string) == len(last[0]):
                     best[3] = True
-                    yield (*ident, 0, before, None, None, None, None)
+                    if order == 0:
+                        yield (*ident, 0, before, None, None, None, None)
                     continue
                 seen = [0, 0, [], False]
                 if last is None:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE, INVERSE, chunks, code_table, mix, powers, saved, text_buffers, width
+from .common import BASE, SpanHasher, chunks, mix, saved, text_buffers, width
 
 WORDS = 20
 GRAM = 4
@@ -49,24 +49,6 @@ SEEN = 100_000
 BLANKS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
-class Hasher:
-    """Hashes of byte spans of one buffer; powers are kept from one buffer to the next."""
-
-    def __init__(self) -> None:
-        self.codes = code_table()
-        self.up = self.down = np.zeros(0, np.uint64)
-
-    def load(self, raw: np.ndarray) -> None:
-        n = len(raw) + 1
-        if len(self.up) < n:
-            self.up, self.down = powers(n + n // 4, BASE), powers(n + n // 4, INVERSE)
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(self.codes[raw] * self.up[:n - 1], out=self.sums[1:])
-
-    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts])
-
-
 class Words:
     """The words of some texts, each after one blank: ``raw`` holds them all, ``starts`` and ``ends`` their places."""
 
@@ -100,7 +82,7 @@ def cut(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def minimisers(words: Words, hasher: Hasher, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def minimisers(words: Words, hasher: SpanHasher, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(minimiser, valid) of the window that starts at each word, and the hash of the gram that starts there."""
     n = len(words.starts)
     least = np.zeros(n, np.uint64)
@@ -165,7 +147,7 @@ def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.R
 def frequent_minimisers(docs: DataFrame, size: int, gram: int) -> bytes:
     """Minimisers of very many super-k-mers, as sorted 64-bit numbers; ``FREQUENT`` at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher = SpanHasher()
         for _, data, offsets in _slices(batches, 0):
             words = Words(data, offsets)
             hasher.load(words.raw)
@@ -193,7 +175,7 @@ def packed_strings(docs: DataFrame, frequent: bytes, size: int, gram: int, of_cl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = np.frombuffer(frequent, np.int64)
-        hasher, seen = Hasher(), {}
+        hasher, seen = SpanHasher(), {}
         for batch, data, offsets in _slices(batches, 3):
             words = Words(data, offsets)
             hasher.load(words.raw)
@@ -249,7 +231,7 @@ def _place(ids: pa.Table, row: int, start: int) -> tuple:
     return (value is not None, value, ids.column("k1")[row].as_py(), ids.column("k2")[row].as_py(), start)
 
 
-def repeated_windows(rows: pa.Table, size: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(rows: pa.Table, size: int, hasher: SpanHasher) -> tuple[np.ndarray, np.ndarray]:
     """(row, window) of all windows of ``rows``, super-k-mers of some buckets, that equal an earlier one."""
     data, offsets = text_buffers(rows.column("packed").combine_chunks())
     words = Words(data, offsets)
@@ -290,7 +272,7 @@ def repeated_spans(strings: DataFrame, size: int) -> DataFrame:
         got = [rows.column(c).combine_chunks().take(pa.array(at)) for c in ("k1", "k2")]
         return pa.RecordBatch.from_arrays([*got, pa.array(first, pa.int32()), pa.array(stop, pa.int32())], names=names)
 
-    def bucket(rows: pa.Table, hasher: Hasher) -> Iterator[pa.RecordBatch]:
+    def bucket(rows: pa.Table, hasher: SpanHasher) -> Iterator[pa.RecordBatch]:
         """Whole buckets: rows ordered by h."""
         known = rows.column("packed").is_null().to_numpy()
         start, n = (rows.column(c).to_numpy().astype(np.int64) for c in ("start", "n"))
@@ -313,7 +295,7 @@ def repeated_spans(strings: DataFrame, size: int) -> DataFrame:
             yield spans(chosen, row[a], begin + window[a], begin + window[b] + size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, waiting, held = Hasher(), [], 0
+        hasher, waiting, held = SpanHasher(), [], 0
         for batch in batches:
             waiting.append(batch)
             held += batch.nbytes
