@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import saved
+
 LEVELS = ("domain", "lang", "source")
 ROWS_PER_BLOCK = 256
 BROADCAST_LEAVES = 10_000       # at most about 1 MB
@@ -92,10 +94,12 @@ def mix_plan(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict
     names = list(levels)
     rows = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("n"),
                        *[F.coalesce(c, F.lit("none")).alias(k) for k, c in levels.items()])
-    leaves = rows.groupBy(*names).agg(F.sum("n").alias("held"), F.count("*").alias("leaf_rows"))
+    # the levels of the tree are all found from one small table
+    leaves = saved(rows.groupBy(*names).agg(F.sum("n").alias("held"), F.count("*").alias("leaf_rows")), "leaves")
     plan = (leaf_budgets(leaves, tuple(names), weights, share, max_epochs)
             .withColumn("epochs", F.when(F.col("held") > 0, F.expr("budget div held")).otherwise(0).cast("int"))
             .withColumn("over", F.col("budget") - F.col("epochs") * F.col("held")))
+    plan = saved(plan, "plan")
     spread = _few(plan)
     placed = (rows.join(spread, names)
               .withColumn("place", _place(seed, F.col("epochs"), F.col("id")))
@@ -126,7 +130,7 @@ def mix_sources(docs: DataFrame, levels: dict[str, Column], weights: dict[str, d
                 max_epochs: int = 1, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with mix_leaf (struct of levels), mix_budget and mix_copies: how often the mix takes the document."""
     names = list(levels)
-    plan = mix_plan(docs, levels, weights, share, max_epochs, seed, id_col, text_col)
+    plan = saved(mix_plan(docs, levels, weights, share, max_epochs, seed, id_col, text_col), "mix")
     packed = plan.select(F.struct(*names).alias("mix_leaf"), F.col("budget").alias("mix_budget"),
                          F.struct("epochs", "cut").alias("mix_cut"))
     leaf = F.struct(*[F.coalesce(c, F.lit("none")).alias(k) for k, c in levels.items()])
