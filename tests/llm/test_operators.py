@@ -265,11 +265,61 @@ def test_packing_keeps_groups_and_levels_sizes(spark):
     large = (max(size, key=size.get),)           # the long text is alone
     rest = [v for k, v in size.items() if k not in large]
     assert len(size) == 40 and max(rest) - min(rest) < 0.2 * max(rest)
-    assert best_fit_decreasing([6, 5, 4, 3, 2], 10) == [0, 1, 0, 1, 1]
+    assert best_fit_decreasing([(6, 1), (5, 1), (4, 1), (3, 1), (2, 1)], 10) == [[(0, 1)], [(1, 1)], [(0, 1)], [(1, 1)], [(1, 1)]]
     fixed = pack_shards(table(spark, texts), None, capacity=30_000).groupBy("shard").sum("size").collect()
     assert len(fixed) <= 2 + sum(size.values()) // 30_000
 
 
+def plain_best_fit(sizes, capacity):
+    """Bin of each size, one after the other, by a search through all bins."""
+    room, out = [], []
+    for s in sizes:
+        holds = [(r, i) for i, r in enumerate(room) if r >= s]
+        if not holds:
+            room.append(max(capacity, s))
+            holds = [(room[-1], len(room) - 1)]
+        i = min(holds)[1]
+        room[i] -= s
+        out.append(i)
+    return out
+
+
+def test_runs_are_packed_as_their_groups_one_by_one():
+    import random
+    from collections import Counter
+    from trustgrid.llm.bin_packing import best_fit_decreasing, level_bins
+    rng = random.Random(5)
+    for _ in range(20):
+        sizes = sorted((rng.choice([16, 17, 40, 90, 333, rng.randint(16, 900)]) for _ in range(2000)), reverse=True)
+        runs = [(s, k) for s, k in Counter(sizes).items()]
+        shares = best_fit_decreasing(runs, 5000)
+        assert [b for own in shares for b, k in own for _ in range(k)] == plain_best_fit(sizes, 5000)
+        level = level_bins(runs, 12)
+        load = Counter()
+        for (size, many), own in zip(runs, level):
+            assert sum(k for _, k in own) == many
+            for b, k in own:
+                load[b] += size * k
+        assert len(load) == 12 and max(load.values()) - min(load.values()) <= 900
+    assert level_bins([(1000, 2), (10, 5)], 3) == [[(0, 1), (1, 1)], [(2, 5)]]
+    assert level_bins([], 3) == [] and best_fit_decreasing([(5, 3)], 5, 2) is None
+
+
+def test_groups_of_the_query_are_packed_exactly(spark):
+    from trustgrid.llm.bin_packing import best_fit_decreasing, pack_shards
+    texts = [words(i, 10 + i % 50) for i in range(300)] + ["twin"] * 7 + [None, "", "x"]
+    rows = pack_shards(table(spark, texts), None, capacity=5000).collect()
+    loads, groups = {}, {}
+    for r in rows:
+        loads[r.shard] = loads.get(r.shard, 0) + r.size
+        groups[texts[r.doc_id] or ""] = groups.get(texts[r.doc_id] or "", 0) + r.size
+    sizes = sorted(groups.values(), reverse=True)
+    want = {}
+    for size, b in zip(sizes, plain_best_fit(sizes, 5000)):
+        want[b] = want.get(b, 0) + size
+    assert loads == want
+
+
 # --- privacy -------------------------------------------------------------------------------------------------
 
 def test_surrogates(spark):

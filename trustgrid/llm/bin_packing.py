@@ -3,10 +3,12 @@
 A group is all rows of one text (by 64-bit hash: a collision only binds two groups together). Groups sorted by size
 enter the bin with the tightest remaining capacity that still holds them, found in a balanced tree.
 
-What the driver packs is bounded whatever the input: with ``n`` shards and ``grain`` g there are at most n * g groups
-of at least 1 / (n * g) of all bytes; these are packed one by one. All smaller groups travel in n * g parcels (dealt
-by hash of the group), so they stay whole too. Sizes, hashes, group sums and slots are computed by Spark; texts are
-never shuffled.
+Groups of one size are interchangeable, so the driver packs runs (size, how many): the tightest bin that holds one
+group of a size stays the tightest until it holds no other, so a run fills bin after bin exactly as its groups would one
+by one. The driver holds one entry per distinct size of a group and per share of a run in a bin. Distinct sizes are
+at most twice the root of all bytes (small sizes are few, large groups are few), in practice as many as lengths of
+texts. Inside a run the groups' places, found in ranges of (size, hash), decide which share they belong to. Sizes, hashes,
+places and slots are computed by Spark; texts are never shuffled.
 
 Null texts count as empty: size 16 and one group. Repeated rows are rows of their own. A group larger than its fair
 share gets a shard to itself and the rest is levelled over the other shards. An empty table gives no rows.
@@ -15,14 +17,18 @@ share gets a shard to itself and the rest is levelled over the other shards. An
 from __future__ import annotations
 
 import random
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trustgrid.operators.joins import many_to_one_join
+from trustgrid.operators.ranking import places
+
 from .common import saved
 
 ROW_BYTES = 16
-GRAIN = 256
+HOT_GROUPS = 10_000
 ROWS_PER_SLOT_BLOCK = 1024
 
 
@@ -69,81 +75,88 @@ class CapacityTree:
         return [b[0], b[1], self._merge(a, b[2]), b[3]]
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
-    """Bin of each size (sizes sorted from large to small); a new bin opens when none has room."""
+Shares = list[list[tuple[int, int]]]        # per run: (bin, groups of the run in it), in the order of the fill
+
+
+def best_fit_decreasing(runs: list[tuple[int, int]], capacity: int, most: int | None = None) -> Shares | None:
+    """Bins of runs (size, how many), sizes descending; a new bin opens when none has room. None if there are more than
+    ``most``."""
     tree, bins, out = CapacityTree(), 0, []
-    for size in sizes:
-        hit = tree.take(size)
-        if hit is None:
-            hit = (max(capacity, size), bins)
-            bins += 1
-        out.append(hit[1])
-        tree.insert((hit[0] - size, hit[1]))
+    for size, many in runs:
+        shares = []
+        while many:
+            hit = tree.take(size)
+            if hit is None:
+                hit = (max(capacity, size), bins)
+                bins += 1
+                if most is not None and bins > most:
+                    return None
+            k = min(many, hit[0] // size)
+            shares.append((hit[1], k))
+            many -= k
+            tree.insert((hit[0] - k * size, hit[1]))
+        out.append(shares)
     return out
 
 
-def level_bins(sizes: list[int], n: int) -> list[int]:
-    """Pack into at most ``n`` bins with the least capacity found: own bins for oversize items, then a bisection."""
-    total, alone = sum(sizes), 0
-    while alone < len(sizes) and n - alone > 1 and sizes[alone] * (n - alone) > total:
-        total -= sizes[alone]
-        alone += 1
-    rest, left = sizes[alone:], n - alone
+def level_bins(runs: list[tuple[int, int]], n: int) -> Shares:
+    """Pack into at most ``n`` bins with the least capacity found: own bins for oversize groups, then a bisection."""
+    total, alone, out, rest = sum(s * k for s, k in runs), 0, [], []
+    for size, many in runs:
+        own = []
+        while many and not rest and n - alone > 1 and size * (n - alone) > total:
+            own.append((alone, 1))
+            total, alone, many = total - size, alone + 1, many - 1
+        out.append(own)
+        rest.append((size, many)) if many else None
+    left = n - alone
     if not rest:
-        return list(range(alone))
-    low = max(-(-total // left), rest[0])
-
-    def fits(capacity: int) -> list[int] | None:
-        packed = best_fit_decreasing(rest, capacity)
-        return packed if max(packed) < left else None
-
-    step, best = 0, fits(low)
+        return out
+    low = max(-(-total // left), rest[0][0])
+    step, best = 0, best_fit_decreasing(rest, low, left)
     while best is None:
         step = step * 2 or max(1, low // 4096)
-        best = fits(low + step)
+        best = best_fit_decreasing(rest, low + step, left)
     floor = step // 2
     while step - floor > max(1, low // 100_000):
         middle = (step + floor) // 2
-        packed = fits(low + middle)
+        packed = best_fit_decreasing(rest, low + middle, left)
         if packed is None:
             floor = middle
         else:
             step, best = middle, packed
-    return list(range(alone)) + [b + alone for b in best]
+    for shares, more in zip(out[len(out) - len(rest):], best):
+        shares += [(b + alone, k) for b, k in more]
+    return out
 
 
 def pack_shards(docs: DataFrame, n_shards: int | None = 40, capacity: int | None = None, id_col: str = "doc_id",
-                text_col: str = "text", grain: int = GRAIN) -> DataFrame:
-    """Rows (id, size, text_crc32, shard, slot). Either level ``n_shards`` shards, or the fewest of ``capacity`` bytes.
-
-    With ``capacity`` the items are at least capacity / grain bytes or parcels of about that size, so the driver's list
-    grows with the number of shards it is asked for, not with the rows.
-    """
+                text_col: str = "text") -> DataFrame:
+    """Rows (id, size, text_crc32, shard, slot). Either level ``n_shards`` shards, or the fewest of ``capacity`` bytes."""
+    spark = docs.sparkSession
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = saved(docs.select(F.col(id_col), (F.octet_length(raw) + ROW_BYTES).cast("long").alias("size"),
                              F.crc32(raw).alias("text_crc32"), F.xxhash64(raw).alias("grp")), "rows")
     groups = saved(rows.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "groups")
-    sums = groups.agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
-    total, n_rows = sums["bytes"] or 0, sums["n"] or 0
-    shards = n_shards or max(1, -(-total // capacity))
-    parcels = shards * grain
-    large = F.col("bytes") * parcels >= total
-    one = groups.filter(large).select("grp", "bytes")
-    many = (groups.filter(~large).groupBy(F.pmod("grp", F.lit(parcels)).alias("parcel"))
-            .agg(F.sum("bytes").alias("bytes")))
-    items = [(r["bytes"], 0, r["grp"]) for r in one.collect()] + [(r["bytes"], 1, r["parcel"]) for r in many.collect()]
-    items.sort(key=lambda x: (-x[0], x[1], x[2]))
-    sizes = [x[0] for x in items]
-    bins = best_fit_decreasing(sizes, capacity) if n_shards is None else level_bins(sizes, n_shards)
-    spark = docs.sparkSession
-    plan = [(kind, key, b) for (_, kind, key), b in zip(items, bins)]
-    alone = spark.createDataFrame([p[1:] for p in plan if p[0] == 0], "g long, one_shard int")
-    packed = spark.createDataFrame([p[1:] for p in plan if p[0] == 1], "p long, many_shard int")
-    placed = (rows.withColumn("parcel", F.pmod("grp", F.lit(parcels)))
-              .join(F.broadcast(alone), F.col("grp") == F.col("g"), "left")
-              .join(F.broadcast(packed), F.col("parcel") == F.col("p"), "left")
-              .select(id_col, "size", "text_crc32", F.coalesce("one_shard", "many_shard").alias("shard"), "grp"))
-    return with_slots(placed, id_col, max(1, -(-n_rows // (shards * ROWS_PER_SLOT_BLOCK)))).drop("grp")
+    classes = groups.groupBy("bytes").agg(F.count("*").alias("many"), F.sum("n").alias("n")).collect()
+    n_rows = sum(r["n"] for r in classes)
+    runs = sorted(((r["bytes"], r["many"]) for r in classes), reverse=True)
+    shares = best_fit_decreasing(runs, capacity) if n_shards is None else level_bins(runs, n_shards)
+    plan = spark.createDataFrame(
+        [(size, list(accumulate(k for _, k in own)), [b for b, _ in own]) for (size, _), own in zip(runs, shares)],
+        "run long, ends array<long>, bins array<int>")
+    placed = many_to_one_join(places(groups, ["grp"], ["bytes"], size=None), plan, ["bytes"], ["run"], "inner")
+    before = F.size(F.filter("ends", lambda end: end <= F.col("pos")))
+    placed = saved(placed.select("grp", "n", F.element_at("bins", before + 1).alias("shard")), "placed")
+    # texts with many copies (at most ``HOT_GROUPS`` of them) go to the rows; the others' rows are joined by text
+    hot = F.col("n") * HOT_GROUPS >= n_rows
+    large = placed.filter(hot).select(F.col("grp").alias("g"), F.col("shard").alias("hot_shard"))
+    split = rows.join(F.broadcast(large), F.col("grp") == F.col("g"), "left").drop("g")
+    keep = [id_col, "size", "text_crc32", "shard", "grp"]
+    cold = split.filter("hot_shard is null").drop("hot_shard").join(placed.filter(~hot).select("grp", "shard"), "grp")
+    sent = split.filter("hot_shard is not null").withColumnRenamed("hot_shard", "shard").select(*keep).unionByName(cold.select(*keep))
+    count = n_shards or 1 + max((b for own in shares for b, _ in own), default=0)
+    return with_slots(sent, id_col, max(1, -(-n_rows // (count * ROWS_PER_SLOT_BLOCK)))).drop("grp")
 
 
 def with_slots(placed: DataFrame, id_col: str, blocks: int) -> DataFrame:
