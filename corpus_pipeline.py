@@ -19,6 +19,7 @@ from trustgrid.llm.source_mixing import WEIGHTS, document_levels, mix_sources
 
 MIN_LANGUAGE_SCORE = 0.5
 MIX_SHARE = (4, 5)          # of the tokens that reach the stage
+MIX_COLUMNS = ("mix_leaf", "mix_budget", "mix_cut", "mix_copies")
 N_SHARDS = 40
 
 # SQL cannot state the stages (trained model, similarity join, edit distance, packing); tests compare with brute force
@@ -59,8 +60,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take the seeded prefix of every leaf that its share of the budget allows, each document once at most."""
-    mixed = mix_sources(docs, document_levels(), WEIGHTS, MIX_SHARE, max_epochs=1)
-    return mixed.filter("mix_copies > 0").select(*docs.columns)
+    # columns of the documents that are named like those of the mix step aside
+    aside = {c: unused([*docs.columns, *MIX_COLUMNS], c) for c in docs.columns if c.lower() in MIX_COLUMNS}
+    mixed = mix_sources(docs.withColumnsRenamed(aside), document_levels(), WEIGHTS, MIX_SHARE, max_epochs=1)
+    return mixed.filter("mix_copies > 0").select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
