@@ -22,6 +22,8 @@ HEADLINE = (
     "survey_cells_parsed", "admin_long", "state_summary", "customer_trust_verdict", "trust_verdict_long",
     "fix_ranking", "before_after", "corroboration_bands", "completeness_by_source", "contract_results",
     "coverage_prediction", "point_in_polygon", "geo_resolution", "capability_extraction",
+    "pipeline_checks", "district_fix_ranking", "expected_coverage", "fix_priorities", "district_fix_priorities",
+    "indicator_trends", "code_counts", "code_values", "geo_conflicts", "facility_fact_profile",
 )
 
 

@@ -239,3 +239,62 @@ def test_absent_optional_source_is_typed(spark, scratch):
     schema = T.StructType.fromDDL(decisions.VITAL_RATES)
     df = io.read_optional_csv(spark, os.path.join(scratch, "none.csv"), schema)
     assert df.schema == schema and df.count() == 0
+
+
+# --- joins -------------------------------------------------------------------------------------------------
+
+def test_hot_and_null_keys_spread_without_aqe(spark):
+    """A key with a third of all rows and the null key are dealt over many tasks; the result is the plain join's."""
+    from trustgrid.operators.joins import many_to_one_join
+    left = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
+                                    .otherwise(F.concat(F.lit("k"), F.col("id") % 700)).alias("k"))
+    right = spark.createDataFrame([("hot", -1)] + [(f"k{i}", i) for i in range(0, 700, 2)], "rk string, v int")
+    want = sorted((r["id"], r["v"]) for r in left.join(right, F.col("k") == F.col("rk"), "left").collect())
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        out = many_to_one_join(left, right, ["k"], ["rk"], hot_threshold=100)
+        assert sorted((r["id"], r["v"]) for r in out.collect()) == want
+        per = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("k") == "hot").alias("hot"), F.count_if(F.col("k").isNull()).alias("none"))
+        most = per.agg(F.max("hot"), F.max("none")).first()
+        assert max(most) < 700          # of 2,000 each; 16 tasks
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_null_keys_spread_with_aqe(spark):
+    from trustgrid.operators.joins import many_to_one_join
+    left = spark.range(4000).select("id", F.when(F.col("id") % 50 == 0, "a").alias("k"))
+    right = spark.createDataFrame([("a", 1)], "rk string, v int").hint("shuffle_merge")
+    out = many_to_one_join(left, right, ["k"], ["rk"])
+    assert out.count() == 4000 and out.where("v is not null").count() == 80
+    assert any("hashpartitioning" in line and "_salt" in line for line in plan(out).split("\n"))
+
+
+def test_counted_side_is_broadcast_and_a_long_one_is_not(spark):
+    from trustgrid.operators.joins import checked_join
+    left = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
+    right = spark.range(5).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("v"))
+    small = checked_join(left, right, ["k"], ["rk"])
+    assert "BroadcastHashJoin" in plan(small) and "hashpartitioning" not in plan(small)
+    long = checked_join(left, right, ["k"], ["rk"], most=3)
+    assert sorted(small.collect()) == sorted(long.collect()) and small.count() == 100
+
+
+def test_scorecard_moves_no_facility(spark):
+    text = plan(catalog.scorecard_df(spark, SF))
+    assert "BroadcastHashJoin" in text and "hashpartitioning(source_state_key" not in text
+
+
+def test_missing_evidence_never_gives_green(spark):
+    from trustgrid.plans import gold
+    rows = [("full", True, True, True, 0), ("full", True, True, True, 0)] + [("nocode", True, i > 0, True, 0) for i in range(20)] + \
+           [("nocaps", True, True, i > 0, 0) for i in range(20)] + [("nocoords", i > 0, True, True, 0) for i in range(20)] + [("care", True, True, True, 1)]
+    geo = spark.createDataFrame([(k, k, a, b, c_, m) for k, a, b, c_, m in rows],
+                                "source_state_key string, source_state_name string, has_valid_coordinates boolean, has_pincode boolean, "
+                                "has_capability_text boolean, care_substance_missing_count int")
+    out = {r["source_state_key"]: (r["band_by_mean"], r["band"]) for r in gold.facility_verdicts(geo).collect()}
+    assert out == {"full": ("green", "green"), **{k: ("green", "amber") for k in ("nocode", "nocaps", "nocoords", "care")}}

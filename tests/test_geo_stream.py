@@ -119,8 +119,8 @@ def test_many_to_one_join_salted_equals_plain(spark):
     left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)], "id int, k string")
     right = spark.createDataFrame([("hot", 1), ("k3", 2), ("k6", 3)], "rk string, v int")
     plain = sorted(many_to_one_join(left, right, ["k"], ["rk"]).collect())
-    salted = sorted(many_to_one_join(left, right, ["k"], ["rk"], buckets=5, force_salt=True,
-                                     hot_threshold=0).collect())
+    salted = sorted(many_to_one_join(left, right, ["k"], ["rk"], force_salt=True,
+                                     hot_threshold=20).collect())
     assert plain == salted and len(plain) == 300
     assert "rk" not in many_to_one_join(left, right, ["k"], ["rk"]).columns
 
@@ -173,6 +173,6 @@ def test_hot_key_only_salting(spark):
     left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 50}") for i in range(600)], "id int, k string")
     right = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(50)], "rk string, v int")
     plain = sorted(many_to_one_join(left, right, ["k"], ["rk"]).collect())
-    hot_only = many_to_one_join(left, right, ["k"], ["rk"], buckets=6, force_salt=True, hot_threshold=100)
+    hot_only = many_to_one_join(left, right, ["k"], ["rk"], force_salt=True, hot_threshold=100)
     assert sorted(hot_only.collect()) == plain and len(plain) == 600
     assert set(hot_only.columns) == {"id", "k", "v"}

@@ -156,8 +156,7 @@ def test_hot_key_rollup_is_pre_aggregated(spark):
     lookup = spark.createDataFrame([("560001", "zone 1")] + [(f"{100000 + i}", f"zone {i}") for i in range(n)],
                                    "code string, district string")
     plain = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"])
-    salted = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"], buckets=8,
-                              force_salt=True, hot_threshold=500)
+    salted = many_to_one_join(geo.select("unique_id", "pincode"), lookup, ["pincode"], ["code"], force_salt=True, hot_threshold=500)
     assert sorted(plain.collect()) == sorted(salted.collect())
     assert plain.count() == n
 

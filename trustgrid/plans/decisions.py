@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trustgrid.functions.cells import is_blank_field
-from trustgrid.functions.schema import STAMP_COLUMNS
+from trustgrid.functions.schema import STAMP_COLUMNS, find_metric, metric_or_null
 from trustgrid.operators import fix, geo, predict, quality
 from trustgrid.operators import lookup as lk
+from trustgrid.operators.corroborate import corroboration_rejects
 from trustgrid.operators import provenance as pv
 from trustgrid.operators.reshape import union_all_by_name
 from trustgrid.plans import catalog as c
@@ -324,3 +325,50 @@ def _catalog_preview(spark, sf_dir):
         rows.write.mode("overwrite").saveAsTable(f"{database}.{name}")
     shown = io.table_preview({n: spark.table(f"{database}.{n}") for n in names}, 5, {n: ("key",) for n in names})
     return union_all_by_name([df.select(F.lit(n).alias("table_name"), "key", "name") for n, df in shown.items()])
+
+
+# --- SP-3: what cannot be corroborated; PRJ-6 / PRJ-7: metrics found by their words ---------------------------
+
+_CORR_REJECTS = f"""
+SELECT n_nationkey, n_name, indicator, 'excluded_indicator' AS reject_reason
+FROM ({ql._PAIRS}) p WHERE indicator IN ('anaemia', 'c_section')
+"""
+
+
+@register("corroboration_rejects", _with(_CORR_REJECTS, **c.O_CORR), ("SP-3",))
+def _corroboration_rejects(spark, sf_dir):
+    pairs = ent.corroboration_pairs(ent.nation_estimates(spark, sf_dir))
+    return corroboration_rejects(pairs, spark).select("n_nationkey", "n_name", "indicator", "reject_reason")
+
+
+# The words that name a metric in a survey's headings (all of them, none of the others).
+METRIC_WORDS = {
+    "women_anaemia_percent": (("women", "anaemic"), ()),
+    "institutional_delivery_percent": (("institutional", "births"), ("caesarean",)),
+    "vaccination_percent": (("vaccinated",), ()),
+    "any_births_percent": (("births",), ()),
+    "tobacco_percent": (("tobacco",), ()),
+}
+_FOUND = {  # metric: (column, candidates)
+    "women_anaemia_percent": ("women_age_15_49_years_who_are_anaemic_percent", 1),
+    "institutional_delivery_percent": ("institutional_births_in_the_5_years_before_the_survey_percent", 1),
+    "vaccination_percent": ("children_age_12_23_months_fully_vaccinated_card_or_recall_percent", 1),
+    "any_births_percent": ("births_delivered_by_caesarean_section_in_a_public_health_facility_percent", 2),
+    "tobacco_percent": (None, 0),
+}
+_METRICS = " UNION ALL ".join(
+    f"SELECT state_key, district_key, '{m}' AS metric, {f'{chr(39)}{col}{chr(39)}' if col else 'CAST(NULL AS VARCHAR)'} AS indicator, "
+    f"{n} AS candidates, {col or 'CAST(NULL AS DOUBLE)'} AS value FROM survey_districts" for m, (col, n) in _FOUND.items())
+
+
+@register("metric_values", _with(_METRICS, **c.O_SURVEY), ("PRJ-6", "PRJ-7", "T13"))
+def _metric_values(spark, sf_dir):
+    """Every metric per district from the indicator its words find; a metric that no indicator has is null."""
+    districts = c.survey_districts_df(spark, sf_dir)
+    indicators = silver.survey_indicators(silver.survey_landed(spark, sf_dir))
+    cells = []
+    for metric, words in METRIC_WORDS.items():
+        match = find_metric(indicators, *words)
+        cells.append(F.struct(F.lit(metric).alias("metric"), F.lit(match.column).cast("string").alias("indicator"),
+                              F.lit(len(match.candidates)).alias("candidates"), metric_or_null(districts, match.column, "value")))
+    return districts.select("state_key", "district_key", F.inline(F.array(*cells)))

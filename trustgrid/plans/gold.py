@@ -30,8 +30,9 @@ def facility_verdicts(geo: DataFrame, scale: int = 6) -> DataFrame:
     smallest ``lookup.NAMES`` spellings are listed, ``|``-joined, beside their
     exact number, and the first stands for all.
     ``band_by_mean`` is the cut-off of the mean score; ``band`` is capped by
-    the weaker of the two dimensions and at amber while care-substance fields
-    are sparse (missing data can never give green).
+    the weaker of the two dimensions and at amber while any facility lacks a
+    care-substance field, a code, capability text or valid coordinates (missing
+    data can never give green).
     """
     return verdicts_of_spellings(state_spellings(geo), scale)
 
@@ -82,7 +83,9 @@ def _verdict_stages() -> tuple:
                            + (4.0 - F.col("_avg_missing")) / 4.0) / 3.0},
         {"_mean": (F.col("_location") + F.col("_completeness")) / 2.0},
         {"_r_mean": score_rank(F.col("_mean")), "_r_weak": score_rank(F.least("_location", "_completeness"))},
-        {"_r_band": capped_rank(F.col("_r_mean"), F.col("_r_weak"), F.col("_avg_missing") > 0)},
+        {"_r_band": capped_rank(F.col("_r_mean"), F.col("_r_weak"), (F.col("_avg_missing") > 0)
+                                | (F.least("valid_coordinate_facilities", "pincode_present_facilities",
+                                           "capability_text_facilities") < total))},
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustgrid.functions.text import contains_ci, place_text_is_sane
+from trustgrid.operators.joins import checked_join
 from trustgrid.operators.lookup import MATCH_AMBIGUOUS
 from trustgrid.operators.score import band, facility_point_reason, facility_point_score, round_half_up
 from trustgrid.plans.gold import FACILITY_ROLLUP_CAUTION
@@ -39,7 +40,8 @@ def facility_scorecard(geo: DataFrame, verdicts: DataFrame, pinned: str | None =
     c = _scorecard_columns(pinned)
     v = verdicts.select(*c["verdict"])
     f = geo.where(c["filter"])
-    j = f.join(v, f["source_state_key"] == v["_v_key"], "left")
+    # verdicts are few, one per state key: counted, then broadcast, so that no facility moves
+    j = checked_join(f, v, ["source_state_key"], ["_v_key"])
     j = j.withColumns(c["stage"])
     if n is not None:
         j = j.orderBy("_pin", "name", "unique_id").limit(n)

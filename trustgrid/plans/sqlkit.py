@@ -73,7 +73,8 @@ SELECT source_state_key, source_state_name, source_state_spellings, source_state
   {rd('avg_missing')} AS avg_care_substance_missing_count,
   {rd('loc')} AS location_trust_score, {rd('comp')} AS data_completeness_score, {rd('(loc + comp) / 2.0')} AS numeric_score,
   {band('(loc + comp) / 2.0')} AS band_by_mean,
-  CASE WHEN avg_missing > 0 THEN {cap(cap(band('(loc + comp) / 2.0'), band('least(loc, comp)')), "'amber'")}
+  CASE WHEN avg_missing > 0 OR valid_coordinate_facilities < total_facilities OR pincode_present_facilities < total_facilities
+            OR capability_text_facilities < total_facilities THEN {cap(cap(band('(loc + comp) / 2.0'), band('least(loc, comp)')), "'amber'")}
        ELSE {cap(band('(loc + comp) / 2.0'), band('least(loc, comp)'))} END AS band,
   CASE WHEN loc <= comp THEN 'Location: invalid or out-of-country coordinates constrain trust'
        ELSE 'Completeness: sparse care-substance fields constrain trust' END AS binding_reason,
@@ -194,7 +195,7 @@ SELECT state AS state_name, {pk('state')} AS state_key, replace(trim(serial), ''
   trim(type) AS reporting_type, mon AS month, vt AS value_type, raw_value,
   CASE WHEN NOT unavailable AND regexp_matches(num, '^-?[0-9]+$') THEN TRY_CAST(num AS BIGINT) END AS value,
   coalesce(NOT unavailable AND (CASE WHEN NOT unavailable AND regexp_matches(num, '^-?[0-9]+$') THEN TRY_CAST(num AS BIGINT) END) IS NULL, false) AS is_invalid_numeric,
-  'state' AS geo_grain
+  'state' AS geo_grain, '2019-20' AS source_period
 FROM (SELECT *, coalesce(raw_value IS NULL OR upper(trim(replace(raw_value, chr(160), ' '))) IN ('', 'NA', 'N/A', 'NULL', '-'), false) AS unavailable,
         replace(trim(replace(raw_value, chr(160), ' ')), ',', '') AS num
       FROM v_admin_cells) a
@@ -275,7 +276,7 @@ FROM need ORDER BY suppressed_indicator_count DESC, low_sample_estimate_count DE
 """
 
 ADMIN_TOTALS = """
-SELECT state_name, state_key, serial_number, indicator_name, parameter, value FROM (
+SELECT state_name, state_key, serial_number, indicator_name, parameter, value, geo_grain, source_period FROM (
   SELECT *, CASE serial_number WHEN '1.1' THEN 'anc_registered' WHEN '1.2.7' THEN 'anc_four_plus'
     WHEN '2.2' THEN 'institutional_deliveries' WHEN '4.1.1.a' THEN 'live_birth_male'
     WHEN '4.1.1.b' THEN 'live_birth_female' WHEN '9.2.4.a' THEN 'fully_immunized_male'
