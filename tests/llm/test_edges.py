@@ -69,8 +69,8 @@ def test_query_on_edge_rows_and_on_nothing(spark, folders, name):
         assert len(got) == len(rows())
         assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted(r[0] for r in rows() if r[0] is not None)
         again = [tuple(r) for r in got if r["doc_id"] == 3]
-        if not name.startswith("op9_"):                         # rows of one text have slots of their own
-            assert len(set(again)) == 1                         # repeated rows have equal results
+        if not name.startswith(("op5_", "op9_")):           # op5 looks at the next row, op9 gives every row its own slot
+            assert len(set(again)) == 1                     # repeated rows have equal results
     assert QUERIES[name](spark, folders["empty"]).collect() == []
 
 

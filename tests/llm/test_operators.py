@@ -349,6 +349,47 @@ def test_surrogates(spark):
         assert out[i].clean_text == text
 
 
+def plain_luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10
+
+
+def plain_modulo_97(iban):
+    iban = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_check_digits_hold_where_they_held(spark):
+    from trustgrid.llm.pii_surrogates import replace_pii
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "340000000000009", "4111111111111112", "6011000000000004"]
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606", "DE00 3704 0044 0532 0130 00"]
+    out = replace_pii(table(spark, [f"pay {x} now" for x in cards + ibans]), "k").collect()
+    found = {r.doc_id: r.entities[0] for r in out}
+    for i, card in enumerate(cards):
+        e = found[i]
+        assert e.kind == "card" and e.surrogate != card and [c.isdigit() for c in e.surrogate] == [c.isdigit() for c in card]
+        assert plain_luhn(e.surrogate) == 0 or plain_luhn(card) != 0
+    for i, iban in enumerate(ibans, len(cards)):
+        e = found[i]
+        assert e.kind == "iban" and e.surrogate != iban and e.surrogate[:2] == iban[:2] and len(e.surrogate) == len(iban)
+        assert plain_modulo_97(e.surrogate) == 1 or plain_modulo_97(iban) != 1
+
+
+def test_more_names_than_short_surrogates(spark):
+    """70,000 family names of one gender and script: 65,536 surrogates of four syllables are too few; none is a tag."""
+    from pyspark.sql import functions as F
+    from trustgrid.llm.pii_surrogates import replace_pii
+    letters = "abcdefghijklmnopqrst"
+    name = F.concat(F.lit("Mr X"), *[F.substr(F.lit(letters), F.pmod(F.floor(F.col("id") / 20 ** i), F.lit(20)).cast("int") + 1, F.lit(1))
+                                     for i in range(4)])
+    docs = spark.range(70_000).select(F.floor(F.col("id") / 100).alias("doc_id"), name.alias("n")).groupBy("doc_id").agg(
+        F.array_join(F.collect_list("n"), "; ").alias("text"))
+    got = replace_pii(docs, "k").select(F.explode("entities").alias("e")).select("e.*")
+    r = got.agg(F.count("*").alias("n"), F.count_distinct("surrogate").alias("distinct"),
+                F.count_if(F.col("surrogate").contains("[")).alias("tags")).first()
+    assert (r["n"], r["distinct"], r["tags"]) == (70_000, 70_000, 0)
+
+
 def test_phone_numbers_keep_their_identity_in_any_layout(spark):
     from trustgrid.llm.pii_surrogates import replace_pii
     texts = ["+49 30 1234567 or +49301234567, +4 930 123 4567, +49-30-12345.67", "+1 (487) 555-7209, +14875557209", "+35312345678"]

@@ -3,12 +3,14 @@
 Found in every whole text: e-mail addresses, IPv4 addresses, card numbers (13 to 19 digits), phone numbers, social
 security numbers, IBANs and names after a form of address. Each distinct entity gets a surrogate drawn with a keyed
 hash: letters stay letters of the same case and script, digits stay digits, separators and the mention's own layout
-stay; a phone number keeps its country code, an IBAN its first four places; octets stay octets; names keep their form of address and get names of the same gender and script. Mentions of
-one entity (same normal form, whatever the layout) get the same surrogate everywhere.
+stay; a phone number keeps its country code, an IBAN its country; a card number that passes the Luhn check and an IBAN that
+passes modulo 97 get surrogates that pass it; octets stay octets; names keep their form of address and get names of the
+same gender and script. Mentions of one entity (same normal form, whatever the layout) get the same surrogate everywhere.
 
 Collision check: a draw that equals another entity's draw, or an entity that occurs in the corpus, is drawn again
 with the next attempt until none collides, so distinct entities stay distinct and no surrogate is a real value of
-the corpus. Entities that still collide after ``ATTEMPTS`` draws (a value space that is used up) become numbered tags.
+the corpus. Every further draw of a name has one more syllable, so its space grows sixteenfold and names do not run out.
+Entities that still collide after ``ATTEMPTS`` draws (a format whose values are used up) become numbered tags.
 
 Null texts stay null, empty texts empty; repeated rows get equal results; extra columns pass through. Texts are not
 shuffled unless a document holds an entity that was drawn again; then its attempts are joined to it by id.
@@ -104,15 +106,50 @@ def _redrawn(text: Column, digest: Column, kept: Column, to: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")
 
 
-def _name(mention: Column, norm: Column, digest: Column) -> Column:
+def _luhn(digits: Column) -> Column:
+    """Luhn sum of a text of digits, the last one taken plainly, modulo 10."""
+    def add(total: Column, i: Column) -> Column:
+        d = F.substr(digits, F.length(digits) - i, F.lit(1)).cast("int") * (i % 2 + 1)
+        return total + F.when(d > 9, d - 9).otherwise(d)
+
+    return F.pmod(F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add), F.lit(10))
+
+
+def _modulo_97(iban: Column) -> Column:
+    """The number an IBAN without blanks stands for, its first four places at the end, modulo 97."""
+    turned = F.concat(F.substr(iban, F.lit(5)), F.substr(iban, F.lit(1), F.lit(4)))
+
+    def add(rest: Column, i: Column) -> Column:
+        c = F.substr(turned, i, F.lit(1))
+        value = F.when(c.rlike(r"\d"), rest * 10 + c.try_cast("int")).otherwise(rest * 100 + F.ascii(c) - 55)
+        return F.pmod(value, F.lit(97))
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add)
+
+
+def _checked(mention: Column, kind: Column, drawn: Column) -> Column:
+    """``drawn`` with a check digit (the last one of a card number) or check digits (places 3 and 4 of an IBAN) that hold,
+    if those of the mention do."""
+    digits = lambda c: F.regexp_replace(c, r"\D", "")
+    most = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
+    card = F.concat(most, F.pmod(10 - _luhn(F.concat(digits(most), F.lit("0"))), F.lit(10)).cast("string"))
+    open_ = F.concat(F.substr(drawn, F.lit(1), F.lit(2)), F.lit("00"), F.substr(drawn, F.lit(5)))
+    iban = F.concat(F.substr(drawn, F.lit(1), F.lit(2)),
+                    F.lpad((98 - _modulo_97(F.regexp_replace(open_, " ", ""))).cast("string"), 2, "0"), F.substr(drawn, F.lit(5)))
+    return (F.when((kind == "card") & (_luhn(digits(mention)) == 0), card)
+            .when((kind == "iban") & (_modulo_97(F.regexp_replace(mention, " ", "")) == 1), iban).otherwise(drawn))
+
+
+def _name(mention: Column, norm: Column, digest: Column, attempt: Column) -> Column:
     """Form of address kept; a given name of its gender and script if there was one, and a family name."""
     script = (F.when(mention.rlike(r"\p{IsCyrillic}"), "cyrillic").when(mention.rlike(r"\p{IsGreek}"), "greek")
               .otherwise("latin"))
     gender = F.substr(norm, F.lit(1), F.lit(1))
     pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), F.pmod(_byte(digest, F.lit(i)), F.lit(len(values))) + 1)  # noqa: E731,E501
     given = reduce(lambda c, kv: c.when((gender == kv[0][0]) & (script == kv[0][1]), pick(kv[1], 0)), GIVEN.items(), F)
-    family = reduce(lambda c, kv: c.when(script == kv[0], F.concat(*[pick(kv[1], i) for i in (1, 2, 3, 4)])),
-                    SYLLABLES.items(), F)
+    family = reduce(lambda c, kv: c.when(script == kv[0], F.concat(
+        *[pick(kv[1], i) for i in (1, 2, 3, 4)],
+        *[F.when(attempt > i, pick(kv[1], 5 + i)).otherwise("") for i in range(ATTEMPTS - 1)])), SYLLABLES.items(), F)
     family = F.concat(F.upper(F.substr(family, F.lit(1), F.lit(1))), F.substr(family, F.lit(2)))
     many = norm.rlike(r"[ -]")
     address = F.regexp_extract(mention, r"^\S+\x20", 0)
@@ -127,9 +164,10 @@ def surrogate(mention: Column, kind: Column, norm: Column, attempt: Column, key:
     country = F.greatest(F.length(F.regexp_extract(norm, COUNTRY, 0)) - 1, F.lit(0))      # of the entity, not the layout
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)),
                                       lambda i: (F.pmod(_byte(digest, i), F.lit(254)) + 1).cast("string")), ".")
-    drawn = (F.when(kind == "ip", octets).when(kind == "name", _name(mention, norm, digest))
-             .otherwise(_redrawn(mention, digest,
-                                 F.when(kind == "phone", country).when(kind == "iban", F.lit(4)).otherwise(F.lit(0)),
+    drawn = (F.when(kind == "ip", octets).when(kind == "name", _name(mention, norm, digest, attempt))
+             .when(kind.isin("card", "iban"), _checked(mention, kind, _redrawn(
+                 mention, digest, F.when(kind == "iban", F.lit(4)).otherwise(F.lit(0)), size)))
+             .otherwise(_redrawn(mention, digest, F.when(kind == "phone", country).otherwise(F.lit(0)),
                                  F.when(kind == "email", size - top_level).otherwise(size))))
     tag = F.concat(F.lit("["), F.upper(kind), F.lit("-"), F.substr(digest, F.lit(1), F.lit(16)), F.lit("]"))
     return F.when(attempt >= ATTEMPTS, tag).otherwise(drawn)
