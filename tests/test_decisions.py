@@ -298,3 +298,29 @@ def test_missing_evidence_never_gives_green(spark):
                                 "has_capability_text boolean, care_substance_missing_count int")
     out = {r["source_state_key"]: (r["band_by_mean"], r["band"]) for r in gold.facility_verdicts(geo).collect()}
     assert out == {"full": ("green", "green"), **{k: ("green", "amber") for k in ("nocode", "nocaps", "nocoords", "care")}}
+
+
+# --- district evidence --------------------------------------------------------------------------------------
+
+def test_evidence_comes_down_the_hierarchy(spark):
+    from trustgrid.plans import gold
+    names = [n for m in silver.NEED_METRICS for n in silver.SURVEY_METRICS[m]]
+    cells = spark.createDataFrame(
+        [(s, d, n, 50.0, False, False) for s, d in (("s", "own"), ("s", "none"), ("t", "alone"), (None, "x")) for n in names],
+        "state_key string, district_key string, indicator string, value double, is_suppressed boolean, is_low_sample_estimate boolean")
+    reports = spark.createDataFrame([("s", "own", 10, 9, 52.0), ("s", "other", 30, 15, 40.0)],
+                                    "state_key string, district_key string, reports long, located long, delivery_percent double")
+    out = {(r["district_key"], r["dimension"]): r for r in gold.district_evidence(cells, reports).collect()}
+    assert len(out) == 4 * 6
+    assert out[("own", "geocoding")]["score"] == 0.9 and out[("own", "corroboration")]["score"] == 1 - 2 / 40
+    assert not out[("own", "corroboration")]["low_confidence"] and out[("own", "grain")]["score"] == 1.0
+    proxy = out[("none", "corroboration")]              # the state: (10 * 52 + 30 * 40) / 40 = 43
+    assert proxy["score"] == 1 - 7 / 40 and proxy["weight"] == 0.5 and proxy["low_confidence"] and proxy["weak_signal"]
+    assert out[("none", "geocoding")]["score"] == 24 / 40 and out[("none", "grain")]["evidence_grain"] == "state"
+    for d in ("alone", "x"):
+        assert all(out[(d, k)]["is_missing"] and out[(d, k)]["score"] == 0.0 for k in ("geocoding", "corroboration", "grain"))
+
+
+def test_district_verdicts_reach_every_band(spark):
+    bands = {r["band"] for r in catalog.REGISTRY["district_evidence_verdicts"].build(spark, "/root/testdata/sf0.01").select("band").distinct().collect()}
+    assert bands == {"green", "amber", "red"}

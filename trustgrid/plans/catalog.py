@@ -392,6 +392,17 @@ def _district_verdicts(spark, sf_dir):
     return trust_verdict_long(dims, ["state_key", "district_key"])
 
 
+def district_reports_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustgrid.functions.text import place_key
+    r = fx.view(spark, sf_dir, "v_district_reports")
+    return r.select(place_key("state").alias("state_key"), place_key("district").alias("district_key"), "reports", "located",
+                    "delivery_percent")
+
+
+def district_evidence_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.district_evidence(survey_cells_df(spark, sf_dir), district_reports_df(spark, sf_dir))
+
+
 @register("facility_provenance", _with(ql.FACILITY_PROVENANCE), ("SP-5", "SP-6"))
 def _facility_provenance(spark, sf_dir):
     return ent.facility_provenance(fx.view(spark, sf_dir, "v_facilities"))

@@ -17,12 +17,13 @@ from trustgrid.operators import lookup as lk
 from trustgrid.operators.corroborate import corroboration_rejects
 from trustgrid.operators import provenance as pv
 from trustgrid.operators.reshape import union_all_by_name
+from trustgrid.operators.score import round_half_up, trust_verdict_long
 from trustgrid.plans import catalog as c
 from trustgrid.plans import entities as ent
 from trustgrid.plans import gold, silver
 from trustgrid.plans import sqlkit_large as ql
 from trustgrid.plans.catalog import _with, register
-from trustgrid.plans.sqlkit import rd
+from trustgrid.plans.sqlkit import pk, rd
 from trustgrid.sources import fixtures as fx
 from trustgrid.sources import io, publish
 from trustgrid.sources.staging import shared_folder
@@ -372,3 +373,61 @@ def _metric_values(spark, sf_dir):
         cells.append(F.struct(F.lit(metric).alias("metric"), F.lit(match.column).cast("string").alias("indicator"),
                               F.lit(len(match.candidates)).alias("candidates"), metric_or_null(districts, match.column, "value")))
     return districts.select("state_key", "district_key", F.inline(F.array(*cells)))
+
+
+# --- SP-9: district verdicts from evidence of two grains -------------------------------------------------------
+
+_NEED_CELLS = """
+SELECT state_key, district_key, count(*) AS cells, count(*) FILTER (WHERE value IS NULL) AS missing,
+  count(*) FILTER (WHERE is_suppressed OR is_low_sample_estimate) AS flagged,
+  max(CASE WHEN indicator = 'institutional_births_in_the_5_years_before_the_survey_percent' THEN value END) AS survey_percent
+FROM survey_cells WHERE indicator IN ('women_age_15_49_years_who_are_anaemic_percent',
+  'children_under_5_years_who_are_stunted_height_for_age_percent',
+  'households_with_any_usual_member_covered_under_a_health_insurance_financing_scheme_percent',
+  'institutional_births_in_the_5_years_before_the_survey_percent')
+GROUP BY state_key, district_key
+"""
+
+_REPORTS = f"""
+SELECT {pk('state')} AS state_key, {pk('district')} AS district_key, reports, located, delivery_percent * reports AS total
+FROM v_district_reports
+"""
+
+_JOINED = """
+SELECT n.*, coalesce(r.reports, s.reports) AS reports, coalesce(r.located, s.located) AS located, coalesce(r.total, s.total) AS total,
+  CASE WHEN r.reports IS NOT NULL THEN 'district' WHEN s.reports IS NOT NULL THEN 'state' ELSE 'none' END AS evidence_grain
+FROM need_cells n LEFT JOIN reports r ON n.state_key = r.state_key AND n.district_key = r.district_key
+LEFT JOIN (SELECT state_key, sum(reports) AS reports, sum(located) AS located, sum(total) AS total FROM reports GROUP BY state_key) s
+  ON n.state_key = s.state_key
+"""
+
+_SCORED = """
+SELECT state_key, district_key, evidence_grain, evidence_grain <> 'district' AS proxy, cells, missing, flagged,
+  CAST(located AS DOUBLE) / CAST(reports AS DOUBLE) AS share, abs(survey_percent - total / CAST(reports AS DOUBLE)) AS gap,
+  CASE evidence_grain WHEN 'district' THEN CAST(1.0 AS DOUBLE) WHEN 'state' THEN CAST(0.6 AS DOUBLE) END AS grain FROM joined
+"""
+
+_EVIDENCE = " UNION ALL ".join(
+    f"SELECT state_key, district_key, evidence_grain, '{name}' AS dimension, {i} AS ordinal, coalesce({score}, CAST(0.0 AS DOUBLE)) AS score, "
+    f"CAST({weight} AS DOUBLE) AS weight, coalesce({low}, true) AS low_confidence, {score} IS NULL AS is_missing, {weak} AS weak_signal FROM scored"
+    for i, (name, score, weight, low, weak) in enumerate((
+        ("completeness", "(CAST(1.0 AS DOUBLE) - CAST(missing AS DOUBLE) / cells)", "1.0", "missing > 0", "false"),
+        ("suppression", "(CAST(1.0 AS DOUBLE) - CAST(flagged AS DOUBLE) / cells)", "1.0", "flagged > 0", "false"),
+        ("geocoding", "share", "0.5", "proxy", "proxy"),
+        ("corroboration", "(CASE WHEN gap IS NOT NULL THEN greatest(CAST(0.0 AS DOUBLE), CAST(1.0 AS DOUBLE) - gap / CAST(40.0 AS DOUBLE)) END)",
+         "(CASE WHEN proxy THEN 0.5 ELSE 1.0 END)", "(proxy OR NOT gap < 8)", "proxy"),
+        ("reconcilability", "grain", "0.5", "proxy", "false"),
+        ("grain", "grain", "0.5", "proxy", "false"))))
+O_EVIDENCE = {**c.O_SURVEY, "need_cells": _NEED_CELLS, "reports": _REPORTS, "joined": _JOINED, "scored": _SCORED, "evidence": _EVIDENCE}
+
+
+@register("district_evidence", _with(
+    f"SELECT state_key, district_key, evidence_grain, dimension, ordinal, {rd('score')} AS score, weight, low_confidence, is_missing, "
+    "weak_signal FROM evidence", **O_EVIDENCE), ("SP-9", "SP-3", "SP-13"))
+def _district_evidence(spark, sf_dir):
+    return c.district_evidence_df(spark, sf_dir).withColumn("score", round_half_up(F.col("score"), 6))
+
+
+@register("district_evidence_verdicts", _with(ql.long_verdict("evidence", "state_key, district_key"), **O_EVIDENCE), ("SP-9", "SP-4", "SCR-1"))
+def _district_evidence_verdicts(spark, sf_dir):
+    return trust_verdict_long(c.district_evidence_df(spark, sf_dir).drop("evidence_grain"), ["state_key", "district_key"])

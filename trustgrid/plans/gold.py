@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustgrid.operators import lookup as lk
-from trustgrid.operators.joins import null_safe_join
+from trustgrid.operators.corroborate import THRESHOLDS, gap_band
+from trustgrid.operators.joins import many_to_one_join, null_safe_join
 from trustgrid.operators.score import capped_rank, need_score, rank_band, round_half_up, score_rank
 from trustgrid.plans.silver import ADMIN_INDICATORS, NEED_METRICS, SURVEY_METRICS
 
@@ -213,6 +215,84 @@ def _district_dimension_cells():
     ))
 
 
+# --- district evidence of several grains ---------------------------------------------------
+
+# How far the sources of an indicator can be compared, and what evidence of a coarser grain is worth.
+RECONCILABILITY = {"institutional_delivery": 1.0}
+PROXY_GRAIN_SCORE = 0.6
+PROXY_WEIGHT = 0.5
+
+
+def need_cells(cells: DataFrame) -> DataFrame:
+    """Per district: cells of the need metrics, how many lack a value, how many are suppressed or of a low sample, and
+    the institutional delivery figure."""
+    names = [n for m in NEED_METRICS for n in SURVEY_METRICS[m]]
+    flagged = F.col("is_suppressed") | F.col("is_low_sample_estimate")
+    return cells.where(F.col("indicator").isin(*names)).groupBy("state_key", "district_key").agg(
+        F.count("*").alias("cells"), F.count_if(F.col("value").isNull()).alias("missing"), F.count_if(flagged).alias("flagged"),
+        F.max(F.when(F.col("indicator").isin(*SURVEY_METRICS["institutional_delivery_percent"]), F.col("value"))).alias("survey_percent"))
+
+
+def down_the_hierarchy(districts: DataFrame, evidence: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """Districts with the evidence of their own grain, else their state's as a flagged proxy, else none.
+
+    ``evidence`` has one row per district with additive columns ``sums``. State rows are sums of district rows, so both
+    grains come from one read; the proxies are joined by state, where a state with a third of all districts is split.
+    Adds the columns of ``sums`` and ``evidence_grain`` (district, state, none).
+    """
+    state = evidence.groupBy("state_key").agg(*[F.sum(c).alias(f"_state_{c}") for c in sums]) \
+        .withColumnRenamed("state_key", "_state")
+    own = null_safe_join(districts, evidence.select("state_key", "district_key", *[F.col(c).alias(f"_own_{c}") for c in sums]),
+                         ["state_key", "district_key"])
+    both = many_to_one_join(own, state, ["state_key"], ["_state"])
+    has, proxy = F.col(f"_own_{sums[0]}").isNotNull(), F.col(f"_state_{sums[0]}").isNotNull()
+    return both.select(*districts.columns, *[F.coalesce(f"_own_{c}", f"_state_{c}").alias(c) for c in sums],
+                       F.when(has, F.lit("district")).when(proxy, F.lit("state")).otherwise(F.lit("none")).alias("evidence_grain"))
+
+
+def district_evidence(cells: DataFrame, reports: DataFrame) -> DataFrame:
+    """Six dimensions per district, long, in one generator pass over the joined evidence.
+
+    completeness, suppression   of the need metrics' cells
+    geocoding                   located share of the reports
+    corroboration               survey against reports, by the gap bands of institutional delivery
+    reconcilability             how far these sources can be compared
+    grain                       whether the reports are the district's own
+    Reports of the state stand in for a district without any: weight ``PROXY_WEIGHT``, low confidence, a weak signal. No
+    reports at all are missing evidence with score 0.
+    """
+    named = need_cells(cells)
+    joined = down_the_hierarchy(named, reports.withColumn("_percent_sum", F.col("delivery_percent") * F.col("reports")),
+                                ["reports", "located", "_percent_sum"])
+    return joined.select("state_key", "district_key", "evidence_grain", _evidence_cells())
+
+
+@lru_cache(maxsize=None)
+def _evidence_cells():
+    _, green, red = next(t for t in THRESHOLDS if t[0] == "institutional_delivery")
+    proxy = F.col("evidence_grain") != "district"
+    gap = F.abs(F.col("survey_percent") - F.try_divide(F.col("_percent_sum"), F.col("reports")))
+    share = F.try_divide(F.col("located"), F.col("reports"))
+    grain = F.when(F.col("evidence_grain") == "district", 1.0).when(F.col("evidence_grain") == "state", PROXY_GRAIN_SCORE)
+    weight = F.when(proxy, PROXY_WEIGHT).otherwise(1.0)
+    comparable = F.lit(RECONCILABILITY["institutional_delivery"]) * grain
+
+    def dim(ordinal, name, score, weight, low, weak):
+        return F.struct(F.lit(name).alias("dimension"), F.lit(ordinal).alias("ordinal"), F.coalesce(score, F.lit(0.0)).alias("score"),
+                        weight.alias("weight"), F.coalesce(low, F.lit(True)).alias("low_confidence"), score.isNull().alias("is_missing"),
+                        weak.alias("weak_signal"))
+
+    no, one, half = F.lit(False), F.lit(1.0), F.lit(0.5)
+    return F.inline(F.array(
+        dim(0, "completeness", 1.0 - F.col("missing") / F.col("cells"), one, F.col("missing") > 0, no),
+        dim(1, "suppression", 1.0 - F.col("flagged") / F.col("cells"), one, F.col("flagged") > 0, no),
+        dim(2, "geocoding", share, half, proxy, proxy),
+        dim(3, "corroboration", F.when(gap.isNotNull(), F.greatest(F.lit(0.0), 1.0 - gap / (2.0 * red))), weight, proxy | (gap_band(gap, F.lit(green), F.lit(red)) != "green"), proxy),
+        dim(4, "reconcilability", comparable, half, proxy, no),
+        dim(5, "grain", grain, half, proxy, no),
+    ))
+
+
 def district_impact(need: DataFrame) -> DataFrame:
     """Impact = burden x population per district.
 

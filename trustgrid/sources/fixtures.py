@@ -121,6 +121,20 @@ FROM customer
 """
 
 
+SURVEY_DISTRICT_SQL = "CASE WHEN p_partkey % 4 = 0 THEN 'ZONE  ' ELSE 'Zone ' END || CAST(p_partkey AS STRING)"
+
+
+# A second source for the surveyed districts: an institutional delivery figure and how many of its reports are located,
+# counted from line items; some districts have a row without any figure.
+V_DISTRICT_REPORTS = f"""
+SELECT r_name AS state, {SURVEY_DISTRICT_SQL} AS district, CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE n END AS reports,
+  CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE located END AS located, CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE
+  CAST(((p_partkey * 131 + 1108) % 1000) / 10 AS DOUBLE) + CAST(100 AS DOUBLE) * done / n - CAST(50 AS DOUBLE) END AS delivery_percent
+FROM part JOIN region ON r_regionkey = p_partkey % 5
+JOIN (SELECT l_partkey, count(*) AS n, sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS located,
+        sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS done FROM lineitem GROUP BY l_partkey) l ON l_partkey = p_partkey
+"""
+
 # Claims as facilities publish them: JSON lists of mixed items, single texts, objects, broken lists, plain text.
 V_FACILITY_CLAIMS = """
 SELECT c_custkey AS unique_id,
@@ -150,7 +164,6 @@ def survey_cell_sql(k: int | str) -> str:
             f"WHEN {dk} % 23 = 0 THEN '.5' ELSE {n} END")
 
 
-SURVEY_DISTRICT_SQL = "CASE WHEN p_partkey % 4 = 0 THEN 'ZONE  ' ELSE 'Zone ' END || CAST(p_partkey AS STRING)"
 
 V_SURVEY_CELLS = f"""
 SELECT r_name AS state, {SURVEY_DISTRICT_SQL} AS district, t.indicator, {survey_cell_sql('t.k')} AS raw_value
@@ -252,6 +265,7 @@ VIEWS = {
     "v_facilities": V_FACILITIES,
     "v_facility_stated": V_FACILITY_STATED,
     "v_facility_claims": V_FACILITY_CLAIMS,
+    "v_district_reports": V_DISTRICT_REPORTS,
     "v_survey_cells": V_SURVEY_CELLS,
     "v_admin_cells": V_ADMIN_CELLS,
 }
@@ -269,6 +283,7 @@ VIEW_TABLES = {
     "v_facilities": ("customer", "nation"),
     "v_facility_stated": ("customer",),
     "v_facility_claims": ("customer",),
+    "v_district_reports": ("part", "region", "lineitem"),
     "v_survey_cells": ("part", "region"),
     "v_survey_wide": ("part", "region"),
     "v_admin_cells": ("orders", "customer", "nation"),
