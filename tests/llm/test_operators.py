@@ -378,15 +378,15 @@ def test_check_digits_hold_where_they_held(spark):
 def test_more_names_than_short_surrogates(spark):
     """70,000 family names of one gender and script: 65,536 surrogates of four syllables are too few; none is a tag."""
     from pyspark.sql import functions as F
-    from trustgrid.llm.pii_surrogates import replace_pii
+    from trustgrid.llm.pii_surrogates import normal_form, redrawn_entities, surrogate
     letters = "abcdefghijklmnopqrst"
     name = F.concat(F.lit("Mr X"), *[F.substr(F.lit(letters), F.pmod(F.floor(F.col("id") / 20 ** i), F.lit(20)).cast("int") + 1, F.lit(1))
                                      for i in range(4)])
-    docs = spark.range(70_000).select(F.floor(F.col("id") / 100).alias("doc_id"), name.alias("n")).groupBy("doc_id").agg(
-        F.array_join(F.collect_list("n"), "; ").alias("text"))
-    got = replace_pii(docs, "k").select(F.explode("entities").alias("e")).select("e.*")
-    r = got.agg(F.count("*").alias("n"), F.count_distinct("surrogate").alias("distinct"),
-                F.count_if(F.col("surrogate").contains("[")).alias("tags")).first()
+    entities = spark.range(70_000).select(F.lit("name").alias("kind"), name.alias("mention")).withColumn(
+        "norm", normal_form(F.col("mention"), F.col("kind")))
+    drawn = entities.join(redrawn_entities(entities, "k"), ["kind", "norm"], "left").select(
+        surrogate(F.col("mention"), F.col("kind"), F.col("norm"), F.coalesce("attempt", F.lit(0)), "k").alias("s"))
+    r = drawn.agg(F.count("*").alias("n"), F.count_distinct("s").alias("distinct"), F.count_if(F.col("s").contains("[")).alias("tags")).first()
     assert (r["n"], r["distinct"], r["tags"]) == (70_000, 70_000, 0)
 
 
