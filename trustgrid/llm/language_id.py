@@ -33,7 +33,8 @@ from .common import id_bucket
 
 MARK = "▁"
 WORD = 48
-CACHE = 400_000
+CACHE = 100_000             # words, some 20 MB in a worker
+STEP = 5_000                # words whose sums are held at once
 DOCS_PER_LANG = 300
 ROUNDS = 4
 UNKNOWN = 1e-9
@@ -257,8 +258,8 @@ class Identifier:
 
     def add(self, words: list[str]) -> None:
         parts = [self.scores]
-        for a in range(0, len(words), 20_000):
-            parts.append(word_scores(words[a:a + 20_000], self.lattice, self.model.probs))
+        for a in range(0, len(words), STEP):
+            parts.append(word_scores(words[a:a + STEP], self.lattice, self.model.probs))
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
         self.scores = np.concatenate(parts)
 
@@ -305,8 +306,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ident = Identifier(LanguageModel(*sent.value))
         for whole in batches:
-            for a in range(0, whole.num_rows, 512):
-                b = whole.slice(a, 512)
+            for a in range(0, whole.num_rows, 256):
+                b = whole.slice(a, 256)
                 found = ident(b.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, *map(pa.array, found, (pa.string(), pa.float64(), pa.float64()))][:len(columns)], names=columns)
