@@ -53,6 +53,18 @@ _API = {
     "before_after": "trustgrid.operators.fix",
     "trend_anomalies": "trustgrid.operators.predict",
     "expected_values": "trustgrid.operators.predict",
+    "rank_overall": "trustgrid.operators.fix",
+    "places": "trustgrid.operators.ranking",
+    "fit_trends": "trustgrid.operators.predict",
+    "key_values": "trustgrid.operators.lookup",
+    "key_counts": "trustgrid.operators.quality",
+    "distinct_by_grain": "trustgrid.operators.quality",
+    "checked_join": "trustgrid.operators.joins",
+    "claim_items": "trustgrid.operators.provenance",
+    "item_facts": "trustgrid.operators.provenance",
+    "grid_index": "trustgrid.operators.geo",
+    "assign_districts": "trustgrid.operators.geo",
+    "stated_conflicts": "trustgrid.operators.geo",
     "points_in_polygons": "trustgrid.operators.geo",
     "polygon_edges": "trustgrid.operators.geo",
     "polygons_from_features": "trustgrid.operators.geo",
@@ -60,6 +72,9 @@ _API = {
     # sources, sinks, jobs
     "read_csv": "trustgrid.sources.io",
     "read_feature_collection": "trustgrid.sources.io",
+    "read_features": "trustgrid.sources.io",
+    "publish": "trustgrid.sources.publish",
+    "staged": "trustgrid.sources.staging",
     "stamp_ingest": "trustgrid.sources.io",
     "preflight": "trustgrid.sources.io",
     "write_table": "trustgrid.sources.io",
