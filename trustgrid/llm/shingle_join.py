@@ -278,9 +278,11 @@ def node_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
     return docs.select(text_col).mapInArrow(run, schema)
 
 
-def compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def compared(edges: DataFrame, sets: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Edges (a: centre, b) with ``linked``, the centre's size, and how b differs: shingles it lacks and has besides."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    # only the centres' sets travel a second time
+    one = small_filter(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")),
+                       centres.select(F.col("centre").alias("a")).distinct(), "a")
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     common = F.col("n_a") - F.size("lacks")
     return (edges.join(two, "b").join(one, "a")
@@ -371,7 +373,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .groupBy("node").agg(F.min(id_col).alias(id_col)).select(id_col).distinct())
     sets = saved(node_sets(small_filter(docs.select(id_col, text_col), wanted, id_col), id_col, text_col, size)
                  .dropDuplicates(["node"]), "sets")
-    edges = saved(compared(edges, sets, percent), "compared")
+    edges = saved(compared(edges, sets, centres, percent), "compared")
     links = edges.filter("linked").select("a", "b")
     more = saved(rest_links(members, centres, connected_components(links), edges, percent), "more_links")
     comps = connected_components(saved(links.unionByName(more), "all_links"))
