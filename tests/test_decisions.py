@@ -92,6 +92,38 @@ def test_hundreds_of_indicators_become_columns(spark):
         discover_values(cells, "indicator", 100)
 
 
+CELL = ("state_key string, district_key string, state_name string, district_name string, indicator string, value double, "
+        "is_suppressed boolean, is_low_sample_estimate boolean, is_unparsed boolean")
+
+
+def test_survey_cells_are_neither_sorted_nor_held_per_indicator(spark):
+    cells = spark.createDataFrame([("s", "d", "S", "D", "i", 1.0, False, False, False)], CELL)
+    plan = silver.survey_districts(cells, ["i", "j"])._jdf.queryExecution().sparkPlan().toString()
+    first = [line for line in plan.splitlines() if "Aggregate(" in line or "Sort " in line][-1]
+    assert first.strip(" +-:").startswith("HashAggregate(") and "indicator" not in first.split("functions=")[0]
+
+
+@pytest.mark.parametrize("n", [0, 3, 70])
+def test_survey_districts_of_spellings_blocks_and_unnamed_cells(spark, n):
+    rng = random.Random(n)
+    names = [f"ind_{i:02d}" for i in range(n)]
+    rows = [(rng.choice(["s", None]), rng.choice(["d", "e", None]), rng.choice(["S", " s", None]), rng.choice(["D", "d ", None]),
+             rng.choice([*names, *names, "other", None]), rng.choice([None, float(rng.randrange(50))]), rng.random() < 0.2,
+             rng.random() < 0.2, rng.random() < 0.2) for _ in range(900)]
+    rows += [("hot", "hot", "Hot", "Hot", names[i % n] if n else None, float(i), False, False, False) for i in range(300)]
+    out = {(r["state_key"], r["district_key"]): r.asDict()
+           for r in silver.survey_districts(spark.createDataFrame(rows, CELL).repartition(4), names).collect()}
+    assert out.keys() == {r[:2] for r in rows}
+    for key, got in out.items():
+        own = [r for r in rows if r[:2] == key]
+        assert got["state_name"] == min((r[2] for r in own if r[2] is not None), default=None)
+        assert got["district_name"] == min((r[3] for r in own if r[3] is not None), default=None)
+        assert [got[c] for c in silver._CELL_COUNTS] == [
+            len(own), sum(r[6] for r in own), sum(r[7] for r in own), sum(r[5] is None for r in own), sum(r[8] for r in own)]
+        for i in names:
+            assert got[i] == max((r[5] for r in own if r[4] == i and r[5] is not None), default=None)
+
+
 # --- keys, grains, trends -----------------------------------------------------------------------------
 
 def test_key_counts_equal_plain_counts(spark):
