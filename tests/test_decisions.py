@@ -98,9 +98,11 @@ CELL = ("state_key string, district_key string, state_name string, district_name
 
 def test_survey_cells_are_neither_sorted_nor_held_per_indicator(spark):
     cells = spark.createDataFrame([("s", "d", "S", "D", "i", 1.0, False, False, False)], CELL)
-    plan = silver.survey_districts(cells, ["i", "j"])._jdf.queryExecution().sparkPlan().toString()
-    first = [line for line in plan.splitlines() if "Aggregate(" in line or "Sort " in line][-1]
-    assert first.strip(" +-:").startswith("HashAggregate(") and "indicator" not in first.split("functions=")[0]
+    districts = silver.survey_districts(cells, ["i", "j"])
+    for df in (districts, districts.select("state_key", "district_key", "district_name")):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        first = [line for line in plan.splitlines() if "Aggregate(" in line or "Sort " in line][-1]
+        assert first.strip(" +-:").startswith("HashAggregate(") and "indicator" not in first.split("functions=")[0]
 
 
 @pytest.mark.parametrize("n", [0, 3, 70])
