@@ -105,6 +105,24 @@ def test_survey_cells_are_neither_sorted_nor_held_per_indicator(spark):
         assert first.strip(" +-:").startswith("HashAggregate(") and "indicator" not in first.split("functions=")[0]
 
 
+@pytest.mark.parametrize("name", ["district_verdicts", "top_need_districts", "most_flagged_districts", "need_ranking",
+                                  "expected_coverage", "metric_values"])
+def test_queries_of_a_few_survey_columns_hash_cells_per_district(spark, scratch, name):
+    part = spark.range(40).select(F.col("id").alias("p_partkey"))
+    customer = spark.range(40).select(F.col("id").alias("c_custkey"))
+    region = spark.createDataFrame([(i, f"R{i}") for i in range(5)], "r_regionkey int, r_name string")
+    for table, df in {"part": part, "customer": customer, "region": region}.items():
+        df.write.parquet(f"{scratch}/{table}.parquet")
+    out = catalog.REGISTRY[name].build(spark, scratch)
+    lines = plan(out).splitlines()
+    cells = [i for i, line in enumerate(lines) if "Generate inline(array(struct(indicator, " in line]
+    assert cells
+    for i in cells:
+        above = next(line for line in reversed(lines[:i]) if "Aggregate(" in line or "Sort [" in line).strip(" +-:")
+        assert above.startswith("HashAggregate(keys=") and "indicator" not in above.split("functions=")[0]
+    assert out.count() == {"top_need_districts": 25, "most_flagged_districts": 25, "metric_values": 200}.get(name, 40)
+
+
 @pytest.mark.parametrize("n", [0, 3, 70])
 def test_survey_districts_of_spellings_blocks_and_unnamed_cells(spark, n):
     rng = random.Random(n)
