@@ -13,7 +13,7 @@ from trustgrid.operators import fix, predict, quality
 from trustgrid.operators import lookup as lk
 from trustgrid.operators import provenance as pv
 from trustgrid.operators.reshape import discover_values
-from trustgrid.plans import catalog, decisions, silver
+from trustgrid.plans import catalog, decisions, gold, reports, silver
 from trustgrid.sources import io, publish
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +60,22 @@ def test_lists_are_bounded_and_counts_exact(spark):
     assert (out["3"]["district_count"], out["3"]["district_keys"], out["3"]["geocoded_office_count"]) == (0, "", 0)
 
 
+OFFICE = "code string, dk string, sk string, dn string, sn string, ok boolean"
+
+
+def enriched(spark, rows):
+    lookup = lk.join_safe_lookup(spark.createDataFrame(rows, OFFICE).repartition(4), "code", "dk", "sk", "dn", "sn", "ok")
+    return gold.code_enrichment(lookup, spark.createDataFrame([("s", "e", "E")], "state_key string, district_key string, district_name string"))
+
+
+def test_ambiguous_queue_lists_every_name(spark):
+    rows = [("1", f"d{i:04d}", f"s{i % 60:02d}", f"D {i}", f"S {i % 60}", True) for i in range(500)] + [("2", "e", "s", "E", "S", True)]
+    queue = reports.ambiguous_queue(enriched(spark, rows).withColumnRenamed("code", "pincode")).collect()
+    assert [(r["pincode"], r["district_count"], r["state_count"]) for r in queue] == [("1", 500, 60)]
+    assert queue[0]["district_names"] == "|".join(sorted(f"D {i}" for i in range(500)))
+    assert queue[0]["state_names"] == "|".join(sorted(f"S {i}" for i in range(60)))
+
+
 def test_row_limit_is_applied_before_the_shuffle(spark):
     text = plan(catalog.lookup_df(spark, SF))
     assert "WindowGroupLimit" in text and "collect_set" not in text
