@@ -76,6 +76,28 @@ def test_ambiguous_queue_lists_every_name(spark):
     assert queue[0]["state_names"] == "|".join(sorted(f"S {i}" for i in range(60)))
 
 
+@pytest.mark.parametrize("bits, adaptive", [(0, "true"), (3, "true"), (12, "false")])
+def test_code_enrichment_lists_are_whole_in_order(spark, monkeypatch, bits, adaptive):
+    monkeypatch.setattr(lk, "BLOCK_BITS", bits)
+    rng = random.Random(bits)
+    texts = ["", "|", "\u00e9", "\uffee", "\U0001f600", None, *[f"{rng.choice('aZ')} {i}" for i in range(200)]]
+    rows = [(rng.choice(["1", "2", "3", None]), rng.choice(texts), rng.choice(texts[:40]), rng.choice(texts), rng.choice(texts), rng.random() < 0.5)
+            for _ in range(1500)]
+    rows += [("4", "e", "s", f"E {i}", "S", True) for i in range(100)] + [("5", "e", "s", f"E {i}", "S", True) for i in range(lk.NAMES)]
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        out = {r["code"]: r for r in enriched(spark, rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert out.keys() == {"1", "2", "3", "4", "5"}
+    for code, r in out.items():
+        for at, column in enumerate(("district_keys", "state_keys", "district_names", "state_names"), 1):
+            every = {row[at] for row in rows if row[0] == code} - {None}
+            assert r[column] == "|".join(sorted(every, key=lambda x: x.encode()))
+        assert r["post_office_count"] == sum(row[0] == code for row in rows)
+    assert [out[c]["match_status"] for c in "145"] == [lk.MATCH_AMBIGUOUS, lk.MATCH_OK, lk.MATCH_OK]
+
+
 def test_row_limit_is_applied_before_the_shuffle(spark):
     text = plan(catalog.lookup_df(spark, SF))
     assert "WindowGroupLimit" in text and "collect_set" not in text
